@@ -13,11 +13,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panel_edit.operators import change, outliers
+from pyspark.sql.types import DoubleType
+
+from panel_edit.operators import change, constrain, outliers, reshape
 from panel_edit.plans import fixtures as fx
+from panel_edit.plans import jobs
 
 #: Parameters of the registered queries (fixed values, not from the reference).
 Z_UPPER, Z_LOWER = 2.0, -2.0
+IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER = 0.25, 0.75, 1.0
+TRANSACTION = fx.TRANSACTIONS[0]
+IDS = list(reshape.DEFAULT_IDS)
+
+
+def rounded(df: DataFrame, digits: int = 4, **overrides: int) -> DataFrame:
+    """Round every double column (so that both engines hash equal).
+
+    Means of integer values are exact ``S/n`` in both engines and are kept to
+    6 places, where a rounding tie would need 128 or more values.
+    """
+    def one(f):
+        if not isinstance(f.dataType, DoubleType):
+            return F.col(f"`{f.name}`")
+        return F.round(F.col(f"`{f.name}`"), overrides.get(f.name, digits)).alias(f.name)
+
+    return df.select(*[one(f) for f in df.schema.fields])
 
 
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +73,101 @@ def q_w3_zscore(spark, sf_dir):
     )
 
 
+def with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    z = with_zscores(spark, sf_dir)
+    z = outliers.iqr_fences(z, "raw", ["parent", "period"], "uncon", IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER)
+    return outliers.master_flag(z)
+
+
+def totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reshape.wide_to_long(fx.parent_totals(spark, sf_dir), "period", "uncon")
+
+
+def outlier_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = with_flags(spark, sf_dir)
+    keep = [*IDS, "period", "uncon", *[c for c in f.columns if c.startswith("master_")]]
+    return constrain.parent_mean(f.select(*keep))
+
+
+def constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constrain.constrain_to_parent_totals(outlier_means(spark, sf_dir), totals_long(spark, sf_dir), TRANSACTION)
+
+
+def q_d2_iqr(spark, sf_dir):
+    r = outliers.iqr_fences(ratios(spark, sf_dir), "raw", ["parent", "period"], "uncon",
+                            IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER)
+    return rounded(r.select("area", "parent", "period", "raw_q1", "raw_q3", "raw_iqr", "raw_lower_bound",
+                            "raw_upper_bound", "raw_iqr_threshold", "iqr_raw_flag"))
+
+
+def q_d3_master(spark, sf_dir):
+    return with_flags(spark, sf_dir).select("area", "period", "master_z_flag", "master_iqr_flag", "master_flag")
+
+
+def q_d4_parent_mean(spark, sf_dir):
+    return rounded(outlier_means(spark, sf_dir).select("area", "parent", "period", "uncon", "mean_non_outlier"),
+                   mean_non_outlier=6)
+
+
+def q_d5_constrain(spark, sf_dir):
+    return rounded(constrained(spark, sf_dir).select(
+        "area", "parent", "period", "uncon", "mean_non_outlier", "con_area", "con_mean", "master_flag"))
+
+
+def q_r1_wide_to_long(spark, sf_dir):
+    w = fx.wide(fx.panel(spark, sf_dir), "uncon")
+    return rounded(reshape.wide_to_long(w, "period", "uncon"))
+
+
+def q_f4_transaction_filter(spark, sf_dir):
+    return constrain.transaction_totals(totals_long(spark, sf_dir), TRANSACTION)
+
+
+def q_p2_thousands(spark, sf_dir):
+    t = totals_long(spark, sf_dir)
+    return rounded(t.select("parent", "transaction", "period",
+                            constrain.thousands_to_double("uncon", t.schema["uncon"].dataType).alias("value")), 2)
+
+
+def q_r2_metrics_long(spark, sf_dir):
+    c = constrained(spark, sf_dir).drop("mean_non_outlier", "con_mean")
+    return rounded(reshape.metrics_long(c, "uncon", "con_area", ids=IDS))
+
+
+def q_r3_metrics_wide(spark, sf_dir):
+    c = constrained(spark, sf_dir).drop("mean_non_outlier", "con_mean")
+    long = reshape.metrics_long(c, "uncon", "con_area", ids=IDS)
+    return rounded(reshape.metrics_wide(long, fx.YEARS, ids=IDS))
+
+
+def q_d6_union_sorted(spark, sf_dir):
+    p = fx.panel(spark, sf_dir)
+    first = fx.wide(p.where(F.col("parent_key") % 2 == 0), "uncon").withColumn("master_flag", F.lit("TRUE"))
+    second = fx.wide(p, "con").withColumn("master_flag", F.lit("MEAN")).withColumn("source", F.lit("con"))
+    return rounded(constrain.union_sorted(first, second))
+
+
+def preprocess_job(spark: SparkSession, sf_dir: str) -> jobs.PreprocessResult:
+    return jobs.preprocess(
+        fx.wide(fx.panel(spark, sf_dir), "uncon"),
+        fx.parent_totals(spark, sf_dir),
+        start=fx.START_YEAR, end=fx.END_YEAR,
+        rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
+        transaction=TRANSACTION,
+        z_upper=Z_UPPER, z_lower=Z_LOWER,
+        iqr_lower_quantile=IQR_LOWER, iqr_upper_quantile=IQR_UPPER, iqr_multiplier=IQR_MULTIPLIER,
+        ids=IDS,
+    )
+
+
+def q_e1_preprocess(spark, sf_dir):
+    return rounded(preprocess_job(spark, sf_dir).output, **{str(y): 6 for y in fx.YEARS})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_w3_zscore(spark, sf_dir)
+    return q_e1_preprocess(spark, sf_dir)

@@ -4,7 +4,8 @@ The editing engine needs a panel of values per area and period, nested in
 parents. It is derived from the given tables, so its size grows with them:
 
 * area = supplier, parent = the supplier nation's region, period = ship year;
-* ``v`` = rounded sum of ``l_extendedprice`` per (supplier, year);
+* ``v`` = sum of whole-dollar ``l_extendedprice`` per (supplier, year): integer
+  valued, so every later sum is exact and independent of summation order;
 * ``uncon``: in parents with an even region key, the periods up to
   ``COPY_BACK_END`` repeat the area's ``COPY_FROM`` value (copied-back years,
   which the rollback flag must find); otherwise ``v``;
@@ -40,7 +41,7 @@ def panel_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = li.groupBy(
         F.col("l_suppkey").alias("area_key"),
         F.year("l_shipdate").cast("int").alias("period"),
-    ).agg(F.round(F.sum("l_extendedprice"), 2).alias("v"))
+    ).agg(F.sum(F.round("l_extendedprice")).alias("v"))
     geo = (
         table(spark, sf_dir, "supplier")
         .select(F.col("s_suppkey").alias("area_key"), F.col("s_name").alias("area_name"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 PANEL = """
 sums AS (
   SELECT l_suppkey AS area_key, CAST(year(l_shipdate) AS INTEGER) AS period,
-         round(sum(l_extendedprice), 2) AS v
+         sum(round(l_extendedprice)) AS v
   FROM lineitem GROUP BY l_suppkey, CAST(year(l_shipdate) AS INTEGER)),
 geo AS (
   SELECT s.s_suppkey AS area_key, s.s_name AS area_name, n.n_regionkey AS parent_key,
@@ -79,11 +79,101 @@ ZSCORES = RATIOS + _zscore("rolled", "zb", "bkwd", "backward_pct_change") + _zsc
 )
 
 
+YEARS = list(range(1995, 2002))
+FLAGS = "master_z_flag, master_iqr_flag, master_flag"
+IDS = "area, area_name, parent, parent_name"
+
+FLAGGED = ZSCORES + """,
+iq_x AS (SELECT *, CASE WHEN NOT rollback_flag THEN uncon END AS iqr_x FROM zf),
+iq_q AS (SELECT parent, period, quantile_cont(iqr_x, 0.25) AS raw_q1, quantile_cont(iqr_x, 0.75) AS raw_q3
+         FROM iq_x WHERE iqr_x IS NOT NULL GROUP BY parent, period),
+iq_b AS (SELECT iq_x.* EXCLUDE (iqr_x), raw_q1, raw_q3, raw_q3 - raw_q1 AS raw_iqr
+         FROM iq_x LEFT JOIN iq_q USING (parent, period)),
+iq AS (SELECT *, raw_q1 - 1.0 * raw_iqr AS raw_lower_bound, raw_q3 + 1.0 * raw_iqr AS raw_upper_bound FROM iq_b),
+iqf AS (SELECT *,
+          CASE WHEN uncon > raw_upper_bound THEN 'upper' WHEN uncon < raw_lower_bound THEN 'lower' END
+            AS raw_iqr_threshold,
+          coalesce(uncon > raw_upper_bound OR uncon < raw_lower_bound, false) AS iqr_raw_flag
+        FROM iq),
+mf AS (SELECT *, bool_or(z_bkwd_flag OR z_frwd_flag) OVER (PARTITION BY area) AS master_z_flag,
+              bool_or(iqr_raw_flag) OVER (PARTITION BY area) AS master_iqr_flag FROM iqf),
+mf2 AS (SELECT *, master_z_flag AND master_iqr_flag AS master_flag FROM mf),
+pm_s AS (SELECT parent, period, avg(uncon) AS mean_non_outlier FROM mf2 WHERE NOT master_flag
+         GROUP BY parent, period),
+pm AS (SELECT area, area_name, parent, parent_name, period, uncon, master_z_flag, master_iqr_flag,
+              master_flag, mean_non_outlier
+       FROM mf2 LEFT JOIN pm_s USING (parent, period) WHERE master_flag)"""
+
+TOTALS = """,
+ptot AS (SELECT parent, parent_key, parent_name, period, sum(con) AS total FROM panel
+         GROUP BY parent, parent_key, parent_name, period),
+totals_long AS (
+  SELECT 'R' || CAST(parent_key AS VARCHAR) AS region, parent, parent_name AS region_name,
+         'D1' AS transaction_code, 'Household income' AS "transaction", period,
+         format('{:,.2f}', round(total * 1, 2)) AS uncon FROM ptot
+  UNION ALL
+  SELECT 'R' || CAST(parent_key AS VARCHAR), parent, parent_name, 'D2', 'Other income', period,
+         format('{:,.2f}', round(total * 2, 2)) FROM ptot)"""
+
+CONSTRAINED = FLAGGED + TOTALS + """,
+tl AS (SELECT parent, period, CAST(replace(uncon, ',', '') AS DOUBLE) AS parent_total FROM totals_long
+       WHERE "transaction" = 'Household income'),
+cs AS (SELECT pm.*, parent_total, uncon + mean_non_outlier AS den FROM pm LEFT JOIN tl USING (parent, period)),
+cs2 AS (SELECT * EXCLUDE (parent_total, den, master_flag),
+          uncon * (CASE WHEN den = 0 THEN 0 ELSE parent_total / den END) AS con_area,
+          mean_non_outlier * (CASE WHEN den = 0 THEN 0 ELSE parent_total / den END) AS con_mean,
+          CASE WHEN master_flag THEN 'TRUE' ELSE 'MEAN' END AS master_flag
+        FROM cs)"""
+
+
+def _pivot(value: str, prefix: str = "", digits: int = 4) -> str:
+    return ", ".join(
+        f'round(max(CASE WHEN period = {y} THEN {value} END), {digits}) AS "{prefix}{y}"' for y in YEARS
+    )
+
+
+def _wide_metrics(src: str, first: str, second: str, flag: str = "master_flag", digits: int = 4) -> str:
+    return f"""SELECT {IDS}, master_z_flag, master_iqr_flag, {flag} AS master_flag,
+  {_pivot(first, digits=digits)}, {_pivot(second, "CONLSOA_")}
+FROM {src} GROUP BY {IDS}, master_z_flag, master_iqr_flag, master_flag"""
+
+
 def _with(ctes: str, select: str) -> str:
     return "WITH " + ctes.strip() + "\n" + select.strip()
 
 
 ORACLE: dict[str, str] = {
+    "d2_iqr": _with(FLAGGED, """
+SELECT area, parent, period, round(raw_q1, 4) AS raw_q1, round(raw_q3, 4) AS raw_q3,
+       round(raw_iqr, 4) AS raw_iqr, round(raw_lower_bound, 4) AS raw_lower_bound,
+       round(raw_upper_bound, 4) AS raw_upper_bound, raw_iqr_threshold, iqr_raw_flag FROM iqf"""),
+    "d3_master": _with(FLAGGED, """
+SELECT area, period, master_z_flag, master_iqr_flag, master_flag FROM mf2"""),
+    "d4_parent_mean": _with(FLAGGED, """
+SELECT area, parent, period, round(uncon, 4) AS uncon, round(mean_non_outlier, 6) AS mean_non_outlier FROM pm"""),
+    "d5_constrain": _with(CONSTRAINED, """
+SELECT area, parent, period, round(uncon, 4) AS uncon, round(mean_non_outlier, 4) AS mean_non_outlier,
+       round(con_area, 4) AS con_area, round(con_mean, 4) AS con_mean, master_flag FROM cs2"""),
+    "r1_wide_to_long": _with(PANEL, f"""
+SELECT {IDS}, period, round(uncon, 4) AS uncon FROM panel"""),
+    "f4_transaction_filter": _with(PANEL + TOTALS, """
+SELECT parent, period, uncon FROM totals_long WHERE "transaction" = 'Household income'"""),
+    "p2_thousands": _with(PANEL + TOTALS, """
+SELECT parent, "transaction", period, round(CAST(replace(uncon, ',', '') AS DOUBLE), 2) AS value
+FROM totals_long"""),
+    "r2_metrics_long": _with(CONSTRAINED, f"""
+SELECT {IDS}, period, {FLAGS}, 'uncon' AS metric, round(uncon, 4) AS value,
+       'uncon_' || CAST(period AS VARCHAR) AS metric_date FROM cs2
+UNION ALL
+SELECT {IDS}, period, {FLAGS}, 'CONLSOA', round(con_area, 4), 'CONLSOA_' || CAST(period AS VARCHAR) FROM cs2"""),
+    "r3_metrics_wide": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area")),
+    "d6_union_sorted": _with(PANEL, f"""
+SELECT {IDS}, {_pivot("uncon")}, 'TRUE' AS master_flag, CAST(NULL AS VARCHAR) AS source
+FROM panel WHERE parent_key % 2 = 0 GROUP BY {IDS}
+UNION ALL
+SELECT {IDS}, {_pivot("con")}, 'MEAN', 'con' FROM panel GROUP BY {IDS}"""),
+    "e1_preprocess": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area", digits=6) + "\nUNION ALL\n"
+                           + _wide_metrics("cs2", "mean_non_outlier", "con_mean", "'MEAN'", digits=6)),
     "w1_forward": _with(RATIOS, """
 SELECT area, period, round(forward_pct_change, 6) AS forward_pct_change FROM ratios"""),
     "w2_backward": _with(RATIOS, """
