@@ -23,6 +23,7 @@ def parent_mean(
     value: str = "uncon",
     mean_col: str = "mean_non_outlier",
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Flagged rows only, with the mean ``value`` of the *unflagged* areas of their parent and period."""
     means = (
@@ -30,7 +31,7 @@ def parent_mean(
         .groupBy(parent, period)
         .agg(F.avg(nan_to_null(value)).alias(mean_col))
     )
-    return join_small(df.where(is_true(flag)), means, [parent, period], "left", max_broadcast_rows)
+    return join_small(df.where(is_true(flag)), means, [parent, period], "left", max_broadcast_rows, broadcast)
 
 
 def thousands_to_double(c: str, dtype) -> F.Column:
@@ -64,6 +65,7 @@ def constrain_to_parent_totals(
     con_col: str = "con_area",
     con_mean_col: str = "con_mean",
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Scale each outlier value and its parent mean so that together they meet the parent total.
 
@@ -78,7 +80,7 @@ def constrain_to_parent_totals(
         raise ValueError(f"parent totals have columns the panel lacks: {missing}")
     dtype = t.schema[value].dataType
     t = t.select(parent, period, thousands_to_double(value, dtype).alias("_parent_total"))
-    out = join_small(df, t, [parent, period], "left", max_broadcast_rows)
+    out = join_small(df, t, [parent, period], "left", max_broadcast_rows, broadcast)
     denominator = F.col(value) + F.col(mean_col)
     rate = F.when(denominator == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("_parent_total"), denominator))
     return (

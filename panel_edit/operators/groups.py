@@ -43,10 +43,20 @@ def join_small(
     on: Sequence[str] | str,
     how: str = "left",
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
-    """Join ``small`` to ``df``: broadcast when its checked size allows, else shuffle."""
-    side, _ = broadcast_if_small(small, max_broadcast_rows)
-    return df.join(side, on=list(on) if not isinstance(on, str) else on, how=how)
+    """Join ``small`` to ``df``: broadcast when its size is within the bound, else shuffle.
+
+    ``broadcast=None`` checks the size here (persist + count of ``small``);
+    ``True`` / ``False`` is the caller's decision from a bound it has proven
+    once for many joins (see :func:`group_bounds`).
+    """
+    keys = list(on) if not isinstance(on, str) else on
+    if broadcast is None:
+        side, _ = broadcast_if_small(small, max_broadcast_rows)
+    else:
+        side = F.broadcast(small) if broadcast else small
+    return df.join(side, on=keys, how=how)
 
 
 def attach_group_stats(
@@ -54,6 +64,7 @@ def attach_group_stats(
     keys: Sequence[str],
     aggs: Sequence,
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Add aggregate columns ``aggs`` computed per ``keys`` to every row of ``df``.
 
@@ -61,4 +72,32 @@ def attach_group_stats(
     matching a group-by that drops missing keys.
     """
     stats = df.groupBy(*keys).agg(*aggs)
-    return join_small(df, stats, keys, "left", max_broadcast_rows)
+    return join_small(df, stats, keys, "left", max_broadcast_rows, broadcast)
+
+
+class GroupBounds:
+    """Proven bounds for a panel: number of parents and largest number of areas in one parent.
+
+    Every statistics table keyed by parent, or by (parent, period), has at
+    most ``parents * periods`` rows, so one count decides all broadcasts of
+    a job; ``largest_group`` bounds the values of one (parent, period) group.
+    """
+
+    def __init__(self, parents: int, largest_group: int, periods: int = 1,
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+        self.parents = parents
+        self.largest_group = largest_group
+        self.periods = periods
+        self.broadcast = parents * max(periods, 1) <= max_broadcast_rows
+
+    def __repr__(self) -> str:
+        return (f"GroupBounds(parents={self.parents}, largest_group={self.largest_group}, "
+                f"periods={self.periods}, broadcast={self.broadcast})")
+
+
+def group_bounds(areas: DataFrame, parent: str, area: str, periods: int = 1,
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GroupBounds:
+    """One aggregate job over an area-level table (one row per area or per area and period)."""
+    per_parent = areas.groupBy(parent).agg(F.countDistinct(area).alias("_areas"))
+    row = per_parent.agg(F.count(F.lit(1)).alias("n"), F.max("_areas").alias("m")).first()
+    return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows)

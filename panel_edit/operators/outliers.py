@@ -30,6 +30,7 @@ def zscores(
     lower: float = -3.0,
     rollback_col: str = "rollback_flag",
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Add ``{prefix}_zscore``, ``{prefix}_zscore_threshold`` and ``z_{prefix}_flag``.
 
@@ -44,7 +45,7 @@ def zscores(
     stats = df.groupBy(*keys).agg(
         F.avg(x).alias("_z_mean"), F.stddev_samp(x).alias("_z_std")
     )
-    out = join_small(df, stats, keys, "left", max_broadcast_rows)
+    out = join_small(df, stats, keys, "left", max_broadcast_rows, broadcast)
     z = nan_to_null(F.try_divide(x - F.col("_z_mean"), F.nullif(F.col("_z_std"), F.lit(0.0))))
     score = f"{prefix}_zscore"
     return (
@@ -66,6 +67,8 @@ def iqr_fences(
     rollback_col: str = "rollback_flag",
     max_group_rows: int | None = None,
     max_broadcast_rows: int | None = None,
+    broadcast: bool | None = None,
+    largest_group: int | None = None,
 ) -> DataFrame:
     """Add quartiles, IQR, fences, ``{prefix}_iqr_threshold`` and ``iqr_{prefix}_flag``.
 
@@ -76,9 +79,10 @@ def iqr_fences(
     q1, q3 = f"{prefix}_q1", f"{prefix}_q3"
     x = df.select(*keys, F.when(~is_true(rollback_col), nan_to_null(value)).alias("_iqr_x"))
     quartiles = group_quantiles(
-        x, keys, "_iqr_x", {q1: lower_quantile, q3: upper_quantile}, max_group_rows, max_broadcast_rows
+        x, keys, "_iqr_x", {q1: lower_quantile, q3: upper_quantile}, max_group_rows, max_broadcast_rows,
+        largest_group=largest_group,
     )
-    out = join_small(df, quartiles, keys, "left", max_broadcast_rows)
+    out = join_small(df, quartiles, keys, "left", max_broadcast_rows, broadcast)
     iqr, lo, hi = f"{prefix}_iqr", f"{prefix}_lower_bound", f"{prefix}_upper_bound"
     v = nan_to_null(value)
     return (

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import DoubleType
 
-from panel_edit.operators import change, constrain, outliers, reshape
+from panel_edit.functions.lists import next_free_year, parse_year_list, previous_free_year
+from panel_edit.operators import apportion, change, checks, constrain, decisions, filters, impute, outliers, reshape
+from panel_edit.session import cut_lineage
+from panel_edit.sources.tables import table
 from panel_edit.plans import fixtures as fx
 from panel_edit.plans import jobs
 
@@ -47,9 +50,16 @@ def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = fx.bounds(spark, sf_dir)
     r = ratios(spark, sf_dir)
-    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER)
-    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER)
+    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast)
+    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast)
+
+
+def iqr(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = fx.bounds(spark, sf_dir)
+    return outliers.iqr_fences(df, "raw", ["parent", "period"], "uncon", IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER,
+                               broadcast=b.broadcast, largest_group=b.largest_group)
 
 
 def q_w1_forward(spark, sf_dir):
@@ -74,9 +84,7 @@ def q_w3_zscore(spark, sf_dir):
 
 
 def with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    z = with_zscores(spark, sf_dir)
-    z = outliers.iqr_fences(z, "raw", ["parent", "period"], "uncon", IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER)
-    return outliers.master_flag(z)
+    return outliers.master_flag(iqr(with_zscores(spark, sf_dir), spark, sf_dir))
 
 
 def totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,16 +94,16 @@ def totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def outlier_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = with_flags(spark, sf_dir)
     keep = [*IDS, "period", "uncon", *[c for c in f.columns if c.startswith("master_")]]
-    return constrain.parent_mean(f.select(*keep))
+    return constrain.parent_mean(f.select(*keep), broadcast=fx.bounds(spark, sf_dir).broadcast)
 
 
 def constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return constrain.constrain_to_parent_totals(outlier_means(spark, sf_dir), totals_long(spark, sf_dir), TRANSACTION)
+    return constrain.constrain_to_parent_totals(outlier_means(spark, sf_dir), totals_long(spark, sf_dir), TRANSACTION,
+                                                broadcast=fx.bounds(spark, sf_dir).broadcast)
 
 
 def q_d2_iqr(spark, sf_dir):
-    r = outliers.iqr_fences(ratios(spark, sf_dir), "raw", ["parent", "period"], "uncon",
-                            IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER)
+    r = iqr(ratios(spark, sf_dir), spark, sf_dir)
     return rounded(r.select("area", "parent", "period", "raw_q1", "raw_q3", "raw_iqr", "raw_lower_bound",
                             "raw_upper_bound", "raw_iqr_threshold", "iqr_raw_flag"))
 
@@ -156,7 +164,7 @@ def preprocess_job(spark: SparkSession, sf_dir: str) -> jobs.PreprocessResult:
         transaction=TRANSACTION,
         z_upper=Z_UPPER, z_lower=Z_LOWER,
         iqr_lower_quantile=IQR_LOWER, iqr_upper_quantile=IQR_UPPER, iqr_multiplier=IQR_MULTIPLIER,
-        ids=IDS,
+        ids=IDS, bounds=fx.bounds(spark, sf_dir),
     )
 
 
@@ -164,6 +172,205 @@ def q_e1_preprocess(spark, sf_dir):
     return rounded(preprocess_job(spark, sf_dir).output, **{str(y): 6 for y in fx.YEARS})
 
 
+# ---- stage 2: adjustment -------------------------------------------------------------------
+
+def parsed_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decisions.year_list(decisions.adjust_flag(fx.decisions(spark, sf_dir)))
+
+
+def listed_text(c: str = "year"):
+    return F.array_join(c, ",")
+
+
+def adjust_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decisions.filter_adjust(parsed_decisions(spark, sf_dir))
+
+
+def joined_con(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
+    con = fx.wide(fx.panel(spark, sf_dir), "con")
+    return decisions.join_decisions_con(con, adjust_rows(spark, sf_dir), check=check)
+
+
+def joined_uncon(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
+    uncon = fx.wide(fx.panel(spark, sf_dir), "uncon")
+    return decisions.join_decisions_uncon(uncon, joined_con(spark, sf_dir, check), check=check)
+
+
+def adjust_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = filters.filter_period(reshape.adjust_long(joined_uncon(spark, sf_dir)), fx.START_YEAR, fx.END_YEAR)
+    long = change.rate_of_change(long)
+    return cut_lineage(change.flag_rollback_years(long, fx.ROLLBACK_START, fx.ROLLBACK_END))
+
+
+def imputation(spark: SparkSession, sf_dir: str, extrapolated: bool = True) -> tuple[DataFrame, DataFrame]:
+    panel, imputed = impute.safe_years(adjust_panel(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    imputed = impute.interpolate(imputed)
+    if extrapolated:
+        imputed = impute.extrapolate(panel, imputed)
+    return panel, imputed
+
+
+def apportioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = fx.bounds(spark, sf_dir).broadcast
+    panel, imputed = imputation(spark, sf_dir)
+    imputed = cut_lineage(imputed.select("area", "period", "imputed"))
+    return apportion.apportion(apportion.proportions(panel, broadcast=b), imputed, broadcast=b)
+
+
+def rolled_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = fx.bounds(spark, sf_dir).broadcast
+    return apportion.rollback_years(apportion.remove_negatives(apportioned(spark, sf_dir), broadcast=b), broadcast=b)
+
+
+IMPUTED_COLS = ["area", "period", "rollback_flag", "prev_safe_year", "prev_con", "next_safe_year", "next_con"]
+
+
+def q_p8_adjust_flag(spark, sf_dir):
+    return decisions.adjust_flag(fx.decisions(spark, sf_dir)).select("area", "adjust")
+
+
+def q_p9_year_list(spark, sf_dir):
+    d = parsed_decisions(spark, sf_dir)
+    return d.select("area", listed_text().alias("years"), F.size("year").alias("n_years"))
+
+
+def q_f2_adjust_rows(spark, sf_dir):
+    return adjust_rows(spark, sf_dir).select("area", "parent", "adjust", listed_text().alias("year"))
+
+
+def q_f1_period_range(spark, sf_dir):
+    return rounded(filters.filter_period(fx.panel(spark, sf_dir), 1996, 2000).select("area", "period", "uncon"))
+
+
+def q_f3_component_filter(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    comp = li.groupBy(
+        F.col("l_suppkey").alias("supplier"),
+        F.year("l_shipdate").cast("int").alias("period"),
+        F.col("l_returnflag").alias("sas_code"),
+        F.col("l_linestatus").alias("cord_code"),
+        F.when(F.col("l_discount") > 0.05, F.lit("D")).otherwise(F.lit("C")).alias("credit_debit"),
+    ).agg(F.sum(F.round("l_extendedprice")).alias("value"))
+    return rounded(filters.filter_component(comp, "R", "F", "C"))
+
+
+def q_j1_decision_con(spark, sf_dir):
+    j = joined_con(spark, sf_dir)
+    return rounded(j.withColumn("year", listed_text()))
+
+
+def q_j2_decision_uncon(spark, sf_dir):
+    j = joined_uncon(spark, sf_dir)
+    return rounded(j.withColumn("year", listed_text()))
+
+
+def q_v6_row_growth(spark, sf_dir):
+    panel = fx.panel(spark, sf_dir)
+    con, uncon = fx.wide(panel, "con"), fx.wide(panel, "uncon")
+    rows = adjust_rows(spark, sf_dir)
+    j1 = decisions.join_decisions_con(con, rows, check=False)
+    j2 = decisions.join_decisions_uncon(uncon, j1, check=False)
+    return decisions.join_counts(con, rows, j1).withColumn("join", F.lit("constrained")).unionByName(
+        decisions.join_counts(uncon, j1, j2).withColumn("join", F.lit("unconstrained")))
+
+
+def q_r4_adjust_long(spark, sf_dir):
+    long = reshape.adjust_long(joined_uncon(spark, sf_dir))
+    return rounded(long.withColumn("year_to_adjust", listed_text("year_to_adjust")))
+
+
+def q_s3_next_free_year(spark, sf_dir):
+    p = fx.panel(spark, sf_dir).withColumn("lst", parse_year_list("listed"))
+    return p.select(
+        "area", "period", F.array_join("lst", ",").alias("years"),
+        previous_free_year("period", "lst", fx.START_YEAR).alias("prev_free_year"),
+        next_free_year("period", "lst", fx.END_YEAR).alias("next_free_year"),
+    )
+
+
+def q_d7_safe_years(spark, sf_dir):
+    _, imputed = impute.safe_years(adjust_panel(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    return rounded(imputed.select(*IMPUTED_COLS, listed_text("year_to_adjust").alias("year_to_adjust")))
+
+
+def q_d8_interpolate(spark, sf_dir):
+    _, imputed = imputation(spark, sf_dir, extrapolated=False)
+    return rounded(imputed.select(*IMPUTED_COLS, "imputed"))
+
+
+def q_d9_extrapolate(spark, sf_dir):
+    _, imputed = imputation(spark, sf_dir)
+    return rounded(imputed.select(*IMPUTED_COLS, "imputed"))
+
+
+def q_d10_proportions(spark, sf_dir):
+    panel, _ = imputation(spark, sf_dir, extrapolated=False)
+    p = apportion.proportions(panel, broadcast=fx.bounds(spark, sf_dir).broadcast)
+    return rounded(p.select("area", "parent", "period", "con", "parent_total", "non_outlier_total", "proportion"),
+                   proportion=12)
+
+
+MONEY3 = dict(adjusted_total=3, adjusted_con=3, min_adjusted=3, abs_adjustment=3, over_adjusted=3,
+              readjusted_con=3, rollback_con=3, imputed=4)
+
+
+def q_d11_apportion(spark, sf_dir):
+    a = apportioned(spark, sf_dir)
+    return rounded(a.select("area", "parent", "period", "con", "imputed", "adjusted_total", "adjusted_con"), **MONEY3)
+
+
+def q_d12_no_negatives(spark, sf_dir):
+    r = apportion.remove_negatives(apportioned(spark, sf_dir), broadcast=fx.bounds(spark, sf_dir).broadcast)
+    return rounded(r.select("area", "parent", "period", "min_adjusted", "abs_adjustment", "over_adjusted",
+                            "readjusted_con"), **MONEY3)
+
+
+def q_d13_rollback_years(spark, sf_dir):
+    r = rolled_back(spark, sf_dir)
+    return rounded(r.select("area", "parent", "period", "rollback_flag", "readjusted_con", "rollback_con"), **MONEY3)
+
+
+def q_v1_sum_match(spark, sf_dir):
+    r = rolled_back(spark, sf_dir)
+    sums = r.groupBy("parent", "period").agg(
+        F.coalesce(F.sum("con"), F.lit(0.0)).alias("sum_before"),
+        F.coalesce(F.sum("rollback_con"), F.lit(0.0)).alias("sum_after"),
+    )
+    bad = checks.sum_mismatches(r, ["parent", "period"], "con", "rollback_con",
+                                apportion.SUM_TOLERANCE, apportion.RELATIVE_TOLERANCE)
+    flagged = bad.select("parent", "period", F.lit(False).alias("within_tolerance"))
+    out = sums.join(flagged, ["parent", "period"], "left").withColumn(
+        "within_tolerance", F.coalesce("within_tolerance", F.lit(True)))
+    return rounded(out, 2)
+
+
+def q_v2_zero_total(spark, sf_dir):
+    p = fx.panel(spark, sf_dir).withColumn("year_to_adjust", parse_year_list("listed"))
+    p = p.withColumn("con", F.when((F.col("parent_key") == 3) & (F.col("period") == 1999), F.lit(0.0))
+                     .otherwise(F.col("con")))
+    b = fx.bounds(spark, sf_dir).broadcast
+    return checks.zero_totals(apportion.proportions(p, check=False, broadcast=b), ["parent", "period"],
+                              "non_outlier_total")
+
+
+def adjust_job(spark: SparkSession, sf_dir: str, final_value: str = "readjusted") -> jobs.AdjustResult:
+    p = fx.panel(spark, sf_dir)
+    return jobs.adjust(
+        fx.decisions(spark, sf_dir), fx.wide(p, "con"), fx.wide(p, "uncon"),
+        start=fx.START_YEAR, end=fx.END_YEAR,
+        rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
+        final_value=final_value, ids=IDS, bounds=fx.bounds(spark, sf_dir),
+    )
+
+
+def q_r5_final_wide(spark, sf_dir):
+    return rounded(adjust_job(spark, sf_dir, "rollback").output, 3)
+
+
+def q_e2_adjust(spark, sf_dir):
+    return rounded(adjust_job(spark, sf_dir).output, 3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panel_edit.operators.groups import join_small
+from panel_edit.operators.groups import GroupBounds, join_small
 from panel_edit.sources.tables import table
 
 # Fixed values of the derived fixture (not from the reference).
@@ -74,7 +74,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_area = Window.partitionBy("area_key")
     copy_value = F.max(F.when(F.col("period") == COPY_FROM, F.col("v"))).over(by_area)
     smallest = base.groupBy("parent_key").agg(F.min("area_key").alias("_first_area"))
-    base = join_small(base, smallest, ["parent_key"])
+    # One row per region: bounded by the region dimension.
+    base = join_small(base, smallest, ["parent_key"], broadcast=True)
     copied = (F.col("parent_key") % 2 == 0) & (F.col("period") <= COPY_BACK_END)
     listed = (
         F.when((F.col("area_key") == F.col("_first_area")) | (F.col("area_key") % 3 != 0), F.lit(""))
@@ -94,6 +95,19 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bounds(spark: SparkSession, sf_dir: str) -> GroupBounds:
+    """Proven bounds from the dimensions: parents are regions, areas per parent are its suppliers."""
+    per_region = (
+        table(spark, sf_dir, "supplier").select("s_nationkey")
+        .join(F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"),
+                                                                  "n_regionkey")), "s_nationkey")
+        .groupBy("n_regionkey").count()
+    )
+    row = per_region.agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("m")).first()
+    regions = table(spark, sf_dir, "region").count()
+    return GroupBounds(max(regions, row["n"] or 0), row["m"] or 0, len(YEARS))
+
+
 def wide(long: DataFrame, value: str, ids=("area", "area_name", "parent", "parent_name")) -> DataFrame:
     """Wide table: ids + one column per period (``"1995"`` ...)."""
     return long.groupBy(*ids).pivot("period", YEARS).agg(F.first(value)).select(

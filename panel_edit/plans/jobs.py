@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panel_edit.operators import change, checks, constrain, outliers, reshape
+from panel_edit.operators.groups import GroupBounds, group_bounds
 from panel_edit.session import cut_lineage
 from panel_edit.sources.qa import parameters_frame
 
@@ -46,6 +47,7 @@ def preprocess(
     iqr_multiplier: float = 3.0,
     ids: Sequence[str] = IDS,
     check: bool = True,
+    bounds: GroupBounds | None = None,
 ) -> PreprocessResult:
     """Stage 1: flag outlier areas and constrain them (and their parent mean) to parent totals.
 
@@ -56,6 +58,7 @@ def preprocess(
     with ``CONLSOA_<period>`` constrained columns.
     """
     area, parent = ids[0], ids[2]
+    b = bounds or group_bounds(panel_wide.select(parent, area), parent, area, end - start + 1)
     long = reshape.wide_to_long(panel_wide, "period", "uncon", periods=(start, end))
     long = long.where(F.col("period").between(start, end))
     totals = reshape.wide_to_long(totals_wide, "period", "uncon")
@@ -63,18 +66,20 @@ def preprocess(
     df = change.rate_of_change(long, area=area)
     df = change.flag_rollback_years(df, rollback_start, rollback_end)
     if zscore:
-        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower)
-        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower)
+        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower, broadcast=b.broadcast)
+        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower, broadcast=b.broadcast)
     if iqr:
         df = outliers.iqr_fences(
-            df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier
+            df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier,
+            broadcast=b.broadcast, largest_group=b.largest_group,
         )
     df = outliers.master_flag(df, zscore, iqr, area=area)
     interim = cut_lineage(df)
 
     keep = [*ids, "period", "uncon", *[c for c in interim.columns if c.startswith("master_")]]
-    flagged = constrain.parent_mean(interim.select(*keep), parent=parent)
-    flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, parent=parent)
+    flagged = constrain.parent_mean(interim.select(*keep), parent=parent, broadcast=b.broadcast)
+    flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, parent=parent,
+                                                   broadcast=b.broadcast)
 
     periods = list(range(start, end + 1))
     out_long = reshape.metrics_long(flagged.drop("mean_non_outlier", "con_mean"), "uncon", "con_area", ids=ids)
@@ -97,3 +102,75 @@ def preprocess(
         },
     )
     return PreprocessResult(output=output, interim=interim, parameters=params)
+
+
+@dataclass
+class AdjustResult:
+    output: DataFrame
+    interim: DataFrame
+    parameters: DataFrame
+
+
+def adjust(
+    decisions: DataFrame,
+    con_wide: DataFrame,
+    uncon_wide: DataFrame,
+    *,
+    start: int,
+    end: int,
+    rollback_start: int,
+    rollback_end: int,
+    accept_negatives: bool = False,
+    final_value: str = "readjusted",
+    ids: Sequence[str] = IDS,
+    component_filters: dict | None = None,
+    check: bool = True,
+    bounds: GroupBounds | None = None,
+) -> AdjustResult:
+    """Stage 2: impute the listed area-periods and re-apportion within each parent and period.
+
+    ``decisions``: ids + ``adjust`` text + ``year`` text (the analyst's list).
+    ``con_wide`` / ``uncon_wide``: ids + one column per period.
+    ``final_value``: "readjusted" (parity: negatives removed when not
+    accepted) or "rollback" (copied-back periods re-shared, too).
+    """
+    from panel_edit.operators import apportion, decisions as dec, filters, impute
+
+    area, parent = ids[0], ids[2]
+    b = bounds or group_bounds(uncon_wide.select(parent, area), parent, area, end - start + 1)
+    d = dec.year_list(dec.adjust_flag(decisions))
+    if check:
+        dec.check_year_lists(d, start, end)
+    d = dec.filter_adjust(d, area=area, parent=parent)
+    j = dec.join_decisions_con(con_wide, d, keys=(area, parent), keep_names=(*ids, "adjust", "year"), check=check)
+    j = dec.join_decisions_uncon(uncon_wide, j, keys=ids, check=check)
+    long = reshape.adjust_long(j, ids=ids)
+    long = filters.filter_period(long, start, end)
+
+    long = change.rate_of_change(long, area=area)
+    long = change.flag_rollback_years(long, rollback_start, rollback_end)
+    long = cut_lineage(long)
+    panel, imputed = impute.safe_years(long, start, end, area=area)
+    imputed = impute.interpolate(imputed)
+    imputed = impute.extrapolate(panel, imputed, area=area)
+    imputed = cut_lineage(imputed.select(area, "period", "imputed"))
+
+    df = apportion.proportions(panel, parent=parent, check=check, broadcast=b.broadcast)
+    df = apportion.apportion(df, imputed, area=area, parent=parent, check=check, broadcast=b.broadcast)
+    value = "adjusted_con"
+    if not accept_negatives:
+        df = apportion.remove_negatives(df, parent=parent, check=check, broadcast=b.broadcast)
+        value = "readjusted_con"
+    df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=check, broadcast=b.broadcast)
+    interim = cut_lineage(df)
+
+    chosen = "rollback_con" if final_value == "rollback" else value
+    final = interim.select(*ids, "period", F.col(chosen).alias("con"))
+    if check:
+        checks.require(reshape.final_duplicates(final, ids), "duplicate (area, period) rows in the final pivot")
+    output = reshape.final_wide(final, range(start, end + 1), "con", ids)
+
+    filters_used = component_filters or {"sas_code_filter": None, "cord_code_filter": None,
+                                         "credit_debit_filter": None}
+    params = parameters_frame(decisions.sparkSession, filters_used)
+    return AdjustResult(output=output, interim=interim, parameters=params)

@@ -126,6 +126,130 @@ cs2 AS (SELECT * EXCLUDE (parent_total, den, master_flag),
         FROM cs)"""
 
 
+def _years_list(text: str) -> str:
+    return (f"list_transform(list_filter(string_split(replace(coalesce({text}, ''), ' ', ''), ','), "
+            f"lambda x: x <> '' AND lower(x) <> 'nan'), lambda x: CAST(trunc(CAST(x AS DOUBLE)) AS INTEGER))")
+
+
+def _prev_free(period: str, lst: str, start: int) -> str:
+    stop = start - 1
+    return (f"CASE WHEN NOT list_contains({lst}, {period}) OR {period} <= {stop} THEN {period} "
+            f"ELSE coalesce(list_max(list_filter(range({stop}, {period} + 1), "
+            f"lambda k: NOT list_contains({lst}, k))), {stop}) END")
+
+
+def _next_free(period: str, lst: str, end: int) -> str:
+    stop = end + 1
+    return (f"CASE WHEN NOT list_contains({lst}, {period}) OR {period} >= {stop} THEN {period} "
+            f"ELSE coalesce(list_min(list_filter(range({period}, {stop} + 1), "
+            f"lambda k: NOT list_contains({lst}, k))), {stop}) END")
+
+
+DECISIONS = PANEL + f""",
+dec AS (
+  SELECT area, area_name, parent, parent_name,
+         CASE WHEN listed <> '' THEN 'TRUE' WHEN area_key % 3 = 1 THEN 'FALSE'
+              WHEN area_key % 3 = 2 THEN NULL ELSE 'no' END AS adjust_text,
+         CASE WHEN listed <> '' THEN listed WHEN area_key % 3 = 1 THEN '1999' END AS year_text
+  FROM panel WHERE period = 2001),
+p9 AS (SELECT area, area_name, parent, parent_name, coalesce(adjust_text = 'TRUE', false) AS adjust,
+              {_years_list("year_text")} AS year FROM dec),
+f2 AS (SELECT area, parent, adjust, year FROM p9 WHERE adjust)"""
+
+ADJUST = DECISIONS + f""",
+along AS (
+  SELECT p.area, p.area_name, p.parent, p.parent_name, coalesce(f2.adjust, false) AS adjust,
+         f2.year AS year_to_adjust, p.period, p.uncon, p.con
+  FROM panel p LEFT JOIN f2 ON p.area = f2.area AND p.parent = f2.parent),
+afilled AS (
+  SELECT *,
+    last_value(uncon IGNORE NULLS) OVER (PARTITION BY area ORDER BY period
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fill_up,
+    first_value(uncon IGNORE NULLS) OVER (PARTITION BY area ORDER BY period
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fill_down
+  FROM along),
+aratios AS (
+  SELECT * EXCLUDE (fill_up, fill_down),
+    (fill_down / nullif(lead(fill_down) OVER (PARTITION BY area ORDER BY period), 0) - 1.0) + 1.0
+      AS backward_pct_change,
+    (fill_up / nullif(lag(fill_up) OVER (PARTITION BY area ORDER BY period), 0) - 1.0) + 1.0
+      AS forward_pct_change
+  FROM afilled),
+arolled AS (
+  SELECT * EXCLUDE (year_to_adjust), coalesce(year_to_adjust, CAST([] AS INTEGER[])) AS year_to_adjust,
+         coalesce(backward_pct_change = 1.0 OR forward_pct_change = 1.0, false)
+           AND period BETWEEN 1995 AND 1996 AS rollback_flag
+  FROM aratios),
+safe0 AS (
+  SELECT *, {_prev_free("period", "year_to_adjust", 1995)} AS prev_safe_year,
+            {_next_free("period", "year_to_adjust", 2001)} AS next_safe_year
+  FROM arolled WHERE list_contains(year_to_adjust, period)),
+safe AS (
+  SELECT s.*, pv.con AS prev_con, nx.con AS next_con FROM safe0 s
+  LEFT JOIN arolled pv ON pv.area = s.area AND pv.period = s.prev_safe_year
+  LEFT JOIN arolled nx ON nx.area = s.area AND nx.period = s.next_safe_year),
+interp AS (
+  SELECT *, CASE WHEN prev_con IS NOT NULL AND next_con IS NOT NULL AND NOT rollback_flag
+                 THEN (next_con - prev_con) / (next_safe_year - prev_safe_year) * (period - prev_safe_year)
+                      + prev_con END AS imputed
+  FROM safe),
+extra0 AS (
+  SELECT *, CASE WHEN prev_con IS NULL OR rollback_flag THEN next_safe_year + 4
+                 WHEN next_con IS NULL THEN prev_safe_year - 4 END AS extra_year
+  FROM interp),
+extra AS (
+  SELECT e.* EXCLUDE (imputed),
+    CASE WHEN e.imputed IS NULL AND x.con IS NOT NULL THEN
+      CASE WHEN e.prev_con IS NULL OR e.rollback_flag
+           THEN e.next_con - ((x.con - e.next_con) / (e.extra_year - e.next_safe_year)) * (e.next_safe_year - e.period)
+           ELSE e.prev_con + ((e.prev_con - x.con) / (e.prev_safe_year - e.extra_year)) * (e.period - e.prev_safe_year)
+      END
+    ELSE e.imputed END AS imputed
+  FROM extra0 e LEFT JOIN arolled x ON x.area = e.area AND x.period = e.extra_year),
+d10_s AS (
+  SELECT parent, period, coalesce(sum(con), 0) AS parent_total,
+         coalesce(sum(CASE WHEN NOT list_contains(year_to_adjust, period) THEN con END), 0) AS non_out
+  FROM arolled GROUP BY parent, period),
+d10 AS (
+  SELECT a.*, parent_total,
+         CASE WHEN NOT list_contains(year_to_adjust, period) THEN non_out END AS non_outlier_total
+  FROM arolled a JOIN d10_s USING (parent, period)),
+d10p AS (SELECT *, con / nullif(non_outlier_total, 0) AS proportion FROM d10),
+d11a AS (SELECT d10p.*, i.imputed FROM d10p LEFT JOIN extra i USING (area, period)),
+d11s AS (SELECT parent, period, coalesce(sum(imputed), 0) AS imp_sum FROM d11a GROUP BY parent, period),
+d11 AS (
+  SELECT d11a.*, parent_total - imp_sum AS adjusted_total,
+         CASE WHEN imputed IS NOT NULL THEN imputed ELSE proportion * (parent_total - imp_sum) END AS adjusted_con
+  FROM d11a JOIN d11s USING (parent, period)),
+d12s AS (
+  SELECT parent, period, min(adjusted_con) AS min_adjusted, sum(adjusted_con) AS adj_sum,
+         count(adjusted_con) AS adj_n
+  FROM d11 GROUP BY parent, period),
+d12a AS (
+  SELECT d11.*, min_adjusted, CASE WHEN min_adjusted < 0 THEN abs(min_adjusted) ELSE 0.0 END AS abs_adjustment,
+         adj_sum, adj_n
+  FROM d11 JOIN d12s USING (parent, period)),
+d12 AS (
+  SELECT * EXCLUDE (adj_sum, adj_n), adjusted_con + abs_adjustment AS over_adjusted,
+         (adjusted_con + abs_adjustment) / nullif(adj_sum + adj_n * abs_adjustment, 0) * parent_total
+           AS readjusted_con
+  FROM d12a),
+mlast AS (SELECT max(period) AS m FROM d12 WHERE rollback_flag),
+d13a AS (
+  SELECT d12.*, min(CASE WHEN period = (SELECT m FROM mlast) THEN readjusted_con END)
+                  OVER (PARTITION BY area) AS area_m
+  FROM d12),
+pm13 AS (SELECT parent, sum(readjusted_con) AS parent_m FROM d12 WHERE period = (SELECT m FROM mlast)
+         GROUP BY parent),
+d13 AS (
+  SELECT d13a.*, CASE WHEN rollback_flag THEN parent_total * (area_m / nullif(parent_m, 0))
+                      ELSE readjusted_con END AS rollback_con
+  FROM d13a LEFT JOIN pm13 USING (parent))"""
+
+IMPUTED_COLS = "area, period, rollback_flag, prev_safe_year, round(prev_con, 4) AS prev_con, next_safe_year, " \
+               "round(next_con, 4) AS next_con"
+
+
 def _pivot(value: str, prefix: str = "", digits: int = 4) -> str:
     return ", ".join(
         f'round(max(CASE WHEN period = {y} THEN {value} END), {digits}) AS "{prefix}{y}"' for y in YEARS
@@ -143,6 +267,76 @@ def _with(ctes: str, select: str) -> str:
 
 
 ORACLE: dict[str, str] = {
+    "p8_adjust_flag": _with(DECISIONS, "SELECT area, adjust FROM p9"),
+    "p9_year_list": _with(DECISIONS, """
+SELECT area, array_to_string(year, ',') AS years, CAST(len(year) AS INTEGER) AS n_years FROM p9"""),
+    "f2_adjust_rows": _with(DECISIONS, "SELECT area, parent, adjust, array_to_string(year, ',') AS year FROM f2"),
+    "f1_period_range": _with(PANEL, """
+SELECT area, period, round(uncon, 4) AS uncon FROM panel WHERE period BETWEEN 1996 AND 2000"""),
+    "f3_component_filter": """
+WITH comp AS (
+  SELECT l_suppkey AS supplier, CAST(year(l_shipdate) AS INTEGER) AS period, l_returnflag AS sas_code,
+         l_linestatus AS cord_code, CASE WHEN l_discount > 0.05 THEN 'D' ELSE 'C' END AS credit_debit,
+         sum(round(l_extendedprice)) AS value
+  FROM lineitem GROUP BY ALL)
+SELECT supplier, period, sas_code, cord_code, credit_debit, round(value, 4) AS value FROM comp
+WHERE sas_code = 'R' AND cord_code = 'F' AND credit_debit = 'C'""",
+    "j1_decision_con": _with(DECISIONS, f"""
+SELECT {IDS}, {_pivot("p.con", "CON_")}, any_value(f2.adjust) AS adjust,
+       array_to_string(any_value(f2.year), ',') AS year
+FROM (SELECT * FROM panel) p LEFT JOIN f2 USING (area, parent) GROUP BY {IDS}"""),
+    "j2_decision_uncon": _with(DECISIONS, f"""
+SELECT {IDS}, {_pivot("p.uncon")}, {_pivot("p.con", "CON_")}, coalesce(any_value(f2.adjust), false) AS adjust,
+       array_to_string(any_value(f2.year), ',') AS year
+FROM panel p LEFT JOIN f2 USING (area, parent) GROUP BY {IDS}"""),
+    "v6_row_growth": _with(DECISIONS, """,
+areas AS (SELECT count(*) AS n FROM dec),
+adj AS (SELECT count(*) AS n FROM f2)
+SELECT 'rows_before' AS measure, n AS value, 'constrained' AS "join" FROM areas
+UNION ALL SELECT 'rows_after', n, 'constrained' FROM areas
+UNION ALL SELECT 'adjust_before', n, 'constrained' FROM adj
+UNION ALL SELECT 'adjust_after', n, 'constrained' FROM adj
+UNION ALL SELECT 'rows_before', n, 'unconstrained' FROM areas
+UNION ALL SELECT 'rows_after', n, 'unconstrained' FROM areas
+UNION ALL SELECT 'adjust_before', n, 'unconstrained' FROM adj
+UNION ALL SELECT 'adjust_after', n, 'unconstrained' FROM adj"""),
+    "r4_adjust_long": _with(ADJUST, f"""
+SELECT {IDS}, adjust, array_to_string(year_to_adjust, ',') AS year_to_adjust, period,
+       round(uncon, 4) AS uncon, round(con, 4) AS con FROM along"""),
+    "s3_next_free_year": _with(PANEL, f""",
+pl AS (SELECT area, period, {_years_list("listed")} AS lst FROM panel)
+SELECT area, period, array_to_string(lst, ',') AS years, {_prev_free("period", "lst", 1995)} AS prev_free_year,
+       {_next_free("period", "lst", 2001)} AS next_free_year FROM pl"""),
+    "d7_safe_years": _with(ADJUST, f"""
+SELECT {IMPUTED_COLS}, array_to_string(year_to_adjust, ',') AS year_to_adjust FROM safe"""),
+    "d8_interpolate": _with(ADJUST, f"SELECT {IMPUTED_COLS}, round(imputed, 4) AS imputed FROM interp"),
+    "d9_extrapolate": _with(ADJUST, f"SELECT {IMPUTED_COLS}, round(imputed, 4) AS imputed FROM extra"),
+    "d10_proportions": _with(ADJUST, """
+SELECT area, parent, period, round(con, 4) AS con, round(parent_total, 4) AS parent_total,
+       round(non_outlier_total, 4) AS non_outlier_total, round(proportion, 12) AS proportion FROM d10p"""),
+    "d11_apportion": _with(ADJUST, """
+SELECT area, parent, period, round(con, 4) AS con, round(imputed, 4) AS imputed,
+       round(adjusted_total, 3) AS adjusted_total, round(adjusted_con, 3) AS adjusted_con FROM d11"""),
+    "d12_no_negatives": _with(ADJUST, """
+SELECT area, parent, period, round(min_adjusted, 3) AS min_adjusted, round(abs_adjustment, 3) AS abs_adjustment,
+       round(over_adjusted, 3) AS over_adjusted, round(readjusted_con, 3) AS readjusted_con FROM d12"""),
+    "d13_rollback_years": _with(ADJUST, """
+SELECT area, parent, period, rollback_flag, round(readjusted_con, 3) AS readjusted_con,
+       round(rollback_con, 3) AS rollback_con FROM d13"""),
+    "v1_sum_match": _with(ADJUST, """,
+v1 AS (SELECT parent, period, coalesce(sum(con), 0) AS sum_before, coalesce(sum(rollback_con), 0) AS sum_after
+       FROM d13 GROUP BY parent, period)
+SELECT parent, period, round(sum_before, 2) AS sum_before, round(sum_after, 2) AS sum_after,
+       abs(sum_before - sum_after) <= 1e-6 + 1e-12 * abs(sum_before) AS within_tolerance FROM v1"""),
+    "v2_zero_total": _with(PANEL, f""",
+z AS (SELECT parent, period, {_years_list("listed")} AS lst,
+             CASE WHEN parent_key = 3 AND period = 1999 THEN 0.0 ELSE con END AS con FROM panel),
+zs AS (SELECT parent, period, coalesce(sum(CASE WHEN NOT list_contains(lst, period) THEN con END), 0) AS non_out,
+              bool_or(NOT list_contains(lst, period)) AS has_unlisted
+       FROM z GROUP BY parent, period)
+SELECT parent, period FROM zs WHERE has_unlisted AND non_out = 0"""),
+    "r5_final_wide": _with(ADJUST, f"SELECT {IDS}, {_pivot('rollback_con', digits=3)} FROM d13 GROUP BY {IDS}"),
+    "e2_adjust": _with(ADJUST, f"SELECT {IDS}, {_pivot('readjusted_con', digits=3)} FROM d13 GROUP BY {IDS}"),
     "d2_iqr": _with(FLAGGED, """
 SELECT area, parent, period, round(raw_q1, 4) AS raw_q1, round(raw_q3, 4) AS raw_q3,
        round(raw_iqr, 4) AS raw_iqr, round(raw_lower_bound, 4) AS raw_lower_bound,
