@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from panel_edit.functions.lists import next_free_year, parse_year_list, previous_free_year
-from panel_edit.operators import apportion, change, checks, constrain, decisions, filters, impute, outliers, reshape
+from panel_edit.operators import (
+    apportion, change, checks, constrain, decisions, filters, impute, mapping, outliers, reshape,
+)
 from panel_edit.session import cut_lineage
 from panel_edit.sources.tables import table
 from panel_edit.plans import fixtures as fx
@@ -371,6 +373,45 @@ def q_e2_adjust(spark, sf_dir):
     return rounded(adjust_job(spark, sf_dir).output, 3)
 
 
+# ---- stage 3: mapping ----------------------------------------------------------------------
+
+def mapping_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adjusted wide values per area (the constrained panel pivoted by period)."""
+    return fx.wide(fx.panel(spark, sf_dir), "con")
+
+
+def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df, _ = mapping.prefix_rename(mapping_input(spark, sf_dir))
+    clean, _ = mapping.clean_mapper(fx.lookup(spark, sf_dir))
+    return mapping.join_mapper(df, clean)
+
+
+def q_p4_prefix_rename(spark, sf_dir):
+    df, need = mapping.prefix_rename(mapping_input(spark, sf_dir))
+    return rounded(df.withColumn("need_mapping", F.lit(need)))
+
+
+def q_a11_mapper_distinct(spark, sf_dir):
+    return mapping.clean_mapper(fx.lookup(spark, sf_dir))[0]
+
+
+def q_j13_mapper_join(spark, sf_dir):
+    return rounded(mapped(spark, sf_dir))
+
+
+def q_v12_unmatched(spark, sf_dir):
+    return mapping.unmatched(mapped(spark, sf_dir)).select("area", "area_name")
+
+
+def q_a10_rollup(spark, sf_dir):
+    return rounded(mapping.aggregate(mapped(spark, sf_dir), ["mapper_lad_code", "mapper_lad_name"]))
+
+
+def q_e3_mapping(spark, sf_dir):
+    result = jobs.map_geography(mapping_input(spark, sf_dir), fx.lookup(spark, sf_dir), aggregate=True)
+    return rounded(result.output)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -174,3 +174,38 @@ def adjust(
                                          "credit_debit_filter": None}
     params = parameters_frame(decisions.sparkSession, filters_used)
     return AdjustResult(output=output, interim=interim, parameters=params)
+
+
+@dataclass
+class MappingResult:
+    need_mapping: bool
+    output: DataFrame | None
+    unmatched: DataFrame | None
+
+
+def map_geography(
+    adjusted_wide: DataFrame,
+    mapper: DataFrame,
+    *,
+    aggregate: bool = False,
+    keys: Sequence[str] | None = None,
+    code_col: str = "parent",
+    name_col: str = "parent_name",
+    prefix: str = "S30",
+) -> MappingResult:
+    """Stage 3: when unit codes (``prefix``) are present, map parents to the lookup's geography.
+
+    ``aggregate`` sums the year columns by the mapped geography (by every
+    other column too unless ``keys`` is given). Rows the lookup does not
+    cover are returned as ``unmatched``.
+    """
+    from panel_edit.operators import mapping
+
+    original = adjusted_wide.columns
+    df, need = mapping.prefix_rename(adjusted_wide, code_col, name_col, prefix)
+    if not need:
+        return MappingResult(False, None, None)
+    clean, _ = mapping.clean_mapper(mapper)
+    joined = mapping.join_mapper(df, clean)
+    result = mapping.aggregate(joined, keys) if aggregate else joined
+    return MappingResult(True, mapping.reformat(result, original, code_col, name_col), mapping.unmatched(joined))

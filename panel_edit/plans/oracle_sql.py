@@ -266,7 +266,37 @@ def _with(ctes: str, select: str) -> str:
     return "WITH " + ctes.strip() + "\n" + select.strip()
 
 
+MAPPING = PANEL + f""",
+wcon AS (SELECT {IDS}, {", ".join(f'max(CASE WHEN period = {y} THEN con END) AS "{y}"' for y in YEARS)}
+         FROM panel GROUP BY {IDS}),
+lk AS (
+  SELECT DISTINCT 'L' || CAST(n_regionkey // 2 AS VARCHAR) AS mapper_lad_code,
+         'Group ' || CAST(n_regionkey // 2 AS VARCHAR) AS mapper_lad_name,
+         CASE WHEN n_regionkey = 1 THEN 'S30' ELSE 'E06' END || CAST(n_regionkey AS VARCHAR) AS mapper_lau_code,
+         r_name AS mapper_lau_name
+  FROM nation JOIN region ON r_regionkey = n_regionkey WHERE n_regionkey < 4),
+mj AS (SELECT w.area, w.area_name, {", ".join(f'w."{y}"' for y in YEARS)}, lk.*
+       FROM wcon w LEFT JOIN lk ON w.parent = lk.mapper_lau_code)"""
+
+_YCOLS = ", ".join(f'round("{y}", 4) AS "{y}"' for y in YEARS)
+_YSUMS = ", ".join(f'round(coalesce(sum("{y}"), 0), 4) AS "{y}"' for y in YEARS)
+
 ORACLE: dict[str, str] = {
+    "p4_prefix_rename": _with(MAPPING, f"""
+SELECT area, area_name, parent AS data_lau_code, parent_name AS data_lau_name, {_YCOLS},
+       (SELECT bool_or(starts_with(parent, 'S30')) FROM wcon) AS need_mapping FROM wcon"""),
+    "a11_mapper_distinct": _with(MAPPING, "SELECT * FROM lk"),
+    "j13_mapper_join": _with(MAPPING, f"""
+SELECT area, area_name, {_YCOLS}, mapper_lad_code, mapper_lad_name, mapper_lau_code, mapper_lau_name FROM mj"""),
+    "v12_unmatched": _with(MAPPING, "SELECT area, area_name FROM mj WHERE mapper_lad_code IS NULL"),
+    "a10_rollup": _with(MAPPING, f"""
+SELECT mapper_lad_code, mapper_lad_name, {_YSUMS} FROM mj
+WHERE mapper_lad_code IS NOT NULL AND mapper_lad_name IS NOT NULL GROUP BY mapper_lad_code, mapper_lad_name"""),
+    "e3_mapping": _with(MAPPING, f"""
+SELECT area, area_name, mapper_lad_code AS parent, mapper_lad_name AS parent_name, {_YSUMS} FROM mj
+WHERE mapper_lad_code IS NOT NULL AND mapper_lad_name IS NOT NULL AND area IS NOT NULL AND area_name IS NOT NULL
+  AND mapper_lau_code IS NOT NULL AND mapper_lau_name IS NOT NULL
+GROUP BY area, area_name, mapper_lad_code, mapper_lad_name, mapper_lau_code, mapper_lau_name"""),
     "p8_adjust_flag": _with(DECISIONS, "SELECT area, adjust FROM p9"),
     "p9_year_list": _with(DECISIONS, """
 SELECT area, array_to_string(year, ',') AS years, CAST(len(year) AS INTEGER) AS n_years FROM p9"""),
