@@ -19,7 +19,8 @@ from panel_edit.functions.lists import next_free_year, parse_year_list, previous
 from panel_edit.operators import (
     apportion, change, checks, constrain, decisions, filters, impute, mapping, outliers, reshape,
 )
-from panel_edit.session import cut_lineage
+from panel_edit.session import cut_lineage, scratch_path
+from panel_edit.sources import csv
 from panel_edit.sources.tables import table
 from panel_edit.plans import fixtures as fx
 from panel_edit.plans import jobs
@@ -412,6 +413,20 @@ def q_e3_mapping(spark, sf_dir):
     return rounded(result.output)
 
 
+# ---- sources and sinks ----------------------------------------------------------------------
+
+#: Output file schema (internal name -> file header) and its input twin (fixed values).
+FILE_HEADERS = {"area": "Area code", "area_name": "Area name", "parent": "Parent code", "parent_name": "Parent name"}
+OUTPUT_SCHEMA = {header: {"old_name": name, "type": "str"} for name, header in FILE_HEADERS.items()}
+INPUT_SCHEMA = {name: {"old_name": header, "type": "str"} for name, header in FILE_HEADERS.items()}
+
+
+def q_io1_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "io1")
+    csv.write_with_schema(fx.wide(fx.panel(spark, sf_dir), "uncon"), path, OUTPUT_SCHEMA)
+    return rounded(csv.read_with_schema(spark, path, INPUT_SCHEMA))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -282,6 +282,7 @@ _YCOLS = ", ".join(f'round("{y}", 4) AS "{y}"' for y in YEARS)
 _YSUMS = ", ".join(f'round(coalesce(sum("{y}"), 0), 4) AS "{y}"' for y in YEARS)
 
 ORACLE: dict[str, str] = {
+    "io1_csv_roundtrip": _with(PANEL, f"SELECT {IDS}, {_pivot('uncon')} FROM panel GROUP BY {IDS}"),
     "p4_prefix_rename": _with(MAPPING, f"""
 SELECT area, area_name, parent AS data_lau_code, parent_name AS data_lau_name, {_YCOLS},
        (SELECT bool_or(starts_with(parent, 'S30')) FROM wcon) AS need_mapping FROM wcon"""),

@@ -62,6 +62,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate files on the cluster's shared storage.
+
+    Placed under the session's checkpoint folder (or the warehouse folder
+    when no checkpoint folder is named), never on one machine's local disk.
+    """
+    import uuid
+
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/panel_edit_scratch/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` so that later stages do not recompute its lineage.
 
