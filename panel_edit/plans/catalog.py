@@ -433,4 +433,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q_e1_preprocess(spark, sf_dir)
+    """The adjustment job: one row per area (the preprocess output can be empty on tiny data)."""
+    return q_e2_adjust(spark, sf_dir)
