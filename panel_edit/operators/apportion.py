@@ -29,6 +29,7 @@ def proportions(
     listed: str = "year_to_adjust",
     check: bool = True,
     broadcast: bool | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``parent_total``, ``non_outlier_total`` (unlisted rows only) and ``proportion``.
 
@@ -39,13 +40,13 @@ def proportions(
     out = attach_group_stats(
         df.withColumn("_listed", listed_row),
         [parent, period],
-        [
-            F.coalesce(F.sum(value), F.lit(0.0)).alias("parent_total"),
-            F.coalesce(F.sum(F.when(~F.col("_listed"), F.col(value))), F.lit(0.0)).alias("_non_outlier"),
-        ],
+        {"parent_total": F.sum(value), "_non_outlier": F.sum(F.when(~F.col("_listed"), F.col(value)))},
         broadcast=broadcast,
+        group_rows=group_rows,
     )
-    out = out.withColumn("non_outlier_total", F.when(~F.col("_listed"), F.col("_non_outlier"))).drop(
+    out = out.withColumn("parent_total", F.coalesce("parent_total", F.lit(0.0)))
+    out = out.withColumn("non_outlier_total",
+                         F.when(~F.col("_listed"), F.coalesce("_non_outlier", F.lit(0.0)))).drop(
         "_non_outlier", "_listed"
     )
     if check:
@@ -68,6 +69,7 @@ def apportion(
     relative: float = RELATIVE_TOLERANCE,
     broadcast: bool | None = None,
     imputed_broadcast: bool | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Imputed values replace listed rows; the rest of the parent total is shared by proportion.
 
@@ -76,10 +78,10 @@ def apportion(
     """
     x = join_small(df, imputed.select(area, period, imputed_col), [area, period], "left",
                    broadcast=imputed_broadcast)
-    x = attach_group_stats(x, [parent, period], [F.coalesce(F.sum(imputed_col), F.lit(0.0)).alias("_imputed_sum")],
-                           broadcast=broadcast)
+    x = attach_group_stats(x, [parent, period], {"_imputed_sum": F.sum(imputed_col)},
+                           broadcast=broadcast, group_rows=group_rows)
     x = (
-        x.withColumn("adjusted_total", F.col("parent_total") - F.col("_imputed_sum"))
+        x.withColumn("adjusted_total", F.col("parent_total") - F.coalesce("_imputed_sum", F.lit(0.0)))
         .drop("_imputed_sum")
         .withColumn(out, F.when(F.col(imputed_col).isNotNull(), F.col(imputed_col)).otherwise(
             F.col("proportion") * F.col("adjusted_total")))
@@ -104,6 +106,7 @@ def remove_negatives(
     tolerance: float = SUM_TOLERANCE,
     relative: float = RELATIVE_TOLERANCE,
     broadcast: bool | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Shift a (parent, period) group up by |its minimum| if negative, then rescale to the parent total.
 
@@ -114,12 +117,9 @@ def remove_negatives(
     x = attach_group_stats(
         df,
         [parent, period],
-        [
-            F.min(adjusted).alias("min_adjusted"),
-            F.sum(adjusted).alias("_adj_sum"),
-            F.count(adjusted).alias("_adj_n"),
-        ],
+        {"min_adjusted": F.min(adjusted), "_adj_sum": F.sum(adjusted), "_adj_n": F.count(adjusted)},
         broadcast=broadcast,
+        group_rows=group_rows,
     )
     shift = F.when(F.col("min_adjusted") < 0, F.abs(F.col("min_adjusted"))).otherwise(F.lit(0.0))
     x = (
@@ -139,6 +139,54 @@ def remove_negatives(
     return x
 
 
+def check_apportioned(
+    df: DataFrame,
+    parent: str = "parent",
+    period: str = "period",
+    source: str = "con",
+    adjusted: tuple[str, ...] = ("adjusted_con", "readjusted_con", "rollback_con"),
+    tolerance: float = SUM_TOLERANCE,
+    relative: float = RELATIVE_TOLERANCE,
+) -> None:
+    """All checks of the apportioning steps in one aggregate job over a materialised frame.
+
+    Raises in the order the steps would: zero non-outlier total, then for
+    each adjusted column present a negative value (re-adjusted only) and a
+    parent-period total that moved.
+    """
+    present = [c for c in adjusted if c in df.columns]
+    aggs = [F.coalesce(F.sum(source), F.lit(0.0)).alias("_before")]
+    if "non_outlier_total" in df.columns:
+        aggs.append(F.max((F.col("non_outlier_total") == 0).cast("int")).alias("_zero"))
+    for i, c in enumerate(present):
+        aggs.append(F.coalesce(F.sum(c), F.lit(0.0)).alias(f"_after{i}"))
+        aggs.append(F.min(c).alias(f"_min{i}"))
+    groups = df.groupBy(parent, period).agg(*aggs)
+    allowed = F.lit(tolerance) + F.lit(relative) * F.abs(F.col("_before"))
+    bad = [F.coalesce(F.col("_zero") == 1, F.lit(False))] if "non_outlier_total" in df.columns else []
+    for i, c in enumerate(present):
+        bad.append(~(F.abs(F.col("_before") - F.col(f"_after{i}")) <= allowed))
+        if c == "readjusted_con":
+            bad.append(F.coalesce(F.col(f"_min{i}") < 0, F.lit(False)))
+    cond = bad[0]
+    for b in bad[1:]:
+        cond = cond | b
+    found = groups.where(cond).orderBy(parent, period).take(20)
+    if not found:
+        return
+    if any(r["_zero"] == 1 for r in found if "_zero" in r):
+        groups_ = [(r[parent], r[period]) for r in found if r["_zero"] == 1]
+        raise checks.CheckFailed(f"Non-outlier total check failed: found zero non_outlier_total for groups: {groups_}")
+    for i, c in enumerate(present):
+        if c == "readjusted_con" and any(r[f"_min{i}"] is not None and r[f"_min{i}"] < 0 for r in found):
+            raise checks.CheckFailed("Negative value check failed: negative values found after adjustment")
+        for r in found:
+            if not abs(r["_before"] - r[f"_after{i}"]) <= tolerance + relative * abs(r["_before"]):
+                raise checks.CheckFailed(
+                    f"Adjustment check failed: parent sums do not match after adjustment ({c}: "
+                    f"{r[parent]}, {r[period]})")
+
+
 def rollback_years(
     df: DataFrame,
     area: str = "area",
@@ -153,6 +201,7 @@ def rollback_years(
     tolerance: float = SUM_TOLERANCE,
     relative: float = RELATIVE_TOLERANCE,
     broadcast: bool | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Share copied-back periods like the last copied-back period.
 
@@ -167,8 +216,9 @@ def rollback_years(
     else:
         at_m = F.col(period) == F.lit(latest)
         x = df.withColumn("_area_m", F.min(F.when(at_m, F.col(value))).over(Window.partitionBy(area)))
-        parent_m = df.where(at_m).groupBy(parent).agg(F.sum(value).alias("_parent_m"))
-        x = join_small(x, parent_m, [parent], "left", broadcast=broadcast)
+        # group_rows bounds the rows of one parent over all periods here.
+        x = attach_group_stats(x, [parent], {"_parent_m": F.sum(F.when(at_m, F.col(value)))},
+                               broadcast=broadcast, group_rows=group_rows)
         share = F.col(total) * F.try_divide(F.col("_area_m"), F.col("_parent_m"))
         x = x.withColumn(out, F.when(is_true(rollback), share).otherwise(F.col(value))).drop("_area_m", "_parent_m")
     if check:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from panel_edit.functions.columns import is_true, nan_to_null
-from panel_edit.operators.groups import join_small
+from panel_edit.operators.groups import attach_group_stats, join_small, use_window
 
 #: Descriptor columns of the parent-total table dropped before the join.
 TOTAL_DESCRIPTORS = ("region", "region_name", "transaction_code", "transaction")
@@ -24,8 +24,16 @@ def parent_mean(
     mean_col: str = "mean_non_outlier",
     max_broadcast_rows: int | None = None,
     broadcast: bool | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
-    """Flagged rows only, with the mean ``value`` of the *unflagged* areas of their parent and period."""
+    """Flagged rows only, with the mean ``value`` of the *unflagged* areas of their parent and period.
+
+    The mean is computed over all rows before the flagged rows are kept.
+    """
+    if use_window(group_rows):
+        mean = F.avg(F.when(~is_true(flag), nan_to_null(value)))
+        out = attach_group_stats(df, [parent, period], {mean_col: mean}, group_rows=group_rows)
+        return out.where(is_true(flag))
     means = (
         df.where(~is_true(flag))
         .groupBy(parent, period)

@@ -31,9 +31,14 @@ def year_list_violations(df: DataFrame, start: int, end: int, listed: str = "yea
 
 
 def check_year_lists(df: DataFrame, start: int, end: int, listed: str = "year") -> None:
-    dups, out = year_list_violations(df, start, end, listed)
-    checks.require(dups, "Duplicate years found in year column within an area")
-    checks.require(out, f"Year in year column is out of valid range {start}-{end}")
+    """Both list checks in one bounded action; duplicates are reported first."""
+    dup = F.size(listed) != F.size(F.array_distinct(listed))
+    out = F.exists(listed, lambda k: (k < start) | (k > end))
+    found = df.where(dup | out).select(dup.alias("_dup"), out.alias("_out"), listed).take(20)
+    if any(r["_dup"] for r in found):
+        raise checks.CheckFailed("Duplicate years found in year column within an area")
+    if found:
+        raise checks.CheckFailed(f"Year in year column is out of valid range {start}-{end}: {found[0][listed]}")
 
 
 def filter_adjust(
@@ -62,7 +67,7 @@ def join_decisions_con(
     joined = join_small(con, decisions, list(keys), "left", max_broadcast_rows, broadcast)
     joined = joined.withColumnsRenamed({c: f"{prefix}{c}" for c in joined.columns if c not in keep_names})
     if check:
-        _check_join(con, decisions, joined, adjust, "constrained")
+        _check_join(con, decisions, keys, adjust, "constrained")
     return joined
 
 
@@ -82,28 +87,52 @@ def join_decisions_uncon(
         adjust, F.coalesce(F.col(adjust).cast("boolean"), F.lit(False))
     )
     if check:
-        _check_join(uncon, decisions, joined, adjust, "unconstrained")
+        _check_join(uncon, decisions, keys, adjust, "unconstrained")
     return joined
 
 
-def join_counts(left: DataFrame, right: DataFrame, joined: DataFrame, adjust: str = "adjust") -> DataFrame:
-    """Report rows (measure, value): rows before/after the join, rows to adjust before/after."""
-    def measure(df: DataFrame, name: str, expr) -> DataFrame:
-        return df.agg(F.coalesce(expr, F.lit(0)).cast("long").alias("value")).select(
-            F.lit(name).alias("measure"), "value")
+def join_counts(left: DataFrame, right: DataFrame, keys: Sequence[str], adjust: str = "adjust") -> DataFrame:
+    """Report rows (measure, value) of ``left LEFT JOIN right ON keys`` without running the join.
 
-    flag = lambda: F.sum(F.coalesce(F.col(adjust).cast("boolean"), F.lit(False)).cast("long"))
-    return (
-        measure(left, "rows_before", F.count(F.lit(1)))
-        .unionByName(measure(joined, "rows_after", F.count(F.lit(1))))
-        .unionByName(measure(right, "adjust_before", flag()))
-        .unionByName(measure(joined, "adjust_after", flag()))
+    Per key: ``l`` left rows, ``r`` right rows, ``a`` right rows to adjust.
+    Rows after the join are ``sum(l * max(r, 1))``; rows to adjust after it
+    are ``sum(l * a)``. Both sides are reduced to one row per key first
+    (partial aggregation), so nothing is gathered per hot key.
+    """
+    keys = list(keys)
+    flag = F.coalesce(F.col(adjust).cast("boolean"), F.lit(False)).cast("long")
+    lc = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l"))
+    rc = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_r"), F.sum(flag).alias("_a"))
+    both = lc.join(rc, keys, "full")  # a NULL key never matches, exactly as in the join itself
+    matched = F.coalesce(F.col("_l"), F.lit(0))
+    totals = both.agg(
+        F.sum(matched).alias("rows_before"),
+        F.sum(matched * F.greatest(F.coalesce(F.col("_r"), F.lit(0)), F.lit(1))).alias("rows_after"),
+        F.sum(F.coalesce(F.col("_a"), F.lit(0))).alias("adjust_before"),
+        F.sum(matched * F.coalesce(F.col("_a"), F.lit(0))).alias("adjust_after"),
     )
+    return totals.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.coalesce(F.col(m), F.lit(0)).cast("long").alias("value"))
+        for m in ("rows_before", "rows_after", "adjust_before", "adjust_after")
+    ])).alias("_m")).select("_m.measure", "_m.value")
+
+
+def _check_join(left: DataFrame, right: DataFrame, keys: Sequence[str], adjust: str, name: str) -> None:
+    check_joins([(left, right, keys, name)], adjust)
 
 
-def _check_join(left: DataFrame, right: DataFrame, joined: DataFrame, adjust: str, name: str) -> None:
-    got = {r["measure"]: r["value"] for r in join_counts(left, right, joined, adjust).collect()}  # 4 rows
-    if got["adjust_before"] != got["adjust_after"]:
-        raise checks.CheckFailed(f"Number of rows to adjust between analyst and {name} data do not match.")
-    if got["rows_before"] != got["rows_after"]:
-        raise checks.CheckFailed(f"Number of rows of {name} data after join has increased.")
+def check_joins(joins, adjust: str = "adjust") -> None:
+    """Row-count and adjust-count checks of several decision joins in one action.
+
+    ``joins``: ``(left, right, keys, name)`` tuples, checked in order.
+    """
+    reports = [join_counts(l, r, k, adjust).withColumn("_join", F.lit(i)) for i, (l, r, k, _) in enumerate(joins)]
+    union = reports[0]
+    for rep in reports[1:]:
+        union = union.unionByName(rep)
+    got = {(row["_join"], row["measure"]): row["value"] for row in union.collect()}  # 4 rows per join
+    for i, (_, _, _, name) in enumerate(joins):
+        if got[(i, "adjust_before")] != got[(i, "adjust_after")]:
+            raise checks.CheckFailed(f"Number of rows to adjust between analyst and {name} data do not match.")
+        if got[(i, "rows_before")] != got[(i, "rows_after")]:
+            raise checks.CheckFailed(f"Number of rows of {name} data after join has increased.")

@@ -1,26 +1,39 @@
 """Per-group statistics attached back to rows.
 
-Statistics over a parent (or a parent and period) are decomposable (count,
-sum, min, avg, stddev), so they are computed with ``groupBy().agg()``: Spark
-combines map-side before the shuffle, and a parent that holds a third of all
-rows costs one partial-aggregate row per input partition, not one overloaded
-task. The one-row-per-group result is then joined back to the rows.
-
-The join side is broadcast only after its row count is checked against
-``max_broadcast_rows``. Beyond that bound it is a plain shuffle join, where
-AQE's skew-join handling splits a hot key's partition on the row side.
+Two plans, chosen from a *proven* bound on the rows of one group
+(``group_rows``, see :class:`GroupBounds`):
+
+* groups provably small (``group_rows <= WINDOW_MAX_ROWS``): window
+  aggregates over ``partitionBy(keys)`` - no join, and consecutive statistics
+  on the same keys share one exchange;
+* otherwise (or no bound known): statistics are decomposable (count, sum,
+  min, avg, stddev), so ``groupBy().agg()`` combines map-side before the
+  shuffle - a parent holding a third of all rows costs one partial row per
+  input partition, not one overloaded task - and the one-row-per-group
+  result is joined back. That side is broadcast only after its row count is
+  checked against ``max_broadcast_rows``; beyond it the join shuffles and
+  AQE's skew-join handling splits a hot key's partition on the row side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from collections.abc import Mapping
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Largest statistics table (rows) that is broadcast to every executor.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+#: Largest group (rows) one window task may hold.
+WINDOW_MAX_ROWS = 1_000_000
+
+
+def use_window(group_rows: int | None) -> bool:
+    """Window plan only for a proven bound within ``WINDOW_MAX_ROWS``."""
+    return group_rows is not None and group_rows <= WINDOW_MAX_ROWS
 
 
 def broadcast_if_small(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
@@ -62,16 +75,25 @@ def join_small(
 def attach_group_stats(
     df: DataFrame,
     keys: Sequence[str],
-    aggs: Sequence,
+    aggs: Mapping[str, Column],
     max_broadcast_rows: int | None = None,
     broadcast: bool | None = None,
+    group_rows: int | None = None,
 ) -> DataFrame:
-    """Add aggregate columns ``aggs`` computed per ``keys`` to every row of ``df``.
+    """Add columns ``name -> aggregate`` computed per ``keys`` to every row of ``df``.
 
-    Rows whose key contains NULL get NULL statistics (a NULL key never joins),
-    matching a group-by that drops missing keys.
+    ``aggs`` are plain aggregate expressions (``F.sum(c)``, not aliased).
+    Rows whose key contains NULL get NULL statistics, matching a group-by
+    that drops missing keys.
     """
-    stats = df.groupBy(*keys).agg(*aggs)
+    keys = list(keys)
+    if use_window(group_rows):
+        w = Window.partitionBy(*keys)
+        has_key = F.lit(True)
+        for k in keys:
+            has_key = has_key & F.col(k).isNotNull()
+        return df.withColumns({name: F.when(has_key, agg.over(w)) for name, agg in aggs.items()})
+    stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
     return join_small(df, stats, keys, "left", max_broadcast_rows, broadcast)
 
 
@@ -90,6 +112,16 @@ class GroupBounds:
         self.periods = periods
         self.broadcast = parents * max(periods, 1) <= max_broadcast_rows
 
+    @property
+    def parent_period_rows(self) -> int:
+        """Rows of one (parent, period) group: at most one per area."""
+        return self.largest_group
+
+    @property
+    def parent_rows(self) -> int:
+        """Rows of one parent over all periods."""
+        return self.largest_group * max(self.periods, 1)
+
     def __repr__(self) -> str:
         return (f"GroupBounds(parents={self.parents}, largest_group={self.largest_group}, "
                 f"periods={self.periods}, broadcast={self.broadcast})")

@@ -55,14 +55,17 @@ def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = fx.bounds(spark, sf_dir)
     r = ratios(spark, sf_dir)
-    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast)
-    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast)
+    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast,
+                         group_rows=b.parent_rows)
+    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast,
+                            group_rows=b.parent_rows)
 
 
 def iqr(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     b = fx.bounds(spark, sf_dir)
     return outliers.iqr_fences(df, "raw", ["parent", "period"], "uncon", IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER,
-                               broadcast=b.broadcast, largest_group=b.largest_group)
+                               broadcast=b.broadcast, largest_group=b.largest_group,
+                               group_rows=b.parent_period_rows)
 
 
 def q_w1_forward(spark, sf_dir):
@@ -97,7 +100,8 @@ def totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def outlier_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = with_flags(spark, sf_dir)
     keep = [*IDS, "period", "uncon", *[c for c in f.columns if c.startswith("master_")]]
-    return constrain.parent_mean(f.select(*keep), broadcast=fx.bounds(spark, sf_dir).broadcast)
+    b = fx.bounds(spark, sf_dir)
+    return constrain.parent_mean(f.select(*keep), broadcast=b.broadcast, group_rows=b.parent_period_rows)
 
 
 def constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,8 +199,13 @@ def joined_con(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFram
 
 
 def joined_uncon(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
-    uncon = fx.wide(fx.panel(spark, sf_dir), "uncon")
-    return decisions.join_decisions_uncon(uncon, joined_con(spark, sf_dir, check), check=check)
+    panel = fx.panel(spark, sf_dir)
+    con, uncon, rows = fx.wide(panel, "con"), fx.wide(panel, "uncon"), adjust_rows(spark, sf_dir)
+    j1 = decisions.join_decisions_con(con, rows, check=False)
+    j2 = decisions.join_decisions_uncon(uncon, j1, check=False)
+    if check:
+        decisions.check_joins([(con, rows, ["area", "parent"], "constrained"), (uncon, j1, IDS, "unconstrained")])
+    return j2
 
 
 def adjust_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,16 +222,22 @@ def imputation(spark: SparkSession, sf_dir: str, extrapolated: bool = True) -> t
     return panel, imputed
 
 
-def apportioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = fx.bounds(spark, sf_dir).broadcast
+def apportioned(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
+    b = fx.bounds(spark, sf_dir)
     panel, imputed = imputation(spark, sf_dir)
     imputed = cut_lineage(imputed.select("area", "period", "imputed"))
-    return apportion.apportion(apportion.proportions(panel, broadcast=b), imputed, broadcast=b)
+    p = apportion.proportions(panel, broadcast=b.broadcast, check=check, group_rows=b.parent_period_rows)
+    return apportion.apportion(p, imputed, broadcast=b.broadcast, check=check, group_rows=b.parent_period_rows)
 
 
 def rolled_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = fx.bounds(spark, sf_dir).broadcast
-    return apportion.rollback_years(apportion.remove_negatives(apportioned(spark, sf_dir), broadcast=b), broadcast=b)
+    """D10-D13 chained; their checks run once on the materialised result."""
+    b = fx.bounds(spark, sf_dir)
+    r = apportion.remove_negatives(apportioned(spark, sf_dir, check=False), broadcast=b.broadcast, check=False,
+                                   group_rows=b.parent_period_rows)
+    r = cut_lineage(apportion.rollback_years(r, broadcast=b.broadcast, check=False, group_rows=b.parent_rows))
+    apportion.check_apportioned(r)
+    return r
 
 
 IMPUTED_COLS = ["area", "period", "rollback_flag", "prev_safe_year", "prev_con", "next_safe_year", "next_con"]
@@ -272,9 +287,8 @@ def q_v6_row_growth(spark, sf_dir):
     con, uncon = fx.wide(panel, "con"), fx.wide(panel, "uncon")
     rows = adjust_rows(spark, sf_dir)
     j1 = decisions.join_decisions_con(con, rows, check=False)
-    j2 = decisions.join_decisions_uncon(uncon, j1, check=False)
-    return decisions.join_counts(con, rows, j1).withColumn("join", F.lit("constrained")).unionByName(
-        decisions.join_counts(uncon, j1, j2).withColumn("join", F.lit("unconstrained")))
+    return decisions.join_counts(con, rows, ["area", "parent"]).withColumn("join", F.lit("constrained")).unionByName(
+        decisions.join_counts(uncon, j1, IDS).withColumn("join", F.lit("unconstrained")))
 
 
 def q_r4_adjust_long(spark, sf_dir):
@@ -308,7 +322,8 @@ def q_d9_extrapolate(spark, sf_dir):
 
 def q_d10_proportions(spark, sf_dir):
     panel, _ = imputation(spark, sf_dir, extrapolated=False)
-    p = apportion.proportions(panel, broadcast=fx.bounds(spark, sf_dir).broadcast)
+    b = fx.bounds(spark, sf_dir)
+    p = apportion.proportions(panel, broadcast=b.broadcast, group_rows=b.parent_period_rows)
     return rounded(p.select("area", "parent", "period", "con", "parent_total", "non_outlier_total", "proportion"),
                    proportion=12)
 
@@ -323,7 +338,9 @@ def q_d11_apportion(spark, sf_dir):
 
 
 def q_d12_no_negatives(spark, sf_dir):
-    r = apportion.remove_negatives(apportioned(spark, sf_dir), broadcast=fx.bounds(spark, sf_dir).broadcast)
+    b = fx.bounds(spark, sf_dir)
+    r = apportion.remove_negatives(apportioned(spark, sf_dir), broadcast=b.broadcast,
+                                   group_rows=b.parent_period_rows)
     return rounded(r.select("area", "parent", "period", "min_adjusted", "abs_adjustment", "over_adjusted",
                             "readjusted_con"), **MONEY3)
 
@@ -427,11 +444,22 @@ def q_io1_csv_roundtrip(spark, sf_dir):
     return rounded(csv.read_with_schema(spark, path, INPUT_SCHEMA))
 
 
+def _one_build(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a query with its derived panel built (and materialised) once."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with fx.one_build():
+            return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
+    name[2:]: _one_build(fn) for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The adjustment job: one row per area (the preprocess output can be empty on tiny data)."""
-    return q_e2_adjust(spark, sf_dir)
+    return QUERIES["e2_adjust"](spark, sf_dir)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panel_edit.operators import change, checks, constrain, outliers, reshape
-from panel_edit.operators.groups import GroupBounds, group_bounds
+from panel_edit.operators.groups import GroupBounds, group_bounds, use_window
 from panel_edit.session import cut_lineage
 from panel_edit.sources.qa import parameters_frame
 
@@ -66,18 +66,21 @@ def preprocess(
     df = change.rate_of_change(long, area=area)
     df = change.flag_rollback_years(df, rollback_start, rollback_end)
     if zscore:
-        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower, broadcast=b.broadcast)
-        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower, broadcast=b.broadcast)
+        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower, broadcast=b.broadcast,
+                              group_rows=b.parent_rows)
+        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower, broadcast=b.broadcast,
+                              group_rows=b.parent_rows)
     if iqr:
         df = outliers.iqr_fences(
             df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier,
-            broadcast=b.broadcast, largest_group=b.largest_group,
+            broadcast=b.broadcast, largest_group=b.largest_group, group_rows=b.parent_period_rows,
         )
     df = outliers.master_flag(df, zscore, iqr, area=area)
     interim = cut_lineage(df)
 
     keep = [*ids, "period", "uncon", *[c for c in interim.columns if c.startswith("master_")]]
-    flagged = constrain.parent_mean(interim.select(*keep), parent=parent, broadcast=b.broadcast)
+    flagged = constrain.parent_mean(interim.select(*keep), parent=parent, broadcast=b.broadcast,
+                                    group_rows=b.parent_period_rows)
     flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, parent=parent,
                                                    broadcast=b.broadcast)
 
@@ -142,8 +145,10 @@ def adjust(
     if check:
         dec.check_year_lists(d, start, end)
     d = dec.filter_adjust(d, area=area, parent=parent)
-    j = dec.join_decisions_con(con_wide, d, keys=(area, parent), keep_names=(*ids, "adjust", "year"), check=check)
-    j = dec.join_decisions_uncon(uncon_wide, j, keys=ids, check=check)
+    j1 = dec.join_decisions_con(con_wide, d, keys=(area, parent), keep_names=(*ids, "adjust", "year"), check=False)
+    j = dec.join_decisions_uncon(uncon_wide, j1, keys=ids, check=False)
+    if check:
+        dec.check_joins([(con_wide, d, (area, parent), "constrained"), (uncon_wide, j1, ids, "unconstrained")])
     long = reshape.adjust_long(j, ids=ids)
     long = filters.filter_period(long, start, end)
 
@@ -153,16 +158,25 @@ def adjust(
     panel, imputed = impute.safe_years(long, start, end, area=area)
     imputed = impute.interpolate(imputed)
     imputed = impute.extrapolate(panel, imputed, area=area)
-    imputed = cut_lineage(imputed.select(area, "period", "imputed"))
-
-    df = apportion.proportions(panel, parent=parent, check=check, broadcast=b.broadcast)
-    df = apportion.apportion(df, imputed, area=area, parent=parent, check=check, broadcast=b.broadcast)
+    imputed = imputed.select(area, "period", "imputed")  # read once, from the materialised panel
+
+    # Checks of the four steps run once, below, on the materialised result.
+    rows = b.parent_period_rows
+    if use_window(b.parent_rows):
+        # Every following window is per parent or per (parent, period): one exchange for all.
+        panel = panel.repartition(parent)
+    df = apportion.proportions(panel, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
+    df = apportion.apportion(df, imputed, area=area, parent=parent, check=False, broadcast=b.broadcast,
+                             group_rows=rows)
     value = "adjusted_con"
     if not accept_negatives:
-        df = apportion.remove_negatives(df, parent=parent, check=check, broadcast=b.broadcast)
+        df = apportion.remove_negatives(df, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
         value = "readjusted_con"
-    df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=check, broadcast=b.broadcast)
+    df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=False, broadcast=b.broadcast,
+                                  group_rows=b.parent_rows)
     interim = cut_lineage(df)
+    if check:
+        apportion.check_apportioned(interim, parent=parent)
 
     chosen = "rollback_con" if final_value == "rollback" else value
     final = interim.select(*ids, "period", F.col(chosen).alias("con"))

@@ -82,8 +82,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     persisted to memory and local disk; lost blocks are then recomputed from
     lineage, which is slower but still correct.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if checkpoint_dir(df.sparkSession):
+        # Persisting first lets the checkpoint write read the computed rows
+        # instead of running the lineage a second time.
+        written = kept.checkpoint(eager=True)
+        kept.unpersist()
+        return written
     kept.count()
     return kept

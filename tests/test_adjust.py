@@ -65,7 +65,7 @@ def test_remove_negatives_shifts_and_rescales(spark):
     data = [("a", "P", 1, 3.0, -2.0), ("b", "P", 1, 3.0, 3.0), ("c", "P", 1, 3.0, 5.0), ("d", "P", 1, 3.0, 6.0),
             ("a", "P", 2, 2.0, 2.0), ("b", "P", 2, 3.0, 3.0)]
     df = spark.createDataFrame(data, "area string, parent string, period int, con double, adjusted_con double")
-    df = apportion.attach_group_stats(df, ["parent", "period"], [apportion.F.sum("con").alias("parent_total")])
+    df = apportion.attach_group_stats(df, ["parent", "period"], {"parent_total": apportion.F.sum("con")})
     out = {(r.area, r.period): r for r in apportion.remove_negatives(df).collect()}
     assert [out[(k, 1)].readjusted_con for k in "abcd"] == pytest.approx([0.0, 3.0, 4.2, 4.8])
     assert out[("a", 1)].abs_adjustment == 2.0 and out[("a", 2)].abs_adjustment == 0.0
@@ -82,7 +82,7 @@ def test_rollback_years_share_like_last_copied_period(spark):
             ("b", 2001, 6.0, 9.0, True), ("a", 2002, 4.0, 5.0, False), ("b", 2002, 6.0, 5.0, False)]
     df = spark.createDataFrame(data, "area string, period int, con double, readjusted_con double, "
                                      "rollback_flag boolean").withColumn("parent", apportion.F.lit("P"))
-    df = apportion.attach_group_stats(df, ["parent", "period"], [apportion.F.sum("con").alias("parent_total")])
+    df = apportion.attach_group_stats(df, ["parent", "period"], {"parent_total": apportion.F.sum("con")})
     out = {(r.area, r.period): r.rollback_con for r in apportion.rollback_years(df).collect()}
     assert out == pytest.approx({("a", 2000): 2.5, ("b", 2000): 7.5, ("a", 2001): 3.0, ("b", 2001): 9.0,
                                  ("a", 2002): 5.0, ("b", 2002): 5.0})
