@@ -106,12 +106,26 @@ class GroupBounds:
     """
 
     def __init__(self, parents: int, largest_group: int, periods: int = 1,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, duplicate_rows: int = 0,
+                 areas: int | None = None):
         self.parents = parents
+        #: Areas in all parents (upper bound when only per-parent maxima are known).
+        self.areas = areas if areas is not None else parents * largest_group
+        self.max_broadcast_rows = max_broadcast_rows
         self.largest_group = largest_group
         self.periods = periods
+        #: Rows beyond the first with the same identifiers (0 when identifiers are unique).
+        self.duplicate_rows = duplicate_rows
         self.broadcast = parents * max(periods, 1) <= max_broadcast_rows
 
+    @property
+    def panel_rows(self) -> int:
+        """Rows of the long panel: one per area and period."""
+        return self.areas * max(self.periods, 1)
+
+    def fits_broadcast(self, rows: int) -> bool:
+        return rows <= self.max_broadcast_rows
+
     @property
     def parent_period_rows(self) -> int:
         """Rows of one (parent, period) group: at most one per area."""
@@ -128,8 +142,21 @@ class GroupBounds:
 
 
 def group_bounds(areas: DataFrame, parent: str, area: str, periods: int = 1,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> GroupBounds:
-    """One aggregate job over an area-level table (one row per area or per area and period)."""
-    per_parent = areas.groupBy(parent).agg(F.countDistinct(area).alias("_areas"))
-    row = per_parent.agg(F.count(F.lit(1)).alias("n"), F.max("_areas").alias("m")).first()
-    return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows)
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 ids: Sequence[str] | None = None) -> GroupBounds:
+    """One aggregate job over an area-level table (one row per area, e.g. a wide panel).
+
+    Also counts rows repeating the identifier columns ``ids`` (default: the
+    area), which would make a later pivot on them ambiguous.
+    """
+    ids = list(ids or [area])
+    per_parent = areas.groupBy(parent).agg(
+        F.countDistinct(area).alias("_areas"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.countDistinct(F.struct(*[F.col(c) for c in ids])).alias("_ids"),
+    )
+    row = per_parent.agg(
+        F.count(F.lit(1)).alias("n"), F.max("_areas").alias("m"),
+        F.sum(F.col("_rows") - F.col("_ids")).alias("d"), F.sum("_areas").alias("a"),
+    ).first()
+    return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows, row["d"] or 0, row["a"] or 0)

@@ -171,7 +171,7 @@ def preprocess_job(spark: SparkSession, sf_dir: str) -> jobs.PreprocessResult:
         transaction=TRANSACTION,
         z_upper=Z_UPPER, z_lower=Z_LOWER,
         iqr_lower_quantile=IQR_LOWER, iqr_upper_quantile=IQR_UPPER, iqr_multiplier=IQR_MULTIPLIER,
-        ids=IDS, bounds=fx.bounds(spark, sf_dir),
+        ids=IDS,
     )
 
 
@@ -379,7 +379,7 @@ def adjust_job(spark: SparkSession, sf_dir: str, final_value: str = "readjusted"
         fx.decisions(spark, sf_dir), fx.wide(p, "con"), fx.wide(p, "uncon"),
         start=fx.START_YEAR, end=fx.END_YEAR,
         rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
-        final_value=final_value, ids=IDS, bounds=fx.bounds(spark, sf_dir),
+        final_value=final_value, ids=IDS,
     )
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from panel_edit.operators.groups import GroupBounds, join_small
 from pyspark import StorageLevel
-from panel_edit.sources.tables import table
+from panel_edit.sources.tables import table as read_table
 
 # Fixed values of the derived fixture (not from the reference).
 START_YEAR = 1995
@@ -39,6 +39,11 @@ SCOTTISH_REGION = 1
 TRANSACTIONS = ("Household income", "Other income")
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet table handle, resolved once per query build (schema read once)."""
+    return _memo(("table", sf_dir, name), lambda: read_table(spark, sf_dir, name))
+
+
 def panel_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long panel with integer keys: area_key, parent_key, period, v, names."""
     li = table(spark, sf_dir, "lineitem")

@@ -52,13 +52,21 @@ def preprocess(
     """Stage 1: flag outlier areas and constrain them (and their parent mean) to parent totals.
 
     ``panel_wide``: ids + one column per period of unconstrained values.
+    ``bounds``: optional larger bounds to plan with (the job always measures
+    its own input in one job, which also checks that area rows are unique).
     ``totals_wide``: parent totals, ids (parent, transaction, descriptors) +
     one column per period. The output has two rows per outlier area: its
     values ("TRUE") and the non-outlier mean of its parent ("MEAN"), each
     with ``CONLSOA_<period>`` constrained columns.
     """
     area, parent = ids[0], ids[2]
-    b = bounds or group_bounds(panel_wide.select(parent, area), parent, area, end - start + 1)
+    # One job: group-size bounds and the uniqueness of area rows (the pivots below need it).
+    b = group_bounds(panel_wide.select(*ids), parent, area, end - start + 1, ids=ids)
+    if bounds is not None:
+        b = GroupBounds(max(b.parents, bounds.parents), max(b.largest_group, bounds.largest_group), b.periods,
+                        duplicate_rows=b.duplicate_rows)
+    if check and b.duplicate_rows:
+        raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the wide pivots would be ambiguous")
     long = reshape.wide_to_long(panel_wide, "period", "uncon", periods=(start, end))
     long = long.where(F.col("period").between(start, end))
     totals = reshape.wide_to_long(totals_wide, "period", "uncon")
@@ -87,8 +95,6 @@ def preprocess(
     periods = list(range(start, end + 1))
     out_long = reshape.metrics_long(flagged.drop("mean_non_outlier", "con_mean"), "uncon", "con_area", ids=ids)
     mean_long = reshape.metrics_long(flagged.drop("uncon", "con_area"), "mean_non_outlier", "con_mean", ids=ids)
-    if check:
-        checks.require(reshape.metric_duplicates(out_long, ids), "duplicate area rows in the outlier pivot")
     out_wide = reshape.metrics_wide(out_long, periods, ids=ids)
     mean_wide = reshape.metrics_wide(mean_long, periods, ids=ids).withColumn("master_flag", F.lit("MEAN"))
     output = constrain.union_sorted(out_wide, mean_wide, area=area)
@@ -140,7 +146,12 @@ def adjust(
     from panel_edit.operators import apportion, decisions as dec, filters, impute
 
     area, parent = ids[0], ids[2]
-    b = bounds or group_bounds(uncon_wide.select(parent, area), parent, area, end - start + 1)
+    b = group_bounds(uncon_wide.select(*ids), parent, area, end - start + 1, ids=ids)
+    if bounds is not None:
+        b = GroupBounds(max(b.parents, bounds.parents), max(b.largest_group, bounds.largest_group), b.periods,
+                        duplicate_rows=b.duplicate_rows, areas=b.areas)
+    if check and b.duplicate_rows:
+        raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the final pivot would be ambiguous")
     d = dec.year_list(dec.adjust_flag(decisions))
     if check:
         dec.check_year_lists(d, start, end)
@@ -166,8 +177,9 @@ def adjust(
         # Every following window is per parent or per (parent, period): one exchange for all.
         panel = panel.repartition(parent)
     df = apportion.proportions(panel, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
+    # Imputed rows are a subset of the panel's rows: bounded by areas x periods.
     df = apportion.apportion(df, imputed, area=area, parent=parent, check=False, broadcast=b.broadcast,
-                             group_rows=rows)
+                             group_rows=rows, imputed_broadcast=b.fits_broadcast(b.panel_rows))
     value = "adjusted_con"
     if not accept_negatives:
         df = apportion.remove_negatives(df, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
@@ -179,9 +191,8 @@ def adjust(
         apportion.check_apportioned(interim, parent=parent)
 
     chosen = "rollback_con" if final_value == "rollback" else value
+    # Unique area rows (checked above) and a join that adds no rows make (ids, period) unique.
     final = interim.select(*ids, "period", F.col(chosen).alias("con"))
-    if check:
-        checks.require(reshape.final_duplicates(final, ids), "duplicate (area, period) rows in the final pivot")
     output = reshape.final_wide(final, range(start, end + 1), "con", ids)
 
     filters_used = component_filters or {"sas_code_filter": None, "cord_code_filter": None,
