@@ -56,6 +56,13 @@ def join_mapper(
     return out.drop(*DATA_UNIT_COLUMNS)
 
 
+def ambiguous_units(mapper: DataFrame) -> DataFrame:
+    """Unit codes the lookup maps to more than one geography (each such row multiplies data rows)."""
+    return (mapper.groupBy(MAPPER_COLUMNS[2])
+            .agg(F.countDistinct(MAPPER_COLUMNS[0], MAPPER_COLUMNS[1]).alias("n_targets"))
+            .where(F.col("n_targets") > 1))
+
+
 def unmatched(joined: DataFrame) -> DataFrame:
     """Rows the lookup did not map (NULL mapped code)."""
     return joined.where(F.col(MAPPER_COLUMNS[0]).isNull())

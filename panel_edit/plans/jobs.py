@@ -206,6 +206,7 @@ class MappingResult:
     need_mapping: bool
     output: DataFrame | None
     unmatched: DataFrame | None
+    ambiguous: DataFrame | None = None
 
 
 def map_geography(
@@ -233,4 +234,5 @@ def map_geography(
     clean, _ = mapping.clean_mapper(mapper)
     joined = mapping.join_mapper(df, clean)
     result = mapping.aggregate(joined, keys) if aggregate else joined
-    return MappingResult(True, mapping.reformat(result, original, code_col, name_col), mapping.unmatched(joined))
+    return MappingResult(True, mapping.reformat(result, original, code_col, name_col), mapping.unmatched(joined),
+                         mapping.ambiguous_units(clean))
