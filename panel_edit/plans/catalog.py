@@ -138,6 +138,11 @@ def q_f4_transaction_filter(spark, sf_dir):
     return constrain.transaction_totals(totals_long(spark, sf_dir), TRANSACTION)
 
 
+def q_v11_pivot_dups(spark, sf_dir):
+    """Keys that make a period pivot ambiguous: parent totals keyed by parent alone (two transactions)."""
+    return reshape.final_duplicates(totals_long(spark, sf_dir), ids=("parent",))
+
+
 def q_p2_thousands(spark, sf_dir):
     t = totals_long(spark, sf_dir)
     return rounded(t.select("parent", "transaction", "period",

@@ -383,6 +383,8 @@ SELECT area, parent, period, round(uncon, 4) AS uncon, round(mean_non_outlier, 4
 SELECT {IDS}, period, round(uncon, 4) AS uncon FROM panel"""),
     "f4_transaction_filter": _with(PANEL + TOTALS, """
 SELECT parent, period, uncon FROM totals_long WHERE "transaction" = 'Household income'"""),
+    "v11_pivot_dups": _with(PANEL + TOTALS, """
+SELECT parent, period, count(*) AS n_rows FROM totals_long GROUP BY parent, period HAVING count(*) > 1"""),
     "p2_thousands": _with(PANEL + TOTALS, """
 SELECT parent, "transaction", period, round(CAST(replace(uncon, ',', '') AS DOUBLE), 2) AS value
 FROM totals_long"""),
