@@ -48,6 +48,8 @@ def preprocess(
     ids: Sequence[str] = IDS,
     check: bool = True,
     bounds: GroupBounds | None = None,
+    transaction_col: str = "transaction",
+    total_descriptors: Sequence[str] = constrain.TOTAL_DESCRIPTORS,
 ) -> PreprocessResult:
     """Stage 1: flag outlier areas and constrain them (and their parent mean) to parent totals.
 
@@ -89,7 +91,8 @@ def preprocess(
     keep = [*ids, "period", "uncon", *[c for c in interim.columns if c.startswith("master_")]]
     flagged = constrain.parent_mean(interim.select(*keep), parent=parent, broadcast=b.broadcast,
                                     group_rows=b.parent_period_rows)
-    flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, parent=parent,
+    flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, transaction_col=transaction_col,
+                                                   drop_cols=total_descriptors, parent=parent,
                                                    broadcast=b.broadcast)
 
     periods = list(range(start, end + 1))

@@ -71,16 +71,20 @@ def read_with_schema(
     spark: SparkSession,
     path: str,
     schema: Mapping[str, Mapping[str, str]] | str,
-    period_type: str = "double",
+    period_type: str | None = "double",
     validate: bool = True,
 ) -> DataFrame:
-    """Read a headered CSV (file or folder), then rename, convert and validate against ``schema``."""
+    """Read a headered CSV (file or folder), then rename, convert and validate against ``schema``.
+
+    ``period_type=None`` keeps period columns as text (e.g. "1,234.5", parsed later).
+    """
     if isinstance(schema, str):
         schema = load_schema(schema)
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     df = rename_columns(df, schema)
     df = convert_types(df, schema)
-    periods = {c: F.expr(f"try_cast(`{c}` AS {period_type})") for c in df.columns if c[:1].isdigit()}
+    periods = ({c: F.expr(f"try_cast(`{c}` AS {period_type})") for c in df.columns if c[:1].isdigit()}
+               if period_type else {})
     if periods:
         df = df.withColumns(periods)
     if validate:
