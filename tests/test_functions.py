@@ -1,6 +1,5 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from panel_edit.functions.lists import next_free_year, parse_year_list, previous_free_year
 
@@ -32,4 +31,3 @@ def test_parse_year_list_cells(spark):
     df = spark.createDataFrame([("2010",), ("2010, 2011",), (None,), ("",), (" 2012.0 ,",), ("nan",)], "c string")
     assert [r.v for r in df.select(parse_year_list("c").alias("v")).collect()] == [
         [2010], [2010, 2011], [], [], [2012], []]
-    assert F

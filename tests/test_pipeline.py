@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 
 from panel_edit.plans import catalog
 from panel_edit.plans import fixtures as fx
@@ -58,4 +57,3 @@ def test_run_pipeline_from_config(spark, tmp_path):
     got = sorted(tuple(round(v, 3) if isinstance(v, float) else v for v in r) for r in back.collect())
     assert got == sorted(tuple(r) for r in expected)
     assert results["mapping"].unmatched.count() > 0
-    assert F
