@@ -144,6 +144,16 @@ def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_parent_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with every third supplier moved into one parent "HOT" (a third of all rows).
+
+    Used to exercise the skew-safe plans on data derived from the given tables.
+    """
+    hot = F.col("area_key") % 3 == 0
+    return panel(spark, sf_dir).withColumn("parent", F.when(hot, F.lit("HOT")).otherwise(F.col("parent"))) \
+        .withColumn("parent_name", F.when(hot, F.lit("HOT PARENT")).otherwise(F.col("parent_name")))
+
+
 def bounds(spark: SparkSession, sf_dir: str) -> GroupBounds:
     """Proven bounds from the dimensions: parents are regions, areas per parent are its suppliers."""
     return _memo(("bounds", sf_dir), lambda: _bounds(spark, sf_dir))
