@@ -31,10 +31,18 @@ def year_list_violations(df: DataFrame, start: int, end: int, listed: str = "yea
 
 
 def check_year_lists(df: DataFrame, start: int, end: int, listed: str = "year") -> None:
-    """Both list checks in one bounded action; duplicates are reported first."""
+    """All list checks in one bounded action: unreadable item, duplicate, out of range.
+
+    An item that is not a number raises already under ANSI casts; without
+    ANSI it parses to NULL, which is reported here instead.
+    """
+    bad = F.exists(listed, lambda k: k.isNull())
     dup = F.size(listed) != F.size(F.array_distinct(listed))
     out = F.exists(listed, lambda k: (k < start) | (k > end))
-    found = df.where(dup | out).select(dup.alias("_dup"), out.alias("_out"), listed).take(20)
+    found = df.where(bad | dup | out).select(bad.alias("_bad"), dup.alias("_dup"), out.alias("_out"),
+                                             listed).take(20)
+    if any(r["_bad"] for r in found):
+        raise checks.CheckFailed("Cannot convert a listed year to int")
     if any(r["_dup"] for r in found):
         raise checks.CheckFailed("Duplicate years found in year column within an area")
     if found:

@@ -214,7 +214,9 @@ def joined_uncon(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFr
 
 
 def adjust_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = filters.filter_period(reshape.adjust_long(joined_uncon(spark, sf_dir)), fx.START_YEAR, fx.END_YEAR)
+    # The join checks belong to j1/j2/v6 and the adjust job; not repeated per downstream operator.
+    long = filters.filter_period(reshape.adjust_long(joined_uncon(spark, sf_dir, check=False)),
+                                 fx.START_YEAR, fx.END_YEAR)
     long = change.rate_of_change(long)
     return cut_lineage(change.flag_rollback_years(long, fx.ROLLBACK_START, fx.ROLLBACK_END))
 

@@ -118,6 +118,9 @@ def test_year_list_checks(spark):
     assert rows(dups, "area") == [("a",)] and rows(out, "area") == [("b",)]
     with pytest.raises(checks.CheckFailed, match="Duplicate"):
         decisions.check_year_lists(df, 2000, 2010)
+    nulls = spark.createDataFrame([("a", [2001, None])], "area string, year array<int>")
+    with pytest.raises(checks.CheckFailed, match="Cannot convert"):
+        decisions.check_year_lists(nulls, 2000, 2010)
 
 
 def test_filters(spark):
