@@ -28,6 +28,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Checkpoint files of frames no longer referenced are removed.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Local mode runs every task inside the driver JVM.
         "spark.driver.memory": os.environ.get("PANEL_EDIT_DRIVER_MEMORY", "16g"),
     }
