@@ -1,9 +1,11 @@
 """Re-apportioning within each parent and period so that parent totals are preserved.
 
-Every per-group quantity (totals, minima, sums of imputations) comes from a
-partial aggregation per (parent, period) joined back with a size-checked
-broadcast: no window over a parent, so a parent holding a third of all rows
-is combined map-side instead of landing in one task.
+Every per-group quantity (totals, minima, sums of imputations) goes through
+:func:`panel_edit.operators.groups.attach_group_stats`: window aggregates when
+the caller proves a group fits one task, otherwise a partial aggregation per
+(parent, period) joined back with a size-checked broadcast, so a parent
+holding a third of all rows is combined map-side instead of landing in one
+task.
 """
 
 from __future__ import annotations
@@ -208,7 +210,8 @@ def rollback_years(
     ``m`` = latest period of any rollback row (one scalar). Rollback rows get
     ``total * (area's value in m) / (parent's sum in m)``; others keep ``value``.
     The area's value comes from a window over the area (one row per period);
-    the parent's sum from a partial aggregation joined back.
+    the parent's sum from :func:`attach_group_stats` (``group_rows`` bounds
+    one parent's rows over all periods).
     """
     latest = df.where(is_true(rollback)).agg(F.max(period)).first()[0]
     if latest is None:
