@@ -189,6 +189,11 @@ def check_apportioned(
                     f"{r[parent]}, {r[period]})")
 
 
+def latest_rollback_period(df: DataFrame, period: str = "period", rollback: str = "rollback_flag") -> int | None:
+    """Latest period of any rollback row (one scalar; ``None`` without rollback rows)."""
+    return df.where(is_true(rollback)).agg(F.max(period)).first()[0]
+
+
 def rollback_years(
     df: DataFrame,
     area: str = "area",
@@ -204,6 +209,7 @@ def rollback_years(
     relative: float = RELATIVE_TOLERANCE,
     broadcast: bool | None = None,
     group_rows: int | None = None,
+    latest: int | None = None,
 ) -> DataFrame:
     """Share copied-back periods like the last copied-back period.
 
@@ -213,7 +219,8 @@ def rollback_years(
     the parent's sum from :func:`attach_group_stats` (``group_rows`` bounds
     one parent's rows over all periods).
     """
-    latest = df.where(is_true(rollback)).agg(F.max(period)).first()[0]
+    if latest is None:
+        latest = latest_rollback_period(df, period, rollback)
     if latest is None:
         x = df.withColumn(out, F.col(value))
     else:

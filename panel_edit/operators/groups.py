@@ -150,13 +150,13 @@ def group_bounds(areas: DataFrame, parent: str, area: str, periods: int = 1,
     area), which would make a later pivot on them ambiguous.
     """
     ids = list(ids or [area])
-    per_parent = areas.groupBy(parent).agg(
-        F.countDistinct(area).alias("_areas"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.countDistinct(F.struct(*[F.col(c) for c in ids])).alias("_ids"),
-    )
+    keys = ids if parent in ids else [parent, *ids]
+    # Two plain aggregations (no distinct rewrite): per identifier tuple, then per parent.
+    # Distinct identifier tuples per parent bound its areas from above.
+    per_id = areas.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    per_parent = per_id.groupBy(parent).agg(F.count(F.lit(1)).alias("_ids"), F.sum("_n").alias("_rows"))
     row = per_parent.agg(
-        F.count(F.lit(1)).alias("n"), F.max("_areas").alias("m"),
-        F.sum(F.col("_rows") - F.col("_ids")).alias("d"), F.sum("_areas").alias("a"),
+        F.count(F.lit(1)).alias("n"), F.max("_ids").alias("m"),
+        F.sum(F.col("_rows") - F.col("_ids")).alias("d"), F.sum("_ids").alias("a"),
     ).first()
     return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows, row["d"] or 0, row["a"] or 0)

@@ -37,10 +37,10 @@ def safe_years(
     imputed = (
         df.withColumn(SERIES, series)
         .where(contains_period(listed, period))
-        .withColumn("prev_safe_year", previous_free_year(period, listed, start))
-        .withColumn("next_safe_year", next_free_year(period, listed, end))
-        .withColumn("prev_con", F.try_element_at(SERIES, F.col("prev_safe_year")))
-        .withColumn("next_con", F.try_element_at(SERIES, F.col("next_safe_year")))
+        .withColumns({"prev_safe_year": previous_free_year(period, listed, start),
+                      "next_safe_year": next_free_year(period, listed, end)})
+        .withColumns({"prev_con": F.try_element_at(SERIES, F.col("prev_safe_year")),
+                      "next_con": F.try_element_at(SERIES, F.col("next_safe_year"))})
     )
     return df, imputed
 

@@ -49,8 +49,8 @@ def zscores(
     score = f"{prefix}_zscore"
     return (
         out.withColumn(score, z)
-        .withColumn(f"{prefix}_zscore_threshold", _threshold(F.col(score), upper, lower))
-        .withColumn(f"z_{prefix}_flag", is_true((F.col(score) > upper) | (F.col(score) < lower)))
+        .withColumns({f"{prefix}_zscore_threshold": _threshold(F.col(score), upper, lower),
+                      f"z_{prefix}_flag": is_true((F.col(score) > upper) | (F.col(score) < lower))})
         .drop("_z_mean", "_z_std")
     )
 
@@ -94,10 +94,9 @@ def iqr_fences(
     v = nan_to_null(value)
     return (
         out.withColumn(iqr, F.col(q3) - F.col(q1))
-        .withColumn(lo, F.col(q1) - F.lit(multiplier) * F.col(iqr))
-        .withColumn(hi, F.col(q3) + F.lit(multiplier) * F.col(iqr))
-        .withColumn(f"{prefix}_iqr_threshold", _threshold(v, F.col(hi), F.col(lo)))
-        .withColumn(f"iqr_{prefix}_flag", is_true((v > F.col(hi)) | (v < F.col(lo))))
+        .withColumns({lo: F.col(q1) - F.lit(multiplier) * F.col(iqr), hi: F.col(q3) + F.lit(multiplier) * F.col(iqr)})
+        .withColumns({f"{prefix}_iqr_threshold": _threshold(v, F.col(hi), F.col(lo)),
+                      f"iqr_{prefix}_flag": is_true((v > F.col(hi)) | (v < F.col(lo)))})
     )
 
 

@@ -169,6 +169,8 @@ def adjust(
     long = change.rate_of_change(long, area=area)
     long = change.flag_rollback_years(long, rollback_start, rollback_end)
     long = cut_lineage(long)
+    # Rollback flags are final here: read the latest rollback period from the materialised panel.
+    latest = apportion.latest_rollback_period(long)
     panel, imputed = impute.safe_years(long, start, end, area=area)
     imputed = impute.interpolate(imputed)
     imputed = impute.extrapolate(panel, imputed, area=area)
@@ -188,7 +190,7 @@ def adjust(
         df = apportion.remove_negatives(df, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
         value = "readjusted_con"
     df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=False, broadcast=b.broadcast,
-                                  group_rows=b.parent_rows)
+                                  group_rows=b.parent_rows, latest=latest)
     interim = cut_lineage(df)
     if check:
         apportion.check_apportioned(interim, parent=parent)

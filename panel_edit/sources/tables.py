@@ -10,6 +10,18 @@ TABLES = (
 ).split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet`` of one table; projections and filters push into the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_HANDLES: dict = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """``spark.read.parquet`` of one table; projections and filters push into the scan.
+
+    The resolved handle (schema and file listing, no data) is kept per session,
+    as a catalog table would be, so repeated queries skip schema inference.
+    ``refresh=True`` resolves the files again.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if refresh or key not in _HANDLES:
+        _HANDLES[key] = spark.read.parquet(path)
+    return _HANDLES[key]
