@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) ->
     ``refresh=True`` resolves the files again.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (id(spark), spark.sparkContext.applicationId, path)
     if refresh or key not in _HANDLES:
         _HANDLES[key] = spark.read.parquet(path)
     return _HANDLES[key]
