@@ -111,8 +111,9 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
         qa.write_parameters(r.parameters, target("adjustment_config"))
         csv.write_with_schema(r.interim.drop("year_to_adjust"), target("adjustment_interim"), single_file=single)
         if write:
-            csv.write_with_schema(r.output, target("adjustment_output"), _schema(paths, "adjust_output_schema"),
-                                  single_file=single)
+            # Files list areas in identifier order (export only: one range-partitioned sort).
+            csv.write_with_schema(r.output.orderBy(*ids), target("adjustment_output"),
+                                  _schema(paths, "adjust_output_schema"), single_file=single)
         adjusted = r.output
         results["adjustment"] = r
 
@@ -125,7 +126,7 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
         r = jobs.map_geography(adjusted, mapper, aggregate=aggregate, code_col=ids[2], name_col=ids[3])
         if r.need_mapping and write:
             name = "mapping_output_aggregated" if aggregate else "mapping_output_not_aggregated"
-            csv.write_with_schema(r.output, target(name), _schema(paths, "mapping_output_schema"),
-                                  single_file=single)
+            csv.write_with_schema(r.output.orderBy(*[c for c in ids if c in r.output.columns]), target(name),
+                                  _schema(paths, "mapping_output_schema"), single_file=single)
         results["mapping"] = r
     return results
