@@ -8,7 +8,7 @@ expected values are rounded.
 import pytest
 from pyspark.sql import functions as F
 
-from panel_edit.operators import apportion, change, checks, constrain, impute, outliers
+from panel_edit.operators import apportion, change, checks, constrain, impute, mapping, outliers, reshape
 from tests.conftest import rows
 
 
@@ -177,3 +177,48 @@ def test_parent_mean(spark):
     out = constrain.parent_mean(df, parent="lad_code", period="year", value="uncon_gdhi", mean_col="mean_non_out_gdhi")
     assert rows(out, "lsoa_code", "year", "mean_non_out_gdhi") == [
         ("E1", 2001, 250.0), ("E1", 2002, 275.0), ("E5", 2001, 400.0), ("E5", 2002, 440.0)]
+
+
+def test_mapping_examples(spark):
+
+    m = spark.createDataFrame([("L1", "Name1", "S1", "LAU1", 1), ("L2", "Name2", "S2", "LAU2", 2),
+                               ("L1", "Name1", "S1", "LAU1", 1)],
+                              "mapper_lad_code string, mapper_lad_name string, mapper_lau_code string, "
+                              "mapper_lau_name string, extra_col int")
+    clean, valid = mapping.clean_mapper(m)
+    assert valid is True and "extra_col" not in clean.columns and clean.count() == 2
+    data = spark.createDataFrame([("S1", "LAU1"), ("S2", "LAU2")], "data_lau_code string, data_lau_name string")
+    joined = mapping.join_mapper(data, clean)
+    assert "mapper_lad_code" in joined.columns and "data_lau_code" not in joined.columns
+    agg_in = spark.createDataFrame([("L1", "Name1", 1, 4, "A"), ("L1", "Name1", 2, 5, "A"), ("L2", "Name2", 3, 6, "B")],
+                                   "mapper_lad_code string, mapper_lad_name string, `2020` int, `2021` int, "
+                                   "extra string")
+    agg = mapping.aggregate(agg_in)
+    assert agg.count() == 2 and agg.where("mapper_lad_code = 'L1'").first()["2020"] == 3
+    ref = mapping.reformat(spark.createDataFrame([("L1", "Name1", 1)], "mapper_lad_code string, "
+                                                 "mapper_lad_name string, `2020` int"),
+                           ["lad_code", "lad_name", "2020"], code_col="lad_code", name_col="lad_name")
+    assert ref.columns == ["lad_code", "lad_name", "2020"] and ref.first().lad_code == "L1"
+
+
+def test_adjust_long_and_final_wide(spark):
+
+    ids = ("lsoa_code", "lsoa_name", "lad_code", "lad_name")
+    wide = spark.createDataFrame(
+        [("E1", "AA", "E01", "AAA", 10.0, 20.0, 30.0, 40.0, True, 2002),
+         ("E2", "BB", "E01", "AAA", 11.0, 21.0, 31.0, 41.0, None, None)],
+        "lsoa_code string, lsoa_name string, lad_code string, lad_name string, `2002` double, `2003` double, "
+        "CON_2002 double, CON_2003 double, adjust boolean, year int")
+    long = reshape.adjust_long(wide, ids=ids, period="year", uncon="uncon_gdhi", con="con_gdhi")
+    assert rows(long, "lsoa_code", "year", "adjust", "year_to_adjust", "uncon_gdhi", "con_gdhi") == [
+        ("E1", 2002, True, 2002, 10.0, 30.0), ("E1", 2003, True, 2002, 20.0, 40.0),
+        ("E2", 2002, None, None, 11.0, 31.0), ("E2", 2003, None, None, 21.0, 41.0)]
+    lng = spark.createDataFrame(
+        [("E1", "AA", "E01", "AAA", y, u, c) for y, u, c in [(2002, 10.0, 5.0), (2003, 20.0, 15.0), (2004, 30.0, 25.0)]]
+        + [("E2", "BB", "E01", "AAA", y, u, c) for y, u, c in [(2002, 40.0, 35.0), (2003, 50.0, 45.0),
+                                                               (2004, 60.0, 55.0)]],
+        "lsoa_code string, lsoa_name string, lad_code string, lad_name string, year int, uncon_gdhi double, "
+        "con_gdhi double")
+    out = reshape.final_wide(lng, [2002, 2003, 2004], "con_gdhi", ids, "year")
+    assert out.columns == [*ids, "2002", "2003", "2004"]
+    assert rows(out, "lsoa_code", "2002", "2003", "2004") == [("E1", 5.0, 15.0, 25.0), ("E2", 35.0, 45.0, 55.0)]
