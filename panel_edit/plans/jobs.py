@@ -71,7 +71,12 @@ def preprocess(
         raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the wide pivots would be ambiguous")
     long = reshape.wide_to_long(panel_wide, "period", "uncon", periods=(start, end))
     long = long.where(F.col("period").between(start, end))
-    totals = reshape.wide_to_long(totals_wide, "period", "uncon")
+    # Only the job's periods can meet the panel: other period columns are never read.
+    totals = reshape.wide_to_long(totals_wide, "period", "uncon", periods=(start, end))
+    if check:
+        # Two totals for one parent and period would duplicate outlier rows (ambiguous pivot).
+        one = constrain.transaction_totals(totals, transaction, transaction_col, total_descriptors)
+        checks.require(checks.duplicate_keys(one, [parent, "period"]), "duplicate parent totals for one period")
 
     df = change.rate_of_change(long, area=area)
     df = change.flag_rollback_years(df, rollback_start, rollback_end)

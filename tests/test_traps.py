@@ -71,3 +71,13 @@ def test_lookup_mapping_a_unit_twice_is_reported(spark):  # T22
                                                             "`2020` double")
     res = jobs.map_geography(data, m)
     assert res.need_mapping and res.output.count() == 2 and res.ambiguous.count() == 1
+
+
+def test_duplicate_parent_totals_are_rejected(spark):  # T22 / V11 for the totals
+    with fx.one_build():
+        p = fx.panel(spark, SF_SMALL)
+        totals = fx.parent_totals(spark, SF_SMALL)
+        with pytest.raises(checks.CheckFailed, match="duplicate parent totals"):
+            jobs.preprocess(fx.wide(p, "uncon"), totals.unionByName(totals), start=fx.START_YEAR, end=fx.END_YEAR,
+                            rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
+                            transaction=catalog.TRANSACTION, ids=catalog.IDS)
