@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panel_edit.functions.columns import is_true
-
 
 class CheckFailed(ValueError):
     """A data-quality check found violations."""
@@ -63,13 +61,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def flag_total_and_rows(df: DataFrame, flag: str) -> DataFrame:
-    """One row: number of true ``flag`` values and number of rows."""
-    return df.agg(
-        F.sum(is_true(flag).cast("long")).alias("n_true"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
-
 
 def duplicate_years(df: DataFrame, listed: str) -> DataFrame:
     return df.where(F.size(listed) != F.size(F.array_distinct(listed)))
@@ -77,11 +68,3 @@ def duplicate_years(df: DataFrame, listed: str) -> DataFrame:
 
 def years_out_of_range(df: DataFrame, listed: str, start: int, end: int) -> DataFrame:
     return df.where(F.exists(listed, lambda k: (k < start) | (k > end)))
-
-
-def missing_values(df: DataFrame, column: str, values: Sequence) -> list:
-    """Which of ``values`` never occur in ``column`` (one aggregate job)."""
-    found = df.agg(
-        *[F.max((F.col(column) == F.lit(v)).cast("int")).alias(f"_v{i}") for i, v in enumerate(values)]
-    ).first()
-    return [v for i, v in enumerate(values) if not found or not found[f"_v{i}"]]

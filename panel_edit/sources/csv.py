@@ -16,7 +16,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panel_edit.operators.checks import CheckFailed
 
 SPARK_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
 
@@ -115,9 +114,3 @@ def write_with_schema(
         writer.option("header", True).csv(path)
     else:
         writer.format(fmt).save(path)
-
-
-def require_columns(df: DataFrame, columns) -> None:
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise CheckFailed(f"missing columns: {missing}")
