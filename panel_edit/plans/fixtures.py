@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panel_edit.operators.groups import GroupBounds, join_small
+from panel_edit.operators.reshape import pivot_cells
 from pyspark import StorageLevel
 from panel_edit.sources.tables import table as read_table
 
@@ -175,9 +176,7 @@ def _bounds(spark: SparkSession, sf_dir: str) -> GroupBounds:
 
 def wide(long: DataFrame, value: str, ids=("area", "area_name", "parent", "parent_name")) -> DataFrame:
     """Wide table: ids + one column per period (``"1995"`` ...)."""
-    return long.groupBy(*ids).pivot("period", YEARS).agg(F.first(value)).select(
-        *ids, *[F.col(str(y)) for y in YEARS]
-    )
+    return long.groupBy(*ids).agg(*pivot_cells("period", value, YEARS))
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,9 +221,7 @@ def parent_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     long = rows[0].unionByName(rows[1])
     ids = ["region", "parent", "region_name", "transaction_code", "transaction"]
-    return long.groupBy(*ids).pivot("period", YEARS).agg(F.first("total")).select(
-        *ids, *[F.col(str(y)) for y in YEARS]
-    )
+    return long.groupBy(*ids).agg(*pivot_cells("period", "total", YEARS))
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
