@@ -107,7 +107,9 @@ class GroupBounds:
 
     def __init__(self, parents: int, largest_group: int, periods: int = 1,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, duplicate_rows: int = 0,
-                 areas: int | None = None):
+                 areas: int | None = None, missing_ids: int = 0):
+        #: Rows whose area or parent code is missing.
+        self.missing_ids = missing_ids
         self.parents = parents
         #: Areas in all parents (upper bound when only per-parent maxima are known).
         self.areas = areas if areas is not None else parents * largest_group
@@ -153,10 +155,13 @@ def group_bounds(areas: DataFrame, parent: str, area: str, periods: int = 1,
     keys = ids if parent in ids else [parent, *ids]
     # Two plain aggregations (no distinct rewrite): per identifier tuple, then per parent.
     # Distinct identifier tuples per parent bound its areas from above.
-    per_id = areas.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    per_parent = per_id.groupBy(parent).agg(F.count(F.lit(1)).alias("_ids"), F.sum("_n").alias("_rows"))
+    missing = (F.col(area).isNull() | F.col(parent).isNull()).cast("long")
+    per_id = areas.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(missing).alias("_miss"))
+    per_parent = per_id.groupBy(parent).agg(F.count(F.lit(1)).alias("_ids"), F.sum("_n").alias("_rows"),
+                                            F.sum("_miss").alias("_miss"))
     row = per_parent.agg(
         F.count(F.lit(1)).alias("n"), F.max("_ids").alias("m"),
-        F.sum(F.col("_rows") - F.col("_ids")).alias("d"), F.sum("_ids").alias("a"),
+        F.sum(F.col("_rows") - F.col("_ids")).alias("d"), F.sum("_ids").alias("a"), F.sum("_miss").alias("x"),
     ).first()
-    return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows, row["d"] or 0, row["a"] or 0)
+    return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows, row["d"] or 0, row["a"] or 0,
+                       row["x"] or 0)

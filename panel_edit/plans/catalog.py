@@ -46,6 +46,8 @@ def rounded(df: DataFrame, digits: int = 4, **overrides: int) -> DataFrame:
     return df.select(*[one(f) for f in df.schema.fields])
 
 
+# ---- stage 1: preprocessing ----------------------------------------------------------------
+
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fx.panel(spark, sf_dir)
     r = change.rate_of_change(p)

@@ -67,6 +67,8 @@ def preprocess(
     if bounds is not None:
         b = GroupBounds(max(b.parents, bounds.parents), max(b.largest_group, bounds.largest_group), b.periods,
                         duplicate_rows=b.duplicate_rows)
+    if check and b.missing_ids:
+        raise checks.CheckFailed(f"{b.missing_ids} rows without an area or parent code")
     if check and b.duplicate_rows:
         raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the wide pivots would be ambiguous")
     long = reshape.wide_to_long(panel_wide, "period", "uncon", periods=(start, end))
@@ -158,6 +160,8 @@ def adjust(
     if bounds is not None:
         b = GroupBounds(max(b.parents, bounds.parents), max(b.largest_group, bounds.largest_group), b.periods,
                         duplicate_rows=b.duplicate_rows, areas=b.areas)
+    if check and b.missing_ids:
+        raise checks.CheckFailed(f"{b.missing_ids} rows without an area or parent code")
     if check and b.duplicate_rows:
         raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the final pivot would be ambiguous")
     d = dec.year_list(dec.adjust_flag(decisions))

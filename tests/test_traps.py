@@ -81,3 +81,14 @@ def test_duplicate_parent_totals_are_rejected(spark):  # T22 / V11 for the total
             jobs.preprocess(fx.wide(p, "uncon"), totals.unionByName(totals), start=fx.START_YEAR, end=fx.END_YEAR,
                             rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
                             transaction=catalog.TRANSACTION, ids=catalog.IDS)
+
+
+def test_missing_identifiers_are_rejected(spark):  # T7: no "nan" codes, missing codes stop the job
+    wide = spark.createDataFrame(
+        [("a", "an", "P", "pn", 1.0, 2.0), (None, "bn", "P", "pn", 3.0, 4.0)],
+        "area string, area_name string, parent string, parent_name string, `2001` double, `2002` double")
+    dec = spark.createDataFrame([("a", "an", "P", "pn", "TRUE", "2001")],
+                                "area string, area_name string, parent string, parent_name string, adjust string, "
+                                "year string")
+    with pytest.raises(checks.CheckFailed, match="without an area or parent code"):
+        jobs.adjust(dec, wide, wide, start=2001, end=2002, rollback_start=1990, rollback_end=1990)
