@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 from panel_edit.operators.groups import GroupBounds, join_small
 from panel_edit.operators.reshape import pivot_cells
 from pyspark import StorageLevel
-
-from panel_edit.session import right_size
 from panel_edit.sources.tables import table as read_table
 
 # Fixed values of the derived fixture (not from the reference).
@@ -116,7 +114,8 @@ def _materialised(df: DataFrame) -> DataFrame:
     if _MEMO.get() is None:
         return df
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return right_size(kept, kept.count())
+    kept.count()
+    return kept
 
 
 def build_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,19 +76,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/panel_edit_scratch/{name}-{uuid.uuid4().hex}"
 
 
-#: Rows per partition below which a materialised frame is coalesced (no shuffle).
-TARGET_ROWS_PER_PARTITION = 200_000
-
-
-def right_size(df: DataFrame, rows: int) -> DataFrame:
-    """Coalesce a materialised frame of ``rows`` rows to about ``TARGET_ROWS_PER_PARTITION`` each.
-
-    A no-op when the frame already has fewer partitions (large data); small
-    frames stop fanning out into many near-empty tasks downstream.
-    """
-    return df.coalesce(max(1, -(-rows // TARGET_ROWS_PER_PARTITION)))
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` so that later stages do not recompute its lineage.
 
@@ -98,10 +85,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     lineage, which is slower but still correct.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = kept.count()
     if checkpoint_dir(df.sparkSession):
-        # The checkpoint write reads the persisted rows instead of running the lineage again.
-        written = right_size(kept, rows).checkpoint(eager=True)
+        # Persisting first lets the checkpoint write read the computed rows
+        # instead of running the lineage a second time.
+        written = kept.checkpoint(eager=True)
         kept.unpersist()
         return written
-    return right_size(kept, rows)
+    kept.count()
+    return kept
