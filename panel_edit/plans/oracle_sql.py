@@ -412,3 +412,43 @@ SELECT area, parent, period, round(bkwd_zscore, 6) AS bkwd_zscore, bkwd_zscore_t
        z_bkwd_flag, round(frwd_zscore, 6) AS frwd_zscore, frwd_zscore_threshold, z_frwd_flag
 FROM zf"""),
 }
+
+
+def _scaled_rounds(sql: str) -> str:
+    """Rewrite every ``round(x, d)`` as ``(round((x) * 1ed) / 1ed + 0.0)`` (see catalog.scaled_round).
+
+    ``round(x)`` without digits and the text formatting inside ``format(...)``
+    are left as they are.
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, None
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner_end = k - 1
+        inside_format = sql.rfind("format(", 0, j) > sql.rfind(")", 0, j)
+        if comma is None or inside_format or not sql[comma + 1:inner_end].strip().isdigit():
+            out.append(sql[i:k])
+        else:
+            digits = int(sql[comma + 1:inner_end].strip())
+            expr = _scaled_rounds(sql[j + 6:comma])
+            out.append(sql[i:j] + f"(round(({expr}) * 1e{digits}) / 1e{digits} + 0.0)")
+        i = k
+
+
+ORACLE = {name: _scaled_rounds(sql) for name, sql in ORACLE.items()}
