@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panel_edit.llm.common import read
-from panel_edit.llm import exact_dedup, sharding
+from panel_edit.llm import bpe, exact_dedup, sharding, simhash
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +21,22 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_size(read(spark, sf_dir, "documents"), shards=16)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token digests of every document (see :mod:`bpe`)."""
+    return bpe.token_digests(read(spark, sf_dir, "documents"))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (see :mod:`simhash`)."""
+    groups = simhash.near_groups(read(spark, sf_dir, "documents"), shingle=3, budget=2)
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sharding": op3_sharding,
+    "op4_bpe": op4_bpe,
+    "op5_simhash": op5_simhash,
 }
 
 ORACLE: dict[str, str] = {
