@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import read
-from panel_edit.llm import bpe, exact_dedup, sharding, simhash
+from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, sharding, simhash
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it holds (see :mod:`decontaminate`)."""
+    return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +37,31 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page (see :mod:`html_text`)."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+#: A conversation whose texts hold control strings, beside those of the table.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their format (see :mod:`chat`)."""
+    own = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.text_messages(rows.unionByName(own)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
+    "op6_html_text": op6_html_text,
+    "op8_chat_format": op8_chat_format,
 }
 
 ORACLE: dict[str, str] = {
@@ -51,4 +76,17 @@ ORACLE: dict[str, str] = {
                doc_id = first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS kept,
                sha256(norm) AS text_sha256
         FROM n""",
+    "op8_chat_format": r"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+        e AS (
+            SELECT *, replace(replace(role, '\', '\0'), '<', '\1') AS erole, replace(replace(text, '\', '\0'), '<', '\1') AS etext
+            FROM r)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<turn ' || erole || '>') + 1 + length(etext) + length('</turn>') + 1) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id""",
 }
