@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import read
-from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, sharding, simhash
+from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, sharding, simhash, url_rules
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.text_messages(rows.unionByName(own)))
 
 
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url (see :mod:`url_rules`)."""
+    return url_rules.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_exact_dedup": op2_exact_dedup,
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_html_text": op6_html_text,
     "op8_chat_format": op8_chat_format,
+    "op10_url_rules": op10_url_rules,
 }
 
 ORACLE: dict[str, str] = {
