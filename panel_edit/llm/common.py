@@ -119,16 +119,17 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, stems: tuple[int, ...] = ()):
     """Words of consecutive texts: (hash, first byte, end byte, row) per word.
 
     A word is a maximal run of word bytes within one text; its hash depends
-    on its bytes alone.
+    on its bytes alone. With ``stems``, (hash, row) of each word and of the
+    first k bytes of each longer word, for each k of ``stems``, by text.
     """
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), z, z, z
+        return (np.zeros(0, np.uint64), z) if stems else (np.zeros(0, np.uint64), z, z, z)
     is_word = np.empty(n + 2, bool)
     is_word[0] = is_word[-1] = False
     np.take(WORD_BYTE, data, out=is_word[1:-1])
@@ -147,7 +148,15 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
     h = (sums[end] - sums[start]) * down[start]
     row = np.searchsorted(offsets, start, "right") - 1
-    return mix(h), start, end, row
+    if not stems:
+        return mix(h), start, end, row
+    hashes, rows = [mix(h)], [row]
+    for k in stems:
+        longer = np.flatnonzero(end - start > k)
+        first = start[longer]
+        hashes.append(mix((sums[first + k] - sums[first]) * down[first] + np.uint64(k)))
+        rows.append(row[longer])
+    return np.concatenate(hashes), np.concatenate(rows)
 
 
 def word_hash(word: str) -> int:

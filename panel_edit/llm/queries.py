@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import read
-from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, sharding, simhash, url_rules
+from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, sharding, simhash, toxicity, url_rules
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document (see :mod:`toxicity`)."""
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 #: A conversation whose texts hold control strings, beside those of the table.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op6_html_text": op6_html_text,
+    "op7_toxicity": op7_toxicity,
     "op8_chat_format": op8_chat_format,
     "op10_url_rules": op10_url_rules,
 }
