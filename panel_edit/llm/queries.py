@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import read
-from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, sharding, simhash, toxicity, url_rules
+from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, quality, sharding, simhash, toxicity, url_rules
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,11 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.text_messages(rows.unionByName(own)))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document (see :mod:`quality`)."""
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url (see :mod:`url_rules`)."""
     return url_rules.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_text": op6_html_text,
     "op7_toxicity": op7_toxicity,
     "op8_chat_format": op8_chat_format,
+    "op9_quality": op9_quality,
     "op10_url_rules": op10_url_rules,
 }
 
