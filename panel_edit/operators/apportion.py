@@ -1,11 +1,9 @@
 """Re-apportioning within each parent and period so that parent totals are preserved.
 
 Every per-group quantity (totals, minima, sums of imputations) goes through
-:func:`panel_edit.operators.groups.attach_group_stats`: window aggregates when
-the caller proves a group fits one task, otherwise a partial aggregation per
-(parent, period) joined back with a size-checked broadcast, so a parent
-holding a third of all rows is combined map-side instead of landing in one
-task.
+:func:`panel_edit.operators.groups.attach_group_stats`: a partial aggregation
+per (parent, period) joined back, so a parent holding a third of all rows is
+combined map-side instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -16,7 +14,7 @@ from pyspark.sql import functions as F
 from panel_edit.functions.columns import is_true
 from panel_edit.functions.lists import contains_period
 from panel_edit.operators import checks
-from panel_edit.operators.groups import attach_group_stats, join_small
+from panel_edit.operators.groups import attach_group_stats
 
 #: Absolute and relative tolerance of the parent-total checks.
 SUM_TOLERANCE = 1e-6
@@ -30,8 +28,6 @@ def proportions(
     value: str = "con",
     listed: str = "year_to_adjust",
     check: bool = True,
-    broadcast: bool | None = None,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``parent_total``, ``non_outlier_total`` (unlisted rows only) and ``proportion``.
 
@@ -43,8 +39,6 @@ def proportions(
         df.withColumn("_listed", listed_row),
         [parent, period],
         {"parent_total": F.sum(value), "_non_outlier": F.sum(F.when(~F.col("_listed"), F.col(value)))},
-        broadcast=broadcast,
-        group_rows=group_rows,
     )
     out = out.withColumn("parent_total", F.coalesce("parent_total", F.lit(0.0)))
     out = out.withColumn("non_outlier_total",
@@ -69,19 +63,14 @@ def apportion(
     check: bool = True,
     tolerance: float = SUM_TOLERANCE,
     relative: float = RELATIVE_TOLERANCE,
-    broadcast: bool | None = None,
-    imputed_broadcast: bool | None = None,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Imputed values replace listed rows; the rest of the parent total is shared by proportion.
 
     ``adjusted_total = parent_total - sum(imputed)`` per (parent, period);
     ``out = imputed`` where present, else ``proportion * adjusted_total``.
     """
-    x = join_small(df, imputed.select(area, period, imputed_col), [area, period], "left",
-                   broadcast=imputed_broadcast)
-    x = attach_group_stats(x, [parent, period], {"_imputed_sum": F.sum(imputed_col)},
-                           broadcast=broadcast, group_rows=group_rows)
+    x = df.join(imputed.select(area, period, imputed_col), [area, period], "left")
+    x = attach_group_stats(x, [parent, period], {"_imputed_sum": F.sum(imputed_col)})
     x = (
         x.withColumn("adjusted_total", F.col("parent_total") - F.coalesce("_imputed_sum", F.lit(0.0)))
         .drop("_imputed_sum")
@@ -107,8 +96,6 @@ def remove_negatives(
     check: bool = True,
     tolerance: float = SUM_TOLERANCE,
     relative: float = RELATIVE_TOLERANCE,
-    broadcast: bool | None = None,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Shift a (parent, period) group up by |its minimum| if negative, then rescale to the parent total.
 
@@ -120,8 +107,6 @@ def remove_negatives(
         df,
         [parent, period],
         {"min_adjusted": F.min(adjusted), "_adj_sum": F.sum(adjusted), "_adj_n": F.count(adjusted)},
-        broadcast=broadcast,
-        group_rows=group_rows,
     )
     shift = F.when(F.col("min_adjusted") < 0, F.abs(F.col("min_adjusted"))).otherwise(F.lit(0.0))
     x = (
@@ -165,28 +150,23 @@ def check_apportioned(
         aggs.append(F.min(c).alias(f"_min{i}"))
     groups = df.groupBy(parent, period).agg(*aggs)
     allowed = F.lit(tolerance) + F.lit(relative) * F.abs(F.col("_before"))
-    bad = [F.coalesce(F.col("_zero") == 1, F.lit(False))] if "non_outlier_total" in df.columns else []
+    bad, names = [], []
+    if "non_outlier_total" in df.columns:
+        bad.append(F.coalesce(F.col("_zero") == 1, F.lit(False)))
+        names.append("the total to share by is zero (zero non_outlier_total)")
     for i, c in enumerate(present):
-        bad.append(~(F.abs(F.col("_before") - F.col(f"_after{i}")) <= allowed))
         if c == "readjusted_con":
             bad.append(F.coalesce(F.col(f"_min{i}") < 0, F.lit(False)))
-    cond = bad[0]
-    for b in bad[1:]:
-        cond = cond | b
-    found = groups.where(cond).orderBy(parent, period).take(20)
-    if not found:
-        return
-    if any(r["_zero"] == 1 for r in found if "_zero" in r):
-        groups_ = [(r[parent], r[period]) for r in found if r["_zero"] == 1]
-        raise checks.CheckFailed(f"Non-outlier total check failed: found zero non_outlier_total for groups: {groups_}")
-    for i, c in enumerate(present):
-        if c == "readjusted_con" and any(r[f"_min{i}"] is not None and r[f"_min{i}"] < 0 for r in found):
-            raise checks.CheckFailed("Negative value check failed: negative values found after adjustment")
-        for r in found:
-            if not abs(r["_before"] - r[f"_after{i}"]) <= tolerance + relative * abs(r["_before"]):
-                raise checks.CheckFailed(
-                    f"Adjustment check failed: parent sums do not match after adjustment ({c}: "
-                    f"{r[parent]}, {r[period]})")
+            names.append(f"negative values are left in {c}")
+        bad.append(~F.coalesce(F.abs(F.col("_before") - F.col(f"_after{i}")) <= allowed, F.lit(False)))
+        names.append(f"parent sums do not match: {source} and {c}")
+    # One flag per violation class, in step order, from one aggregate over the groups.
+    found = groups.agg(*[F.sum(b.cast("long")).alias(f"_bad{k}") for k, b in enumerate(bad)]).first()
+    for k, (name, b) in enumerate(zip(names, bad)):
+        total = found[f"_bad{k}"] or 0
+        if total:
+            sample = [tuple(r) for r in groups.where(b).select(parent, period).orderBy(parent, period).take(checks.SHOWN)]
+            raise checks.CheckFailed(f"{name} in {total} (parent, period) groups; first {len(sample)}: {sample}")
 
 
 def latest_rollback_period(df: DataFrame, period: str = "period", rollback: str = "rollback_flag") -> int | None:
@@ -207,8 +187,6 @@ def rollback_years(
     check: bool = True,
     tolerance: float = SUM_TOLERANCE,
     relative: float = RELATIVE_TOLERANCE,
-    broadcast: bool | None = None,
-    group_rows: int | None = None,
     latest: int | None = None,
 ) -> DataFrame:
     """Share copied-back periods like the last copied-back period.
@@ -216,8 +194,7 @@ def rollback_years(
     ``m`` = latest period of any rollback row (one scalar). Rollback rows get
     ``total * (area's value in m) / (parent's sum in m)``; others keep ``value``.
     The area's value comes from a window over the area (one row per period);
-    the parent's sum from :func:`attach_group_stats` (``group_rows`` bounds
-    one parent's rows over all periods).
+    the parent's sum from :func:`attach_group_stats`.
     """
     if latest is None:
         latest = latest_rollback_period(df, period, rollback)
@@ -226,9 +203,7 @@ def rollback_years(
     else:
         at_m = F.col(period) == F.lit(latest)
         x = df.withColumn("_area_m", F.min(F.when(at_m, F.col(value))).over(Window.partitionBy(area)))
-        # group_rows bounds the rows of one parent over all periods here.
-        x = attach_group_stats(x, [parent], {"_parent_m": F.sum(F.when(at_m, F.col(value)))},
-                               broadcast=broadcast, group_rows=group_rows)
+        x = attach_group_stats(x, [parent], {"_parent_m": F.sum(F.when(at_m, F.col(value)))})
         share = F.col(total) * F.try_divide(F.col("_area_m"), F.col("_parent_m"))
         x = x.withColumn(out, F.when(is_true(rollback), share).otherwise(F.col(value))).drop("_area_m", "_parent_m")
     if check:

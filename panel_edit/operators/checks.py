@@ -1,7 +1,7 @@
 """Data-quality checks.
 
 Each check is a query returning its violations, so it can run as a report on
-its own; ``require`` turns it into a job failure with one bounded ``take``.
+its own; ``require`` turns it into a job failure that states how many there are.
 """
 
 from __future__ import annotations
@@ -16,12 +16,17 @@ class CheckFailed(ValueError):
     """A data-quality check found violations."""
 
 
-def require(violations: DataFrame, message: str, show: int = 10) -> None:
-    """Raise ``CheckFailed`` if ``violations`` has any row (reads at most ``show`` rows)."""
+#: Violations that an error message shows beside their total.
+SHOWN = 10
+
+
+def require(violations: DataFrame, message: str, show: int = SHOWN) -> None:
+    """Raise ``CheckFailed`` if ``violations`` has any row; the message gives the total and ``show`` rows."""
     sample = violations.take(show)
     if sample:
+        total = len(sample) if len(sample) < show else violations.count()
         listed = ", ".join(str(tuple(r)) for r in sample)
-        raise CheckFailed(f"{message}: {listed}")
+        raise CheckFailed(f"{message}: {total} rows, of them {listed}")
 
 
 def sum_mismatches(
@@ -61,7 +66,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-
 def duplicate_years(df: DataFrame, listed: str) -> DataFrame:
     return df.where(F.size(listed) != F.size(F.array_distinct(listed)))
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from panel_edit.functions.columns import is_true, nan_to_null
-from panel_edit.operators.groups import attach_group_stats, join_small, use_window
 
 #: Descriptor columns of the parent-total table dropped before the join.
 TOTAL_DESCRIPTORS = ("region", "region_name", "transaction_code", "transaction")
@@ -22,24 +21,13 @@ def parent_mean(
     period: str = "period",
     value: str = "uncon",
     mean_col: str = "mean_non_outlier",
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Flagged rows only, with the mean ``value`` of the *unflagged* areas of their parent and period.
 
     The mean is computed over all rows before the flagged rows are kept.
     """
-    if use_window(group_rows):
-        mean = F.avg(F.when(~is_true(flag), nan_to_null(value)))
-        out = attach_group_stats(df, [parent, period], {mean_col: mean}, group_rows=group_rows)
-        return out.where(is_true(flag))
-    means = (
-        df.where(~is_true(flag))
-        .groupBy(parent, period)
-        .agg(F.avg(nan_to_null(value)).alias(mean_col))
-    )
-    return join_small(df.where(is_true(flag)), means, [parent, period], "left", max_broadcast_rows, broadcast)
+    means = df.where(~is_true(flag)).groupBy(parent, period).agg(F.avg(nan_to_null(value)).alias(mean_col))
+    return df.where(is_true(flag)).join(means, [parent, period], "left")
 
 
 def thousands_to_double(c: str, dtype) -> F.Column:
@@ -72,8 +60,6 @@ def constrain_to_parent_totals(
     flag: str = "master_flag",
     con_col: str = "con_area",
     con_mean_col: str = "con_mean",
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Scale each outlier value and its parent mean so that together they meet the parent total.
 
@@ -88,7 +74,7 @@ def constrain_to_parent_totals(
         raise ValueError(f"parent totals have columns the panel lacks: {missing}")
     dtype = t.schema[value].dataType
     t = t.select(parent, period, thousands_to_double(value, dtype).alias("_parent_total"))
-    out = join_small(df, t, [parent, period], "left", max_broadcast_rows, broadcast)
+    out = df.join(t, [parent, period], "left")
     denominator = F.col(value) + F.col(mean_col)
     rate = F.when(denominator == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("_parent_total"), denominator))
     return (

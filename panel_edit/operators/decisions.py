@@ -9,15 +9,14 @@ from pyspark.sql import functions as F
 
 from panel_edit.functions.lists import parse_year_list
 from panel_edit.operators import checks
-from panel_edit.operators.groups import join_small
 
 #: Identifier columns that keep their names through the decision joins.
 KEEP_NAMES = ("area", "area_name", "parent", "parent_name", "adjust", "year")
 
 
 def adjust_flag(df: DataFrame, adjust: str = "adjust") -> DataFrame:
-    """``adjust`` text "TRUE" -> true; anything else, NULL included -> false."""
-    return df.withColumn(adjust, F.coalesce(F.col(adjust).cast("string") == F.lit("TRUE"), F.lit(False)))
+    """``adjust`` text "TRUE", in any case and with spaces around, or a true boolean -> true; else false."""
+    return df.withColumn(adjust, F.coalesce(F.upper(F.trim(F.col(adjust).cast("string"))) == F.lit("TRUE"), F.lit(False)))
 
 
 def year_list(df: DataFrame, listed: str = "year") -> DataFrame:
@@ -31,7 +30,7 @@ def year_list_violations(df: DataFrame, start: int, end: int, listed: str = "yea
 
 
 def check_year_lists(df: DataFrame, start: int, end: int, listed: str = "year") -> None:
-    """All list checks in one bounded action: unreadable item, duplicate, out of range.
+    """All list checks from one aggregate, in this order: unreadable item, duplicate, out of range.
 
     An item that is not a number raises already under ANSI casts; without
     ANSI it parses to NULL, which is reported here instead.
@@ -39,14 +38,13 @@ def check_year_lists(df: DataFrame, start: int, end: int, listed: str = "year")
     bad = F.exists(listed, lambda k: k.isNull())
     dup = F.size(listed) != F.size(F.array_distinct(listed))
     out = F.exists(listed, lambda k: (k < start) | (k > end))
-    found = df.where(bad | dup | out).select(bad.alias("_bad"), dup.alias("_dup"), out.alias("_out"),
-                                             listed).take(20)
-    if any(r["_bad"] for r in found):
-        raise checks.CheckFailed("Cannot convert a listed year to int")
-    if any(r["_dup"] for r in found):
-        raise checks.CheckFailed("Duplicate years found in year column within an area")
-    if found:
-        raise checks.CheckFailed(f"Year in year column is out of valid range {start}-{end}: {found[0][listed]}")
+    kinds = [("a listed year is not a number", bad), ("a year is listed twice (duplicate years)", dup),
+             (f"a listed year is out of the valid range {start}-{end}", out)]
+    totals = df.agg(*[F.sum(F.coalesce(k, F.lit(False)).cast("long")).alias(f"_k{i}") for i, (_, k) in enumerate(kinds)]).first()
+    for i, (name, kind) in enumerate(kinds):
+        if totals[f"_k{i}"]:
+            sample = [r[0] for r in df.where(kind).select(listed).take(checks.SHOWN)]
+            raise checks.CheckFailed(f"{name} in {totals[f'_k{i}']} rows; {len(sample)} of them: {sample}")
 
 
 def filter_adjust(
@@ -64,15 +62,13 @@ def join_decisions_con(
     prefix: str = "CON_",
     adjust: str = "adjust",
     check: bool = True,
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Left-join decisions onto constrained wide rows and prefix every other column with ``CON_``.
 
     Checks (when ``check``): the number of rows to adjust is unchanged by the
     join, and the join adds no rows.
     """
-    joined = join_small(con, decisions, list(keys), "left", max_broadcast_rows, broadcast)
+    joined = con.join(decisions, list(keys), "left")
     joined = joined.withColumnsRenamed({c: f"{prefix}{c}" for c in joined.columns if c not in keep_names})
     if check:
         _check_join(con, decisions, keys, adjust, "constrained")

@@ -1,167 +1,38 @@
-"""Per-group statistics attached back to rows.
-
-Two plans, chosen from a *proven* bound on the rows of one group
-(``group_rows``, see :class:`GroupBounds`):
-
-* groups provably small (``group_rows <= WINDOW_MAX_ROWS``): window
-  aggregates over ``partitionBy(keys)`` - no join, and consecutive statistics
-  on the same keys share one exchange;
-* otherwise (or no bound known): statistics are decomposable (count, sum,
-  min, avg, stddev), so ``groupBy().agg()`` combines map-side before the
-  shuffle - a parent holding a third of all rows costs one partial row per
-  input partition, not one overloaded task - and the one-row-per-group
-  result is joined back. That side is broadcast only after its row count is
-  checked against ``max_broadcast_rows``; beyond it the join shuffles and
-  AQE's skew-join handling splits a hot key's partition on the row side.
+"""Per-group statistics attached back to rows, by one plan at every size.
+
+Statistics are decomposable (count, sum, min, avg, stddev), so
+``groupBy().agg()`` combines map-side before the shuffle: a parent holding a
+third of all rows costs one partial row per input partition, not one
+overloaded task. The one-row-per-group result is joined back without a hint;
+AQE broadcasts it by its measured bytes, and beyond that splits a hot key's
+partition on the row side. A NULL key matches nothing, as in a group-by that
+drops missing keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from collections.abc import Mapping
-
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Largest statistics table (rows) that is broadcast to every executor.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-#: Largest group (rows) one window task may hold.
-WINDOW_MAX_ROWS = 1_000_000
-
-
-def use_window(group_rows: int | None) -> bool:
-    """Window plan only for a proven bound within ``WINDOW_MAX_ROWS``."""
-    return group_rows is not None and group_rows <= WINDOW_MAX_ROWS
-
-
-def broadcast_if_small(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Persist ``small``, count it, and mark it for broadcast when within ``max_rows``.
-
-    The count runs on the persisted frame, so the join that follows reads
-    the cached rows instead of recomputing them.
-    """
-    limit = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = small.count()
-    if rows <= limit:
-        return F.broadcast(small), True
-    return small, False
-
-
-def join_small(
-    df: DataFrame,
-    small: DataFrame,
-    on: Sequence[str] | str,
-    how: str = "left",
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
-) -> DataFrame:
-    """Join ``small`` to ``df``: broadcast when its size is within the bound, else shuffle.
-
-    ``broadcast=None`` checks the size here (persist + count of ``small``);
-    ``True`` / ``False`` is the caller's decision from a bound it has proven
-    once for many joins (see :func:`group_bounds`).
-    """
-    keys = list(on) if not isinstance(on, str) else on
-    if broadcast is None:
-        side, _ = broadcast_if_small(small, max_broadcast_rows)
-    else:
-        side = F.broadcast(small) if broadcast else small
-    return df.join(side, on=keys, how=how)
-
 
-def attach_group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggs: Mapping[str, Column],
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
-    group_rows: int | None = None,
-) -> DataFrame:
+def attach_group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Add columns ``name -> aggregate`` computed per ``keys`` to every row of ``df``.
 
     ``aggs`` are plain aggregate expressions (``F.sum(c)``, not aliased).
-    Rows whose key contains NULL get NULL statistics, matching a group-by
-    that drops missing keys.
+    Rows whose key contains NULL get NULL statistics.
     """
     keys = list(keys)
-    if use_window(group_rows):
-        w = Window.partitionBy(*keys)
-        has_key = F.lit(True)
-        for k in keys:
-            has_key = has_key & F.col(k).isNotNull()
-        return df.withColumns({name: F.when(has_key, agg.over(w)) for name, agg in aggs.items()})
     stats = df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in aggs.items()])
-    return join_small(df, stats, keys, "left", max_broadcast_rows, broadcast)
-
-
-class GroupBounds:
-    """Proven bounds for a panel: number of parents and largest number of areas in one parent.
-
-    Every statistics table keyed by parent, or by (parent, period), has at
-    most ``parents * periods`` rows, so one count decides all broadcasts of
-    a job; ``largest_group`` bounds the values of one (parent, period) group.
-    """
-
-    def __init__(self, parents: int, largest_group: int, periods: int = 1,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, duplicate_rows: int = 0,
-                 areas: int | None = None, missing_ids: int = 0):
-        #: Rows whose area or parent code is missing.
-        self.missing_ids = missing_ids
-        self.parents = parents
-        #: Areas in all parents (upper bound when only per-parent maxima are known).
-        self.areas = areas if areas is not None else parents * largest_group
-        self.max_broadcast_rows = max_broadcast_rows
-        self.largest_group = largest_group
-        self.periods = periods
-        #: Rows beyond the first with the same identifiers (0 when identifiers are unique).
-        self.duplicate_rows = duplicate_rows
-        self.broadcast = parents * max(periods, 1) <= max_broadcast_rows
-
-    @property
-    def panel_rows(self) -> int:
-        """Rows of the long panel: one per area and period."""
-        return self.areas * max(self.periods, 1)
+    return df.join(stats, on=keys, how="left")
 
-    def fits_broadcast(self, rows: int) -> bool:
-        return rows <= self.max_broadcast_rows
 
-    @property
-    def parent_period_rows(self) -> int:
-        """Rows of one (parent, period) group: at most one per area."""
-        return self.largest_group
-
-    @property
-    def parent_rows(self) -> int:
-        """Rows of one parent over all periods."""
-        return self.largest_group * max(self.periods, 1)
-
-    def __repr__(self) -> str:
-        return (f"GroupBounds(parents={self.parents}, largest_group={self.largest_group}, "
-                f"periods={self.periods}, broadcast={self.broadcast})")
-
-
-def group_bounds(areas: DataFrame, parent: str, area: str, periods: int = 1,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 ids: Sequence[str] | None = None) -> GroupBounds:
-    """One aggregate job over an area-level table (one row per area, e.g. a wide panel).
-
-    Also counts rows repeating the identifier columns ``ids`` (default: the
-    area), which would make a later pivot on them ambiguous.
-    """
+def id_violations(areas: DataFrame, parent: str, area: str, ids: Sequence[str] | None = None) -> tuple[int, int]:
+    """(rows without area or parent code, rows that repeat the identifiers ``ids``) of an area-level table, in one job."""
     ids = list(ids or [area])
     keys = ids if parent in ids else [parent, *ids]
-    # Two plain aggregations (no distinct rewrite): per identifier tuple, then per parent.
-    # Distinct identifier tuples per parent bound its areas from above.
     missing = (F.col(area).isNull() | F.col(parent).isNull()).cast("long")
     per_id = areas.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(missing).alias("_miss"))
-    per_parent = per_id.groupBy(parent).agg(F.count(F.lit(1)).alias("_ids"), F.sum("_n").alias("_rows"),
-                                            F.sum("_miss").alias("_miss"))
-    row = per_parent.agg(
-        F.count(F.lit(1)).alias("n"), F.max("_ids").alias("m"),
-        F.sum(F.col("_rows") - F.col("_ids")).alias("d"), F.sum("_ids").alias("a"), F.sum("_miss").alias("x"),
-    ).first()
-    return GroupBounds(row["n"] or 0, row["m"] or 0, periods, max_broadcast_rows, row["d"] or 0, row["a"] or 0,
-                       row["x"] or 0)
+    row = per_id.agg(F.sum("_miss").alias("x"), F.sum(F.col("_n") - 1).alias("d")).first()
+    return row["x"] or 0, row["d"] or 0

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from panel_edit.functions.columns import is_true
 from panel_edit.functions.lists import contains_period, ensure_list, next_free_year, previous_free_year
-from panel_edit.operators.groups import join_small
 
 #: Periods between a safe period and the extra point used for extrapolation (fixed value).
 EXTRAPOLATION_GAP = 4
@@ -35,7 +34,8 @@ def safe_years(
     df = df.withColumn(listed, ensure_list(listed))
     series = F.map_from_entries(F.collect_list(F.struct(F.col(period), F.col(value))).over(Window.partitionBy(area)))
     imputed = (
-        df.withColumn(SERIES, series)
+        # The list is the area's: areas without one need no series.
+        df.where(F.size(listed) > 0).withColumn(SERIES, series)
         .where(contains_period(listed, period))
         .withColumns({"prev_safe_year": previous_free_year(period, listed, start),
                       "next_safe_year": next_free_year(period, listed, end)})
@@ -63,7 +63,6 @@ def extrapolate(
     rollback: str = "rollback_flag",
     out: str = "imputed",
     gap: int = EXTRAPOLATION_GAP,
-    broadcast: bool | None = None,
 ) -> DataFrame:
     """Fill still-missing imputations on the line through a safe period and one ``gap`` periods beyond it.
 
@@ -79,12 +78,9 @@ def extrapolate(
     if SERIES in x.columns:
         x = x.withColumn("_extra_con", F.try_element_at(SERIES, F.col("_extra_year")))
     else:
-        # Lookup without shuffling the panel: the wanted keys are broadcast when small.
         wanted = x.select(F.col(area), F.col("_extra_year").alias(period)).where(F.col(period).isNotNull()).distinct()
-        found = join_small(panel.select(area, period, F.col(value).alias("_extra_con")), wanted, [area, period],
-                           "inner", broadcast=broadcast)
-        x = join_small(x, found.withColumnRenamed(period, "_extra_year"), [area, "_extra_year"], "left",
-                       broadcast=broadcast)
+        found = panel.select(area, period, F.col(value).alias("_extra_con")).join(wanted, [area, period])
+        x = x.join(found.withColumnRenamed(period, "_extra_year"), [area, "_extra_year"], "left")
     ey, ev = F.col("_extra_year"), F.col("_extra_con")
     forward = n - F.try_divide(ev - n, ey - ny) * (ny - F.col(period))
     backward = p + F.try_divide(p - ev, py - ey) * (F.col(period) - py)

@@ -8,12 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panel_edit.operators.groups import join_small
-
 #: Column names of the geography lookup (fixed values).
 MAPPER_COLUMNS = ("mapper_lad_code", "mapper_lad_name", "mapper_lau_code", "mapper_lau_name")
 DATA_UNIT_COLUMNS = ("data_lau_code", "data_lau_name")
-#: Value columns are four-digit years starting with 1 or 2.
+#: Value columns are four-digit years starting with 1 or 2 (fixed value: the file format's).
 PERIOD_COLUMN = re.compile(r"^[12]\d{3}$")
 
 
@@ -41,18 +39,13 @@ def clean_mapper(mapper: DataFrame, columns: Sequence[str] = MAPPER_COLUMNS) ->
     return mapper.select(*columns).distinct(), True
 
 
-def join_mapper(
-    df: DataFrame,
-    mapper: DataFrame,
-    broadcast: bool | None = None,
-) -> DataFrame:
+def join_mapper(df: DataFrame, mapper: DataFrame) -> DataFrame:
     """Left-join the lookup on unit code, then drop the data's unit columns.
 
     Rows without a lookup entry keep NULL mapper columns (see :func:`unmatched`).
-    The lookup is broadcast after its size is checked.
     """
     keyed = mapper.withColumn(DATA_UNIT_COLUMNS[0], F.col(MAPPER_COLUMNS[2]))
-    out = join_small(df, keyed, [DATA_UNIT_COLUMNS[0]], "left", broadcast=broadcast)
+    out = df.join(keyed, [DATA_UNIT_COLUMNS[0]], "left")
     return out.drop(*DATA_UNIT_COLUMNS)
 
 

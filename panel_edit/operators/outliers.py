@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panel_edit.functions.columns import is_true, nan_to_null
-from panel_edit.operators.groups import attach_group_stats, join_small, use_window
+from panel_edit.operators.groups import attach_group_stats
 from panel_edit.operators.quantiles import group_quantiles
 
 
@@ -29,22 +29,17 @@ def zscores(
     upper: float = 3.0,
     lower: float = -3.0,
     rollback_col: str = "rollback_flag",
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Add ``{prefix}_zscore``, ``{prefix}_zscore_threshold`` and ``z_{prefix}_flag``.
 
     The score is ``(x - mean) / sample std`` over the group's non-rollback,
     non-missing values; rollback rows and missing values get no score, nor
     does a group whose standard deviation is 0 or undefined. Mean and standard
-    deviation come from :func:`attach_group_stats`: a window when the group
-    size is proven small, else a partial aggregation joined back.
+    deviation come from :func:`attach_group_stats`.
     """
     keys = _keys(group)
     x = F.when(~is_true(rollback_col), nan_to_null(value))
-    out = attach_group_stats(df, keys, {"_z_mean": F.avg(x), "_z_std": F.stddev_samp(x)},
-                             max_broadcast_rows, broadcast, group_rows)
+    out = attach_group_stats(df, keys, {"_z_mean": F.avg(x), "_z_std": F.stddev_samp(x)})
     z = nan_to_null(F.try_divide(x - F.col("_z_mean"), F.nullif(F.col("_z_std"), F.lit(0.0))))
     score = f"{prefix}_zscore"
     return (
@@ -64,11 +59,6 @@ def iqr_fences(
     upper_quantile: float = 0.75,
     multiplier: float = 3.0,
     rollback_col: str = "rollback_flag",
-    max_group_rows: int | None = None,
-    max_broadcast_rows: int | None = None,
-    broadcast: bool | None = None,
-    largest_group: int | None = None,
-    group_rows: int | None = None,
 ) -> DataFrame:
     """Add quartiles, IQR, fences, ``{prefix}_iqr_threshold`` and ``iqr_{prefix}_flag``.
 
@@ -78,18 +68,9 @@ def iqr_fences(
     keys = _keys(group)
     q1, q3 = f"{prefix}_q1", f"{prefix}_q3"
     xv = F.when(~is_true(rollback_col), nan_to_null(value))
-    if use_window(group_rows):
-        # Proven-small groups: exact percentiles as window aggregates, no join.
-        w = Window.partitionBy(*keys)
-        out = df.withColumns({q1: F.percentile(xv, lower_quantile).over(w),
-                              q3: F.percentile(xv, upper_quantile).over(w)})
-    else:
-        x = df.select(*keys, xv.alias("_iqr_x"))
-        quartiles = group_quantiles(
-            x, keys, "_iqr_x", {q1: lower_quantile, q3: upper_quantile}, max_group_rows, max_broadcast_rows,
-            largest_group=largest_group,
-        )
-        out = join_small(df, quartiles, keys, "left", max_broadcast_rows, broadcast)
+    x = df.select(*keys, xv.alias("_iqr_x"))
+    quartiles = group_quantiles(x, keys, "_iqr_x", {q1: lower_quantile, q3: upper_quantile})
+    out = df.join(quartiles, on=keys, how="left")
     iqr, lo, hi = f"{prefix}_iqr", f"{prefix}_lower_bound", f"{prefix}_upper_bound"
     v = nan_to_null(value)
     return (

@@ -4,69 +4,43 @@
 ``ceil(h)`` - the definition used by pandas, ``percentile`` and
 ``quantile_cont``. ``approx_percentile`` is not equivalent and is not used.
 
-Two plans, picked after one cheap partial aggregate of group sizes:
-
-* every group within ``max_group_rows`` values: ``percentile`` in a
-  ``groupBy`` (map-side value counts, one merge per group);
-* otherwise a distributed selection that never gathers a group in one task:
-  range-partition on (group, value) - the partitioner samples keys, so a hot
-  group is spread over many partitions - sort within partitions, count rows
-  per (partition, group), turn the counts into rank offsets, and fetch only
-  the two rows around each wanted rank.
+One plan at every size, a distributed selection that never gathers a group in
+one task: range-partition on (group, value) - the partitioner samples keys, so
+a hot group is spread over many partitions - sort within partitions, count
+rows per (partition, group), turn the counts into rank offsets, and fetch only
+the two rows around each wanted rank. The ranked rows are written to the
+checkpoint folder first: a lost executor can't make them come out in another
+order than the one that was counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panel_edit.operators.groups import join_small
 from panel_edit.session import cut_lineage
 
-#: Largest group (values) handed to one task by the ``percentile`` plan.
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
-
 def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
-    max_group_rows: int | None = None,
-    max_broadcast_rows: int | None = None,
-    largest_group: int | None = None,
 ) -> DataFrame:
     """One row per group of ``keys`` with a column per entry of ``probs``.
 
-    NULL values are skipped; groups with no value are absent.
-    ``largest_group``: a proven bound on the values of one group (skips the
-    size job).
+    NULL values are skipped; groups with no value, and rows with a NULL key, are absent.
     """
     keys = list(keys)
-    limit = DEFAULT_MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    x = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    largest = largest_group
-    if largest is None:
-        largest = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is None or largest <= limit:
-        return x.groupBy(*keys).agg(*[F.percentile("_v", q).alias(name) for name, q in probs.items()])
-    return _distributed_quantiles(x, keys, probs, max_broadcast_rows)
-
-
-def _distributed_quantiles(
-    x: DataFrame, keys: list[str], probs: Mapping[str, float], max_broadcast_rows: int | None
-) -> DataFrame:
+    x = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=[*keys, "_v"])
     spark = x.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = (
+    ranked = cut_lineage(
         x.repartitionByRange(parts, *keys, "_v")
         .sortWithinPartitions(*keys, "_v")
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rid", F.monotonically_increasing_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     # Rows of one group inside one partition are contiguous and sorted.
     blocks = ranked.groupBy("_pid", *keys).agg(
@@ -103,8 +77,7 @@ def _distributed_quantiles(
             "_rank",
         )
     )
-    picked = join_small(ranked.select("_pid", "_rid", *keys, "_v"), targets, ["_pid", "_rid"], "inner",
-                        max_broadcast_rows)
+    picked = ranked.select("_pid", "_rid", *keys, "_v").join(targets, ["_pid", "_rid"])
     low = F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v")))
     high = F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v")))
     per_q = picked.groupBy(*keys, "_q").agg(
@@ -116,7 +89,4 @@ def _distributed_quantiles(
             (F.col("_hi") - F.col("_pos")) * F.col("_low") + (F.col("_pos") - F.col("_lo")) * F.col("_high")
         ),
     )
-    result = per_q.groupBy(*keys).pivot("_q", list(probs)).agg(F.first("_val"))
-    result = cut_lineage(result)
-    ranked.unpersist()
-    return result
+    return per_q.groupBy(*keys).agg(*[F.max(F.when(F.col("_q") == name, F.col("_val"))).alias(name) for name in probs])

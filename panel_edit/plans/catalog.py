@@ -67,19 +67,13 @@ def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = fx.bounds(spark, sf_dir)
     r = ratios(spark, sf_dir)
-    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast,
-                         group_rows=b.parent_rows)
-    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER, broadcast=b.broadcast,
-                            group_rows=b.parent_rows)
+    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER)
+    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER)
 
 
 def iqr(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = fx.bounds(spark, sf_dir)
-    return outliers.iqr_fences(df, "raw", ["parent", "period"], "uncon", IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER,
-                               broadcast=b.broadcast, largest_group=b.largest_group,
-                               group_rows=b.parent_period_rows)
+    return outliers.iqr_fences(df, "raw", ["parent", "period"], "uncon", IQR_LOWER, IQR_UPPER, IQR_MULTIPLIER)
 
 
 def q_w1_forward(spark, sf_dir):
@@ -115,13 +109,11 @@ def totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def outlier_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = with_flags(spark, sf_dir)
     keep = [*IDS, "period", "uncon", *[c for c in f.columns if c.startswith("master_")]]
-    b = fx.bounds(spark, sf_dir)
-    return constrain.parent_mean(f.select(*keep), broadcast=b.broadcast, group_rows=b.parent_period_rows)
+    return constrain.parent_mean(f.select(*keep))
 
 
 def constrained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return constrain.constrain_to_parent_totals(outlier_means(spark, sf_dir), totals_long(spark, sf_dir), TRANSACTION,
-                                                broadcast=fx.bounds(spark, sf_dir).broadcast)
+    return constrain.constrain_to_parent_totals(outlier_means(spark, sf_dir), totals_long(spark, sf_dir), TRANSACTION)
 
 
 def q_d2_iqr(spark, sf_dir):
@@ -177,7 +169,7 @@ def q_r3_metrics_wide(spark, sf_dir):
 
 def q_d6_union_sorted(spark, sf_dir):
     p = fx.panel(spark, sf_dir)
-    first = fx.wide(p.where(F.col("parent_key") % 2 == 0), "uncon").withColumn("master_flag", F.lit("TRUE"))
+    first = fx.wide(p, "uncon").withColumn("master_flag", F.lit("TRUE"))
     second = fx.wide(p, "con").withColumn("master_flag", F.lit("MEAN")).withColumn("source", F.lit("con"))
     return rounded(constrain.union_sorted(first, second))
 
@@ -245,19 +237,16 @@ def imputation(spark: SparkSession, sf_dir: str, extrapolated: bool = True) -> t
 
 
 def apportioned(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
-    b = fx.bounds(spark, sf_dir)
     panel, imputed = imputation(spark, sf_dir)
     imputed = cut_lineage(imputed.select("area", "period", "imputed"))
-    p = apportion.proportions(panel, broadcast=b.broadcast, check=check, group_rows=b.parent_period_rows)
-    return apportion.apportion(p, imputed, broadcast=b.broadcast, check=check, group_rows=b.parent_period_rows)
+    p = apportion.proportions(panel, check=check)
+    return apportion.apportion(p, imputed, check=check)
 
 
 def rolled_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D10-D13 chained; their checks run once on the materialised result."""
-    b = fx.bounds(spark, sf_dir)
-    r = apportion.remove_negatives(apportioned(spark, sf_dir, check=False), broadcast=b.broadcast, check=False,
-                                   group_rows=b.parent_period_rows)
-    r = cut_lineage(apportion.rollback_years(r, broadcast=b.broadcast, check=False, group_rows=b.parent_rows))
+    r = apportion.remove_negatives(apportioned(spark, sf_dir, check=False), check=False)
+    r = cut_lineage(apportion.rollback_years(r, check=False))
     apportion.check_apportioned(r)
     return r
 
@@ -344,8 +333,7 @@ def q_d9_extrapolate(spark, sf_dir):
 
 def q_d10_proportions(spark, sf_dir):
     panel, _ = imputation(spark, sf_dir, extrapolated=False)
-    b = fx.bounds(spark, sf_dir)
-    p = apportion.proportions(panel, broadcast=b.broadcast, group_rows=b.parent_period_rows)
+    p = apportion.proportions(panel)
     return rounded(p.select("area", "parent", "period", "con", "parent_total", "non_outlier_total", "proportion"),
                    proportion=12)
 
@@ -360,9 +348,7 @@ def q_d11_apportion(spark, sf_dir):
 
 
 def q_d12_no_negatives(spark, sf_dir):
-    b = fx.bounds(spark, sf_dir)
-    r = apportion.remove_negatives(apportioned(spark, sf_dir), broadcast=b.broadcast,
-                                   group_rows=b.parent_period_rows)
+    r = apportion.remove_negatives(apportioned(spark, sf_dir))
     return rounded(r.select("area", "parent", "period", "min_adjusted", "abs_adjustment", "over_adjusted",
                             "readjusted_con"), **MONEY3)
 
@@ -390,8 +376,7 @@ def q_v2_zero_total(spark, sf_dir):
     p = fx.panel(spark, sf_dir).withColumn("year_to_adjust", parse_year_list("listed"))
     p = p.withColumn("con", F.when((F.col("parent_key") == 3) & (F.col("period") == 1999), F.lit(0.0))
                      .otherwise(F.col("con")))
-    b = fx.bounds(spark, sf_dir).broadcast
-    return checks.zero_totals(apportion.proportions(p, check=False, broadcast=b), ["parent", "period"],
+    return checks.zero_totals(apportion.proportions(p, check=False), ["parent", "period"],
                               "non_outlier_total")
 
 

@@ -15,13 +15,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panel_edit.operators import change, checks, constrain, outliers, reshape
-from panel_edit.operators.groups import GroupBounds, group_bounds, use_window
+from panel_edit.operators.groups import id_violations
 from panel_edit.session import cut_lineage
 from panel_edit.sources.qa import parameters_frame
 
 IDS = reshape.DEFAULT_IDS
 
 
+def _check_ids(areas: DataFrame, parent: str, area: str, ids: Sequence[str]) -> None:
+    """Area rows need their codes and must be unique: the wide pivots would be ambiguous."""
+    missing, duplicates = id_violations(areas.select(*ids), parent, area, ids)
+    if missing:
+        raise checks.CheckFailed(f"{missing} rows without an area or parent code")
+    if duplicates:
+        raise checks.CheckFailed(f"{duplicates} duplicate area rows: the wide pivots would be ambiguous")
+
+
 @dataclass
 class PreprocessResult:
     output: DataFrame
@@ -47,30 +56,20 @@ def preprocess(
     iqr_multiplier: float = 3.0,
     ids: Sequence[str] = IDS,
     check: bool = True,
-    bounds: GroupBounds | None = None,
     transaction_col: str = "transaction",
     total_descriptors: Sequence[str] = constrain.TOTAL_DESCRIPTORS,
 ) -> PreprocessResult:
     """Stage 1: flag outlier areas and constrain them (and their parent mean) to parent totals.
 
     ``panel_wide``: ids + one column per period of unconstrained values.
-    ``bounds``: optional larger bounds to plan with (the job always measures
-    its own input in one job, which also checks that area rows are unique).
     ``totals_wide``: parent totals, ids (parent, transaction, descriptors) +
     one column per period. The output has two rows per outlier area: its
     values ("TRUE") and the non-outlier mean of its parent ("MEAN"), each
     with ``CONLSOA_<period>`` constrained columns.
     """
     area, parent = ids[0], ids[2]
-    # One job: group-size bounds and the uniqueness of area rows (the pivots below need it).
-    b = group_bounds(panel_wide.select(*ids), parent, area, end - start + 1, ids=ids)
-    if bounds is not None:
-        b = GroupBounds(max(b.parents, bounds.parents), max(b.largest_group, bounds.largest_group), b.periods,
-                        duplicate_rows=b.duplicate_rows)
-    if check and b.missing_ids:
-        raise checks.CheckFailed(f"{b.missing_ids} rows without an area or parent code")
-    if check and b.duplicate_rows:
-        raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the wide pivots would be ambiguous")
+    if check:
+        _check_ids(panel_wide, parent, area, ids)
     long = reshape.wide_to_long(panel_wide, "period", "uncon", periods=(start, end))
     long = long.where(F.col("period").between(start, end))
     # Only the job's periods can meet the panel: other period columns are never read.
@@ -83,24 +82,18 @@ def preprocess(
     df = change.rate_of_change(long, area=area)
     df = change.flag_rollback_years(df, rollback_start, rollback_end)
     if zscore:
-        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower, broadcast=b.broadcast,
-                              group_rows=b.parent_rows)
-        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower, broadcast=b.broadcast,
-                              group_rows=b.parent_rows)
+        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower)
+        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower)
     if iqr:
         df = outliers.iqr_fences(
-            df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier,
-            broadcast=b.broadcast, largest_group=b.largest_group, group_rows=b.parent_period_rows,
-        )
+            df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier)
     df = outliers.master_flag(df, zscore, iqr, area=area)
     interim = cut_lineage(df)
 
     keep = [*ids, "period", "uncon", *[c for c in interim.columns if c.startswith("master_")]]
-    flagged = constrain.parent_mean(interim.select(*keep), parent=parent, broadcast=b.broadcast,
-                                    group_rows=b.parent_period_rows)
+    flagged = constrain.parent_mean(interim.select(*keep), parent=parent)
     flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, transaction_col=transaction_col,
-                                                   drop_cols=total_descriptors, parent=parent,
-                                                   broadcast=b.broadcast)
+                                                   drop_cols=total_descriptors, parent=parent)
 
     periods = list(range(start, end + 1))
     out_long = reshape.metrics_long(flagged.drop("mean_non_outlier", "con_mean"), "uncon", "con_area", ids=ids)
@@ -144,7 +137,6 @@ def adjust(
     ids: Sequence[str] = IDS,
     component_filters: dict | None = None,
     check: bool = True,
-    bounds: GroupBounds | None = None,
 ) -> AdjustResult:
     """Stage 2: impute the listed area-periods and re-apportion within each parent and period.
 
@@ -156,14 +148,8 @@ def adjust(
     from panel_edit.operators import apportion, decisions as dec, filters, impute
 
     area, parent = ids[0], ids[2]
-    b = group_bounds(uncon_wide.select(*ids), parent, area, end - start + 1, ids=ids)
-    if bounds is not None:
-        b = GroupBounds(max(b.parents, bounds.parents), max(b.largest_group, bounds.largest_group), b.periods,
-                        duplicate_rows=b.duplicate_rows, areas=b.areas)
-    if check and b.missing_ids:
-        raise checks.CheckFailed(f"{b.missing_ids} rows without an area or parent code")
-    if check and b.duplicate_rows:
-        raise checks.CheckFailed(f"{b.duplicate_rows} duplicate area rows: the final pivot would be ambiguous")
+    if check:
+        _check_ids(uncon_wide, parent, area, ids)
     d = dec.year_list(dec.adjust_flag(decisions))
     if check:
         dec.check_year_lists(d, start, end)
@@ -186,20 +172,13 @@ def adjust(
     imputed = imputed.select(area, "period", "imputed")  # read once, from the materialised panel
 
     # Checks of the four steps run once, below, on the materialised result.
-    rows = b.parent_period_rows
-    if use_window(b.parent_rows):
-        # Every following window is per parent or per (parent, period): one exchange for all.
-        panel = panel.repartition(parent)
-    df = apportion.proportions(panel, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
-    # Imputed rows are a subset of the panel's rows: bounded by areas x periods.
-    df = apportion.apportion(df, imputed, area=area, parent=parent, check=False, broadcast=b.broadcast,
-                             group_rows=rows, imputed_broadcast=b.fits_broadcast(b.panel_rows))
+    df = apportion.proportions(panel, parent=parent, check=False)
+    df = apportion.apportion(df, imputed, area=area, parent=parent, check=False)
     value = "adjusted_con"
     if not accept_negatives:
-        df = apportion.remove_negatives(df, parent=parent, check=False, broadcast=b.broadcast, group_rows=rows)
+        df = apportion.remove_negatives(df, parent=parent, check=False)
         value = "readjusted_con"
-    df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=False, broadcast=b.broadcast,
-                                  group_rows=b.parent_rows, latest=latest)
+    df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=False, latest=latest)
     interim = cut_lineage(df)
     if check:
         apportion.check_apportioned(interim, parent=parent)

@@ -21,17 +21,20 @@ geo AS (
 base AS (
   SELECT s.area_key, g.area_name, g.parent_key, g.parent_name, s.period, s.v,
          max(CASE WHEN s.period = 1997 THEN s.v END) OVER (PARTITION BY s.area_key) AS copy_value,
-         min(s.area_key) OVER (PARTITION BY g.parent_key) AS first_area
-  FROM sums s JOIN geo g ON s.area_key = g.area_key),
+         fa.first_area
+  FROM sums s JOIN geo g ON s.area_key = g.area_key
+  JOIN (SELECT parent_key, min(area_key) AS first_area FROM geo GROUP BY parent_key) fa ON fa.parent_key = g.parent_key),
 panel AS (
   SELECT 'A' || CAST(area_key AS VARCHAR) AS area, area_name,
          CASE WHEN parent_key = 1 THEN 'S30' ELSE 'E06' END || CAST(parent_key AS VARCHAR) AS parent,
          parent_name, period,
-         CASE WHEN parent_key % 2 = 0 AND period <= 1996 THEN copy_value ELSE v END AS uncon,
-         v * (parent_key + 1) AS con,
+         CASE WHEN area_key % 17 = 5 AND period = 2000 THEN NULL WHEN area_key % 13 = 4 AND period = 1999 THEN 0.0
+              WHEN parent_key % 2 = 0 AND period <= 1996 THEN copy_value ELSE v END AS uncon,
+         CASE WHEN parent_key = 4 AND period = 1997 THEN floor(v / 1000) ELSE v END * (parent_key + 1) AS con,
          CASE WHEN area_key = first_area OR area_key % 3 <> 0 THEN ''
               WHEN area_key % 4 = 0 THEN '1995'
               WHEN area_key % 4 = 1 THEN '1998, 1999'
+              WHEN area_key % 20 = 6 THEN '1998,1999,2000,2001'
               WHEN area_key % 4 = 2 THEN '2001.0'
               ELSE '1997' END AS listed,
          area_key, parent_key
@@ -147,11 +150,11 @@ def _next_free(period: str, lst: str, end: int) -> str:
 
 DECISIONS = PANEL + f""",
 dec AS (
-  SELECT area, area_name, parent, parent_name,
+  SELECT DISTINCT area, area_name, parent, parent_name,
          CASE WHEN listed <> '' THEN 'TRUE' WHEN area_key % 3 = 1 THEN 'FALSE'
               WHEN area_key % 3 = 2 THEN NULL ELSE 'no' END AS adjust_text,
          CASE WHEN listed <> '' THEN listed WHEN area_key % 3 = 1 THEN '1999' END AS year_text
-  FROM panel WHERE period = 2001),
+  FROM panel),
 p9 AS (SELECT area, area_name, parent, parent_name, coalesce(adjust_text = 'TRUE', false) AS adjust,
               {_years_list("year_text")} AS year FROM dec),
 f2 AS (SELECT area, parent, adjust, year FROM p9 WHERE adjust)"""
@@ -396,7 +399,7 @@ SELECT {IDS}, period, {FLAGS}, 'CONLSOA', round(con_area, 4), 'CONLSOA_' || CAST
     "r3_metrics_wide": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area")),
     "d6_union_sorted": _with(PANEL, f"""
 SELECT {IDS}, {_pivot("uncon")}, 'TRUE' AS master_flag, CAST(NULL AS VARCHAR) AS source
-FROM panel WHERE parent_key % 2 = 0 GROUP BY {IDS}
+FROM panel GROUP BY {IDS}
 UNION ALL
 SELECT {IDS}, {_pivot("con")}, 'MEAN', 'con' FROM panel GROUP BY {IDS}"""),
     "e1_preprocess": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area", digits=6) + "\nUNION ALL\n"

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,7 +32,7 @@ def build_session(
         # Checkpoint files of frames no longer referenced are removed.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Local mode runs every task inside the driver JVM.
-        "spark.driver.memory": os.environ.get("PANEL_EDIT_DRIVER_MEMORY", "16g"),
+        "spark.driver.memory": os.environ.get("PANEL_EDIT_DRIVER_MEMORY", "4g"),
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -64,32 +65,36 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for intermediate files on the cluster's shared storage.
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder on storage that all executors share.
 
-    Placed under the session's checkpoint folder (or the warehouse folder
-    when no checkpoint folder is named), never on one machine's local disk.
+    A cluster must name one (``spark.checkpoint.dir``). A session on one
+    machine, as in tests, gets a folder of its own where none is named.
     """
+    found = checkpoint_dir(spark)
+    if found:
+        return found
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="panel-edit-ckpt-"))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate files, under the shared checkpoint folder."""
     import uuid
 
-    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/panel_edit_scratch/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/panel_edit_scratch/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so that later stages do not recompute its lineage.
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of :func:`scratch_path` through Spark's file system layer."""
+    if "/panel_edit_scratch/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
-    With a checkpoint folder (shared storage on a cluster) the frame is written
-    there, which survives the loss of any executor. Without one the frame is
-    persisted to memory and local disk; lost blocks are then recomputed from
-    lineage, which is slower but still correct.
-    """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if checkpoint_dir(df.sparkSession):
-        # Persisting first lets the checkpoint write read the computed rows
-        # instead of running the lineage a second time.
-        written = kept.checkpoint(eager=True)
-        kept.unpersist()
-        return written
-    kept.count()
-    return kept
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder: later stages don't recompute it, and a lost executor loses none of it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
