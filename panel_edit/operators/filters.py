@@ -13,6 +13,19 @@ def filter_period(df: DataFrame, start: int, end: int, period: str = "period") -
     return df.where(F.col(period).between(start, end))
 
 
+COMPONENT_LABELS = ("SAS code", "CORD code", "Credit/Debit code")
+
+
+def component_presence(
+    df: DataFrame, codes: tuple[str, str, str], columns: tuple[str, str, str] = ("sas_code", "cord_code", "credit_debit")
+) -> DataFrame:
+    """Report rows (label, code, present) of the three component codes, from one aggregate."""
+    has = [F.coalesce(F.max((F.col(c) == F.lit(v)).cast("int")), F.lit(0)).alias(f"_has{i}") for i, (c, v) in enumerate(zip(columns, codes))]
+    return df.agg(*has).select(F.explode(F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(code).alias("code"), (F.col(f"_has{i}") == 1).alias("present"))
+        for i, (label, code) in enumerate(zip(COMPONENT_LABELS, codes))])).alias("r")).select("r.*")
+
+
 def filter_component(
     df: DataFrame,
     sas_code: str,
@@ -24,13 +37,8 @@ def filter_component(
 
     The three presence tests run as one aggregate job, checked in order.
     """
-    labels = ("SAS code", "CORD code", "Credit/Debit code")
-    values = (sas_code, cord_code, credit_debit)
-    found = df.agg(
-        *[F.max((F.col(c) == F.lit(v)).cast("int")).alias(f"_has{i}") for i, (c, v) in enumerate(zip(columns, values))]
-    ).first()
-    for i, (label, value) in enumerate(zip(labels, values)):
-        if not found or not found[f"_has{i}"]:
-            raise checks.CheckFailed(f"{label} '{value}' not found in data.")
+    for r in component_presence(df, (sas_code, cord_code, credit_debit), columns).collect():  # 3 rows
+        if not r["present"]:
+            raise checks.CheckFailed(f"{r['label']} '{r['code']}' not found in data.")
     cond = (F.col(columns[0]) == sas_code) & (F.col(columns[1]) == cord_code) & (F.col(columns[2]) == credit_debit)
     return df.where(cond)

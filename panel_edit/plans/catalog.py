@@ -19,7 +19,7 @@ from panel_edit.functions.lists import next_free_year, parse_year_list, previous
 from panel_edit.operators import (
     apportion, change, checks, constrain, decisions, filters, impute, mapping, outliers, reshape,
 )
-from panel_edit.session import cut_lineage, scratch_path
+from panel_edit.session import cut_lineage, remove_path, scratch_path
 from panel_edit.sources import csv
 from panel_edit.sources.tables import table
 from panel_edit.plans import fixtures as fx
@@ -445,10 +445,62 @@ OUTPUT_SCHEMA = {header: {"old_name": name, "type": "str"} for name, header in F
 INPUT_SCHEMA = {name: {"old_name": header, "type": "str"} for name, header in FILE_HEADERS.items()}
 
 
+#: Cells that need quoting, and one column of each declared type (fixed values).
+QUOTED = {"note": {"old_name": "note", "type": "str"}, "rank": {"old_name": "rank", "type": "int"},
+          "share": {"old_name": "share", "type": "float"}, "even": {"old_name": "even", "type": "bool"}}
+
+
+def quoted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide panel with a text that holds comma, quotes and a newline, and int, float and bool columns."""
+    key = F.substring("area", F.lit(2), F.lit(20)).cast("bigint")
+    return fx.wide(fx.panel(spark, sf_dir), "uncon").withColumns({
+        "note": F.concat(F.col("area_name"), F.lit(', "quoted"\nand \\ more')), "rank": key,
+        "share": key / F.lit(4.0), "even": key % 2 == 0})
+
+
 def q_io1_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "io1")
-    csv.write_with_schema(fx.wide(fx.panel(spark, sf_dir), "uncon"), path, OUTPUT_SCHEMA)
-    return rounded(csv.read_with_schema(spark, path, INPUT_SCHEMA))
+    csv.write_with_schema(quoted_cells(spark, sf_dir), path, {**OUTPUT_SCHEMA, **QUOTED})
+    back = cut_lineage(rounded(csv.read_with_schema(spark, path, {**INPUT_SCHEMA, **QUOTED})))
+    remove_path(spark, path)
+    return back
+
+
+def q_v3_negatives(spark, sf_dir):
+    """Negative values after an adjustment that takes too much: the panel less its smallest value by parent and period."""
+    p = fx.panel(spark, sf_dir).withColumn("readjusted_con", F.col("con") - 250000.0)
+    return rounded(checks.negatives(p, "readjusted_con").select("area", "parent", "period", "readjusted_con"))
+
+
+def spoilt_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions in which some areas list a year twice and some a year out of range."""
+    key = F.substring("area", F.lit(2), F.lit(20)).cast("bigint")
+    d = fx.decisions(spark, sf_dir).withColumn(
+        "year", F.when(key % 5 == 1, F.lit("1999,1999")).when(key % 7 == 2, F.lit("1990, 2001")).otherwise(F.col("year")))
+    return decisions.year_list(d)
+
+
+def q_v7_duplicate_years(spark, sf_dir):
+    twice, _ = decisions.year_list_violations(spoilt_decisions(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    return twice.select("area", listed_text().alias("years"))
+
+
+def q_v8_years_out_of_range(spark, sf_dir):
+    _, beyond = decisions.year_list_violations(spoilt_decisions(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    return beyond.select("area", listed_text().alias("years"))
+
+
+def q_v9_component_presence(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("sas_code"), F.col("l_linestatus").alias("cord_code"), F.col("l_linestatus").alias("credit_debit"))
+    return filters.component_presence(li, ("R", "F", "no such code"))
+
+
+def q_v10_schema_violations(spark, sf_dir):
+    """A schema that the panel breaks: a column that isn't there, a text declared int, integers with gaps."""
+    p = fx.panel(spark, sf_dir).select("area", F.col("uncon").cast("bigint").alias("uncon"), "con")
+    return csv.schema_report(p, {c: {"type": t} for c, t in
+                                 (("area", "int"), ("uncon", "int"), ("con", "float"), ("absent", "str"))})
 
 
 def _one_build(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

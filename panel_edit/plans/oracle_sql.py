@@ -285,7 +285,24 @@ _YCOLS = ", ".join(f'round("{y}", 4) AS "{y}"' for y in YEARS)
 _YSUMS = ", ".join(f'round(coalesce(sum("{y}"), 0), 4) AS "{y}"' for y in YEARS)
 
 ORACLE: dict[str, str] = {
-    "io1_csv_roundtrip": _with(PANEL, f"SELECT {IDS}, {_pivot('uncon')} FROM panel GROUP BY {IDS}"),
+    "io1_csv_roundtrip": _with(PANEL, f"""
+SELECT {IDS}, {_pivot('uncon')}, area_name || ', "quoted"' || chr(10) || 'and ' || chr(92) || ' more' AS note,
+       CAST(area_key AS BIGINT) AS rank, round(area_key / 4.0, 4) AS share, area_key % 2 = 0 AS even
+FROM panel GROUP BY {IDS}, area_key"""),
+    "v3_negatives": _with(PANEL, """
+SELECT area, parent, period, round(con - 250000.0, 4) AS readjusted_con FROM panel WHERE con - 250000.0 < 0"""),
+    "v7_duplicate_years": _with(PANEL, """
+SELECT DISTINCT area, '1999,1999' AS years FROM panel WHERE area_key % 5 = 1"""),
+    "v8_years_out_of_range": _with(PANEL, """
+SELECT DISTINCT area, '1990,2001' AS years FROM panel WHERE area_key % 7 = 2 AND area_key % 5 <> 1"""),
+    "v9_component_presence": """
+SELECT 'SAS code' AS label, 'R' AS code, count(*) > 0 AS present FROM lineitem WHERE l_returnflag = 'R'
+UNION ALL SELECT 'CORD code', 'F', count(*) > 0 FROM lineitem WHERE l_linestatus = 'F'
+UNION ALL SELECT 'Credit/Debit code', 'no such code', count(*) > 0 FROM lineitem WHERE l_linestatus = 'no such code'""",
+    "v10_schema_violations": _with(PANEL, """
+SELECT 'uncon' AS "column", 'int' AS declared, 'missing values' AS problem, count(*) AS n FROM panel
+WHERE uncon IS NULL HAVING count(*) > 0
+UNION ALL VALUES ('area', 'int', 'type string', 0), ('absent', 'str', 'no such column', 0)"""),
     "p4_prefix_rename": _with(MAPPING, f"""
 SELECT area, area_name, parent AS data_lau_code, parent_name AS data_lau_name, {_YCOLS},
        (SELECT bool_or(starts_with(parent, 'S30')) FROM wcon) AS need_mapping FROM wcon"""),

@@ -124,6 +124,11 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
         mapper = csv.read_with_schema(spark, paths["mapper"], _schema(paths, "mapper_schema") or {})
         aggregate = bool(us.get("aggregate_to_parent", us.get("aggregate_to_lad", False)))
         r = jobs.map_geography(adjusted, mapper, aggregate=aggregate, code_col=ids[2], name_col=ids[3])
+        if r.need_mapping:
+            # What the lookup left out or multiplied is written and counted, never dropped silently.
+            for name, frame in (("mapping_unmatched", r.unmatched), ("mapping_ambiguous", r.ambiguous)):
+                csv.write_with_schema(frame, target(name), single_file=single)
+                results[f"{name}_rows"] = frame.count()
         if r.need_mapping and write:
             name = "mapping_output_aggregated" if aggregate else "mapping_output_not_aggregated"
             csv.write_with_schema(r.output.orderBy(*[c for c in ids if c in r.output.columns]), target(name),

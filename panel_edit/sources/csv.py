@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 
 
 SPARK_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
+#: Spark types that satisfy a declared type.
+ACCEPTED = {"int": ("tinyint", "smallint", "int", "bigint"), "float": ("float", "double"), "str": ("string",), "bool": ("boolean",)}
+#: Cells read as missing (fixed values: those of the usual CSV readers).
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+           "NaN", "None", "n/a", "nan", "null")
 
 
 def load_schema(path: str) -> dict[str, dict[str, str]]:
@@ -36,34 +41,58 @@ def rename_columns(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> Da
 
 
 def convert_types(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """Cast listed columns; text that does not parse as a number becomes NULL (``try_cast``)."""
+    """Cast listed columns; a cell that doesn't parse, or isn't a whole number in an ``int`` column, becomes NULL.
+
+    A whole number may be written as "12.0".
+    """
     casts = {}
     for name, props in schema.items():
         target = SPARK_TYPES.get(props.get("type"))
         if name not in df.columns or target is None:
             continue
-        if target in ("bigint", "double"):
-            casts[name] = F.expr(f"try_cast(`{name}` AS {target})")
-            if target == "bigint":
-                # "12.0" is a valid integer cell.
-                casts[name] = F.coalesce(casts[name], F.expr(f"try_cast(try_cast(`{name}` AS double) AS bigint)"))
-        else:
-            casts[name] = F.col(f"`{name}`").cast(target)
+        cast = F.col(f"`{name}`").try_cast(target)
+        if target == "bigint":
+            as_double = F.col(f"`{name}`").try_cast("double")
+            cast = F.coalesce(F.when(as_double.isNull() | (as_double == F.floor(as_double)), cast),
+                              F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
+        casts[name] = cast
     return df.withColumns(casts) if casts else df
 
 
-def schema_violations(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> None:
-    """Every listed column must exist; ``int`` columns must hold no missing value (one aggregate job)."""
-    for name in schema:
-        if name not in df.columns:
-            raise ValueError(f"Missing expected column: {name}")
-    ints = [n for n, p in schema.items() if p.get("type") == "int"]
+def schema_report(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Violations as rows (column, declared, problem, n): missing column, other type, missing values in ``int`` columns.
+
+    One aggregate job over the data, when it is run.
+    """
+    types, found, ints = dict(df.dtypes), [], []
+    for name, props in schema.items():
+        declared = props.get("type")
+        if name not in types:
+            found.append((name, declared, "no such column", 0))
+        elif declared in ACCEPTED:
+            if types[name] not in ACCEPTED[declared]:
+                found.append((name, declared, f"type {types[name]}", 0))
+            elif declared == "int":
+                ints.append(name)
+    fixed = df.sparkSession.createDataFrame(found, "column string, declared string, problem string, n bigint")
     if not ints:
-        return
-    nulls = df.agg(*[F.sum(F.col(f"`{n}`").isNull().cast("long")).alias(n) for n in ints]).first()
-    bad = [n for n in ints if nulls[n]]
-    if bad:
-        raise TypeError(f"Columns {bad} do not match expected type int")
+        return fixed
+    counts = df.agg(*[F.coalesce(F.sum(F.col(f"`{n}`").isNull().cast("long")), F.lit(0)).alias(f"_{i}") for i, n in enumerate(ints)])
+    rows = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("column"), F.lit("int").alias("declared"), F.lit("missing values").alias("problem"), F.col(f"_{i}").alias("n"))
+        for i, n in enumerate(ints)])).alias("r")).select("r.*")
+    return fixed.unionByName(rows.where("n > 0"))
+
+
+def schema_violations(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> None:
+    """Raise on the first of :func:`schema_report`: every column listed, of its type, ``int`` without missing values."""
+    absent = [name for name in schema if name not in df.columns]
+    if absent:
+        raise ValueError(f"Missing expected column: {absent[0]}")
+    wrong = [f"{r['column']}: {r['problem']}" + (f" ({r['n']})" if r["n"] else "") + f", declared {r['declared']}"
+             for r in schema_report(df, schema).collect()]  # at most one row per listed column
+    if wrong:
+        raise TypeError("columns do not match their declared types: " + "; ".join(wrong))
 
 
 def read_with_schema(
@@ -72,14 +101,20 @@ def read_with_schema(
     schema: Mapping[str, Mapping[str, str]] | str,
     period_type: str | None = "double",
     validate: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a headered CSV (file or folder), then rename, convert and validate against ``schema``.
 
-    ``period_type=None`` keeps period columns as text (e.g. "1,234.5", parsed later).
+    Quotes inside quoted cells are doubled, and a quoted cell may hold newlines
+    (``multi_line=False`` gives that up for files that can be split). Cells of
+    ``MISSING`` are NULL. ``period_type=None`` keeps period columns as text
+    (e.g. "1,234.5", parsed later).
     """
     if isinstance(schema, str):
         schema = load_schema(schema)
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
+          .option("multiLine", multi_line).csv(path))
+    df = df.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
     df = rename_columns(df, schema)
     df = convert_types(df, schema)
     periods = ({c: F.expr(f"try_cast(`{c}` AS {period_type})") for c in df.columns if c[:1].isdigit()}
@@ -111,6 +146,6 @@ def write_with_schema(
         df = df.coalesce(1)
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     else:
         writer.format(fmt).save(path)
