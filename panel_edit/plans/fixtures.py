@@ -38,7 +38,7 @@ COPY_BACK_END = 1996
 ROLLBACK_START = 1995
 ROLLBACK_END = 1996
 SCOTTISH_REGION = 1
-SHRUNK_REGION = 4
+SHRUNK_REGION = 1
 TRANSACTIONS = ("Household income", "Other income")
 
 

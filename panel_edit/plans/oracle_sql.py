@@ -30,7 +30,7 @@ panel AS (
          parent_name, period,
          CASE WHEN area_key % 17 = 5 AND period = 2000 THEN NULL WHEN area_key % 13 = 4 AND period = 1999 THEN 0.0
               WHEN parent_key % 2 = 0 AND period <= 1996 THEN copy_value ELSE v END AS uncon,
-         CASE WHEN parent_key = 4 AND period = 1997 THEN floor(v / 1000) ELSE v END * (parent_key + 1) AS con,
+         CASE WHEN parent_key = 1 AND period = 1997 THEN floor(v / 1000) ELSE v END * (parent_key + 1) AS con,
          CASE WHEN area_key = first_area OR area_key % 3 <> 0 THEN ''
               WHEN area_key % 4 = 0 THEN '1995'
               WHEN area_key % 4 = 1 THEN '1998, 1999'

@@ -67,11 +67,25 @@ def test_csv_round_trip_with_schema(spark, tmp_path):
     assert (r.area, r["count"], r["Additional col"], r["2020"]) == ("E1", 5, "keep", 1.5)
     with pytest.raises(ValueError, match="do not exist"):
         csv.read_with_schema(spark, path, {"x": {"old_name": "missing", "type": "str"}})
-    bad = spark.createDataFrame([("E1", "n/a")], "a string, b string")
+    bad = spark.createDataFrame([("E1", "unknown")], "a string, b string")
     csv.write_with_schema(bad, path)
     with pytest.raises(TypeError):
         csv.read_with_schema(spark, path, {"b": {"old_name": "b", "type": "int"}})
-    assert csv.read_with_schema(spark, path, {"b": {"old_name": "b", "type": "Int"}}).first().b == "n/a"
+    assert csv.read_with_schema(spark, path, {"b": {"old_name": "b", "type": "Int"}}).first().b == "unknown"
+
+
+def test_csv_quotes_missing_cells_and_types(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text('name,2010,n,ok\n"a ""b"", c",1,12.0,true\n"two\nlines",2,12.7,perhaps\nNA,3,N/A,false\n')
+    schema = {"label": {"old_name": "name", "type": "str"}, "n": {"old_name": "n", "type": "int"}, "ok": {"old_name": "ok", "type": "bool"}}
+    got = csv.read_with_schema(spark, str(path), schema, validate=False)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [
+        ('a "b", c', 1.0, 12, True), ("two\nlines", 2.0, None, None), (None, 3.0, None, False)]
+    report = {(r["column"], r["problem"], r["n"]) for r in csv.schema_report(
+        got, {"label": {"type": "float"}, "n": {"type": "int"}, "ok": {"type": "bool"}, "gone": {"type": "str"}}).collect()}
+    assert report == {("label", "type string", 0), ("n", "missing values", 2), ("gone", "no such column", 0)}
+    with pytest.raises(TypeError, match="label: type string"):
+        csv.schema_violations(got, {"label": {"type": "int"}})
 
 
 def test_schema_from_toml(tmp_path):

@@ -48,7 +48,7 @@ def test_run_pipeline_from_config(spark, tmp_path):
         },
     }
     results = run_pipeline(spark, config)
-    assert set(results) == {"preprocessing", "adjustment", "mapping"}
+    assert set(results) == {"preprocessing", "adjustment", "mapping", "mapping_unmatched_rows", "mapping_ambiguous_rows"}
     written = sorted(os.listdir(f"{d}/out"))
     assert "t_adjustment_output" in written and "t_preprocessing_config" in written
     assert "t_mapping_output_not_aggregated" in written
@@ -56,4 +56,5 @@ def test_run_pipeline_from_config(spark, tmp_path):
                                                                         for n, h in HEADERS.items()})
     got = sorted(tuple(round(v, 3) if isinstance(v, float) else v for v in r) for r in back.collect())
     assert got == sorted(tuple(r) for r in expected)
-    assert results["mapping"].unmatched.count() > 0
+    assert results["mapping_unmatched_rows"] == results["mapping"].unmatched.count() > 0
+    assert spark.read.option("header", True).csv(f"{d}/out/t_mapping_unmatched").count() == results["mapping_unmatched_rows"]

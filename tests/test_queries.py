@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from panel_edit.plans import catalog
 from panel_edit.plans import fixtures as fx
+from panel_edit.plans.oracle_sql import ORACLE
 from panel_edit.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
@@ -36,8 +37,8 @@ def _same(sdf, pdf):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 44
+    assert set(catalog.QUERIES) == set(ORACLE) and set(ORACLE) <= set(entry.oracle_sql())
+    assert len(catalog.QUERIES) >= 49
 
 
 @pytest.mark.parametrize("name", ["e1_preprocess", "e2_adjust", "e3_mapping", "d13_rollback_years",

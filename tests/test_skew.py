@@ -1,8 +1,8 @@
-"""A parent holding a third of all rows: the skew-safe plans give the same results as the window plans."""
+"""A parent holding a third of all rows: results do not depend on the partitioning."""
 
-import pytest
+from pyspark.sql import functions as F
 
-from panel_edit.operators import groups, quantiles
+from panel_edit.operators import quantiles
 from panel_edit.plans import catalog, jobs
 from panel_edit.plans import fixtures as fx
 
@@ -26,28 +26,25 @@ def _run(spark, panel, decisions):
     return _rounded(e1.interim.select(*cols), 6), _rounded(e1.output), _rounded(e2.output, 3)
 
 
-def test_hot_parent_same_results_under_skew_safe_plans(spark, monkeypatch):
+def test_hot_parent_same_results_for_any_partitioning(spark):
     with fx.one_build():
         panel = fx.hot_parent_panel(spark, SF)
         assert panel.where("parent = 'HOT'").count() * 3 >= panel.count() - 7 * 3
         decisions = (fx.decisions(spark, SF).drop("parent", "parent_name")
                      .join(panel.select("area", "parent", "parent_name").distinct(), "area")
                      .select("area", "area_name", "parent", "parent_name", "adjust", "year"))
-        window_plan = _run(spark, panel, decisions)
-        # Pretend any group above 10 rows is too big for one task: aggregate joins and distributed quantiles.
-        monkeypatch.setattr(groups, "WINDOW_MAX_ROWS", 10)
-        monkeypatch.setattr(quantiles, "DEFAULT_MAX_GROUP_ROWS", 10)
-        skew_plan = _run(spark, panel, decisions)
-    for a, b in zip(window_plan, skew_plan):
+        few = _run(spark, panel, decisions)
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        many = _run(spark, panel, decisions)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for a, b in zip(few, many, strict=True):
         assert a == b
-    assert len(window_plan[0]) == 700 and len(window_plan[2]) == 100
+    assert len(few[0]) == 700 and len(few[2]) == 100
 
 
-@pytest.mark.parametrize("hot_share", [3])
-def test_distributed_quantiles_on_hot_group(spark, hot_share):
-    df = spark.range(30000).selectExpr(f"CASE WHEN id % {hot_share} = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS g",
+def test_quantiles_of_a_hot_group_equal_percentile(spark):
+    df = spark.range(30000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS g",
                                        "CAST((id * 7919) % 10007 AS DOUBLE) AS v")
-    probs = {"q1": 0.25, "q3": 0.75}
-    single = _rounded(quantiles.group_quantiles(df, ["g"], "v", probs), 9)
-    spread = _rounded(quantiles.group_quantiles(df, ["g"], "v", probs, max_group_rows=100), 9)
+    single = _rounded(df.groupBy("g").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.75).alias("q3")), 9)
+    spread = _rounded(quantiles.group_quantiles(df, ["g"], "v", {"q1": 0.25, "q3": 0.75}), 9)
     assert single == spread and len(single) == 51

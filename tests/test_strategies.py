@@ -1,61 +1,58 @@
-"""Both plans for per-group statistics give the same results; the large-group plan never windows a parent."""
+"""One plan at every size: what it looks like, and what it returns when one parent holds a third of all rows."""
+
+import re
 
 from pyspark.sql import functions as F
 
-from panel_edit.operators import outliers
-from panel_edit.operators.groups import GroupBounds
-from panel_edit.plans import catalog, jobs
+from panel_edit.operators import apportion, decisions, outliers
+from panel_edit.operators.checks import CheckFailed
+from panel_edit.plans import catalog
 from panel_edit.plans import fixtures as fx
 from tests.conftest import SF_SMALL
 
-
-def _collect(df, digits=6):
-    out = []
-    for r in df.collect():
-        out.append(tuple(round(v, digits) if isinstance(v, float) else v for v in r))
-    return sorted(out, key=repr)
-
-
-def _huge(b: GroupBounds) -> GroupBounds:
-    """Pretend one parent holds more rows than a window task may take."""
-    return GroupBounds(b.parents, 10**9, b.periods)
-
-
-def test_preprocess_same_under_both_plans(spark):
-    with fx.one_build():
-        b = fx.bounds(spark, SF_SMALL)
-        p = fx.panel(spark, SF_SMALL)
-        args = dict(start=fx.START_YEAR, end=fx.END_YEAR, rollback_start=fx.ROLLBACK_START,
-                    rollback_end=fx.ROLLBACK_END, transaction=catalog.TRANSACTION, z_upper=2.0, z_lower=-2.0,
-                    iqr_multiplier=1.0, ids=catalog.IDS)
-        small = jobs.preprocess(fx.wide(p, "uncon"), fx.parent_totals(spark, SF_SMALL), bounds=b, **args)
-        large = jobs.preprocess(fx.wide(p, "uncon"), fx.parent_totals(spark, SF_SMALL), bounds=_huge(b), **args)
-        cols = ["area", "period", "bkwd_zscore", "frwd_zscore", "raw_q1", "raw_q3", "master_flag"]
-        assert _collect(small.interim.select(*cols)) == _collect(large.interim.select(*cols))
-        assert _collect(small.output) == _collect(large.output)
+import pytest
 
 
-def test_adjust_same_under_both_plans(spark):
-    with fx.one_build():
-        b = fx.bounds(spark, SF_SMALL)
-        p = fx.panel(spark, SF_SMALL)
-        args = dict(start=fx.START_YEAR, end=fx.END_YEAR, rollback_start=fx.ROLLBACK_START,
-                    rollback_end=fx.ROLLBACK_END, ids=catalog.IDS)
-        small = jobs.adjust(fx.decisions(spark, SF_SMALL), fx.wide(p, "con"), fx.wide(p, "uncon"), bounds=b, **args)
-        large = jobs.adjust(fx.decisions(spark, SF_SMALL), fx.wide(p, "con"), fx.wide(p, "uncon"),
-                            bounds=_huge(b), **args)
-        assert _collect(small.output, 4) == _collect(large.output, 4)
-        cols = ["area", "period", "parent_total", "adjusted_con", "readjusted_con", "rollback_con"]
-        assert _collect(small.interim.select(*cols), 4) == _collect(large.interim.select(*cols), 4)
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_large_group_plan_has_no_window_over_parent(spark):
+def test_statistics_never_window_a_parent(spark):
     df = spark.range(1000).select(
         (F.col("id") % 3).cast("string").alias("parent"), F.col("id").cast("string").alias("area"),
         (F.col("id") % 7).cast("double").alias("x"), F.lit(False).alias("rollback_flag"))
-    big = outliers.zscores(df, "bkwd", "parent", "x", broadcast=True, group_rows=10**9)
-    plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "BroadcastHashJoin" in plan
-    small = outliers.zscores(df, "bkwd", "parent", "x", group_rows=1000)
-    assert "Window" in small._jdf.queryExecution().executedPlan().toString()
-    assert _collect(big.select("area", "bkwd_zscore")) == _collect(small.select("area", "bkwd_zscore"))
+    plan = _plan(outliers.zscores(df, "bkwd", "parent", "x"))
+    assert "Window" not in plan and "partial_avg" in plan
+
+
+def test_a_second_query_scans_lineitem_once(spark):
+    for _ in range(2):
+        with fx.one_build():
+            plan = _plan(fx.build_panel(spark, SF_SMALL))
+        assert len(re.findall(r"FileScan parquet \[[^\]]*l_suppkey", plan)) == 1
+    # No frame of an earlier query is cached for the next.
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
+def test_every_violation_class_is_told_in_step_order(spark):
+    moved = [("p%02d" % i, 1, 10.0, 11.0, 5.0) for i in range(25)]
+    zero = [("q", 1, 10.0, 10.0, 0.0)]
+    df = spark.createDataFrame(moved + zero, "parent string, period int, con double, adjusted_con double, non_outlier_total double")
+    with pytest.raises(CheckFailed, match=r"zero non_outlier_total.* in 1 "):
+        apportion.check_apportioned(df)
+    with pytest.raises(CheckFailed, match=r"do not match.* in 25 .*first 10"):
+        apportion.check_apportioned(df.where("parent <> 'q'"))
+    lists = spark.createDataFrame([([1990],)] * 25 + [([2000, 2000],)], "year array<int>")
+    with pytest.raises(CheckFailed, match="duplicate years.* in 1 rows"):
+        decisions.check_year_lists(lists, 1995, 2001)
+    with pytest.raises(CheckFailed, match="out of the valid range 1995-2001 in 25 rows"):
+        decisions.check_year_lists(lists.where("year[0] = 1990"), 1995, 2001)
+
+
+def test_hard_branches_are_reached(spark):
+    sf = "/root/testdata/sf0.01"
+    assert catalog.QUERIES["d12_no_negatives"](spark, sf).where("abs_adjustment > 0").count() > 0
+    assert catalog.QUERIES["d9_extrapolate"](spark, sf).where("imputed is null").count() > 0
+    assert catalog.QUERIES["e1_preprocess"](spark, sf).count() > 0
+    w = catalog.QUERIES["w1_forward"](spark, sf)
+    assert w.where("forward_pct_change is null").count() > 100
