@@ -89,7 +89,7 @@ class Model:
         pairs = np.unique(row[hit] * max(len(self.hashes), 1) + at[hit])  # presence: a word counts once
         size = max(len(self.hashes), 1)
         logit = np.bincount(pairs // size, self.weights[pairs % size] if len(self.weights) else None, n) + self.bias
-        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        return np.round(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 9)
 
 
 def training_ids(labels: DataFrame, column: str, per_class: int) -> DataFrame:
