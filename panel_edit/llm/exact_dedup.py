@@ -209,7 +209,8 @@ def exact_groups(docs: DataFrame, digest: Callable[[bytes], bytes] = blake) -> D
         recipes = keep(_variants(slim, recipes, dictionary, clashing, digest))
     best = F.max(F.struct(F.col("points"), (-F.col("doc_id")).alias("low")))
     groups = recipes.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("recipe", (-F.col("best.low")).alias("keep_id"), F.col("best.points").alias("most"), "group_size")
+    # Written first: the join then stands apart from the aggregate, so that AQE can split a hot recipe's partition.
+    groups = keep(groups.select("recipe", (-F.col("best.low")).alias("keep_id"), F.col("best.points").alias("most"), "group_size"))
     return recipes.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size",
         (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("most"))).alias("kept"),
