@@ -34,21 +34,25 @@ def proportions(
     ``proportion = value / non_outlier_total`` for unlisted rows, NULL for
     listed ones. A zero non-outlier total is an error listing the groups.
     """
-    listed_row = contains_period(listed, period)
-    out = attach_group_stats(
-        df.withColumn("_listed", listed_row),
-        [parent, period],
-        {"parent_total": F.sum(value), "_non_outlier": F.sum(F.when(~F.col("_listed"), F.col(value)))},
-    )
-    out = out.withColumn("parent_total", F.coalesce("parent_total", F.lit(0.0)))
-    out = out.withColumn("non_outlier_total",
-                         F.when(~F.col("_listed"), F.coalesce("_non_outlier", F.lit(0.0)))).drop(
-        "_non_outlier", "_listed"
-    )
+    out = attach_group_stats(df.withColumn("_listed", contains_period(listed, period)), [parent, period], _total_stats(value))
+    out = _with_proportion(out, value)
     if check:
         zeros = checks.zero_totals(out, [parent, period], "non_outlier_total").orderBy(parent, period)
         checks.require(zeros, "Non-outlier total check failed: found zero non_outlier_total for groups")
-    return out.withColumn("proportion", F.try_divide(F.col(value), F.col("non_outlier_total")))
+    return out
+
+
+def _total_stats(value: str) -> dict:
+    return {"parent_total": F.sum(value), "_non_outlier": F.sum(F.when(~F.col("_listed"), F.col(value)))}
+
+
+def _with_proportion(df: DataFrame, value: str) -> DataFrame:
+    return (
+        df.withColumn("parent_total", F.coalesce("parent_total", F.lit(0.0)))
+        .withColumn("non_outlier_total", F.when(~F.col("_listed"), F.coalesce("_non_outlier", F.lit(0.0))))
+        .drop("_non_outlier", "_listed")
+        .withColumn("proportion", F.try_divide(F.col(value), F.col("non_outlier_total")))
+    )
 
 
 def apportion(
@@ -71,12 +75,7 @@ def apportion(
     """
     x = df.join(imputed.select(area, period, imputed_col), [area, period], "left")
     x = attach_group_stats(x, [parent, period], {"_imputed_sum": F.sum(imputed_col)})
-    x = (
-        x.withColumn("adjusted_total", F.col("parent_total") - F.coalesce("_imputed_sum", F.lit(0.0)))
-        .drop("_imputed_sum")
-        .withColumn(out, F.when(F.col(imputed_col).isNotNull(), F.col(imputed_col)).otherwise(
-            F.col("proportion") * F.col("adjusted_total")))
-    )
+    x = _with_adjusted(x, imputed_col, out)
     if check:
         checks.require(
             checks.sum_mismatches(x, [parent, period], value, out, tolerance, relative),
@@ -85,6 +84,32 @@ def apportion(
     return x
 
 
+def _with_adjusted(df: DataFrame, imputed_col: str, out: str) -> DataFrame:
+    return (
+        df.withColumn("adjusted_total", F.col("parent_total") - F.coalesce("_imputed_sum", F.lit(0.0)))
+        .drop("_imputed_sum")
+        .withColumn(out, F.when(F.col(imputed_col).isNotNull(), F.col(imputed_col)).otherwise(
+            F.col("proportion") * F.col("adjusted_total")))
+    )
+
+
+def share_out(
+    df: DataFrame,
+    imputed: DataFrame,
+    area: str = "area",
+    parent: str = "parent",
+    period: str = "period",
+    value: str = "con",
+    listed: str = "year_to_adjust",
+    imputed_col: str = "imputed",
+    out: str = "adjusted_con",
+) -> DataFrame:
+    """:func:`proportions` and :func:`apportion` with every statistic from one aggregate; :func:`check_apportioned` checks both."""
+    x = df.join(imputed.select(area, period, imputed_col), [area, period], "left").withColumn("_listed", contains_period(listed, period))
+    x = attach_group_stats(x, [parent, period], {**_total_stats(value), "_imputed_sum": F.sum(imputed_col)})
+    return _with_adjusted(_with_proportion(x, value), imputed_col, out)
+
+
 def remove_negatives(
     df: DataFrame,
     parent: str = "parent",

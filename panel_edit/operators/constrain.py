@@ -88,5 +88,9 @@ def constrain_to_parent_totals(
 
 def union_sorted(outliers: DataFrame, means: DataFrame, area: str = "area", flag: str = "master_flag") -> DataFrame:
     """Union by name (missing columns NULL), ordered by area, then "TRUE" rows before "MEAN"."""
-    both = outliers.unionByName(means, allowMissingColumns=True)
-    return both.orderBy(F.col(area).asc(), F.col(flag).desc())
+    return sorted_rows(outliers.unionByName(means, allowMissingColumns=True), area, flag)
+
+
+def sorted_rows(rows: DataFrame, area: str = "area", flag: str = "master_flag") -> DataFrame:
+    """Ordered by area, then "TRUE" rows before "MEAN"."""
+    return rows.orderBy(F.col(area).asc(), F.col(flag).desc())

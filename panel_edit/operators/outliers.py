@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -37,17 +37,28 @@ def zscores(
     does a group whose standard deviation is 0 or undefined. Mean and standard
     deviation come from :func:`attach_group_stats`.
     """
-    keys = _keys(group)
-    x = F.when(~is_true(rollback_col), nan_to_null(value))
-    out = attach_group_stats(df, keys, {"_z_mean": F.avg(x), "_z_std": F.stddev_samp(x)})
-    z = nan_to_null(F.try_divide(x - F.col("_z_mean"), F.nullif(F.col("_z_std"), F.lit(0.0))))
-    score = f"{prefix}_zscore"
-    return (
-        out.withColumn(score, z)
-        .withColumns({f"{prefix}_zscore_threshold": _threshold(F.col(score), upper, lower),
-                      f"z_{prefix}_flag": is_true((F.col(score) > upper) | (F.col(score) < lower))})
-        .drop("_z_mean", "_z_std")
-    )
+    return zscores_of(df, {prefix: value}, group, upper, lower, rollback_col)
+
+
+def zscores_of(
+    df: DataFrame,
+    values: Mapping[str, str],
+    group: str | Sequence[str] = "parent",
+    upper: float = 3.0,
+    lower: float = -3.0,
+    rollback_col: str = "rollback_flag",
+) -> DataFrame:
+    """:func:`zscores` for each ``prefix -> value column``, with all statistics from one aggregate."""
+    x = {p: F.when(~is_true(rollback_col), nan_to_null(v)) for p, v in values.items()}
+    stats = {f"_mean_{p}": F.avg(c) for p, c in x.items()} | {f"_std_{p}": F.stddev_samp(c) for p, c in x.items()}
+    out = attach_group_stats(df, _keys(group), stats)
+    for p, c in x.items():
+        z = nan_to_null(F.try_divide(c - F.col(f"_mean_{p}"), F.nullif(F.col(f"_std_{p}"), F.lit(0.0))))
+        score = f"{p}_zscore"
+        out = out.withColumn(score, z).withColumns(
+            {f"{p}_zscore_threshold": _threshold(F.col(score), upper, lower),
+             f"z_{p}_flag": is_true((F.col(score) > upper) | (F.col(score) < lower))})
+    return out.drop(*stats)
 
 
 def iqr_fences(

@@ -68,8 +68,7 @@ def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_zscores(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = ratios(spark, sf_dir)
-    r = outliers.zscores(r, "bkwd", "parent", "backward_pct_change", Z_UPPER, Z_LOWER)
-    return outliers.zscores(r, "frwd", "parent", "forward_pct_change", Z_UPPER, Z_LOWER)
+    return outliers.zscores_of(r, jobs.SCORED, "parent", Z_UPPER, Z_LOWER)
 
 
 def iqr(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +98,7 @@ def q_w3_zscore(spark, sf_dir):
 
 
 def with_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outliers.master_flag(iqr(with_zscores(spark, sf_dir), spark, sf_dir))
+    return outliers.master_flag(iqr(cut_lineage(with_zscores(spark, sf_dir)), spark, sf_dir))
 
 
 def totals_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,8 +238,10 @@ def imputation(spark: SparkSession, sf_dir: str, extrapolated: bool = True) -> t
 def apportioned(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
     panel, imputed = imputation(spark, sf_dir)
     imputed = cut_lineage(imputed.select("area", "period", "imputed"))
-    p = apportion.proportions(panel, check=check)
-    return apportion.apportion(p, imputed, check=check)
+    out = cut_lineage(apportion.share_out(panel, imputed))
+    if check:
+        apportion.check_apportioned(out)
+    return out
 
 
 def rolled_back(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,8 @@ from panel_edit.session import cut_lineage
 from panel_edit.sources.qa import parameters_frame
 
 IDS = reshape.DEFAULT_IDS
+#: The ratios that get z-scores.
+SCORED = {"bkwd": "backward_pct_change", "frwd": "forward_pct_change"}
 
 
 def _check_ids(areas: DataFrame, parent: str, area: str, ids: Sequence[str]) -> None:
@@ -80,10 +82,10 @@ def preprocess(
         checks.require(checks.duplicate_keys(one, [parent, "period"]), "duplicate parent totals for one period")
 
     df = change.rate_of_change(long, area=area)
-    df = change.flag_rollback_years(df, rollback_start, rollback_end)
+    # The statistics below read the ratios, not the windows that made them.
+    df = cut_lineage(change.flag_rollback_years(df, rollback_start, rollback_end))
     if zscore:
-        df = outliers.zscores(df, "bkwd", parent, "backward_pct_change", z_upper, z_lower)
-        df = outliers.zscores(df, "frwd", parent, "forward_pct_change", z_upper, z_lower)
+        df = outliers.zscores_of(df, SCORED, parent, z_upper, z_lower)
     if iqr:
         df = outliers.iqr_fences(
             df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier)
@@ -96,11 +98,8 @@ def preprocess(
                                                    drop_cols=total_descriptors, parent=parent)
 
     periods = list(range(start, end + 1))
-    out_long = reshape.metrics_long(flagged.drop("mean_non_outlier", "con_mean"), "uncon", "con_area", ids=ids)
-    mean_long = reshape.metrics_long(flagged.drop("uncon", "con_area"), "mean_non_outlier", "con_mean", ids=ids)
-    out_wide = reshape.metrics_wide(out_long, periods, ids=ids)
-    mean_wide = reshape.metrics_wide(mean_long, periods, ids=ids).withColumn("master_flag", F.lit("MEAN"))
-    output = constrain.union_sorted(out_wide, mean_wide, area=area)
+    pairs = {"TRUE": ("uncon", "con_area"), "MEAN": ("mean_non_outlier", "con_mean")}
+    output = constrain.sorted_rows(reshape.metric_pairs_wide(flagged, periods, pairs, ids=ids), area=area)
 
     params = parameters_frame(
         panel_wide.sparkSession,
@@ -172,8 +171,9 @@ def adjust(
     imputed = imputed.select(area, "period", "imputed")  # read once, from the materialised panel
 
     # Checks of the four steps run once, below, on the materialised result.
-    df = apportion.proportions(panel, parent=parent, check=False)
-    df = apportion.apportion(df, imputed, area=area, parent=parent, check=False)
+    df = apportion.share_out(panel, imputed, area=area, parent=parent)
+    if not accept_negatives or latest is not None:  # the next steps' statistics read what was shared out
+        df = cut_lineage(df)
     value = "adjusted_con"
     if not accept_negatives:
         df = apportion.remove_negatives(df, parent=parent, check=False)

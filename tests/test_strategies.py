@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from panel_edit.operators import apportion, decisions, outliers
+from panel_edit.operators import apportion, decisions, outliers, reshape
 from panel_edit.operators.checks import CheckFailed
 from panel_edit.plans import catalog
 from panel_edit.plans import fixtures as fx
@@ -34,6 +34,31 @@ def test_a_second_query_scans_lineitem_once(spark):
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
 
 
+def test_one_aggregate_and_two_reads_for_all_scores_of_a_stage(spark, tmp_path):
+    spark.range(1000).select(
+        (F.col("id") % 3).cast("string").alias("parent"), (F.col("id") % 90).cast("string").alias("area"),
+        (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("y"), (F.col("id") % 4).cast("int").alias("period"),
+        F.array(F.lit(2)).alias("year_to_adjust"), F.lit(False).alias("rollback_flag")).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    both = outliers.zscores_of(df, {"a": "x", "b": "y"}, "parent")
+    one = outliers.zscores(outliers.zscores(df, "a", "parent", "x"), "b", "parent", "y")
+    assert sorted(map(str, both.select(one.columns).collect())) == sorted(map(str, one.collect()))
+    shared = apportion.share_out(df, spark.createDataFrame([("1", 2, 5.0)], "area string, period int, imputed double"), value="x")
+    for plan in (_plan(both), _plan(shared)):
+        assert len(re.findall(r"FileScan parquet", plan)) == 2 and "Window" not in plan
+
+
+def test_pairs_from_one_pivot_equal_two_pivots(spark):
+    rows = [(a, f"n{a}", "p", "P", y, float(a * y), float(a + y), None if y == 2001 else 1.5, 2.5, True, "TRUE") for a in (1, 2) for y in (2000, 2001)]
+    df = spark.createDataFrame(rows, "area int, area_name string, parent string, parent_name string, period int, u double, c double, m double, n double, "
+                                     "master_z_flag boolean, master_flag string")
+    got = reshape.metric_pairs_wide(df, [2000, 2001], {"TRUE": ("u", "c"), "MEAN": ("m", "n")})
+    want = [reshape.metrics_wide(reshape.metrics_long(df.drop(*gone), a, b), [2000, 2001]).withColumn("master_flag", F.lit(flag))
+            for flag, a, b, gone in (("TRUE", "u", "c", ["m", "n"]), ("MEAN", "m", "n", ["u", "c"]))]
+    assert got.columns == want[0].columns
+    assert sorted(map(str, got.collect())) == sorted(str(r) for w in want for r in w.collect())
+
+
 def test_every_violation_class_is_told_in_step_order(spark):
     moved = [("p%02d" % i, 1, 10.0, 11.0, 5.0) for i in range(25)]
     zero = [("q", 1, 10.0, 10.0, 0.0)]
