@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -46,11 +47,13 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder that the session names (on storage all executors share).
 
-    Only where none is named, as in tests on one machine, a private one is set.
+    Only where none is named, on one machine as in tests, a private one is set.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="panel-edit-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 

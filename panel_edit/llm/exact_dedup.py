@@ -4,7 +4,7 @@
    that equal texts are cut alike and a shared passage gives shared chunks.
 2. The chunk dictionary holds each distinct ``(digest, content)`` once. Rows
    that share a digest are compared by content; a digest with one content is a
-   verified identifier, and for the rest ``(digest, rank of the content)`` is.
+   verified identifier, and for the rest ``(digest, number of the content)`` is.
 3. A document becomes its recipe, the ordered list of identifiers. Documents
    are equal exactly if their recipes are, and from here on only recipes move.
 
@@ -166,7 +166,7 @@ def collisions(dictionary: DataFrame) -> DataFrame:
 
 
 def _variants(docs: DataFrame, recipes: DataFrame, dictionary: DataFrame, clashing: DataFrame, digest) -> DataFrame:
-    """Recipes in which a clashing digest is followed by the rank of its content."""
+    """Recipes followed by the numbers of their contents whose digest clashes."""
 
     def chunks_of(batches):
         for batch in batches:
@@ -180,13 +180,10 @@ def _variants(docs: DataFrame, recipes: DataFrame, dictionary: DataFrame, clashi
                 [pa.array(out["doc_id"], pa.int64()), pa.array(out["raw_hash"], pa.binary()), pa.array(out["seq"], pa.int32()),
                  pa.array(out["digest"], pa.binary()), pa.array(out["content"], pa.binary())], list(out))
 
-    # The rank of a content counts the smaller contents of its digest: one row
-    # each, and as many as there are texts built to clash.
-    ranked = dictionary.join(clashing, "digest", "left_semi")
-    ranked = ranked.join(ranked.select("digest", F.col("content").alias("other")), "digest").groupBy("digest", "content").agg(
-        F.sum((F.col("other") < F.col("content")).cast("int")).alias("variant"))
+    # Each clashing content gets a number of its own, fixed by being written.
+    numbered = keep(dictionary.join(clashing, "digest", "left_semi").withColumn("variant", F.monotonically_increasing_id()))
     used = (docs.mapInArrow(chunks_of, "doc_id bigint, raw_hash binary, seq int, digest binary, content binary").distinct()
-            .join(clashing, "digest", "left_semi").join(ranked, ["digest", "content"]))
+            .join(numbered, ["digest", "content"]))
     extra = used.groupBy("doc_id", "raw_hash").agg(F.array_sort(F.collect_list(F.struct("seq", "variant"))).cast("string").alias("extra"))
     return (recipes.join(extra, (recipes.doc_id.eqNullSafe(extra.doc_id)) & (recipes.raw_hash == extra.raw_hash), "left")
             .select(recipes.doc_id, "points", "text_sha256", F.concat("recipe", F.coalesce("extra", F.lit("")).cast("binary")).alias("recipe"), recipes.raw_hash))
