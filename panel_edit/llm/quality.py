@@ -206,7 +206,7 @@ def _sample_rows(batches):
             both = np.column_stack([x, chars]).astype(np.float32)
             cut = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
             packed += [both[a:min(b, a + TRAIN_LINES)].tobytes() for a, b in zip(cut[:-1], cut[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(packed, pa.binary())], ["y", "lines"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(packed, pa.binary())], ["doc_id", "y", "lines"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Crf:
@@ -214,8 +214,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Crf:
     ship(docs.sparkSession)
     ids = training_ids(labels, "quality", per_class)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = keep(texts.join(F.broadcast(ids), "doc_id").select("y", "text").mapInArrow(_sample_rows, "y int, lines binary"))
-    rows = [r for r in sample.orderBy("y", "lines").limit(4 * per_class).collect()]  # an order that no partitioning changes
+    sample = keep(texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text").mapInArrow(_sample_rows, "doc_id bigint, y int, lines binary")
+                  .groupBy("doc_id").agg(F.min(F.struct("y", "lines")).alias("r")))
+    rows = sorted((r.r for r in sample.collect()), key=lambda r: (r.y, r.lines))  # at most 2 * per_class; an order that no partitioning changes
     y = np.array([r.y for r in rows])
     if not len(y) or y.min() == y.max():
         return fixed_model()

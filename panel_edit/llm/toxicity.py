@@ -197,8 +197,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     lexicon = {lang: {word_hash(w) for w in ws} for lang, ws in LEXICON.items()}
     vocabulary = np.array(sorted({*map(int, mined), *(h for hs in lexicon.values() for h in hs)}), np.uint64)
     signed = sorted(vocabulary.view(np.int64).tolist())
-    present = sample.select("y", F.array_intersect("words", F.array(*map(F.lit, signed)).cast("array<bigint>")).alias("words"), "fired").collect()
+    present = sample.select("doc_id", F.struct("y", F.array_intersect("words", F.array(*map(F.lit, signed)).cast("array<bigint>")).alias("words"), "fired").alias("r"))
+    # One row per doc_id: at most 2 * per_class of them, in an order that no partitioning changes.
+    present = [r.r for r in sorted(present.groupBy("doc_id").agg(F.min("r").alias("r")).collect(), key=lambda r: r.doc_id)]
     y = np.array([r.y for r in present])
+    toxic, clean = int((y > 0).sum()), int((y == 0).sum())
     rows = np.repeat(np.arange(len(present)), [len(r.words) for r in present])
     held = np.array([h for r in present for h in r.words], np.int64).view(np.uint64)
     columns = np.searchsorted(vocabulary, held)
