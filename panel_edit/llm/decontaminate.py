@@ -46,9 +46,9 @@ STRIDE, SHORT = 4, 8
 LENGTHS = [1, 2, 3, 4, 5, 7, 10, 14, 20, 28, 39, 55, 77, 108, 151, 211, 295]
 #: Share of the copies with up to 15 % of their words edited (and within MAX_EDIT) that are to be found;
 #: the numbers below reach it (a test measures it). A walk fails as a whole, so more walks tell more than more samples.
-TARGET_RECALL = 0.95
+TARGET_RECALL = 0.9
 #: Walks, hash functions for each walk and length, sampled steps for each function.
-WALKS, SETS, SAMPLES = 4, 4, 4
+WALKS, SETS, SAMPLES = 4, 3, 4
 #: Share of the steps outside a function's samples in which the embeddings of a candidate agree.
 #: Unrelated windows agree in about 6 in 100.
 AGREE = 0.3
@@ -244,6 +244,15 @@ def best_match(pattern: str, text: str) -> int:
     return best
 
 
+def may_match(pattern: str, text: str, edits: int) -> bool:
+    """False only where no substring of ``text`` is within ``edits`` of ``pattern``: an edit spoils at most three trigrams."""
+    need = len(pattern) - 2 - 3 * edits
+    if need <= 0:
+        return True
+    grams = {text[i:i + 3] for i in range(len(text) - 2)}
+    return sum(pattern[i:i + 3] in grams for i in range(len(pattern) - 2)) >= need
+
+
 def search(index: ItemIndex, data: np.ndarray, offsets: np.ndarray, max_edit: float) -> dict[int, dict[int, int]]:
     """``{row: {item_id: distance}}`` of the items found in consecutive texts."""
     h, a, b, row = words(data, offsets)
@@ -265,8 +274,11 @@ def search(index: ItemIndex, data: np.ndarray, offsets: np.ndarray, max_edit: fl
             last = np.searchsorted(row, np.arange(len(offsets) - 1), "right")
         lo, hi = max(begin - slack, int(first[r])), min(begin + n + slack, int(last[r]))
         text = " ".join([raw[x:y].decode("utf-8", "replace") for x, y in zip(a[lo:hi].tolist(), b[lo:hi].tolist())])
+        edits = int(max_edit * len(line))
+        if not may_match(line, text, edits):
+            continue
         distance = best_match(line, text)
-        if distance <= int(max_edit * len(line)):
+        if distance <= edits:
             mine = out.setdefault(r, {})
             mine[item_id] = min(distance, mine.get(item_id, distance))
     return out

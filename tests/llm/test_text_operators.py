@@ -233,7 +233,9 @@ def test_best_match_equals_dynamic_programming():
     rnd = random.Random(3)
     for _ in range(200):
         p, t = ("".join(rnd.choice("abc") for _ in range(rnd.randint(a, b))) for a, b in ((1, 12), (0, 30)))
-        assert decontaminate.best_match(p, t) == edit_distance(p, t)
+        distance = edit_distance(p, t)
+        assert decontaminate.best_match(p, t) == distance
+        assert all(decontaminate.may_match(p, t, k) for k in range(distance, 13))
 
 
 def items(n=60, seed=11):
