@@ -282,6 +282,25 @@ def test_decontamination_recall_on_edited_passages(rate, floor):
     assert sum(within) >= 100 and hits >= floor * sum(within)
 
 
+def edited_recall(bench, rate, seed):
+    """Share found of the edited copies of ``bench`` that are within MAX_EDIT."""
+    import pyarrow as pa
+
+    from panel_edit.llm.common import text_buffer
+
+    rnd = random.Random(seed)
+    stride = decontaminate.STRIDE if min(len(t.split()) for _, t in bench) >= decontaminate.SHORT else 1
+    docs = [f"{' '.join(word(rnd) for _ in range(rnd.randint(3, 50)))} {spoilt(t, rate, rnd)} {word(rnd)}" for _, t in bench]
+    within = [decontaminate.best_match(t, d) <= int(0.2 * len(t)) for (_, t), d in zip(bench, docs)]
+    found = decontaminate.search(decontaminate.ItemIndex(bench, stride), *text_buffer(pa.array(docs), lower=True), decontaminate.MAX_EDIT)
+    return sum(1 for k, (i, _) in enumerate(bench) if within[k] and i in found.get(k, {})) / max(sum(within), 1)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 6])
+def test_decontamination_target_holds_on_each_seed(seed):
+    assert edited_recall(items(400, seed + 5), 0.15, seed) >= 0.95
+
+
 def test_items_in_blocks_give_the_same_result(spark, monkeypatch):
     bench = items(30)
     docs = frame(spark, [(i, "start " + t + " end") for i, t in bench])
