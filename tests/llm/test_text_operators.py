@@ -301,6 +301,24 @@ def test_decontamination_target_holds_on_each_seed(seed):
     assert edited_recall(items(400, seed + 5), 0.15, seed) >= 0.95
 
 
+@pytest.mark.parametrize("n,trials", [(4, 300), (5, 300), (6, 300), (7, 300), (8, 300), (10, 300), (13, 300), (17, 300), (23, 300), (31, 300), (42, 200),
+                                      (58, 200), (80, 150), (111, 100), (154, 80), (214, 60), (298, 60), (300, 60), (400, 40), (700, 25), (1000, 20)])
+def test_decontamination_target_holds_at_each_length(n, trials):
+    rnd = random.Random(n)
+    assert edited_recall([(i, " ".join(word(rnd) for _ in range(n))) for i in range(trials)], 0.15, 6) >= 0.95
+
+
+def test_long_item_with_its_edits_in_one_place_is_found():
+    """All of the first or last eighth of the words replaced: the other places are whole."""
+    rnd, n = random.Random(8), 320
+    item = [word(rnd) for _ in range(n)]
+    index = decontaminate.ItemIndex([(7, " ".join(item))], decontaminate.STRIDE)
+    for a in (0, n - n // 8):
+        copy = [word(rnd) if a <= k < a + n // 8 else w for k, w in enumerate(item)]
+        data = np.frombuffer(f"x yz {' '.join(copy)} z".encode(), np.uint8)
+        assert list(decontaminate.search(index, data, np.array([0, len(data)]), decontaminate.MAX_EDIT)[0]) == [7]
+
+
 def test_items_in_blocks_give_the_same_result(spark, monkeypatch):
     bench = items(30)
     docs = frame(spark, [(i, "start " + t + " end") for i, t in bench])
