@@ -6,7 +6,9 @@ characters per tag, lowered where much of the text is links. An element's
 density sum is the sum over its children. The element with the largest sum
 leads; the smallest density on its way up to ``body`` is the threshold, and
 each element at or above it gives its descendant (or itself) with the largest
-sum to the content. Elements that markup names as something else than the
+sum to the content. The leading element widens to the article or main around it
+or, without one, over headings and neighbours of like density, and is kept
+whole. Elements that markup names as something else than the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are taken out before densities are computed.
 
@@ -59,6 +61,10 @@ DROPPED_WORDS = frozenset(
 #: On ``article`` and ``main`` only these count.
 DROPPED_ARTICLES = frozenset("comment comments reply replies ad ads advert sponsored promo related".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Share of the leading element's density from which a neighbour is of its kind.
+LIKE = 0.2
+
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"  # a comment
     r"|<[!?][^>]*(?:>|\Z)"  # doctype, CDATA, instruction
@@ -179,8 +185,8 @@ class Page:
             self.dropped[node] = self.dropped[node] or self.dropped[self.parent[node]]
 
 
-def densities(page: Page) -> tuple[list[float], list[float]]:
-    """(composite density, density sum) of every element that isn't dropped."""
+def densities(page: Page) -> tuple[list[float], list[float], list[int], list[int]]:
+    """(composite density, density sum, characters, characters in links) of every element that isn't dropped."""
     n = len(page.tag)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -212,13 +218,50 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
         density[i] = c / t * math.log(1 + spread) / math.log(math.e + links)
         if i and page.tag[i] in BLOCK:  # formatting inside a block makes no density of its own
             sums[page.parent[i]] += density[i]
-    return density, sums
+    return density, sums, chars, link_chars
+
+
+def widened(page: Page, top: int, density: list[float], chars: list[int], link_chars: list[int]) -> list[int]:
+    """The elements around ``top`` that are kept whole with it.
+
+    The nearest article or main; without one, neighbours on both sides that
+    are headings or little linked text of like density, and the parent once
+    all its elements are.
+    """
+    up = top
+    while up > 0:
+        if page.tag[up] in ("article", "main"):
+            return [up]
+        up = page.parent[up]
+    children: dict[int, list[int]] = {}
+    for i in range(1, len(page.tag)):
+        if not page.dropped[i] and chars[i]:
+            children.setdefault(page.parent[i], []).append(i)
+
+    def alike(i: int) -> bool:
+        return 2 * link_chars[i] <= chars[i] and (page.tag[i] in HEADINGS or density[i] >= LIKE * density[top])
+
+    found = [top]
+    while top > 0 and page.tag[top] != "body":
+        row = children.get(page.parent[top], [])
+        at = row.index(top) if top in row else 0
+        lo, hi = at, at + 1
+        while lo > 0 and alike(row[lo - 1]):
+            lo -= 1
+        while hi < len(row) and alike(row[hi]):
+            hi += 1
+        found += row[lo:hi]
+        if hi - lo < len(row):
+            break
+        top = page.parent[top]
+        found.append(top)
+    return found
 
 
 def content(page: Page) -> list[bool]:
     """Whether an element lies in the content."""
     n = len(page.tag)
-    density, sums = densities(page)
+    density, sums, chars, link_chars = densities(page)
     top = max(range(n), key=lambda i: (sums[i], -i))
     threshold, up = density[top], top
     while up > 0 and page.tag[up] != "body":
@@ -234,6 +277,8 @@ def content(page: Page) -> list[bool]:
     for i in range(n):
         if density[i] > 0 and density[i] >= threshold:
             marked[best[i]] = True
+    for i in widened(page, top, density, chars, link_chars):
+        marked[i] = True
     for i in range(1, n):
         marked[i] = marked[i] or marked[page.parent[i]]
     return marked

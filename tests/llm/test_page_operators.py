@@ -39,6 +39,21 @@ def test_article_without_its_surroundings(wrap):
     assert html_text.main_text(page).split("\n") == ARTICLE
 
 
+def _blocks(tag, n, chars):
+    return [f"{k} " + "word " * (chars // 5) for k in range(n)], "".join(f"<{tag}>{k} {'word ' * (chars // 5)}</{tag}>" for k in range(n))
+
+
+@pytest.mark.parametrize("page", ["<article>{0}</article>", "<main><div>{0}</div></main>", "<div class=post>{0}</div>"])
+def test_parts_beside_the_densest_belong_to_the_article(page):
+    """Sections of long and of short paragraphs, and a heading beside the div of the text."""
+    (a, long), (b, short) = _blocks("p", 10, 200), _blocks("p", 8, 60)
+    nav = "<nav><a href=/>Home</a></nav><div><a href=/a>One more thing</a> <a href=/b>and another</a></div>"
+    got = html_text.main_text(f"<body>{nav}{page.format(f'<section>{long}</section><section>{short}</section>')}<footer>us</footer></body>")
+    assert got.split("\n") == [x.strip() for x in [*a, *b]]
+    got = html_text.main_text(f"<body>{nav}{page.format(f'<h1>A title</h1><div>{long}</div>')}<footer>us</footer></body>")
+    assert got.split("\n") == ["A title", *(x.strip() for x in a)]
+
+
 def test_hostile_markup_ends_quickly(spark):
     sources = ["<b>" * 30000 + "x" + "</i>" * 500, "<div>" * 20000 + "x" + "</div>" * 20000, "<p" * 30000, "<!--" * 30000, '<a href="' * 20000]
     df = spark.createDataFrame([(i, "u", s, 0) for i, s in enumerate([*sources, None, "<p>q"])], "page_id bigint, url string, html string, n_chars int")
