@@ -48,10 +48,10 @@ CLOSES = {
 }
 #: Elements that never hold article text.
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog embed footer form frame frameset head header iframe input math menu nav "
+    "annotation annotation-xml aside audio button canvas datalist dialog embed footer form frame frameset head header iframe input menu nav "
     "noembed noframes noscript object script select style svg template textarea title video xmp".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar tablist".split())
-#: Words in a class or id that name something else than the article.
+#: Words of a class or id that name something else than the article.
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promos promotion banner banners "
     "sidebar sidebars aside nav navbar navigation menu menus breadcrumb breadcrumbs footer header masthead topbar "
@@ -60,6 +60,15 @@ DROPPED_WORDS = frozenset(
     "recommendations widget widgets toolbar pagination pager skip tracking".split())
 #: On ``article`` and ``main`` only these count.
 DROPPED_ARTICLES = frozenset("comment comments reply replies ad ads advert sponsored promo related".split())
+#: These are something else however much text they hold.
+NEVER_SPARED = DROPPED_ARTICLES | frozenset("adv adverts advertisement advertising disqus cookie cookies consent gdpr".split())
+#: Words that may stand beside the dropped ones in a class: ``site-footer`` is a footer, ``layout-sidebar`` may hold anything.
+NEUTRAL_WORDS = frozenset(
+    "area bar block body bottom box button buttons card cell center column container desktop fixed floating form global group holder "
+    "inner item items left link links list main mobile module outer panel placeholder post posts primary right row secondary "
+    "section site slot sticky strip thread title top unit view wrap wrapper zone".split())
+#: A class with one of these says something about the element, not what it is.
+MODIFIERS = frozenset("has no not non with without is".split())
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Share of the leading element's density from which a neighbour is of its kind.
@@ -71,10 +80,20 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|\Z)",
     re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NAME = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def named(tokens: str, vocabulary: frozenset[str]) -> set[str]:
+    """Words of the vocabulary that whole class tokens consist of, neutral words aside."""
+    out: set[str] = set()
+    for token in tokens.split():
+        parts = {w.lower() for w in _NAME.findall(token)}
+        if not parts & MODIFIERS and parts <= vocabulary | NEUTRAL_WORDS:
+            out |= parts & vocabulary
+    return out
+
+
 class Page:
     """The elements of a page: parents come before children; text lies in runs of (element, block, text)."""
 
@@ -160,16 +179,21 @@ class Page:
             return True
         if a.get("role", "").lower() in DROPPED_ROLES:
             return True
-        words = {w.lower() for w in _NAME.findall(a.get("class", "") + " " + a.get("id", ""))}
+        tokens = a.get("class", "") + " " + a.get("id", "")
         if name in ("article", "main"):
-            return bool(words & DROPPED_ARTICLES)
-        if words & DROPPED_WORDS:
+            return bool(named(tokens, DROPPED_ARTICLES))
+        words = named(tokens, DROPPED_WORDS)
+        if words:
             self._by_words[node] = words
-            return True
-        return False
+        return bool(words)
 
     def _spare(self) -> None:
-        """An element dropped by its class alone stays if it holds an article (but for comments and adverts)."""
+        """An element dropped by its class alone stays if it holds an article, or most of the unlinked text.
+
+        That is most of the text of the article or main around it, or of a page
+        that has neither. Where nothing would be left, all such elements stay.
+        Comments, adverts and consent notices never do.
+        """
         if not self._by_words:
             return
         for node, tag in enumerate(self.tag):
@@ -179,6 +203,32 @@ class Page:
                     if not self._by_words.get(up, DROPPED_ARTICLES) & DROPPED_ARTICLES:
                         self.dropped[up] = False
                     up = self.parent[up]
+        n = len(self.tag)
+        sparable = [i for i, words in self._by_words.items() if self.dropped[i] and not words & NEVER_SPARED]
+        if not sparable:
+            return
+        gone, in_link, scope = [False] * n, [False] * n, [0] * n  # gone: whatever is spared
+        for i in range(1, n):
+            p = self.parent[i]
+            gone[i] = gone[p] or (self.dropped[i] and (i not in self._by_words or bool(self._by_words[i] & NEVER_SPARED)))
+            in_link[i] = in_link[p] or self.tag[i] == "a"
+            scope[i] = i if self.tag[i] in ("article", "main") else scope[p]
+        chars, articles = [0] * n, 0
+        for node, _, text in self.runs:
+            if not gone[node] and not in_link[node]:
+                chars[node] += len(text.strip())
+                articles += len(text.strip()) if scope[node] else 0
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+        for i in sparable:
+            if (scope[i] or not articles) and 2 * chars[i] > chars[scope[i]]:
+                self.dropped[i] = False
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]] or self.dropped[i]
+        if not any(text.strip() and not out[node] for node, _, text in self.runs):
+            for i in sparable:
+                self.dropped[i] = False
 
     def inherit(self) -> None:
         for node in range(1, len(self.tag)):

@@ -54,6 +54,31 @@ def test_parts_beside_the_densest_belong_to_the_article(page):
     assert got.split("\n") == ["A title", *(x.strip() for x in a)]
 
 
+BODY = "".join(f"<p>{x.replace('&', '&amp;')}</p>" for x in ARTICLE)
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "elementor-widget", "skip-lazy", "with-header", "noComments isModal", "widget"])
+def test_class_words_that_only_describe_the_layout_drop_nothing(name):
+    assert html_text.main_text(f'<body><nav><a href=/>Home</a></nav><div class="{name}">{BODY}</div>').split("\n") == ARTICLE
+    assert html_text.main_text(f'<body><article><div id="{name}">{BODY}</div></article><div class="sidebar">{BODY * 9}</div>').split("\n") == ARTICLE
+
+
+@pytest.mark.parametrize("name", ["site-footer", "sidebar", "sidebar-left", "cookie-notice", "comments", "commentList", "ad-slot-2", "main_nav"])
+def test_class_tokens_made_of_dropped_words_still_drop(name):
+    assert html_text.main_text(f'<body><div>{BODY}</div><div class="x {name}"><p>Something else, of about as many words as the rest has.</p></div>').split("\n") == ARTICLE
+
+
+def test_where_nothing_would_be_left_text_stays():
+    part = '<div class="widget"><p>A third of the text of this page</p></div>'
+    assert html_text.main_text(f"<body>{part * 3}") == "\n".join(["A third of the text of this page"] * 3)
+    assert html_text.main_text(f'<body><div class="cookie-notice">{BODY}</div>') == ""
+
+
+def test_formulas_belong_to_the_text():
+    source = "<article><p>So <math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></semantics></math> holds.</p></article>"
+    assert html_text.main_text(source) == "So x=2 holds."
+
+
 def test_hostile_markup_ends_quickly(spark):
     sources = ["<b>" * 30000 + "x" + "</i>" * 500, "<div>" * 20000 + "x" + "</div>" * 20000, "<p" * 30000, "<!--" * 30000, '<a href="' * 20000]
     df = spark.createDataFrame([(i, "u", s, 0) for i, s in enumerate([*sources, None, "<p>q"])], "page_id bigint, url string, html string, n_chars int")
