@@ -2,8 +2,8 @@
 
 Every line of a text is good or bad. The CRF scores a line's label from the
 features of the line and of its neighbours, and each pair of neighbouring
-labels. It is trained on a bounded sample of labelled documents, whose label
-each of their lines takes over, by gradient ascent on the conditional
+labels. It is trained on a bounded sample of whole labelled documents, whose
+label each of their lines takes over, by gradient ascent on the conditional
 likelihood. Forward-backward gives the marginal of each line; a document's
 score is the mean marginal of ``good``, weighted by line length, put on the
 scale of the labels by a logistic curve fitted on the sample.
@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from panel_edit.llm.common import blocks, keep, ship, text_buffer, words
 from panel_edit.llm.toxicity import held_out, training_ids
 
-#: Bound of the training sample: documents of each class, and lines of each document.
-PER_CLASS, TRAIN_LINES = 4000, 100
+#: Bound of the training sample: documents and lines of each class. Documents are taken whole, in hash order,
+#: as far as the lines go; one of more lines than that is in no sample.
+PER_CLASS, CLASS_LINES = 4000, 400_000
+#: Lines of a segment: longer texts are passed over by segments side by side.
+SEGMENT = 256
 THRESHOLD = 0.7
 
 _CLASSES = {"upper": [*range(65, 91)], "lower": [*range(97, 123)], "digit": [*range(48, 58)], "space": [9, 11, 12, 13, 32],
@@ -92,18 +95,35 @@ def with_neighbours(x: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 class Chains:
-    """Lines of many texts laid out by place in the text, for vectorised passes."""
+    """Lines of many texts in segments, laid out by place in the segment, for vectorised passes."""
 
     def __init__(self, row: np.ndarray, n: int):
         sizes = np.bincount(row, minlength=n)
-        first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        self.order = np.argsort(-sizes, kind="stable")  # long texts first: a step is a prefix
-        self.sizes, self.first = sizes[self.order], first[self.order]
-        self.steps = [int(k) for k in np.searchsorted(-self.sizes, -np.arange(1, (self.sizes[0] if n else 0) + 1), "right")]
-
-    def at(self, t: int) -> np.ndarray:
-        """Lines at place ``t`` of the texts that have so many."""
-        return self.first[:self.steps[t]] + t
+        many = -(-sizes // SEGMENT)
+        self.firsts = np.concatenate([[0], np.cumsum(many)[:-1]]).astype(np.int64)  # first segment of each text
+        text = np.repeat(np.arange(n), many)
+        place = np.arange(len(text)) - self.firsts[text]
+        self.first = (np.cumsum(sizes) - sizes)[text] + place * SEGMENT  # first line of each segment
+        self.sizes = np.minimum(sizes[text] - place * SEGMENT, SEGMENT)
+        self.later = np.flatnonzero(place > 0)  # segments that have one before them
+        self.inner = np.flatnonzero(row[1:] == row[:-1]) + 1  # lines that have one before them
+        self.order, self.steps = self._prefixes(self.sizes)
+        self.texts, self.rounds = self._prefixes(many)
+
+    @staticmethod
+    def _prefixes(sizes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The longest first, and how many have so many places: a step is a prefix."""
+        order = np.argsort(-sizes, kind="stable")
+        return order, [int(k) for k in np.searchsorted(-sizes[order], -np.arange(1, (sizes.max() if len(sizes) else 0) + 1), "right")]
+
+    def at(self, t: int) -> tuple[np.ndarray, np.ndarray]:
+        """Segments that have so many lines, and their lines at place ``t``."""
+        segments = self.order[:self.steps[t]]
+        return segments, self.first[segments] + t
+
+    def following(self, k: int) -> np.ndarray:
+        """The segments at place ``k`` of the texts that have so many."""
+        return self.firsts[self.texts[:self.rounds[k]]] + k
 
 
 def _logsum(a: np.ndarray, axis: int) -> np.ndarray:
@@ -122,23 +142,37 @@ class Crf:
         unary = np.zeros((len(x), 2))
         unary[:, 1] = x @ self.weights
         forward, backward = unary.copy(), np.zeros_like(unary)
+        first, later = chains.first, chains.later
+        if len(later):
+            # What leads from a label at the end of the segment before to one at this segment's end.
+            through = np.repeat(unary[first][:, None, :], 2, axis=1)
+            through[later] += self.pairs
+            for t in range(1, len(chains.steps)):
+                segments, now = chains.at(t)
+                through[segments] = _logsum(through[segments][:, :, :, None] + self.pairs, 2) + unary[now][:, None, :]
+            ends, after = through[:, 0].copy(), np.zeros((len(first), 2))
+            for k in range(1, len(chains.rounds)):
+                now = chains.following(k)
+                ends[now] = _logsum(ends[now - 1][:, :, None] + through[now], 1)
+            for k in range(len(chains.rounds) - 1, 0, -1):
+                now = chains.following(k)
+                after[now - 1] = _logsum(through[now] + after[now][:, None, :], 2)
+            forward[first[later]] += _logsum(ends[later - 1][:, :, None] + self.pairs, 1)
+            backward[first + chains.sizes - 1] = after
         for t in range(1, len(chains.steps)):
-            now = chains.at(t)
+            now = chains.at(t)[1]
             forward[now] += _logsum(forward[now - 1][:, :, None] + self.pairs, 1)
         for t in range(len(chains.steps) - 1, 0, -1):
-            now = chains.at(t)
+            now = chains.at(t)[1]
             backward[now - 1] = _logsum(self.pairs + (unary[now] + backward[now])[:, None, :], 2)
         joint = forward + backward
         z = _logsum(joint, 1)
         return np.exp(joint - z[:, None]), forward, backward, unary, z
 
     def pair_counts(self, forward, backward, unary, z, chains: Chains, weight: np.ndarray) -> np.ndarray:
-        out = np.zeros((2, 2))
-        for t in range(1, len(chains.steps)):
-            now = chains.at(t)
-            p = forward[now - 1][:, :, None] + self.pairs + (unary[now] + backward[now])[:, None, :] - z[now][:, None, None]
-            out += (np.exp(p) * weight[now][:, None, None]).sum(axis=0)
-        return out
+        now = chains.inner
+        p = forward[now - 1][:, :, None] + self.pairs + (unary[now] + backward[now])[:, None, :] - z[now][:, None, None]
+        return (np.exp(p) * weight[now][:, None, None]).sum(axis=0)
 
     def quality(self, x: np.ndarray, chars: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
         """Length-weighted mean marginal of ``good`` per text."""
@@ -197,7 +231,7 @@ def fixed_model() -> Crf:
 
 
 def _sample_rows(batches):
-    """Features of the first TRAIN_LINES lines of the sampled texts (the sample's bound; scores see all lines)."""
+    """Features of the lines of the sampled texts."""
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"))
         packed = []
@@ -205,15 +239,30 @@ def _sample_rows(batches):
             x, chars, row = line_features(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             both = np.column_stack([x, chars]).astype(np.float32)
             cut = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
-            packed += [both[a:min(b, a + TRAIN_LINES)].tobytes() for a, b in zip(cut[:-1], cut[1:])]
+            packed += [both[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(packed, pa.binary())], ["doc_id", "y", "lines"])
 
 
+def whole_documents(docs: DataFrame, ids: DataFrame, lines: int) -> DataFrame:
+    """Of ``ids`` (doc_id, y) those whose documents, taken whole in hash order, have up to ``lines`` lines in each class."""
+    n = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^\n]+", "")) + 1
+    sizes = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"), F.max(n).alias("n"))
+    taken, left = [], {0: lines, 1: lines}
+    for r in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").collect():  # as many as the ids, three numbers each
+        if r.n <= lines:
+            left[r.y] -= r.n
+            if left[r.y] >= 0:
+                taken.append((r.doc_id, r.y))
+            else:
+                left[r.y] = -1  # the class is full
+    return docs.sparkSession.createDataFrame(taken, "doc_id bigint, y int")
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Crf:
     """The CRF, from a bounded sample of labelled documents."""
     ship(docs.sparkSession)
-    ids = training_ids(labels, "quality", per_class)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ids = whole_documents(texts, training_ids(labels, "quality", per_class), CLASS_LINES)
     sample = keep(texts.join(F.broadcast(ids), "doc_id").select("doc_id", "y", "text").mapInArrow(_sample_rows, "doc_id bigint, y int, lines binary")
                   .groupBy("doc_id").agg(F.min(F.struct("y", "lines")).alias("r")))
     rows = sorted((r.r for r in sample.collect()), key=lambda r: (r.y, r.lines))  # at most 2 * per_class; an order that no partitioning changes

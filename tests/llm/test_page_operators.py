@@ -212,3 +212,42 @@ def test_forward_backward_equals_enumeration():
             w = np.exp(sum(y * (x[i] @ crf.weights) for y, i in zip(labels, lines)) + sum(crf.pairs[a, b] for a, b in zip(labels, labels[1:])))
             total, good = total + w, good + w * np.array(labels)
         assert np.allclose(got[lines, 1], good / total)
+
+
+@pytest.mark.parametrize("segment", [1, 2, 3, 256])
+def test_segments_give_the_same_passes(monkeypatch, segment):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    row = np.repeat(np.arange(6), [1, 7, 2, 13, 3, 6])
+    x, crf = rng.normal(size=(len(row), 3)), quality.Crf(rng.normal(size=3), rng.normal(size=(2, 2)))
+    score, forward, backward, unary = np.zeros(2), np.zeros((len(row), 2)), np.zeros((len(row), 2)), np.column_stack([np.zeros(len(row)), x @ crf.weights])
+    for i in range(len(row)):  # line after line
+        score = unary[i] + (np.logaddexp(*(score[:, None] + crf.pairs)) if i and row[i] == row[i - 1] else 0)
+        forward[i] = score
+    for i in range(len(row) - 1, 0, -1):
+        if row[i] == row[i - 1]:
+            backward[i - 1] = np.logaddexp(*(crf.pairs + unary[i] + backward[i]).T)
+    monkeypatch.setattr(quality, "SEGMENT", segment)
+    got = crf.passes(x, quality.Chains(row, 6))
+    assert np.allclose(got[1], forward) and np.allclose(got[2], backward)
+
+
+def test_quality_learns_from_whole_texts(spark):
+    """Good and bad documents begin alike and differ after line 100: prefixes would teach nothing."""
+    rnd = random.Random(3)
+    plain = lambda: " ".join("".join(rnd.choice("etaoinshr") for _ in range(rnd.randint(2, 8))) for _ in range(8)) + "."
+    junk = lambda: "### $$$ " + "BUY!!! " * rnd.randint(2, 6)
+    rows = [(i, "\n".join([plain() for _ in range(100)] + [(plain if i % 2 else junk)() for _ in range(300)])) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    got = quality.score(spark.createDataFrame(rows, "doc_id bigint, text string"), labels).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+
+
+def test_training_sample_takes_whole_documents_up_to_a_line_budget(spark):
+    docs = spark.createDataFrame([(i, "a\n" * (i % 5)) for i in range(200)] + [(500, "a\n" * 99), (501, None)], "doc_id bigint, text string")
+    ids = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(500, 0), (501, 1)], "doc_id bigint, y int")
+    got = quality.whole_documents(docs, ids, 60).collect()
+    lines = {y: sum(1 if r.doc_id == 501 else r.doc_id % 5 + 1 for r in got if r.y == y) for y in (0, 1)}
+    assert all(55 < n <= 60 for n in lines.values()) and 500 not in {r.doc_id for r in got}
+    assert quality.whole_documents(docs, ids, 10_000).count() == 202
