@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import blocks, keep, ship, text_buffer, words
-from panel_edit.llm.toxicity import held_out, training_ids
+from panel_edit.llm.toxicity import class_counts, held_out, training_ids
 
 #: Bound of the training sample: documents and lines of each class. Documents are taken whole, in hash order,
 #: as far as the lines go; one of more lines than that is in no sample.
@@ -272,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Crf:
     parts = [np.frombuffer(r.lines, np.float32).reshape(-1, WIDTH + 1).astype(float) for r in rows]
     row = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     both = np.concatenate(parts)
-    shares = {r.y: r.n for r in training_ids(labels, "quality", 1 << 30).groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = {r.y: r.n for r in class_counts(labels, "quality").collect()}
     weight = np.where(y > 0, shares[1] / (y > 0).sum(), shares[0] / (y == 0).sum())
     return train(with_neighbours(both[:, :-1], row), row, y, weight / weight.mean(), both[:, -1])
 

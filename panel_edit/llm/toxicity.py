@@ -92,10 +92,20 @@ class Model:
         return np.round(1 / (1 + np.exp(-np.clip(logit, -30, 30))), 9)
 
 
+def labelled_ids(labels: DataFrame, column: str) -> DataFrame:
+    """(doc_id, y): the labelled rows that aren't held out, once each."""
+    return (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).cast("int").alias("y"))
+            .where(F.col("y").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y")))
+
+
+def class_counts(labels: DataFrame, column: str) -> DataFrame:
+    """(y, n): labelled rows of each class that aren't held out."""
+    return labelled_ids(labels, column).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
 def training_ids(labels: DataFrame, column: str, per_class: int) -> DataFrame:
     """(doc_id, y): up to ``per_class`` labelled rows of each class that aren't held out."""
-    rows = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).cast("int").alias("y"))
-            .where(F.col("y").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y")))
+    rows = labelled_ids(labels, column)
     take = [rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     return take[0].unionByName(take[1])
 
@@ -222,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     votes = np.column_stack([voters[k] for k in names])
     model = LabelModel(votes, votes.mean(axis=1) > np.median(votes.mean(axis=1)) if "label" not in names else y, toxic / n)
     # The sample takes both classes alike: weights restore the labels' shares.
-    shares = {r.y: r.n for r in training_ids(labels, "toxic", 1 << 30).groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = {r.y: r.n for r in class_counts(labels, "toxic").collect()}
     weight = np.where(y > 0, shares[1] / toxic, shares[0] / clean)
     w, b = logistic(rows, columns, n, len(vocabulary), model.posterior, weight)
     return Model(vocabulary, w, b, {k: (float(t), float(c)) for k, t, c in zip(names, model.toxic, model.clean)})

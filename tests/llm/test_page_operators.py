@@ -251,3 +251,17 @@ def test_training_sample_takes_whole_documents_up_to_a_line_budget(spark):
     lines = {y: sum(1 if r.doc_id == 501 else r.doc_id % 5 + 1 for r in got if r.y == y) for y in (0, 1)}
     assert all(55 < n <= 60 for n in lines.values()) and 500 not in {r.doc_id for r in got}
     assert quality.whole_documents(docs, ids, 10_000).count() == 202
+
+
+@pytest.mark.parametrize("module,column", [(toxicity, "toxic"), (quality, "quality")])
+def test_class_shares_need_no_sort_of_all_labels(spark, monkeypatch, module, column):
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(400)] + [(3, False)], f"doc_id bigint, {column} boolean")
+    seen, ids = [], toxicity.training_ids
+    monkeypatch.setattr(module, "training_ids", lambda labels, column, n: seen.append(n) or ids(labels, column, n))
+    module.fit(spark.createDataFrame([(0, "a bad one"), (1, "a good one")], "doc_id bigint, text string"), labels)
+    assert seen == [module.PER_CLASS]
+    counts = toxicity.class_counts(labels, column)
+    kept = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert {r.y: r.n for r in counts.collect()} == Counter(int(i % 3 == 0) for i in kept)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "Sort " not in plan and "TakeOrdered" not in plan
