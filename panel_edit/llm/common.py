@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -64,6 +65,19 @@ def keep(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path for a written table, in the shared folder."""
+    return f"{shared_folder(spark)}/training_data_scratch/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written under a path of :func:`scratch`."""
+    if "/training_data_scratch/" not in path:
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_buffer(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

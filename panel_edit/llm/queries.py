@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import read
-from panel_edit.llm import bpe, chat, decontaminate, exact_dedup, html_text, quality, sharding, simhash, toxicity, url_rules
+from panel_edit.llm import (bpe, chat, collocations, decontaminate, exact_dedup, html_text, quality, quality_rules, sharding, simhash, toxicity,
+                            url_rules)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +70,16 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language (see :mod:`collocations`)."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document (see :mod:`quality_rules`)."""
+    return quality_rules.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_exact_dedup": op2_exact_dedup,
@@ -80,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_quality": op9_quality,
     "op10_url_rules": op10_url_rules,
+    "op11_collocations": op11_collocations,
+    "op12_quality_rules": op12_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
@@ -107,4 +120,37 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(length('<turn ' || erole || '>') + 1 + length(etext) + length('</turn>') + 1) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT row_number() OVER () AS piece, lang, words FROM (
+                SELECT coalesce(lang, 'und') AS lang,
+                       list_filter(regexp_split_to_array(unnest(regexp_split_to_array(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')),
+                           '[\x20\x09]+'), lambda w: w <> '') AS words
+                FROM documents)
+            WHERE len(words) > 0),
+        k AS (SELECT unnest([1, 2, 3, 4]) AS k),
+        grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(list_slice(words, i, i + k - 1), ' '))) AS phrase
+            FROM pieces, k WHERE len(words) >= k),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+        n AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        cuts AS (
+            SELECT lang, phrase, a, cut, array_to_string(list_slice(w, 1, cut), ' ') AS left_part, array_to_string(list_slice(w, cut + 1, k), ' ') AS right_part
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+        scored AS (
+            SELECT u.lang, u.phrase, u.a, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * u.a) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score,
+                   row_number() OVER (PARTITION BY u.lang, u.phrase ORDER BY (CAST(2000000 AS HUGEINT) * u.a) // (CAST(x.f AS HUGEINT) + y.f), u.cut) AS pick
+            FROM cuts u JOIN f x ON x.lang = u.lang AND x.phrase = u.left_part JOIN f y ON y.lang = u.lang AND y.phrase = u.right_part),
+        inner_phrases AS (
+            SELECT lang, a AS longer, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS phrase
+            FROM (SELECT *, unnest(range(1, k - size + 2)) AS pos FROM (SELECT *, unnest(range(2, k)) AS size FROM c WHERE k > 2))),
+        m AS (SELECT lang, phrase, max(longer) AS longer FROM inner_phrases GROUP BY ALL),
+        ranked AS (
+            SELECT s.lang, s.phrase, s.a, s.l, s.r, s.score,
+                   row_number() OVER (PARTITION BY s.lang ORDER BY s.score DESC, s.a DESC, encode(s.phrase)) AS rank
+            FROM scored s LEFT JOIN m ON m.lang = s.lang AND m.phrase = s.phrase
+            WHERE s.pick = 1 AND (m.longer IS NULL OR CAST(100 AS HUGEINT) * m.longer < CAST(80 AS HUGEINT) * s.a))
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
 }
