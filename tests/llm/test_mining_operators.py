@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 import xxhash
 
-from panel_edit.llm import collocations, quality_rules
+from panel_edit.llm import collocations, hard_negatives, quality_rules
 
 ASCII_UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -151,3 +151,72 @@ def test_quality_rules_without_labels_or_rows(spark):
     got = judged(spark, [(1, "a b"), (2, " ".join(f"w{i}" for i in range(60)))], [])
     assert sorted(r[7] for r in got) == [False, True]
     assert judged(spark, [], [(1, 1, 0, 1)]) == []
+
+
+def mined_by_hand(rows, every):
+    by = {}
+    for i, v, y in rows:
+        if i is not None and y is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            row = ((y + 1) % 10 if i % 7 == 0 else y, [math.floor(x * 256) for x in v])
+            by[i] = min(by.get(i, row), row)
+    score = lambda a, b: sum(x * y for x, y in zip(by[a][1], by[b][1]))
+    out = []
+    for a in sorted(i for i in by if i % every == 0):
+        ranked = sorted((-score(a, i), i) for i in by if i != a)
+        for s, p in [x for x in ranked if by[x[1]][0] == by[a][0]][:5]:
+            fits = [(t, i) for t, i in ranked if by[i][0] != by[a][0] and 80 * -s <= 100 * -t <= 100 * -s]
+            out += [(a, p, r + 1, i, -s, -t) for r, (t, i) in enumerate(fits[:5])]
+    return sorted(out)
+
+
+def vectors(n, dim, scale=1.0, seed=2):
+    rnd = random.Random(seed)
+    rows = [(i, [round(rnd.gauss(0, 1), 1) * scale for _ in range(dim)], rnd.randint(0, 3)) for i in range(n)]
+    common = [0.5 * scale] * dim
+    rows += [(n + i, common, i % 4) for i in range(n // 3)]  # one vector holds a quarter of the rows: ties
+    rows += [(None, common, 1), (9001, None, 1), (9002, [None, *common[1:]], 1), (9003, [float("nan"), *common[1:]], 2), (9004, [float("inf")] * dim, 0),
+             (9005, common, None), (9006, [], 1), (9007, common[:1], 2), rows[5], (10, common, 0), (-20, [-x for x in common], 1)]
+    return rows
+
+
+EMBEDDINGS = "vec_id bigint, embedding array<double>, label int, rank int, score string, row int, slab int"
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e6], ids=["doubles", "whole-numbers"])
+def test_hard_negatives_equal_brute_force(spark, scale, monkeypatch):
+    """Over many small tiles and blocks; with scores that only whole numbers hold."""
+    for name, value in (("TILE_ROWS", 40), ("LEAF", 4), ("FANOUT", 3), ("BLOCK", 7)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    rows = vectors(200, 6, scale)
+    table = spark.createDataFrame([(*r, 1, "x", 2, 3) for r in rows], EMBEDDINGS).repartition(3)
+    got = hard_negatives.mine(table, every=20)
+    want = mined_by_hand(rows, 20)
+    assert len(want) > 100 and sorted(map(tuple, got.collect())) == want
+
+
+def test_hard_negatives_of_nothing(spark):
+    assert hard_negatives.mine(spark.createDataFrame([], EMBEDDINGS)).count() == 0
+    alone = spark.createDataFrame([(100, [1.0], 1, 1, "x", 2, 3), (3, None, 1, 1, "x", 2, 3)], EMBEDDINGS)
+    assert hard_negatives.mine(alone).count() == 0
+
+
+def test_boxes_bound_every_inner_product_and_are_pruned():
+    import numpy as np
+
+    rnd = np.random.default_rng(0)
+    data = np.floor(rnd.normal(0, 100, (500, 3)))
+    ids, labels = np.arange(500), np.zeros(500, np.int64)
+    order = hard_negatives.str_order(data, labels, ids, 8)
+    assert sorted(order) == list(range(500))
+    tree = hard_negatives.Tree(ids[order].tobytes(), labels.tobytes(), data[order].astype("<i4").tobytes(), 3, 3, 8, 4)
+    anchor = hard_negatives.Anchor(-1, 0, data[0], True, [(-np.inf, np.inf)], 5)
+    for level in tree.levels[:1]:
+        most, least = anchor.bounds(level, 0, len(level[0]))
+        for b, (i, j) in enumerate(zip(level[0], level[1])):
+            scores = tree.vectors[i:j] @ data[0]
+            assert least[b] <= scores.min() and scores.max() <= most[b]
+    visits = []
+    anchor.visit = lambda t, i, j: (visits.append(i), hard_negatives.Anchor.visit(anchor, t, i, j))
+    anchor.search([tree])
+    assert [-s for s, _ in anchor.best[0]] == sorted(data @ data[0], reverse=True)[:5]
+    assert len(visits) < len(tree.levels[0][0]) / 2
