@@ -6,18 +6,21 @@ mined length by length:
 
 1. A task takes a batch of texts, numbers its words exactly, hashes each
    distinct word and then every n-gram with prefix polynomials (two prefix sums
-   give the hash of any run of words). Occurrences of one n-gram become one
-   *entry*: fingerprint, count and a pointer to an occurrence (row and byte
-   range). Two n-grams of a batch that share a fingerprint have an entry each.
-2. A shuffle on the fingerprint adds the counts; entries of fingerprints that
-   reach the least count go on. Words come first, then pairs, then three and
-   four words. An n-gram is only looked at where its words (its pairs) are
-   frequent: no frequent phrase is lost, since no phrase is more frequent than
-   a part of it. That test is a bitmap of ``1 << FILTER_BITS`` bits, of one size
-   however much is counted: bits that clash let an n-gram through, never stop it.
-3. The pointers of what is left are grouped by row and read from the texts, and
-   the counts are added again by (language, phrase): fingerprints that clash,
-   within or between batches, fall apart there, and the counts are exact.
+   give the hash of any run of words), and puts out (fingerprint, count). A
+   shuffle on the fingerprint adds the counts; those that reach the least count
+   are frequent. Words come first, then pairs, then three and four words: an
+   n-gram is only counted where its words (its pairs) are frequent. No frequent
+   phrase is lost, since no phrase is more frequent than a part of it and a
+   clash only adds to a count. That test is one bitmap of ``1 << FILTER_BITS``
+   bits, of one size however much is counted: bits that clash let an n-gram
+   through, never stop it.
+2. The frequent n-grams of a batch become *entries*: fingerprint, count and a
+   pointer to an occurrence (row and byte range). Two n-grams of a batch that
+   share a fingerprint have an entry each. A shuffle on the fingerprint drops
+   what only the bitmap let through.
+3. The pointers are grouped by row and read from the texts, and the counts are
+   added again by (language, phrase): fingerprints that clash, within or between
+   batches, fall apart there, and the counts are exact.
 
 The frequent phrases are scored by joins on (language, phrase), and the first
 phrases of each language are picked in two steps, so that no task ranks a
@@ -47,8 +50,8 @@ MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 SCALE, SUBSUMED = 2_000_000, 80
 #: Bits of the filter of frequent fingerprints (8 MB).
 FILTER_BITS = 26
-#: Text bytes that one batch of entries comes from (a longer text is a batch of its own).
-BATCH_BYTES = 16 << 20
+#: Text bytes of a batch (a longer text is a batch of its own).
+BATCH_BYTES = 6 << 20
 #: Words hashed by one numpy step.
 STEP = 1 << 20
 #: Groups among which a language's phrases are ranked first.
@@ -164,51 +167,63 @@ def passing(bitmap: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def batch_entries(rows: np.ndarray, words: Words, lengths: tuple[int, ...], frequent: tuple[int, np.ndarray] | None) -> pa.RecordBatch:
-    """Entries of one batch: of runs of each of ``lengths`` words whose parts pass the filter (their words, and the bitmap)."""
-    parts = []
-    if frequent:
-        n, bitmap = frequent
-        at = words.runs(n)
+def chosen_runs(words: Words, length: int, parts: int | None, bitmap: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``length`` words and their fingerprints: all, those whose parts of ``parts`` words pass the filter, or (0 parts) that pass it themselves."""
+    at = words.runs(length)
+    if parts:
+        inner = words.runs(parts)
         good = np.zeros(len(words.piece) + 1, bool)
-        good[at] = passing(bitmap, words.fingerprints(at, n))
-    for length in lengths:
-        at = words.runs(length)
-        if frequent:
-            ok = np.ones(len(at), bool)
-            for t in range(length - n + 1):
-                ok &= good[at + t]
-            at = at[ok]
-        parts.append((*words.entries(at, words.fingerprints(at, length), length), length))
-    fp, count, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    length = np.concatenate([np.full(len(p[0]), p[3], np.int32) for p in parts])
-    row, first, last = rows[words.row[at]], words.first[at], words.last[at + length - 1]
-    if not frequent:  # how many words each language has: entries of no words
-        langs, one, total = np.unique(words.lang_of_row[words.row], return_index=True, return_counts=True)
-        none = np.zeros(len(langs), np.int64)
-        fp, count = np.concatenate([fp, words.lang_hash[langs]]), np.concatenate([count, total])
-        row, first, last = np.concatenate([row, rows[words.row[one]]]), np.concatenate([first, none]), np.concatenate([last, none])
-        length = np.concatenate([length, none.astype(np.int32)])
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (fp.view(np.int64), count, row, first, last, length)], ["fp", "cnt", "row", "first", "last", "words"])
-
-
-def mapped_entries(lengths, frequent, bits) -> callable:
-    """For ``mapInArrow``: entries of (row, lang, text)."""
+        good[inner] = passing(bitmap, words.fingerprints(inner, parts))
+        ok = good[at]
+        for t in range(1, length - parts + 1):
+            ok &= good[at + t]
+        at = at[ok]
+    fp = words.fingerprints(at, length)
+    if parts == 0:
+        ok = passing(bitmap, fp)
+        at, fp = at[ok], fp[ok]
+    return at, fp
+
+
+def batch_counts(words: Words, lengths: tuple[int, ...], parts: int | None, bitmap: np.ndarray | None) -> pa.RecordBatch:
+    """(fp, cnt) of one batch."""
+    found = [np.unique(chosen_runs(words, n, parts, bitmap)[1], return_counts=True) for n in lengths]
+    fp, count = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(count.astype(np.int64))], ["fp", "cnt"])
+
+
+def batch_entries(rows: np.ndarray, words: Words, lengths: tuple[int, ...], bitmap: np.ndarray) -> pa.RecordBatch:
+    """Entries of one batch for the runs that pass the filter; and, as entries of no words, how many words each language has."""
+    parts = []
+    for n in lengths:
+        fp, count, at = words.entries(*chosen_runs(words, n, 0, bitmap), n)
+        parts.append((fp, count, rows[words.row[at]], words.first[at], words.last[at + n - 1], np.full(len(fp), n, np.int32)))
+    langs, one, total = np.unique(words.lang_of_row[words.row], return_index=True, return_counts=True)
+    none = np.zeros(len(langs), np.int64)
+    parts.append((words.lang_hash[langs], total, rows[words.row[one]], none, none, none.astype(np.int32)))
+    fp, *rest = (np.concatenate([p[i] for p in parts]) for i in range(6))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in (fp.view(np.int64), *rest)], ["fp", "cnt", "row", "first", "last", "words"])
+
+
+def mapped(lengths: tuple[int, ...], parts: int | None, filt, bits: int, pointers: bool = False) -> callable:
+    """For ``mapInArrow`` over (row, lang, text): counts or entries of batches of about ``BATCH_BYTES``."""
+    size_of_batch = BATCH_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given = (frequent[0], frequent[1].value) if frequent else None
+        bitmap = filt.value if filt is not None else None
         held, size = [], 0
 
         def flush():
             table = pa.Table.from_batches(held).combine_chunks()
             text, lang = (table[c].combine_chunks() if table[c].num_chunks != 1 else table[c].chunk(0) for c in ("text", "lang"))
-            return batch_entries(table["row"].to_numpy(), Words(text, lang, bits), lengths, given)
+            words = Words(text, lang, bits)
+            return batch_entries(table["row"].to_numpy(), words, lengths, bitmap) if pointers else batch_counts(words, lengths, parts, bitmap)
 
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
             done = 0
             while done < batch.num_rows:
-                room = BATCH_BYTES - size + (sizes[done - 1] if done else 0)
+                room = size_of_batch - size + (sizes[done - 1] if done else 0)
                 upto = max(int(np.searchsorted(sizes, room, "right")), done + (not held))
                 if upto > done:
                     held.append(batch.slice(done, upto - done))
@@ -223,29 +238,36 @@ def mapped_entries(lengths, frequent, bits) -> callable:
     return run
 
 
-def frequent_entries(docs: DataFrame, lengths: tuple[int, ...], filt, min_count: int, bits: int) -> DataFrame:
-    """Entries whose fingerprint reaches the least count (and those that count a language's words), kept."""
-    entries = docs.mapInArrow(mapped_entries(lengths, filt, bits), ENTRY)
-    total = F.sum("cnt").over(Window.partitionBy("fp"))
-    return keep(entries.withColumn("total", total).filter((F.col("total") >= min_count) | (F.col("words") == 0)).drop("total"))
+def frequent(docs: DataFrame, lengths: tuple[int, ...], parts: int | None, filt, min_count: int, bits: int) -> DataFrame:
+    """(fp) of the runs of ``lengths`` words that reach the least count, kept."""
+    counts = docs.mapInArrow(mapped(lengths, parts, filt, bits), "fp bigint, cnt bigint")
+    return keep(counts.groupBy("fp").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") >= min_count).select("fp"))
 
 
-def bitmap(entries: DataFrame, n: int):
-    """The filter of the frequent fingerprints of n words, broadcast: one size at any input."""
+def set_bits(bitmap: np.ndarray, fps: DataFrame) -> np.ndarray:
+    """The filter with the bits of more fingerprints: at most ``1 << (FILTER_BITS - 6)`` rows come to the driver, at any input."""
     at = F.col("fp").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    slots = (entries.filter(F.col("words") == n).select(at.alias("at"))
-             .groupBy(F.shiftright("at", 6).alias("slot"))
+    slots = (fps.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("slot"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow())
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    out[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
-    return entries.sparkSession.sparkContext.broadcast(out.view(np.uint64))
+    out = bitmap.copy()
+    out[slots["slot"].to_numpy()] |= slots["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+#: Phrases that a task puts out at once.
+OUT_ROWS = 1 << 16
 
 
 def _read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, cnt) of the pointers of each row, read from its text."""
+    langs, phrases, counts = [], [], []
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
+                                          ["lang", "phrase", "cnt"])
+
     for batch in batches:
         lang, text, pointers = (batch.column(c) for c in ("lang", "text", "pointers"))
-        langs, phrases, counts = [], [], []
         for i in range(batch.num_rows):
             data, own = text[i].as_buffer().to_pybytes(), lang[i].as_py()
             flat = pointers[i].values
@@ -253,7 +275,10 @@ def _read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 phrases.append(b" ".join(data[a:b].lower().split()))  # bytes: A to Z alone are lowered
                 counts.append(c)
                 langs.append(own)
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "cnt"])
+            if len(langs) >= OUT_ROWS:
+                yield out()
+                langs, phrases, counts = [], [], []
+    yield out()
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, bits: int = 64) -> DataFrame:
@@ -268,15 +293,15 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     (docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
      .write.parquet(folder))
     rows = spark.read.parquet(folder)
-    levels = [frequent_entries(rows, (1,), None, min_count, bits)]
-    for n, lengths in ((1, (2,)), (2, tuple(range(3, max_words + 1)))):
-        lengths = tuple(x for x in lengths if x <= max_words)
-        if lengths:
-            levels.append(frequent_entries(rows, lengths, (n, bitmap(levels[-1], n)), min_count, bits))
-    pointers = levels[0]
-    for level in levels[1:]:
-        pointers = pointers.unionByName(level)
-    pointers = pointers.groupBy("row").agg(F.collect_list(F.struct("first", "last", "cnt")).alias("pointers"))
+    bitmap, filt = np.zeros(1 << (FILTER_BITS - 6), np.uint64), None
+    for parts, lengths in ((None, (1,)), (1, (2,)), (2, tuple(range(3, max_words + 1)))):
+        if lengths and lengths[0] <= max_words:
+            bitmap = set_bits(bitmap, frequent(rows, lengths, parts, filt, min_count, bits))
+            filt = spark.sparkContext.broadcast(bitmap)
+    entries = rows.mapInArrow(mapped(tuple(range(1, max_words + 1)), 0, filt, bits, pointers=True), ENTRY)
+    total = F.sum("cnt").over(Window.partitionBy("fp"))
+    entries = entries.withColumn("total", total).filter((F.col("total") >= min_count) | (F.col("words") == 0))
+    pointers = entries.groupBy("row").agg(F.collect_list(F.struct("first", "last", "cnt")).alias("pointers"))
     found = rows.join(pointers, "row").select("lang", "text", "pointers").mapInArrow(_read_phrases, "lang string, phrase string, cnt bigint")
     counts = found.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f"))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
