@@ -8,13 +8,14 @@ combined map-side instead of landing in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panel_edit.functions.columns import is_true
 from panel_edit.functions.lists import contains_period
 from panel_edit.operators import checks
 from panel_edit.operators.groups import attach_group_stats
+from panel_edit.operators.sums import exact_sum
 
 #: Absolute and relative tolerance of the parent-total checks.
 SUM_TOLERANCE = 1e-6
@@ -43,7 +44,7 @@ def proportions(
 
 
 def _total_stats(value: str) -> dict:
-    return {"parent_total": F.sum(value), "_non_outlier": F.sum(F.when(~F.col("_listed"), F.col(value)))}
+    return {"parent_total": exact_sum(value), "_non_outlier": exact_sum(F.when(~F.col("_listed"), F.col(value)))}
 
 
 def _with_proportion(df: DataFrame, value: str) -> DataFrame:
@@ -74,7 +75,7 @@ def apportion(
     ``out = imputed`` where present, else ``proportion * adjusted_total``.
     """
     x = df.join(imputed.select(area, period, imputed_col), [area, period], "left")
-    x = attach_group_stats(x, [parent, period], {"_imputed_sum": F.sum(imputed_col)})
+    x = attach_group_stats(x, [parent, period], {"_imputed_sum": exact_sum(imputed_col)})
     x = _with_adjusted(x, imputed_col, out)
     if check:
         checks.require(
@@ -106,7 +107,7 @@ def share_out(
 ) -> DataFrame:
     """:func:`proportions` and :func:`apportion` with every statistic from one aggregate; :func:`check_apportioned` checks both."""
     x = df.join(imputed.select(area, period, imputed_col), [area, period], "left").withColumn("_listed", contains_period(listed, period))
-    x = attach_group_stats(x, [parent, period], {**_total_stats(value), "_imputed_sum": F.sum(imputed_col)})
+    x = attach_group_stats(x, [parent, period], {**_total_stats(value), "_imputed_sum": exact_sum(imputed_col)})
     return _with_adjusted(_with_proportion(x, value), imputed_col, out)
 
 
@@ -131,7 +132,7 @@ def remove_negatives(
     x = attach_group_stats(
         df,
         [parent, period],
-        {"min_adjusted": F.min(adjusted), "_adj_sum": F.sum(adjusted), "_adj_n": F.count(adjusted)},
+        {"min_adjusted": F.min(adjusted), "_adj_sum": exact_sum(adjusted), "_adj_n": F.count(adjusted)},
     )
     shift = F.when(F.col("min_adjusted") < 0, F.abs(F.col("min_adjusted"))).otherwise(F.lit(0.0))
     x = (
@@ -167,11 +168,11 @@ def check_apportioned(
     parent-period total that moved.
     """
     present = [c for c in adjusted if c in df.columns]
-    aggs = [F.coalesce(F.sum(source), F.lit(0.0)).alias("_before")]
+    aggs = [F.coalesce(exact_sum(source), F.lit(0.0)).alias("_before")]
     if "non_outlier_total" in df.columns:
         aggs.append(F.max((F.col("non_outlier_total") == 0).cast("int")).alias("_zero"))
     for i, c in enumerate(present):
-        aggs.append(F.coalesce(F.sum(c), F.lit(0.0)).alias(f"_after{i}"))
+        aggs.append(F.coalesce(exact_sum(c), F.lit(0.0)).alias(f"_after{i}"))
         aggs.append(F.min(c).alias(f"_min{i}"))
     groups = df.groupBy(parent, period).agg(*aggs)
     allowed = F.lit(tolerance) + F.lit(relative) * F.abs(F.col("_before"))
@@ -194,9 +195,9 @@ def check_apportioned(
             raise checks.CheckFailed(f"{name} in {total} (parent, period) groups; first {len(sample)}: {sample}")
 
 
-def latest_rollback_period(df: DataFrame, period: str = "period", rollback: str = "rollback_flag") -> int | None:
-    """Latest period of any rollback row (one scalar; ``None`` without rollback rows)."""
-    return df.where(is_true(rollback)).agg(F.max(period)).first()[0]
+def latest_rollback_period(df: DataFrame, period: str = "period", rollback: str = "rollback_flag") -> Column:
+    """Latest period of any rollback row, as a scalar subquery (NULL without rollback rows): planned with its query, no round trip."""
+    return df.where(is_true(rollback)).agg(F.max(period)).scalar()
 
 
 def rollback_years(
@@ -212,25 +213,23 @@ def rollback_years(
     check: bool = True,
     tolerance: float = SUM_TOLERANCE,
     relative: float = RELATIVE_TOLERANCE,
-    latest: int | None = None,
+    latest: Column | None = None,
 ) -> DataFrame:
     """Share copied-back periods like the last copied-back period.
 
-    ``m`` = latest period of any rollback row (one scalar). Rollback rows get
-    ``total * (area's value in m) / (parent's sum in m)``; others keep ``value``.
-    The area's value comes from a window over the area (one row per period);
-    the parent's sum from :func:`attach_group_stats`.
+    ``m`` = latest period of any rollback row (a scalar subquery). Rollback rows
+    get ``total * (area's value in m) / (parent's sum in m)``; others keep
+    ``value``, and so do all without any rollback row. The area's value comes
+    from a window over the area (one row per period); the parent's sum from
+    :func:`attach_group_stats`.
     """
     if latest is None:
         latest = latest_rollback_period(df, period, rollback)
-    if latest is None:
-        x = df.withColumn(out, F.col(value))
-    else:
-        at_m = F.col(period) == F.lit(latest)
-        x = df.withColumn("_area_m", F.min(F.when(at_m, F.col(value))).over(Window.partitionBy(area)))
-        x = attach_group_stats(x, [parent], {"_parent_m": F.sum(F.when(at_m, F.col(value)))})
-        share = F.col(total) * F.try_divide(F.col("_area_m"), F.col("_parent_m"))
-        x = x.withColumn(out, F.when(is_true(rollback), share).otherwise(F.col(value))).drop("_area_m", "_parent_m")
+    x = df.withColumn("_at_m", F.coalesce(F.col(period) == latest, F.lit(False)))
+    x = x.withColumn("_area_m", F.min(F.when(F.col("_at_m"), F.col(value))).over(Window.partitionBy(area)))
+    x = attach_group_stats(x, [parent], {"_parent_m": exact_sum(F.when(F.col("_at_m"), F.col(value)))})
+    share = F.col(total) * F.try_divide(F.col("_area_m"), F.col("_parent_m"))
+    x = x.withColumn(out, F.when(is_true(rollback), share).otherwise(F.col(value))).drop("_at_m", "_area_m", "_parent_m")
     if check:
         checks.require(
             checks.sum_mismatches(x, [parent, period], source, out, tolerance, relative),

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panel_edit.operators.sums import exact_sum
+
 
 class CheckFailed(ValueError):
     """A data-quality check found violations."""
@@ -39,13 +41,13 @@ def sum_mismatches(
 ) -> DataFrame:
     """Groups whose totals of ``before`` and ``after`` differ by more than the tolerance.
 
-    A sum over only NULLs is 0. The allowed difference is
+    A sum over only NULLs is 0, and no sum depends on the order of its rows. The allowed difference is
     ``tolerance + relative * |total before|``; ``relative=0`` is the strict
     absolute test.
     """
     totals = df.groupBy(*keys).agg(
-        F.coalesce(F.sum(before), F.lit(0.0)).alias("sum_before"),
-        F.coalesce(F.sum(after), F.lit(0.0)).alias("sum_after"),
+        F.coalesce(exact_sum(before), F.lit(0.0)).alias("sum_before"),
+        F.coalesce(exact_sum(after), F.lit(0.0)).alias("sum_after"),
     )
     diff = F.abs(F.col("sum_before") - F.col("sum_after"))
     allowed = F.lit(tolerance) + F.lit(relative) * F.abs(F.col("sum_before"))
@@ -66,6 +68,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
+def absent_columns(df: DataFrame, present: Sequence[str]) -> DataFrame:
+    """Columns of ``df`` that are not among ``present``, with the number of values they hold: (column, n_values)."""
+    absent = [c for c in df.columns if c not in present]
+    if not absent:
+        return df.sparkSession.createDataFrame([], "column string, n_values bigint")
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(absent)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("n_values")) for i, c in enumerate(absent)])))
+
+
 def duplicate_years(df: DataFrame, listed: str) -> DataFrame:
     return df.where(F.size(listed) != F.size(F.array_distinct(listed)))
 

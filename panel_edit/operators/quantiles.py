@@ -4,24 +4,39 @@
 ``ceil(h)`` - the definition used by pandas, ``percentile`` and
 ``quantile_cont``. ``approx_percentile`` is not equivalent and is not used.
 
-One plan at every size, a distributed selection that never gathers a group in
-one task: range-partition on (group, value) - the partitioner samples keys, so
-a hot group is spread over many partitions - sort within partitions, count
-rows per (partition, group), turn the counts into rank offsets, and fetch only
-the two rows around each wanted rank. The ranked rows are written to the
-checkpoint folder first: a lost executor can't make them come out in another
-order than the one that was counted.
+Weighted order statistics, one plan at every size: rows are first counted by
+(group, value), so a value that half of a group holds is one row from then on;
+the distinct values are range-partitioned on (group, value), so that a group of
+any size spreads over partitions and no key is split from its count. Running
+counts - of the blocks (partition, group), then inside the few blocks that hold
+a wanted rank - pick the values around each rank. The counted values are written
+to the checkpoint folder first: a lost executor can't deal them out otherwise
+than they were counted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panel_edit.session import cut_lineage
 
+
+def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, ``_v``, its count ``_c``, ``_pid``): distinct values in ranges of (keys, value), written.
+
+    NULL values and rows with a NULL key are left out.
+    """
+    keys = list(keys)
+    x = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=[*keys, "_v"])
+    parts = int(x.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = x.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return cut_lineage(counts.repartitionByRange(parts, *keys, "_v").withColumn("_pid", F.spark_partition_id()))
+
+
 def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,60 +48,29 @@ def group_quantiles(
     NULL values are skipped; groups with no value, and rows with a NULL key, are absent.
     """
     keys = list(keys)
-    x = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=[*keys, "_v"])
-    spark = x.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = cut_lineage(
-        x.repartitionByRange(parts, *keys, "_v")
-        .sortWithinPartitions(*keys, "_v")
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_rid", F.monotonically_increasing_id())
-    )
-    # Rows of one group inside one partition are contiguous and sorted.
-    blocks = ranked.groupBy("_pid", *keys).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_rid").alias("_r0")
-    )
-    by_group = Window.partitionBy(*keys)
-    blocks = blocks.withColumn(
-        "_before",
-        F.coalesce(
-            F.sum("_c").over(by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).withColumn("_n", F.sum("_c").over(by_group))
-    wanted = F.array(
-        *[
-            F.struct(F.lit(name).alias("q"), F.lit(float(q)).alias("p"))
-            for name, q in probs.items()
-        ]
-    )
-    targets = (
-        blocks.withColumn("_w", F.explode(wanted))
-        .withColumn("_pos", (F.col("_n") - 1) * F.col("_w.p"))
-        .withColumn("_lo", F.floor("_pos"))
-        .withColumn("_hi", F.ceil("_pos"))
-        .withColumn("_rank", F.explode(F.array_distinct(F.array("_lo", "_hi"))))
-        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c")))
-        .select(
-            "_pid",
-            (F.col("_r0") + F.col("_rank") - F.col("_before")).alias("_rid"),
-            F.col("_w.q").alias("_q"),
-            "_pos",
-            "_lo",
-            "_hi",
-            "_rank",
-        )
-    )
-    picked = ranked.select("_pid", "_rid", *keys, "_v").join(targets, ["_pid", "_rid"])
-    low = F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v")))
-    high = F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v")))
-    per_q = picked.groupBy(*keys, "_q").agg(
-        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
-        low.alias("_low"), high.alias("_high"),
-    ).withColumn(
-        "_val",
-        F.when(F.col("_lo") == F.col("_hi"), F.col("_low")).otherwise(
-            (F.col("_hi") - F.col("_pos")) * F.col("_low") + (F.col("_pos") - F.col("_lo")) * F.col("_high")
-        ),
-    )
-    return per_q.groupBy(*keys).agg(*[F.max(F.when(F.col("_q") == name, F.col("_val"))).alias(name) for name in probs])
+    counted = counted_values(df, keys, value)
+    group = Window.partitionBy(*keys)
+    blocks = (counted.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_b"))
+              .withColumn("_before", F.sum("_b").over(group.orderBy("_pid")) - F.col("_b"))
+              .withColumn("_n", F.sum("_b").over(group)))
+    at = {name: (F.col("_n") - 1) * F.lit(float(q)) for name, q in probs.items()}
+
+    def holds(rank, first, n):
+        return (rank >= first) & (rank < first + n)
+
+    wanted = [f(h) for h in at.values() for f in (F.floor, F.ceil)]
+    blocks = blocks.where(reduce(lambda a, b: a | b, [holds(r, F.col("_before"), F.col("_b")) for r in wanted]))
+    inside = Window.partitionBy(*keys, "_pid").orderBy("_v")
+    x = counted.join(blocks, [*keys, "_pid"]).withColumn("_first", F.col("_before") + F.sum("_c").over(inside) - F.col("_c"))
+
+    def value_at(rank):
+        return F.max(F.when(holds(rank, F.col("_first"), F.col("_c")), F.col("_v")))
+
+    picked = x.groupBy(*keys).agg(F.max("_n").alias("_n"), *[
+        value_at(f(h)).alias(f"_{side}_{name}") for name, h in at.items() for side, f in (("low", F.floor), ("high", F.ceil))])
+
+    def between(name, h):
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        return F.when(F.floor(h) == F.ceil(h), low).otherwise((F.ceil(h) - h) * low + (h - F.floor(h)) * high)
+
+    return picked.select(*keys, *[between(name, h).alias(name) for name, h in at.items()])

@@ -19,6 +19,8 @@ from panel_edit.functions.lists import next_free_year, parse_year_list, previous
 from panel_edit.operators import (
     apportion, change, checks, constrain, decisions, filters, impute, mapping, outliers, reshape,
 )
+from panel_edit.operators.groups import attach_group_stats
+from panel_edit.operators.sums import exact_sum
 from panel_edit.session import cut_lineage, remove_path, scratch_path
 from panel_edit.sources import csv
 from panel_edit.sources.tables import table
@@ -136,7 +138,7 @@ def q_d5_constrain(spark, sf_dir):
 
 
 def q_r1_wide_to_long(spark, sf_dir):
-    w = fx.wide(fx.panel(spark, sf_dir), "uncon")
+    w = fx.wide(spark, sf_dir, "uncon")
     return rounded(reshape.wide_to_long(w, "period", "uncon"))
 
 
@@ -163,21 +165,23 @@ def q_r2_metrics_long(spark, sf_dir):
 def q_r3_metrics_wide(spark, sf_dir):
     c = constrained(spark, sf_dir).drop("mean_non_outlier", "con_mean")
     long = reshape.metrics_long(c, "uncon", "con_area", ids=IDS)
-    return rounded(reshape.metrics_wide(long, fx.YEARS, ids=IDS))
+    return rounded(reshape.metrics_wide(long, fx.years(spark, sf_dir), ids=IDS))
 
 
 def q_d6_union_sorted(spark, sf_dir):
-    p = fx.panel(spark, sf_dir)
-    first = fx.wide(p, "uncon").withColumn("master_flag", F.lit("TRUE"))
-    second = fx.wide(p, "con").withColumn("master_flag", F.lit("MEAN")).withColumn("source", F.lit("con"))
-    return rounded(constrain.union_sorted(first, second))
+    """The outliers' own wide rows and those of their parents' means, each pivoted on its own, in one sorted table."""
+    c, years = constrained(spark, sf_dir), fx.years(spark, sf_dir)
+    own = reshape.metrics_long(c.drop("mean_non_outlier", "con_mean"), "uncon", "con_area", ids=IDS)
+    means = reshape.metrics_long(c.drop("uncon", "con_area").withColumn("master_flag", F.lit("MEAN")), "mean_non_outlier", "con_mean", ids=IDS)
+    return rounded(constrain.union_sorted(*(reshape.metrics_wide(x, years, ids=IDS) for x in (own, means))))
 
 
 def preprocess_job(spark: SparkSession, sf_dir: str) -> jobs.PreprocessResult:
+    start, end = fx.span(spark, sf_dir)
     return jobs.preprocess(
-        fx.wide(fx.panel(spark, sf_dir), "uncon"),
+        fx.wide(spark, sf_dir, "uncon"),
         fx.parent_totals(spark, sf_dir),
-        start=fx.START_YEAR, end=fx.END_YEAR,
+        start=start, end=end,
         rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
         transaction=TRANSACTION,
         z_upper=Z_UPPER, z_lower=Z_LOWER,
@@ -187,7 +191,7 @@ def preprocess_job(spark: SparkSession, sf_dir: str) -> jobs.PreprocessResult:
 
 
 def q_e1_preprocess(spark, sf_dir):
-    return rounded(preprocess_job(spark, sf_dir).output, **{str(y): 6 for y in fx.YEARS})
+    return rounded(preprocess_job(spark, sf_dir).output, **{str(y): 6 for y in fx.years(spark, sf_dir)})
 
 
 # ---- stage 2: adjustment -------------------------------------------------------------------
@@ -205,13 +209,12 @@ def adjust_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def joined_con(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
-    con = fx.wide(fx.panel(spark, sf_dir), "con")
+    con = fx.wide(spark, sf_dir, "con")
     return decisions.join_decisions_con(con, adjust_rows(spark, sf_dir), check=check)
 
 
 def joined_uncon(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFrame:
-    panel = fx.panel(spark, sf_dir)
-    con, uncon, rows = fx.wide(panel, "con"), fx.wide(panel, "uncon"), adjust_rows(spark, sf_dir)
+    con, uncon, rows = fx.wide(spark, sf_dir, "con"), fx.wide(spark, sf_dir, "uncon"), adjust_rows(spark, sf_dir)
     j1 = decisions.join_decisions_con(con, rows, check=False)
     j2 = decisions.join_decisions_uncon(uncon, j1, check=False)
     if check:
@@ -222,13 +225,13 @@ def joined_uncon(spark: SparkSession, sf_dir: str, check: bool = True) -> DataFr
 def adjust_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The join checks belong to j1/j2/v6 and the adjust job; not repeated per downstream operator.
     long = filters.filter_period(reshape.adjust_long(joined_uncon(spark, sf_dir, check=False)),
-                                 fx.START_YEAR, fx.END_YEAR)
+                                 *fx.span(spark, sf_dir))
     long = change.rate_of_change(long)
     return cut_lineage(change.flag_rollback_years(long, fx.ROLLBACK_START, fx.ROLLBACK_END))
 
 
 def imputation(spark: SparkSession, sf_dir: str, extrapolated: bool = True) -> tuple[DataFrame, DataFrame]:
-    panel, imputed = impute.safe_years(adjust_panel(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    panel, imputed = impute.safe_years(adjust_panel(spark, sf_dir), *fx.span(spark, sf_dir))
     imputed = impute.interpolate(imputed)
     if extrapolated:
         imputed = impute.extrapolate(panel, imputed)
@@ -295,8 +298,7 @@ def q_j2_decision_uncon(spark, sf_dir):
 
 
 def q_v6_row_growth(spark, sf_dir):
-    panel = fx.panel(spark, sf_dir)
-    con, uncon = fx.wide(panel, "con"), fx.wide(panel, "uncon")
+    con, uncon = fx.wide(spark, sf_dir, "con"), fx.wide(spark, sf_dir, "uncon")
     rows = adjust_rows(spark, sf_dir)
     j1 = decisions.join_decisions_con(con, rows, check=False)
     return decisions.join_counts(con, rows, ["area", "parent"]).withColumn("join", F.lit("constrained")).unionByName(
@@ -312,13 +314,13 @@ def q_s3_next_free_year(spark, sf_dir):
     p = fx.panel(spark, sf_dir).withColumn("lst", parse_year_list("listed"))
     return p.select(
         "area", "period", F.array_join("lst", ",").alias("years"),
-        previous_free_year("period", "lst", fx.START_YEAR).alias("prev_free_year"),
-        next_free_year("period", "lst", fx.END_YEAR).alias("next_free_year"),
+        previous_free_year("period", "lst", fx.span(spark, sf_dir)[0]).alias("prev_free_year"),
+        next_free_year("period", "lst", fx.span(spark, sf_dir)[1]).alias("next_free_year"),
     )
 
 
 def q_d7_safe_years(spark, sf_dir):
-    _, imputed = impute.safe_years(adjust_panel(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    _, imputed = impute.safe_years(adjust_panel(spark, sf_dir), *fx.span(spark, sf_dir))
     return rounded(imputed.select(*IMPUTED_COLS, listed_text("year_to_adjust").alias("year_to_adjust")))
 
 
@@ -360,17 +362,17 @@ def q_d13_rollback_years(spark, sf_dir):
 
 
 def q_v1_sum_match(spark, sf_dir):
-    r = rolled_back(spark, sf_dir)
-    sums = r.groupBy("parent", "period").agg(
-        F.coalesce(F.sum("con"), F.lit(0.0)).alias("sum_before"),
-        F.coalesce(F.sum("rollback_con"), F.lit(0.0)).alias("sum_after"),
-    )
-    bad = checks.sum_mismatches(r, ["parent", "period"], "con", "rollback_con",
-                                apportion.SUM_TOLERANCE, apportion.RELATIVE_TOLERANCE)
-    flagged = bad.select("parent", "period", F.lit(False).alias("within_tolerance"))
-    out = sums.join(flagged, ["parent", "period"], "left").withColumn(
-        "within_tolerance", F.coalesce("within_tolerance", F.lit(True)))
-    return rounded(out, 2)
+    """Parent totals before and after, within tolerance or not: of the finished values, and of imputed values that nobody shared out (which break it)."""
+    r = rolled_back(spark, sf_dir).withColumn("imputed_only", F.coalesce("imputed", "con"))
+    reports = []
+    for after in ("rollback_con", "imputed_only"):
+        keys = ["parent", "period"]
+        bad = checks.sum_mismatches(r, keys, "con", after, apportion.SUM_TOLERANCE, apportion.RELATIVE_TOLERANCE)
+        sums = r.groupBy(*keys).agg(F.coalesce(exact_sum("con"), F.lit(0.0)).alias("sum_before"), F.coalesce(exact_sum(after), F.lit(0.0)).alias("sum_after"))
+        flagged = bad.select(*keys, F.lit(False).alias("within_tolerance"))
+        reports.append(sums.join(flagged, keys, "left").withColumns({
+            "within_tolerance": F.coalesce("within_tolerance", F.lit(True)), "values": F.lit(after)}))
+    return rounded(reports[0].unionByName(reports[1]), 2)
 
 
 def q_v2_zero_total(spark, sf_dir):
@@ -382,10 +384,10 @@ def q_v2_zero_total(spark, sf_dir):
 
 
 def adjust_job(spark: SparkSession, sf_dir: str, final_value: str = "readjusted") -> jobs.AdjustResult:
-    p = fx.panel(spark, sf_dir)
+    start, end = fx.span(spark, sf_dir)
     return jobs.adjust(
-        fx.decisions(spark, sf_dir), fx.wide(p, "con"), fx.wide(p, "uncon"),
-        start=fx.START_YEAR, end=fx.END_YEAR,
+        fx.decisions(spark, sf_dir), fx.wide(spark, sf_dir, "con"), fx.wide(spark, sf_dir, "uncon"),
+        start=start, end=end,
         rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
         final_value=final_value, ids=IDS,
     )
@@ -403,7 +405,7 @@ def q_e2_adjust(spark, sf_dir):
 
 def mapping_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjusted wide values per area (the constrained panel pivoted by period)."""
-    return fx.wide(fx.panel(spark, sf_dir), "con")
+    return fx.wide(spark, sf_dir, "con")
 
 
 def mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,7 +456,7 @@ QUOTED = {"note": {"old_name": "note", "type": "str"}, "rank": {"old_name": "ran
 def quoted_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide panel with a text that holds comma, quotes and a newline, and int, float and bool columns."""
     key = F.substring("area", F.lit(2), F.lit(20)).cast("bigint")
-    return fx.wide(fx.panel(spark, sf_dir), "uncon").withColumns({
+    return fx.wide(spark, sf_dir, "uncon").withColumns({
         "note": F.concat(F.col("area_name"), F.lit(', "quoted"\nand \\ more')), "rank": key,
         "share": key / F.lit(4.0), "even": key % 2 == 0})
 
@@ -467,12 +469,46 @@ def q_io1_csv_roundtrip(spark, sf_dir):
     return back
 
 
+#: Declared types of a file some of whose cells do not hold them (fixed values).
+SPOILT = {"area": {"old_name": "area", "type": "str"}, "rank": {"old_name": "rank", "type": "int"},
+          "share": {"old_name": "share", "type": "float"}, "even": {"old_name": "even", "type": "bool"}}
+
+
+def spoilt_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row of text cells per area: ranks that are no whole numbers, shares with separators, other words than true and false."""
+    key = F.substring("area", F.lit(2), F.lit(20)).cast("bigint")
+    text = key.cast("string")
+    return fx.wide(spark, sf_dir, "uncon").select(
+        "area",
+        F.when(key % 5 == 1, F.concat(text, F.lit(".5"))).when(key % 7 == 2, F.lit("not known")).when(key % 3 == 0, F.concat(text, F.lit(".0"))).otherwise(text).alias("rank"),
+        F.when(key % 4 == 3, F.concat(F.lit("1,"), text)).when(key % 11 == 2, F.lit("n/a")).otherwise(text).alias("share"),
+        F.when(key % 6 == 2, F.lit("perhaps")).otherwise((key % 2 == 0).cast("string")).alias("even"),
+        F.when(key % 9 == 4, F.lit("12 500")).otherwise(text).alias("1995"))
+
+
+def q_io4_coercions(spark, sf_dir):
+    """Cells of a written file that its schema's types can't hold: column, text and how often."""
+    path = scratch_path(spark, "io4")
+    csv.write_with_schema(spoilt_cells(spark, sf_dir), path)
+    _, ledger = csv.read_with_ledger(spark, path, SPOILT)
+    ledger = cut_lineage(ledger)
+    remove_path(spark, path)
+    return ledger
+
+
 def q_v3_negatives(spark, sf_dir):
-    """Negative values after an adjustment that takes too much: the panel less its smallest value by parent and period."""
-    p = fx.panel(spark, sf_dir).withColumn("readjusted_con", F.col("con") - 250000.0)
+    """Negative values after an adjustment that takes too much: the panel less 1.25 times the smallest value of its parent and period."""
+    p = attach_group_stats(fx.panel(spark, sf_dir), ["parent", "period"], {"smallest": F.min("con")})
+    p = p.withColumn("readjusted_con", F.col("con") - F.col("smallest") * 1.25)
     return rounded(checks.negatives(p, "readjusted_con").select("area", "parent", "period", "readjusted_con"))
 
 
+def q_v4_missing_columns(spark, sf_dir):
+    """Columns that the parent totals keep beside the descriptors and the panel lacks (the constraint refuses such tables)."""
+    totals = constrain.transaction_totals(totals_long(spark, sf_dir), TRANSACTION, drop_cols=("region", "region_name"))
+    return checks.absent_columns(totals, fx.panel(spark, sf_dir).columns)
+
+
 def spoilt_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decisions in which some areas list a year twice and some a year out of range."""
     key = F.substring("area", F.lit(2), F.lit(20)).cast("bigint")
@@ -482,12 +518,12 @@ def spoilt_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_v7_duplicate_years(spark, sf_dir):
-    twice, _ = decisions.year_list_violations(spoilt_decisions(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    twice, _ = decisions.year_list_violations(spoilt_decisions(spark, sf_dir), *fx.span(spark, sf_dir))
     return twice.select("area", listed_text().alias("years"))
 
 
 def q_v8_years_out_of_range(spark, sf_dir):
-    _, beyond = decisions.year_list_violations(spoilt_decisions(spark, sf_dir), fx.START_YEAR, fx.END_YEAR)
+    _, beyond = decisions.year_list_violations(spoilt_decisions(spark, sf_dir), *fx.span(spark, sf_dir))
     return beyond.select("area", listed_text().alias("years"))
 
 

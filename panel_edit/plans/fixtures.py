@@ -25,14 +25,11 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panel_edit.operators.reshape import pivot_cells
+from panel_edit.operators.reshape import period_values, pivot_cells
 from panel_edit.session import cut_lineage
 from panel_edit.sources.tables import table as read_table
 
 # Fixed values of the derived fixture (not from the reference).
-START_YEAR = 1995
-END_YEAR = 2001
-YEARS = list(range(START_YEAR, END_YEAR + 1))
 COPY_FROM = 1997
 COPY_BACK_END = 1996
 ROLLBACK_START = 1995
@@ -165,9 +162,21 @@ def hot_parent_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("parent_name", F.when(hot, F.lit("HOT PARENT")).otherwise(F.col("parent_name")))
 
 
-def wide(long: DataFrame, value: str, ids=("area", "area_name", "parent", "parent_name")) -> DataFrame:
-    """Wide table: ids + one column per period (``"1995"`` ...)."""
-    return long.groupBy(*ids).agg(*pivot_cells("period", value, YEARS))
+def years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The panel's periods, as its rows have them."""
+    return _memo(("years", sf_dir), lambda: period_values(panel(spark, sf_dir)))
+
+
+def span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """The panel's first and last period (0 and -1, an empty range, without rows)."""
+    found = years(spark, sf_dir)
+    return (found[0], found[-1]) if found else (0, -1)
+
+
+def wide(spark: SparkSession, sf_dir: str, value: str, ids=("area", "area_name", "parent", "parent_name")) -> DataFrame:
+    """The panel as a wide table: ids + one column per period (``"1995"`` ...)."""
+    long, periods = panel(spark, sf_dir), years(spark, sf_dir)
+    return long.groupBy(*ids).agg(*pivot_cells("period", value, periods)) if periods else long.select(*ids).distinct()
 
 
 def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +219,8 @@ def parent_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     long = rows[0].unionByName(rows[1])
     ids = ["region", "parent", "region_name", "transaction_code", "transaction"]
-    return long.groupBy(*ids).agg(*pivot_cells("period", "total", YEARS))
+    periods = years(spark, sf_dir)
+    return long.groupBy(*ids).agg(*pivot_cells("period", "total", periods)) if periods else long.select(*ids).distinct()
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

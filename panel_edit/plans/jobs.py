@@ -97,13 +97,13 @@ def preprocess(
     flagged = constrain.constrain_to_parent_totals(flagged, totals, transaction, transaction_col=transaction_col,
                                                    drop_cols=total_descriptors, parent=parent)
 
-    periods = list(range(start, end + 1))
+    periods = reshape.periods_within(panel_wide, start, end)
     pairs = {"TRUE": ("uncon", "con_area"), "MEAN": ("mean_non_outlier", "con_mean")}
     output = constrain.sorted_rows(reshape.metric_pairs_wide(flagged, periods, pairs, ids=ids), area=area)
 
     params = parameters_frame(
         panel_wide.sparkSession,
-        {
+        {  # fixed values: the parameter names of the file format
             "zscore_lower_threshold": z_lower,
             "zscore_upper_threshold": z_upper,
             "iqr_lower_quantile": iqr_lower_quantile,
@@ -163,7 +163,7 @@ def adjust(
     long = change.rate_of_change(long, area=area)
     long = change.flag_rollback_years(long, rollback_start, rollback_end)
     long = cut_lineage(long)
-    # Rollback flags are final here: read the latest rollback period from the materialised panel.
+    # Rollback flags are final here: the scalar reads the materialised panel.
     latest = apportion.latest_rollback_period(long)
     panel, imputed = impute.safe_years(long, start, end, area=area)
     imputed = impute.interpolate(imputed)
@@ -172,8 +172,7 @@ def adjust(
 
     # Checks of the four steps run once, below, on the materialised result.
     df = apportion.share_out(panel, imputed, area=area, parent=parent)
-    if not accept_negatives or latest is not None:  # the next steps' statistics read what was shared out
-        df = cut_lineage(df)
+    df = cut_lineage(df)  # the next steps' statistics read what was shared out
     value = "adjusted_con"
     if not accept_negatives:
         df = apportion.remove_negatives(df, parent=parent, check=False)
@@ -186,8 +185,9 @@ def adjust(
     chosen = "rollback_con" if final_value == "rollback" else value
     # Unique area rows (checked above) and a join that adds no rows make (ids, period) unique.
     final = interim.select(*ids, "period", F.col(chosen).alias("con"))
-    output = reshape.final_wide(final, range(start, end + 1), "con", ids)
+    output = reshape.final_wide(final, reshape.periods_within(uncon_wide, start, end), "con", ids)
 
+    # The parameter names of the file format.
     filters_used = component_filters or {"sas_code_filter": None, "cord_code_filter": None,
                                          "credit_debit_filter": None}
     params = parameters_frame(decisions.sparkSession, filters_used)

@@ -289,8 +289,21 @@ ORACLE: dict[str, str] = {
 SELECT {IDS}, {_pivot('uncon')}, area_name || ', "quoted"' || chr(10) || 'and ' || chr(92) || ' more' AS note,
        CAST(area_key AS BIGINT) AS rank, round(area_key / 4.0, 4) AS share, area_key % 2 = 0 AS even
 FROM panel GROUP BY {IDS}, area_key"""),
+    "io4_coercions": _with(PANEL, """,
+k AS (SELECT DISTINCT area_key AS key, CAST(area_key AS VARCHAR) AS t FROM panel),
+cells AS (
+  SELECT 'rank' AS "column", CASE WHEN key % 5 = 1 THEN t || '.5' WHEN key % 7 = 2 THEN 'not known' END AS value FROM k
+  UNION ALL SELECT 'share', CASE WHEN key % 4 = 3 THEN '1,' || t END FROM k
+  UNION ALL SELECT 'even', CASE WHEN key % 6 = 2 THEN 'perhaps' END FROM k
+  UNION ALL SELECT '1995', CASE WHEN key % 9 = 4 THEN '12 500' END FROM k)
+SELECT "column", value, count(*) AS n FROM cells WHERE value IS NOT NULL GROUP BY ALL"""),
     "v3_negatives": _with(PANEL, """
-SELECT area, parent, period, round(con - 250000.0, 4) AS readjusted_con FROM panel WHERE con - 250000.0 < 0"""),
+SELECT area, parent, period, round(x, 4) AS readjusted_con
+FROM (SELECT *, con - 1.25 * min(con) OVER (PARTITION BY parent, period) AS x FROM panel) WHERE x < 0"""),
+    "v4_missing_columns": _with(PANEL + TOTALS, """,
+one AS (SELECT * FROM totals_long WHERE "transaction" = 'Household income')
+SELECT 'transaction_code' AS "column", count(transaction_code) AS n_values FROM one
+UNION ALL SELECT 'transaction', count("transaction") FROM one"""),
     "v7_duplicate_years": _with(PANEL, """
 SELECT DISTINCT area, '1999,1999' AS years FROM panel WHERE area_key % 5 = 1"""),
     "v8_years_out_of_range": _with(PANEL, """
@@ -375,9 +388,11 @@ SELECT area, parent, period, round(min_adjusted, 3) AS min_adjusted, round(abs_a
 SELECT area, parent, period, rollback_flag, round(readjusted_con, 3) AS readjusted_con,
        round(rollback_con, 3) AS rollback_con FROM d13"""),
     "v1_sum_match": _with(ADJUST, """,
-v1 AS (SELECT parent, period, coalesce(sum(con), 0) AS sum_before, coalesce(sum(rollback_con), 0) AS sum_after
-       FROM d13 GROUP BY parent, period)
-SELECT parent, period, round(sum_before, 2) AS sum_before, round(sum_after, 2) AS sum_after,
+after AS (SELECT parent, period, con, rollback_con AS v, 'rollback_con' AS "values" FROM d13
+          UNION ALL SELECT parent, period, con, coalesce(imputed, con), 'imputed_only' FROM d13),
+v1 AS (SELECT parent, period, "values", coalesce(sum(con), 0) AS sum_before, coalesce(sum(v), 0) AS sum_after
+       FROM after GROUP BY parent, period, "values")
+SELECT parent, period, "values", round(sum_before, 2) AS sum_before, round(sum_after, 2) AS sum_after,
        abs(sum_before - sum_after) <= 1e-6 + 1e-12 * abs(sum_before) AS within_tolerance FROM v1"""),
     "v2_zero_total": _with(PANEL, f""",
 z AS (SELECT parent, period, {_years_list("listed")} AS lst,
@@ -414,11 +429,8 @@ SELECT {IDS}, period, {FLAGS}, 'uncon' AS metric, round(uncon, 4) AS value,
 UNION ALL
 SELECT {IDS}, period, {FLAGS}, 'CONLSOA', round(con_area, 4), 'CONLSOA_' || CAST(period AS VARCHAR) FROM cs2"""),
     "r3_metrics_wide": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area")),
-    "d6_union_sorted": _with(PANEL, f"""
-SELECT {IDS}, {_pivot("uncon")}, 'TRUE' AS master_flag, CAST(NULL AS VARCHAR) AS source
-FROM panel GROUP BY {IDS}
-UNION ALL
-SELECT {IDS}, {_pivot("con")}, 'MEAN', 'con' FROM panel GROUP BY {IDS}"""),
+    "d6_union_sorted": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area") + "\nUNION ALL\n"
+                             + _wide_metrics("cs2", "mean_non_outlier", "con_mean", "'MEAN'")),
     "e1_preprocess": _with(CONSTRAINED, _wide_metrics("cs2", "uncon", "con_area", digits=6) + "\nUNION ALL\n"
                            + _wide_metrics("cs2", "mean_non_outlier", "con_mean", "'MEAN'", digits=6)),
     "w1_forward": _with(RATIOS, """

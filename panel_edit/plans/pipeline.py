@@ -27,7 +27,9 @@ Configuration (keys of ``[user_settings]`` as in a stage-switch config)::
     output_dir = "..."
     preprocess_output_schema = "..."  adjust_output_schema = "..."  mapping_output_schema = "..."
 
-Unlike a switchboard that logs and swallows errors, a failing stage raises.
+The names of the keys above are fixed values: those of existing configuration files.
+Each input also gives ``<prefix>_<input>_coercions``: the cells that its schema's
+types could not hold, by column and text. Unlike a switchboard that logs and swallows errors, a failing stage raises.
 Each written output is a folder of CSV part files (``single_file = true``
 in ``[paths]`` coalesces small outputs to one part).
 """
@@ -36,12 +38,15 @@ from __future__ import annotations
 
 import os
 import tomllib
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from panel_edit.operators import constrain
 from panel_edit.plans import jobs
+from panel_edit.session import cut_lineage
 from panel_edit.sources import csv, qa
 
 
@@ -74,10 +79,22 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
         return os.path.join(out_dir, f"{prefix}_{name}")
 
     results: dict = {}
+
+    def read(name: str, period_type: str | None = "double"):
+        """One input file. Cells that its schema's types can't hold become NULL; they are written, counted and warned of."""
+        schema = _schema(paths, f"{name}_schema") or {}
+        df, ledger = csv.read_with_ledger(spark, paths[name], schema, period_type)
+        csv.write_with_schema(ledger.orderBy("column", "value"), target(f"{name}_coercions"), single_file=single)
+        found = ledger.groupBy("column").agg(F.sum("n").alias("n")).orderBy("column").collect()  # a row per column
+        results[f"{name}_coercions"] = {r["column"]: r["n"] for r in found}
+        if found:
+            warnings.warn(f"{name}: cells set to NULL since they do not parse, by column: {results[f'{name}_coercions']}", stacklevel=3)
+        csv.schema_violations(df, schema)
+        return df
+
     if us.get("preprocessing"):
-        panel = csv.read_with_schema(spark, paths["panel"], _schema(paths, "panel_schema") or {})
-        totals = csv.read_with_schema(spark, paths["parent_totals"], _schema(paths, "parent_totals_schema") or {},
-                                      period_type=None)  # may hold thousands separators
+        panel = read("panel")
+        totals = read("parent_totals", period_type=None)  # may hold thousands separators
         r = jobs.preprocess(
             panel, totals, start=start, end=end,
             rollback_start=us["rollback_year_start"], rollback_end=us["rollback_year_end"],
@@ -99,9 +116,7 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
 
     adjusted = None
     if us.get("adjustment"):
-        decisions = csv.read_with_schema(spark, paths["decisions"], _schema(paths, "decisions_schema") or {})
-        con = csv.read_with_schema(spark, paths["constrained"], _schema(paths, "constrained_schema") or {})
-        uncon = csv.read_with_schema(spark, paths["unconstrained"], _schema(paths, "unconstrained_schema") or {})
+        decisions, con, uncon = read("decisions"), read("constrained"), read("unconstrained")
         filters = {k: us.get(k) for k in ("sas_code_filter", "cord_code_filter", "credit_debit_filter")}
         r = jobs.adjust(
             decisions, con, uncon, start=start, end=end,
@@ -119,14 +134,14 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
 
     if us.get("mapping"):
         if adjusted is None:
-            adjusted = csv.read_with_schema(spark, paths["mapping_input"],
-                                            _schema(paths, "mapping_input_schema") or {})
-        mapper = csv.read_with_schema(spark, paths["mapper"], _schema(paths, "mapper_schema") or {})
+            adjusted = read("mapping_input")
+        mapper = read("mapper")
         aggregate = bool(us.get("aggregate_to_parent", us.get("aggregate_to_lad", False)))
         r = jobs.map_geography(adjusted, mapper, aggregate=aggregate, code_col=ids[2], name_col=ids[3])
         if r.need_mapping:
             # What the lookup left out or multiplied is written and counted, never dropped silently.
             for name, frame in (("mapping_unmatched", r.unmatched), ("mapping_ambiguous", r.ambiguous)):
+                frame = cut_lineage(frame)  # written and counted from one run of the join
                 csv.write_with_schema(frame, target(name), single_file=single)
                 results[f"{name}_rows"] = frame.count()
         if r.need_mapping and write:

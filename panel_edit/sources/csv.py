@@ -13,9 +13,11 @@ from __future__ import annotations
 import tomllib
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panel_edit.session import cut_lineage
+
 
 SPARK_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
 #: Spark types that satisfy a declared type.
@@ -40,25 +42,50 @@ def rename_columns(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> Da
     return df.withColumnsRenamed({p["old_name"]: new for new, p in schema.items() if p["old_name"] != new})
 
 
-def convert_types(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
+def _casts(df: DataFrame, schema: Mapping[str, Mapping[str, str]], period_type: str | None = None) -> dict[str, Column]:
+    """The converted form of each listed column, and of each period column where a type is given for them."""
+    casts = {}
+    for name in df.columns:
+        target = SPARK_TYPES.get(schema[name].get("type")) if name in schema else None
+        cell = F.col(f"`{name}`")
+        if target:
+            casts[name] = cell.try_cast(target)
+            if target == "bigint":
+                as_double = cell.try_cast("double")
+                casts[name] = F.coalesce(F.when(as_double.isNull() | (as_double == F.floor(as_double)), casts[name]),
+                                         F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
+        if period_type and name[:1].isdigit():
+            casts[name] = casts.get(name, cell).try_cast(period_type)
+    return casts
+
+
+def convert_types(df: DataFrame, schema: Mapping[str, Mapping[str, str]], period_type: str | None = None) -> DataFrame:
     """Cast listed columns; a cell that doesn't parse, or isn't a whole number in an ``int`` column, becomes NULL.
 
     A whole number may be written as "12.0".
     """
-    casts = {}
-    for name, props in schema.items():
-        target = SPARK_TYPES.get(props.get("type"))
-        if name not in df.columns or target is None:
-            continue
-        cast = F.col(f"`{name}`").try_cast(target)
-        if target == "bigint":
-            as_double = F.col(f"`{name}`").try_cast("double")
-            cast = F.coalesce(F.when(as_double.isNull() | (as_double == F.floor(as_double)), cast),
-                              F.when(as_double == F.floor(as_double), as_double.try_cast("bigint")))
-        casts[name] = cast
+    casts = _casts(df, schema, period_type)
     return df.withColumns(casts) if casts else df
 
 
+def convert_with_ledger(df: DataFrame, schema: Mapping[str, Mapping[str, str]], period_type: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """:func:`convert_types`, and the cells that it set to NULL: (column, value, n), one row per column and text.
+
+    Both come from one pass: each row is converted and written once, together
+    with the cells it lost.
+    """
+    casts = _casts(df, schema, period_type)
+    lost = "_lost"
+    while lost in df.columns:
+        lost += "_"
+    entries = [F.when(F.col(f"`{c}`").isNotNull() & cast.isNull(), F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")))
+               for c, cast in casts.items()]
+    empty = F.array().cast("array<struct<column:string,value:string>>")
+    both = cut_lineage(df.withColumns({**casts, lost: F.array_compact(F.array(*entries)) if entries else empty}))
+    ledger = both.select(F.inline(lost)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return both.drop(lost), ledger
+
+
 def schema_report(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """Violations as rows (column, declared, problem, n): missing column, other type, missing values in ``int`` columns.
 
@@ -95,37 +122,68 @@ def schema_violations(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) ->
         raise TypeError("columns do not match their declared types: " + "; ".join(wrong))
 
 
+def spans_lines(spark: SparkSession, path: str) -> bool:
+    """Whether any record of the files goes over several lines.
+
+    Quotes inside a quoted cell are doubled, so a record on one line has an even
+    number of quotes, and the first line of a longer record an odd one. The
+    lines are read in splits; the search ends at the first odd line.
+    """
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    return bool(spark.read.text(path).where(quotes % 2 == 1).take(1))
+
+
+def _text_cells(spark: SparkSession, path: str, schema: Mapping[str, Mapping[str, str]], multi_line: bool | None) -> DataFrame:
+    """The renamed columns of a file as text, ``MISSING`` cells NULL."""
+    if multi_line is None:
+        multi_line = spans_lines(spark, path)
+    df = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
+          .option("multiLine", multi_line).csv(path))
+    df = df.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return rename_columns(df, schema)
+
+
 def read_with_schema(
     spark: SparkSession,
     path: str,
     schema: Mapping[str, Mapping[str, str]] | str,
     period_type: str | None = "double",
     validate: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read a headered CSV (file or folder), then rename, convert and validate against ``schema``.
 
-    Quotes inside quoted cells are doubled, and a quoted cell may hold newlines
-    (``multi_line=False`` gives that up for files that can be split). Cells of
+    Quotes inside quoted cells are doubled, and a quoted cell may hold newlines:
+    whether one does is looked up first (:func:`spans_lines`), so that files
+    without any are read in splits; ``multi_line`` states it instead. Cells of
     ``MISSING`` are NULL. ``period_type=None`` keeps period columns as text
     (e.g. "1,234.5", parsed later).
     """
     if isinstance(schema, str):
         schema = load_schema(schema)
-    df = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
-          .option("multiLine", multi_line).csv(path))
-    df = df.select(*[F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns])
-    df = rename_columns(df, schema)
-    df = convert_types(df, schema)
-    periods = ({c: F.expr(f"try_cast(`{c}` AS {period_type})") for c in df.columns if c[:1].isdigit()}
-               if period_type else {})
-    if periods:
-        df = df.withColumns(periods)
+    df = convert_types(_text_cells(spark, path, schema, multi_line), schema, period_type)
     if validate:
         schema_violations(df, schema)
     return df
 
 
+def read_with_ledger(
+    spark: SparkSession,
+    path: str,
+    schema: Mapping[str, Mapping[str, str]] | str,
+    period_type: str | None = "double",
+    validate: bool = False,
+    multi_line: bool | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`read_with_schema`, and the ledger of the cells that became NULL because they did not parse (column, value, n)."""
+    if isinstance(schema, str):
+        schema = load_schema(schema)
+    df, ledger = convert_with_ledger(_text_cells(spark, path, schema, multi_line), schema, period_type)
+    if validate:
+        schema_violations(df, schema)
+    return df, ledger
+
+
 def write_with_schema(
     df: DataFrame,
     path: str,

@@ -22,9 +22,9 @@ def test_run_pipeline_from_config(spark, tmp_path):
     d = str(tmp_path)
     out_schema = {h: {"old_name": n, "type": "str"} for n, h in HEADERS.items()}
     with fx.one_build():
-        p = fx.panel(spark, SF_SMALL)
-        csv.write_with_schema(fx.wide(p, "uncon"), f"{d}/uncon", out_schema)
-        csv.write_with_schema(fx.wide(p, "con"), f"{d}/con", out_schema)
+        start, end = fx.span(spark, SF_SMALL)
+        csv.write_with_schema(fx.wide(spark, SF_SMALL, "uncon"), f"{d}/uncon", out_schema)
+        csv.write_with_schema(fx.wide(spark, SF_SMALL, "con"), f"{d}/con", out_schema)
         csv.write_with_schema(fx.decisions(spark, SF_SMALL), f"{d}/decisions", out_schema)
         csv.write_with_schema(fx.parent_totals(spark, SF_SMALL), f"{d}/totals")
         csv.write_with_schema(fx.lookup(spark, SF_SMALL), f"{d}/mapper")
@@ -33,7 +33,7 @@ def test_run_pipeline_from_config(spark, tmp_path):
     _toml_schema(f"{d}/out.toml", {h: n for n, h in HEADERS.items()})
     config = {
         "user_settings": {
-            "start_year": fx.START_YEAR, "end_year": fx.END_YEAR,
+            "start_year": start, "end_year": end,
             "rollback_year_start": fx.ROLLBACK_START, "rollback_year_end": fx.ROLLBACK_END,
             "preprocessing": True, "adjustment": True, "mapping": True,
             "zscore_upper_threshold": 2.0, "zscore_lower_threshold": -2.0, "iqr_multiplier": 1.0,
@@ -48,7 +48,10 @@ def test_run_pipeline_from_config(spark, tmp_path):
         },
     }
     results = run_pipeline(spark, config)
-    assert set(results) == {"preprocessing", "adjustment", "mapping", "mapping_unmatched_rows", "mapping_ambiguous_rows"}
+    inputs = ("panel", "parent_totals", "decisions", "constrained", "unconstrained", "mapper")
+    assert set(results) == {"preprocessing", "adjustment", "mapping", "mapping_unmatched_rows", "mapping_ambiguous_rows",
+                            *(f"{n}_coercions" for n in inputs)}
+    assert all(results[f"{n}_coercions"] == {} for n in inputs)
     written = sorted(os.listdir(f"{d}/out"))
     assert "t_adjustment_output" in written and "t_preprocessing_config" in written
     assert "t_mapping_output_not_aggregated" in written

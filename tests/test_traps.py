@@ -49,16 +49,16 @@ def test_partial_rollback_in_a_group_fails_the_sum_check(spark):  # T15
 
 def test_accepting_negatives_uses_adjusted_values(spark):  # T11
     with fx.one_build():
-        p = fx.panel(spark, SF_SMALL)
-        args = dict(start=fx.START_YEAR, end=fx.END_YEAR, rollback_start=fx.ROLLBACK_START,
+        start, end = fx.span(spark, SF_SMALL)
+        args = dict(start=start, end=end, rollback_start=fx.ROLLBACK_START,
                     rollback_end=fx.ROLLBACK_END, ids=catalog.IDS)
-        kept = jobs.adjust(fx.decisions(spark, SF_SMALL), fx.wide(p, "con"), fx.wide(p, "uncon"),
+        kept = jobs.adjust(fx.decisions(spark, SF_SMALL), fx.wide(spark, SF_SMALL, "con"), fx.wide(spark, SF_SMALL, "uncon"),
                            accept_negatives=True, **args)
         assert "readjusted_con" not in kept.interim.columns and "rollback_con" in kept.interim.columns
-        base = jobs.adjust(fx.decisions(spark, SF_SMALL), fx.wide(p, "con"), fx.wide(p, "uncon"), **args)
+        base = jobs.adjust(fx.decisions(spark, SF_SMALL), fx.wide(spark, SF_SMALL, "con"), fx.wide(spark, SF_SMALL, "uncon"), **args)
         # No negatives in this panel: rescaling is the identity up to rounding.
         def cells(df):
-            return sorted((r.area, [None if r[str(y)] is None else round(r[str(y)], 3) for y in fx.YEARS]) for r in df.collect())
+            return sorted((r.area, [None if r[str(y)] is None else round(r[str(y)], 3) for y in range(start, end + 1)]) for r in df.collect())
 
         a, b = cells(kept.output), cells(base.output)
         assert a == b
@@ -77,10 +77,10 @@ def test_lookup_mapping_a_unit_twice_is_reported(spark):  # T22
 
 def test_duplicate_parent_totals_are_rejected(spark):  # T22 / V11 for the totals
     with fx.one_build():
-        p = fx.panel(spark, SF_SMALL)
+        start, end = fx.span(spark, SF_SMALL)
         totals = fx.parent_totals(spark, SF_SMALL)
         with pytest.raises(checks.CheckFailed, match="duplicate parent totals"):
-            jobs.preprocess(fx.wide(p, "uncon"), totals.unionByName(totals), start=fx.START_YEAR, end=fx.END_YEAR,
+            jobs.preprocess(fx.wide(spark, SF_SMALL, "uncon"), totals.unionByName(totals), start=start, end=end,
                             rollback_start=fx.ROLLBACK_START, rollback_end=fx.ROLLBACK_END,
                             transaction=catalog.TRANSACTION, ids=catalog.IDS)
 
