@@ -14,13 +14,16 @@ mined length by length:
    clash only adds to a count. That test is one bitmap of ``1 << FILTER_BITS``
    bits, of one size however much is counted: bits that clash let an n-gram
    through, never stop it.
-2. The frequent n-grams of a batch become *entries*: fingerprint, count and a
-   pointer to an occurrence (row and byte range). Two n-grams of a batch that
-   share a fingerprint have an entry each. A shuffle on the fingerprint drops
-   what only the bitmap let through.
-3. The pointers are grouped by row and read from the texts, and the counts are
-   added again by (language, phrase): fingerprints that clash, within or between
-   batches, fall apart there, and the counts are exact.
+2. The n-grams of a batch that pass the bitmap become *entries*: fingerprint,
+   count and a pointer to an occurrence. Two n-grams of a batch that share a
+   fingerprint are compared word by word and have an entry each.
+3. The phrases are read from the text at their pointers and the counts are added
+   again by (language, phrase), in the task and then in a shuffle: fingerprints
+   that clash, in one batch or over many, fall apart there, and what only the
+   bitmap let through is dropped. The counts are exact.
+
+The pointers stay in the task, which holds the text: sent through the shuffle
+and resolved by a join with the texts, they took over six times the input of disk.
 
 The frequent phrases are scored by joins on (language, phrase), and the first
 phrases of each language are picked in two steps, so that no task ranks a
@@ -42,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panel_edit.llm.common import keep, mix, remove, scratch, ship, text_buffer
+from panel_edit.llm.common import keep, mix, ship, text_buffer
 
 #: A candidate occurs so often at least and has so many words at most; so many phrases of a language are returned.
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
@@ -52,6 +55,8 @@ SCALE, SUBSUMED = 2_000_000, 80
 FILTER_BITS = 26
 #: Text bytes of a batch (a longer text is a batch of its own).
 BATCH_BYTES = 6 << 20
+#: Fingerprints that a task adds up before it puts them out.
+MERGE_ROWS = 2 << 20
 #: Words hashed by one numpy step.
 STEP = 1 << 20
 #: Groups among which a language's phrases are ranked first.
@@ -69,8 +74,6 @@ _KIND[[*b".,;:!?", 10, 11, 12, 13]] = 2
 _BASE_BYTES, _BASE_WORDS = 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93
 _BYTE = np.random.default_rng(1103).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-ENTRY = "fp bigint, cnt bigint, row bigint, first bigint, last bigint, words int"
-
 
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo 2**64 for i below n."""
@@ -103,7 +106,7 @@ def value_hashes(column: pa.Array) -> np.ndarray:
 
 
 class Words:
-    """The words of a batch of texts: exact number, row, byte range and piece of each, and hashes of runs of them."""
+    """The words of a batch of texts: exact number, row and piece of each, and hashes of runs of them."""
 
     def __init__(self, texts: pa.Array, langs: pa.Array, bits: int = 64):
         closed = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
@@ -112,18 +115,17 @@ class Words:
         inside = np.zeros(len(data) + 1, np.int8)
         inside[1:] = kind == 0
         edge = np.flatnonzero(np.diff(inside))
-        self.first, self.last = edge[0::2], edge[1::2]
-        self.row = np.searchsorted(offsets, self.first, "right") - 1
-        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.first]
-        ends = np.zeros(len(self.first) + 1, np.int64)
-        np.cumsum(self.last - self.first, out=ends[1:])
-        own = pa.Array.from_buffers(pa.large_binary(), len(self.first), [None, pa.py_buffer(ends), pa.py_buffer(_LOWER[data[kind == 0]])])
-        self.first, self.last = self.first - offsets[self.row], self.last - offsets[self.row]
+        first, last = edge[0::2], edge[1::2]
+        self.row = (np.searchsorted(offsets, first, "right") - 1).astype(np.int32)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[first]
+        ends = np.zeros(len(first) + 1, np.int64)
+        np.cumsum(last - first, out=ends[1:])
+        own = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(_LOWER[data[kind == 0]])])
         coded = own.dictionary_encode()
-        self.number = coded.indices.to_numpy(zero_copy_only=False)
-        self.hash = value_hashes(coded.dictionary)[self.number] if len(self.first) else np.zeros(0, np.uint64)
+        self.words, self.number = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        self.hash = value_hashes(coded.dictionary)[self.number] if len(first) else np.zeros(0, np.uint64)
         coded = pc.fill_null(langs.cast(pa.large_string()), UNKNOWN).dictionary_encode()
-        self.lang_of_row = coded.indices.to_numpy(zero_copy_only=False)
+        self.langs, self.lang_of_row = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
         self.lang_hash = value_hashes(coded.dictionary) if len(coded.dictionary) else np.zeros(0, np.uint64)
         self.mask = np.uint64((1 << bits) - 1)
 
@@ -142,6 +144,18 @@ class Words:
             out[i:j] = run_hashes(self.hash[low:low + STEP + n], own, own + n, _BASE_WORDS)
         return mix(out + self.lang_hash[self.lang_of_row[self.row[at]]] * np.uint64(2 * n + 1)) & self.mask
 
+    def spelled(self, count: np.ndarray, at: np.ndarray, n: int):
+        """(count, phrase, language) of the runs of n words at the pointers ``at``."""
+        phrase = self.words.take(pa.array(self.number[at]))
+        for t in range(1, n):
+            phrase = pc.binary_join_element_wise(phrase, self.words.take(pa.array(self.number[at + t])), pa.scalar(b" ", pa.large_binary()))
+        return count, phrase.cast(pa.large_string()).cast(pa.string()), self.langs.take(pa.array(self.lang_of_row[self.row[at]])).cast(pa.string())
+
+    def totals(self):
+        """(words, empty phrase, language) of each language."""
+        langs, count = np.unique(self.lang_of_row[self.row], return_counts=True)
+        return count, pa.array([""] * len(langs), pa.string()), self.langs.take(pa.array(langs)).cast(pa.string())
+
     def entries(self, at: np.ndarray, fp: np.ndarray, n: int):
         """(fingerprint, count, first word of an occurrence) of each different run; equal fingerprints are compared word by word."""
         order = np.argsort(fp, kind="stable")
@@ -185,62 +199,101 @@ def chosen_runs(words: Words, length: int, parts: int | None, bitmap: np.ndarray
     return at, fp
 
 
-def batch_counts(words: Words, lengths: tuple[int, ...], parts: int | None, bitmap: np.ndarray | None) -> pa.RecordBatch:
-    """(fp, cnt) of one batch."""
-    found = [np.unique(chosen_runs(words, n, parts, bitmap)[1], return_counts=True) for n in lengths]
-    fp, count = (np.concatenate([x[i] for x in found]) for i in (0, 1))
-    return pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(count.astype(np.int64))], ["fp", "cnt"])
+def summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, count) pairs with equal fingerprints added."""
+    fp, count = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    order = np.argsort(fp, kind="stable")
+    fp, count = fp[order], count[order]
+    group = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
+    return fp[group], np.add.reduceat(count, group) if len(fp) else count
 
 
-def batch_entries(rows: np.ndarray, words: Words, lengths: tuple[int, ...], bitmap: np.ndarray) -> pa.RecordBatch:
-    """Entries of one batch for the runs that pass the filter; and, as entries of no words, how many words each language has."""
-    parts = []
-    for n in lengths:
-        fp, count, at = words.entries(*chosen_runs(words, n, 0, bitmap), n)
-        parts.append((fp, count, rows[words.row[at]], words.first[at], words.last[at + n - 1], np.full(len(fp), n, np.int32)))
-    langs, one, total = np.unique(words.lang_of_row[words.row], return_index=True, return_counts=True)
-    none = np.zeros(len(langs), np.int64)
-    parts.append((words.lang_hash[langs], total, rows[words.row[one]], none, none, none.astype(np.int32)))
-    fp, *rest = (np.concatenate([p[i] for p in parts]) for i in range(6))
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (fp.view(np.int64), *rest)], ["fp", "cnt", "row", "first", "last", "words"])
+def text_batches(batches: Iterator[pa.RecordBatch], limit: int, bits: int) -> Iterator[Words]:
+    """The words of the texts, in batches of about ``limit`` bytes."""
+    held, size = [], 0
 
+    def flush():
+        table = pa.Table.from_batches(held).combine_chunks()
+        return Words(*(table[c].chunk(0) if table[c].num_chunks == 1 else table[c].combine_chunks() for c in ("text", "lang")), bits)
 
-def mapped(lengths: tuple[int, ...], parts: int | None, filt, bits: int, pointers: bool = False) -> callable:
-    """For ``mapInArrow`` over (row, lang, text): counts or entries of batches of about ``BATCH_BYTES``."""
-    size_of_batch = BATCH_BYTES
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        done = 0
+        while done < batch.num_rows:
+            room = limit - size + (sizes[done - 1] if done else 0)
+            upto = max(int(np.searchsorted(sizes, room, "right")), done + (not held))
+            if upto > done:
+                held.append(batch.slice(done, upto - done))
+                size += int(sizes[upto - 1] - (sizes[done - 1] if done else 0))
+                done = upto
+            if done < batch.num_rows:
+                yield flush()
+                held, size = [], 0
+    if held:
+        yield flush()
+
+
+def counted(lengths: tuple[int, ...], parts: int | None, filt, bits: int):
+    """For ``mapInArrow`` over (lang, text): (fp, cnt), added up within the task as far as ``MERGE_ROWS`` allow."""
+    limit, most = BATCH_BYTES, MERGE_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = filt.value if filt is not None else None
         held, size = [], 0
 
-        def flush():
-            table = pa.Table.from_batches(held).combine_chunks()
-            text, lang = (table[c].combine_chunks() if table[c].num_chunks != 1 else table[c].chunk(0) for c in ("text", "lang"))
-            words = Words(text, lang, bits)
-            return batch_entries(table["row"].to_numpy(), words, lengths, bitmap) if pointers else batch_counts(words, lengths, parts, bitmap)
-
-        for batch in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            done = 0
-            while done < batch.num_rows:
-                room = size_of_batch - size + (sizes[done - 1] if done else 0)
-                upto = max(int(np.searchsorted(sizes, room, "right")), done + (not held))
-                if upto > done:
-                    held.append(batch.slice(done, upto - done))
-                    size += int(sizes[upto - 1] - (sizes[done - 1] if done else 0))
-                    done = upto
-                if done < batch.num_rows:
-                    yield flush()
+        def out(pair):
+            return pa.RecordBatch.from_arrays([pa.array(pair[0].view(np.int64)), pa.array(pair[1].astype(np.int64))], ["fp", "cnt"])
+
+        for words in text_batches(batches, limit, bits):
+            for n in lengths:
+                held.append(np.unique(chosen_runs(words, n, parts, bitmap)[1], return_counts=True))
+                size += len(held[-1][0])
+            if size > most:
+                held = [summed(held)]
+                size = len(held[0][0])
+                if size > most // 2:
+                    yield out(held[0])
+                    held, size = [], 0
+        if held:
+            yield out(summed(held))
+
+    return run
+
+
+def spelled(lengths: tuple[int, ...], filt, bits: int):
+    """For ``mapInArrow`` over (lang, text): (lang, phrase, cnt) of the runs that pass the filter, read at their pointers.
+
+    The empty phrase counts the words of a language.
+    """
+    limit, most = BATCH_BYTES, MERGE_ROWS // 4
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def added():
+            table = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("cnt", "sum")])
+            return table.select(["lang", "phrase", "cnt_sum"]).rename_columns(["lang", "phrase", "cnt"])
+
+        for words in text_batches(batches, limit, bits):
+            for n in (0, *lengths):
+                count, phrase, lang = words.spelled(*words.entries(*chosen_runs(words, n, 0, filt.value), n)[1:], n) if n else words.totals()
+                held.append(pa.table({"lang": lang, "phrase": phrase, "cnt": pa.array(count.astype(np.int64))}))
+                size += len(count)
+            if size > most:
+                held = [added()]
+                size = held[0].num_rows
+                if size > most // 2:
+                    yield from held[0].combine_chunks().to_batches()
                     held, size = [], 0
         if held:
-            yield flush()
+            yield from added().combine_chunks().to_batches()
 
     return run
 
 
 def frequent(docs: DataFrame, lengths: tuple[int, ...], parts: int | None, filt, min_count: int, bits: int) -> DataFrame:
     """(fp) of the runs of ``lengths`` words that reach the least count, kept."""
-    counts = docs.mapInArrow(mapped(lengths, parts, filt, bits), "fp bigint, cnt bigint")
+    counts = docs.mapInArrow(counted(lengths, parts, filt, bits), "fp bigint, cnt bigint")
     return keep(counts.groupBy("fp").agg(F.sum("cnt").alias("cnt")).filter(F.col("cnt") >= min_count).select("fp"))
 
 
@@ -254,33 +307,6 @@ def set_bits(bitmap: np.ndarray, fps: DataFrame) -> np.ndarray:
     return out
 
 
-#: Phrases that a task puts out at once.
-OUT_ROWS = 1 << 16
-
-
-def _read_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, cnt) of the pointers of each row, read from its text."""
-    langs, phrases, counts = [], [], []
-
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
-                                          ["lang", "phrase", "cnt"])
-
-    for batch in batches:
-        lang, text, pointers = (batch.column(c) for c in ("lang", "text", "pointers"))
-        for i in range(batch.num_rows):
-            data, own = text[i].as_buffer().to_pybytes(), lang[i].as_py()
-            flat = pointers[i].values
-            for a, b, c in zip(*(flat.field(k).to_pylist() for k in ("first", "last", "cnt")), strict=True):
-                phrases.append(b" ".join(data[a:b].lower().split()))  # bytes: A to Z alone are lowered
-                counts.append(c)
-                langs.append(own)
-            if len(langs) >= OUT_ROWS:
-                yield out()
-                langs, phrases, counts = [], [], []
-    yield out()
-
-
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, bits: int = 64) -> DataFrame:
     """(lang, phrase, words, f): all words and phrases of up to ``max_words`` words that occur ``min_count`` times, kept.
 
@@ -289,25 +315,16 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     """
     spark = docs.sparkSession
     ship(spark)
-    folder = scratch(spark, "collocations")
-    (docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-     .write.parquet(folder))
-    rows = spark.read.parquet(folder)
+    rows = docs.select("lang", "text")
     bitmap, filt = np.zeros(1 << (FILTER_BITS - 6), np.uint64), None
     for parts, lengths in ((None, (1,)), (1, (2,)), (2, tuple(range(3, max_words + 1)))):
         if lengths and lengths[0] <= max_words:
             bitmap = set_bits(bitmap, frequent(rows, lengths, parts, filt, min_count, bits))
             filt = spark.sparkContext.broadcast(bitmap)
-    entries = rows.mapInArrow(mapped(tuple(range(1, max_words + 1)), 0, filt, bits, pointers=True), ENTRY)
-    total = F.sum("cnt").over(Window.partitionBy("fp"))
-    entries = entries.withColumn("total", total).filter((F.col("total") >= min_count) | (F.col("words") == 0))
-    pointers = entries.groupBy("row").agg(F.collect_list(F.struct("first", "last", "cnt")).alias("pointers"))
-    found = rows.join(pointers, "row").select("lang", "text", "pointers").mapInArrow(_read_phrases, "lang string, phrase string, cnt bigint")
+    found = rows.mapInArrow(spelled(tuple(range(1, max_words + 1)), filt, bits), "lang string, phrase string, cnt bigint")
     counts = found.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f"))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    counts = keep(counts.withColumn("words", words).filter((F.col("f") >= min_count) | (F.col("words") == 0)))
-    remove(spark, folder)
-    return counts
+    return keep(counts.withColumn("words", words).filter((F.col("f") >= min_count) | (F.col("words") == 0)))
 
 
 def _exact(column) -> F.Column:

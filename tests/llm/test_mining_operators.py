@@ -54,6 +54,7 @@ def test_collocations_equal_counting_by_hand(spark, bits, monkeypatch):
     """Also with five-bit fingerprints, under which most n-grams clash, and with batches of a few texts."""
     rows = corpus()
     monkeypatch.setattr(collocations, "BATCH_BYTES", 500)
+    monkeypatch.setattr(collocations, "MERGE_ROWS", 90)
     table = spark.createDataFrame([(*r, 1, "x", 2, 3) for r in rows], "doc_id bigint, text string, lang string, row int, phrase string, fp int, n int").repartition(3)
     got = collocations.collocations(table, min_count=12, top=25, bits=bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
