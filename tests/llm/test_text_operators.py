@@ -156,6 +156,56 @@ def test_token_digests_of_whole_texts(spark, library, monkeypatch, part):
     assert bpe.token_digests(empty(spark)).count() == 0
 
 
+UNSPLIT = ["x" * 400_000, "ab'sé日<|endoftext|>" * 9000, "'restvlldm12a!" * 12000, "e\u0301\u0327a\u1100\u1161\u11a8" * 9000, "\u0301" * 40000]
+
+
+def test_unsplit_text_is_encoded_in_parts_and_joined_as_a_tree(spark, library):
+    """Runs without white space: every part is encoded apart from the others, and the joined ids are the library's."""
+    codec = bpe.Codec(bpe.vocabulary_path())
+    rnd = random.Random(9)
+    cases = [*UNSPLIT, "".join(rnd.choice("eothin'sé1!") for _ in range(400_000))]
+    for t in cases[1:3] + cases[-1:]:
+        parts = bpe.cut_text(t, 16384, codec.special)
+        assert "".join(p for _, p in parts) == t and {r for r, _ in parts} == {0} and all(len(p) <= 16384 for _, p in parts) and len(parts) > 8
+    rows = [(i, t) for i, t in enumerate(cases)] + [(50, "word " * 9000 + cases[-1][:90_000] + "\u3000" + "é" * 60_000 + " end"), (51, " " * 50_000), (52, "a" * 32_768 + " b")]
+    got = bpe.token_digests(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in got) == sorted([i for i, _ in rows] + [rows[-1][0]])
+    by_id = dict(rows)
+    for r in got:
+        ids = library.encode(by_id[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()), r.doc_id
+
+
+def test_no_task_encodes_an_unsplit_run_whole(monkeypatch):
+    """The calls that encode: one per part, of a part's length; joins encode windows only."""
+    codec = bpe.Codec(bpe.vocabulary_path())
+    rnd = random.Random(4)
+    for letters in ("eothin", "eothin'sé1!"):
+        text = "".join(rnd.choice(letters) for _ in range(400_000))
+        parts = [p for _, p in bpe.cut_text(text, 32_768, codec.special)]
+        units = [codec.run_units(p) for p in parts]
+        assert len(units) == 13
+        calls = []
+        tree = codec._tree
+        monkeypatch.setattr(codec, "_tree", lambda symbols: (calls.append(len(symbols)), tree(symbols))[1])
+        while len(units) > 1:
+            units = [codec.join_units(units[i], units[i + 1]) if i + 1 < len(units) else units[i] for i in range(0, len(units), 2)]
+        monkeypatch.undo()
+        assert "".join(units[0][0]) == text and max(calls, default=0) < 2000 and len(calls) < 200
+        assert [codec.id_of[t] for own in units[0][1] for t in own] == codec.library.encode(text, add_special_tokens=False).ids
+
+
+def test_cuts_keep_whole_what_goes_over_them():
+    codec = bpe.Codec(bpe.vocabulary_path())
+    for t in ("ab<|endoftext|>" * 50, "e\u0301\u0327" * 300, "\u1100\u1161\u11a8" * 300, "\u0301" * 900, "a b" * 400, "a" * 300 + " " + "b" * 300):
+        for size in (16, 17, 31, 100):
+            parts = bpe.cut_text(t, size, codec.special)
+            assert "".join(p for _, p in parts) == t
+            for (run, left), (_, right) in zip(parts, parts[1:]):
+                if run >= 0 and not bpe._FIRST_SPACE.match(right):
+                    assert codec._normalised(left + right) == codec._normalised(left) + codec._normalised(right)
+
+
 def fingerprint(t, size=3):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
     shingles = [" ".join(w[k:k + size]) for k in range(len(w) - size + 1)] or ([" ".join(w)] if w else [])
