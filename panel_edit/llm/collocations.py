@@ -11,16 +11,16 @@ mined length by length:
    are frequent. Words come first, then pairs, then three and four words: an
    n-gram is only counted where its words (its pairs) are frequent. No frequent
    phrase is lost, since no phrase is more frequent than a part of it and a
-   clash only adds to a count. That test is one bitmap of ``1 << FILTER_BITS``
-   bits, of one size however much is counted: bits that clash let an n-gram
-   through, never stop it.
-2. The n-grams of a batch that pass the bitmap become *entries*: fingerprint,
+   clash only adds to a count. That test is one Bloom filter of
+   ``1 << FILTER_BITS`` bits, of one size however much is counted: bits that
+   clash let an n-gram through, never stop it.
+2. The n-grams of a batch that pass the filter become *entries*: fingerprint,
    count and a pointer to an occurrence. Two n-grams of a batch that share a
    fingerprint are compared word by word and have an entry each.
 3. The phrases are read from the text at their pointers and the counts are added
    again by (language, phrase), in the task and then in a shuffle: fingerprints
    that clash, in one batch or over many, fall apart there, and what only the
-   bitmap let through is dropped. The counts are exact.
+   filter let through is dropped. The counts are exact.
 
 The pointers stay in the task, which holds the text: sent through the shuffle
 and resolved by a join with the texts, they took over six times the input of disk.
@@ -51,8 +51,8 @@ from panel_edit.llm.common import keep, mix, ship, text_buffer
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
 #: The score's factor, and the share (in hundredths) of a phrase's count at which a longer one replaces it.
 SCALE, SUBSUMED = 2_000_000, 80
-#: Bits of the filter of frequent fingerprints (8 MB).
-FILTER_BITS = 26
+#: Bits of the filter of frequent fingerprints (16 MB), and where in a fingerprint its places in the filter are read.
+FILTER_BITS, FILTER_SHIFTS = 27, (0, 18, 37)
 #: Text bytes of a batch (a longer text is a batch of its own).
 BATCH_BYTES = 6 << 20
 #: Fingerprints that a task adds up before it puts them out.
@@ -176,9 +176,12 @@ class Words:
 
 
 def passing(bitmap: np.ndarray, fp: np.ndarray) -> np.ndarray:
-    """Whether each fingerprint's bit is set."""
-    at = fp & np.uint64((1 << FILTER_BITS) - 1)
-    return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    """Whether all bits of each fingerprint are set."""
+    ok = np.ones(len(fp), bool)
+    for shift in FILTER_SHIFTS:
+        at = (fp >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
+        ok &= (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return ok
 
 
 def chosen_runs(words: Words, length: int, parts: int | None, bitmap: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +268,7 @@ def spelled(lengths: tuple[int, ...], filt, bits: int):
 
     The empty phrase counts the words of a language.
     """
-    limit, most = BATCH_BYTES, MERGE_ROWS // 4
+    limit, most = BATCH_BYTES, MERGE_ROWS // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -299,8 +302,8 @@ def frequent(docs: DataFrame, lengths: tuple[int, ...], parts: int | None, filt,
 
 def set_bits(bitmap: np.ndarray, fps: DataFrame) -> np.ndarray:
     """The filter with the bits of more fingerprints: at most ``1 << (FILTER_BITS - 6)`` rows come to the driver, at any input."""
-    at = F.col("fp").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    slots = (fps.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("slot"))
+    places = F.array(*[F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) for shift in FILTER_SHIFTS])
+    slots = (fps.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("slot"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow())
     out = bitmap.copy()
     out[slots["slot"].to_numpy()] |= slots["bits"].to_numpy().view(np.uint64)
