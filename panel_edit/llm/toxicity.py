@@ -1,18 +1,19 @@
 """Toxicity by weak supervision.
 
 1. A bounded sample of labelled documents (``PER_CLASS`` of each class, the
-   smallest hashes of doc_id; held-out rows never) gives the words and word
-   beginnings whose presence goes with the label: log-likelihood ratio over
-   ``MIN_RATIO``.
-2. Voters: groups of those words, the count of them, a fixed lexicon per
-   language, patterns (shouting, masked words, insults addressed to a reader),
-   and the given label. Each fires or not on each sampled document.
+   smallest hashes of doc_id; held-out rows never; equal texts of a class once)
+   picks the voters' words and the prior, and nothing else: words and word
+   beginnings ``MIN_LIFT`` times as frequent in toxic documents, with a
+   log-likelihood ratio over ``MIN_RATIO``. All that pass are taken.
+2. Voters: groups of those words, a fixed lexicon per language, patterns (shouting, masked words, insults addressed to a reader).
+   Each fires or not on each sampled document. The given label is no voter.
 3. The generative label model: a latent class, the rate at which each voter
    fires in each class, and the voters' correlations within a class, fitted by
-   expectation-maximisation. A vote's weight accounts for what correlated
-   voters already said.
-4. A logistic regression over word presence and patterns is trained on the
-   posterior labels, and scores every whole text.
+   expectation-maximisation from the documents on which most voters fire. A
+   vote's weight accounts for what correlated voters already said.
+4. A logistic regression over the presence of words and word beginnings is
+   trained on the posterior labels, and scores every whole text. The patterns
+   are voters only.
 
 Labels, lang, source and doc_id are no inputs of a score.
 
@@ -38,19 +39,19 @@ from panel_edit.llm.common import blocks, keep, ship, text_buffer, word_hash, wo
 
 #: Bound of the training sample: labelled documents of each class.
 PER_CLASS = 8000
-#: Words taken from the sample: at least this log-likelihood ratio, in so many toxic documents, at most MAX_WORDS.
-MIN_RATIO, MIN_DOCS, MAX_WORDS = 25.0, 4, 4000
+#: Words taken from the sample: at least this log-likelihood ratio and lift, in so many toxic documents.
+MIN_RATIO, MIN_LIFT, MIN_DOCS = 12.0, 40, 4
 #: Word beginnings, in bytes, that count beside the whole word: inflected words share them.
 STEMS = (4, 5, 6)
 #: Predicted toxic from this score.
 THRESHOLD = 0.3
-#: Voters made of the sample's words.
+#: Voters made of the sample's words: each fires for the words of its group.
 GROUPS = 12
 
 #: Common insults, per language.
 LEXICON = {
     "en": "idiot idiots moron morons stupid dumb loser losers trash garbage scum pathetic worthless disgusting clown filthy vermin "
-          "retard bastard bitch asshole shit fuck fucking crap slut whore pig imbecile jerk freak hate kill die".split(),
+          "retard bastard bitch asshole shit fuck fucking crap slut whore pig imbecile jerk freak hate kill".split(),
     "de": "idiot dumm dummkopf arschloch scheisse scheiße abschaum versager wertlos widerlich hurensohn schlampe trottel depp".split(),
     "fr": "idiot idiote imbécile connard connasse salope merde putain ordure minable dégoûtant crétin abruti racaille".split(),
     "es": "idiota imbécil estúpido estúpida basura mierda puta cabrón asqueroso patético inútil escoria payaso perdedor".split(),
@@ -65,7 +66,7 @@ _FILTER_BITS = 18
 
 @dataclass
 class Model:
-    """The linear classifier: weights of words (by sorted hash) and patterns, and the bias."""
+    """The linear classifier: weights of words and word beginnings (by sorted hash), and the bias."""
 
     hashes: np.ndarray
     weights: np.ndarray
@@ -116,21 +117,24 @@ def held_out(doc_id):
 
 
 def _sample_rows(batches):
-    """Distinct word hashes and fired patterns of the sampled texts."""
+    """Distinct hashes of the words and word beginnings, of the words alone, and fired patterns of the sampled texts."""
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"), lower=True)
-        lists, fired = [], []
+        lists, own, fired = [], [], []
         for i, j in blocks(offsets):
-            h, row = words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], STEMS)
-            h = h[np.argsort(row, kind="stable")]
-            cut = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
-            lists += [np.unique(h[a:b]).view(np.int64) for a, b in zip(cut[:-1], cut[1:])]
+            piece, ends = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            whole = words(piece, ends)
+            for out, (h, row) in ((lists, words(piece, ends, STEMS)), (own, (whole[0], whole[3]))):
+                h = h[np.argsort(row, kind="stable")]
+                cut = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
+                out += [np.unique(h[a:b]).view(np.int64) for a, b in zip(cut[:-1], cut[1:])]
         for t in batch.column("text").to_pylist():
             low = (t or "").lower()
             fired.append([int(bool(p.search(t or "" if name == "shouting" else low))) for name, p in PATTERNS.items()])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("y"), pa.array(lists, pa.list_(pa.int64())), pa.array(fired, pa.list_(pa.int32()))],
-            ["doc_id", "y", "words", "fired"])
+            [batch.column("doc_id"), batch.column("y"), pa.array(lists, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int64())),
+             pa.array(fired, pa.list_(pa.int32()))],
+            ["doc_id", "y", "words", "own", "fired"])
 
 
 def log_ratio(a, b, toxic: float, clean: float):
@@ -145,26 +149,38 @@ def log_ratio(a, b, toxic: float, clean: float):
 
 
 class LabelModel:
-    """Latent class, firing rates of the voters in each class, and their correlations within a class."""
+    """Latent class, firing rates of the voters in each class, and their correlations within a class.
 
-    def __init__(self, votes: np.ndarray, start: np.ndarray, prior: float, rounds: int = 30, ridge: float = 1e-3):
+    A voter counts by ``1 / (1 + sum of its squared correlations with the others)``:
+    alone fully, two that always agree half each. Given the class, the votes so
+    weighted are independent; rates, correlations and posterior are fitted in turn.
+    """
+
+    def __init__(self, votes: np.ndarray, start: np.ndarray, prior: float, rounds: int = 200):
         x = votes.astype(float)
-        p = np.clip(start.astype(float), 0.02, 0.98)
+        p = np.clip(start.astype(float), 0.05, 0.95)
+        mean = x.mean(axis=0)
         for _ in range(rounds):
-            w1, w0 = p.sum() + 1, (1 - p).sum() + 1
-            self.toxic = np.clip((p @ x + 0.5 * x.mean(axis=0)) / w1, 1e-4, 1 - 1e-4)
-            self.clean = np.clip(((1 - p) @ x + 0.5 * x.mean(axis=0)) / w0, 1e-4, 1 - 1e-4)
+            self.toxic = np.clip((p @ x + mean) / (p.sum() + 1), 1e-4, 1 - 1e-4)
+            self.clean = np.clip(((1 - p) @ x + mean) / ((1 - p).sum() + 1), 1e-4, 1 - 1e-4)
             r1, r0 = x - self.toxic, x - self.clean
-            self.covariance = ((r1 * p[:, None]).T @ r1 + (r0 * (1 - p)[:, None]).T @ r0) / len(x) + ridge * np.eye(x.shape[1])
-            self.weights = np.linalg.solve(self.covariance, self.toxic - self.clean)
-            logit = (x - (self.toxic + self.clean) / 2) @ self.weights + np.log(prior / (1 - prior))
-            new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            done = np.abs(new - p).max() < 1e-4
+            within = ((r1 * p[:, None]).T @ r1 + (r0 * (1 - p)[:, None]).T @ r0) / len(x)
+            spread = np.sqrt(np.maximum(np.diag(within), 1e-9))
+            self.correlation = within / spread[:, None] / spread
+            self.weights = 1 / np.maximum((self.correlation ** 2).sum(axis=1), 1)
+            new = self.posterior_of(x, prior)
+            done = np.abs(new - p).max() < 1e-6
             p = new
             if done:
                 break
         self.posterior = p
 
+    def posterior_of(self, x: np.ndarray, prior: float) -> np.ndarray:
+        """Posterior of the toxic class of rows of votes."""
+        fired, silent = np.log(self.toxic / self.clean), np.log((1 - self.toxic) / (1 - self.clean))
+        logit = x @ (self.weights * (fired - silent)) + (self.weights * silent).sum() + np.log(prior / (1 - prior))
+        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
 
 def logistic(rows: np.ndarray, columns: np.ndarray, n: int, width: int, target: np.ndarray, weight: np.ndarray, rounds: int = 600, l2: float = 2e-5):
     """Logistic regression on sparse presence features against soft targets (Adam, full batch)."""
@@ -194,20 +210,22 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     ids = training_ids(labels, "toxic", per_class)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The sample is bounded by 2 * per_class rows of two numbers.
-    sample = keep(texts.join(F.broadcast(ids), "doc_id").mapInArrow(_sample_rows, "doc_id bigint, y int, words array<bigint>, fired array<int>"))
+    sample = keep(texts.join(F.broadcast(ids), "doc_id").mapInArrow(_sample_rows, "doc_id bigint, y int, words array<bigint>, own array<bigint>, fired array<int>"))
+    sample = sample.groupBy("y", "words", "own").agg(F.min("doc_id").alias("doc_id"), F.max("fired").alias("fired"))  # copies count once
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return fixed_model()
     counts = (sample.select("y", F.explode("words").alias("h")).groupBy("h").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
-              .where((F.col("a") >= MIN_DOCS) & (F.col("a") * clean > 2 * F.col("b") * toxic)))
+              .where((F.col("a") >= MIN_DOCS) & (F.col("a") * clean > MIN_LIFT * F.col("b") * toxic)))
     found = (counts.withColumn("ratio", log_ratio(F.col("a"), F.col("b"), float(toxic), float(clean)))
-             .where(F.col("ratio") >= MIN_RATIO).orderBy(F.desc("ratio"), "h").limit(MAX_WORDS).select("h").collect())
+             .where(F.col("ratio") >= MIN_RATIO).select("h").collect())  # as many as the bounded sample has
     mined = np.array([r.h for r in found], np.int64).view(np.uint64)
     lexicon = {lang: {word_hash(w) for w in ws} for lang, ws in LEXICON.items()}
     vocabulary = np.array(sorted({*map(int, mined), *(h for hs in lexicon.values() for h in hs)}), np.uint64)
-    signed = sorted(vocabulary.view(np.int64).tolist())
-    present = sample.select("doc_id", F.struct("y", F.array_intersect("words", F.array(*map(F.lit, signed)).cast("array<bigint>")).alias("words"), "fired").alias("r"))
+    # A text of the numbers, which the optimizer turns into one constant array.
+    listed = F.split(F.lit(",".join(map(str, vocabulary.view(np.int64)))), ",").cast("array<bigint>")
+    present = sample.select("doc_id", F.struct("y", F.array_intersect("words", listed).alias("words"), F.array_intersect("own", listed).alias("own"), "fired").alias("r"))
     # One row per doc_id: at most 2 * per_class of them, in an order that no partitioning changes.
     present = [r.r for r in sorted(present.groupBy("doc_id").agg(F.min("r").alias("r")).collect(), key=lambda r: r.doc_id)]
     y = np.array([r.y for r in present])
@@ -220,17 +238,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     is_mined = np.isin(vocabulary, mined)
     group = (vocabulary % np.uint64(GROUPS)).astype(int)
     n = len(present)
-    voters = {f"words {g}": np.bincount(rows, (is_mined & (group == g))[columns], n) > 0 for g in range(GROUPS)}
-    count = np.bincount(rows, is_mined[columns], n)
-    voters |= {f"at least {k} words": count >= k for k in (1, 2, 3, 5)}
+    # Voters look at words alone: a word's beginnings would say the same again.
+    own_rows = np.repeat(np.arange(n), [len(r.own) for r in present])
+    own = np.searchsorted(vocabulary, np.array([h for r in present for h in r.own], np.int64).view(np.uint64))
+    voters = {f"words {g}": np.bincount(own_rows, (is_mined & (group == g))[own], n) > 0 for g in range(GROUPS)}
     for lang, hs in lexicon.items():
         member = np.isin(vocabulary, np.array(sorted(hs), np.uint64))
-        voters[f"lexicon {lang}"] = np.bincount(rows, member[columns], n) > 0
+        voters[f"lexicon {lang}"] = np.bincount(own_rows, member[own], n) > 0
     voters |= {name: fired[:, k] > 0 for k, name in enumerate(PATTERNS)}
-    voters["label"] = y > 0
     names = [k for k, v in voters.items() if 0 < v.sum() < n]
+    if not names:
+        return fixed_model()
     votes = np.column_stack([voters[k] for k in names])
-    model = LabelModel(votes, votes.mean(axis=1) > np.median(votes.mean(axis=1)) if "label" not in names else y, toxic / n)
+    share = votes.mean(axis=1)
+    model = LabelModel(votes, (share > 0) & (share >= np.sort(share)[-toxic]), toxic / n)
     # The sample takes both classes alike: weights restore the labels' shares.
     shares = {r.y: r.n for r in class_counts(labels, "toxic").collect()}
     weight = np.where(y > 0, shares[1] / toxic, shares[0] / clean)

@@ -1,6 +1,7 @@
 """HTML extraction, chat formatting, URL rules and the classifiers on small tables of edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -169,6 +170,64 @@ def test_toxicity_on_held_out_labels(spark):
     assert sum(r.predicted for r in rows if r.toxic) > 0.8 * sum(r.toxic for r in rows)
 
 
+def simulated_votes(n=4000, prior=0.3, seed=1):
+    """Votes of seven voters of known rates; the last one repeats the first."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    y = rng.random(n) < prior
+    toxic, clean = np.array([.9, .7, .6, .5, .8, .55]), np.array([.05, .1, .2, .05, .3, .5])
+    votes = rng.random((n, 6)) < np.where(y[:, None], toxic, clean)
+    return y, np.column_stack([votes, votes[:, 0]]), toxic, clean
+
+
+def test_label_model_finds_rates_and_soft_labels_without_labels():
+    import numpy as np
+
+    y, votes, toxic, clean = simulated_votes()
+    share = votes.mean(axis=1)
+    model = toxicity.LabelModel(votes, share >= np.sort(share)[-1200], 0.3)
+    assert np.abs(model.toxic[:6] - toxic).max() < 0.1 and np.abs(model.clean[:6] - clean).max() < 0.1
+    p = model.posterior
+    assert ((p > 0.05) & (p < 0.95)).mean() > 0.05 and 0 < ((p > 0.5) != y).mean() < 0.12
+    # By hand: the posterior of every vote pattern, from the prior, the rates and the voters' weights.
+    for x in np.unique(votes, axis=0):
+        odds = math.log(0.3 / 0.7)
+        for fired, t, c, w in zip(x, model.toxic, model.clean, model.weights):
+            odds += w * math.log(t / c if fired else (1 - t) / (1 - c))
+        assert abs(p[(votes == x).all(axis=1)] - 1 / (1 + math.exp(-odds))).max() < 1e-4
+
+
+def test_a_repeated_voter_counts_once():
+    import numpy as np
+
+    _, votes, *_ = simulated_votes()
+    share = votes[:, :6].mean(axis=1)
+    start = share >= np.sort(share)[-1200]
+    once, twice = toxicity.LabelModel(votes[:, :6], start, 0.3), toxicity.LabelModel(votes, start, 0.3)
+    assert abs(twice.weights[0] - 0.5) < 0.02 and twice.weights[0] == twice.weights[6] and once.weights.min() > 0.9
+    assert np.abs(once.posterior - twice.posterior).max() < 0.1
+
+
+def test_the_given_label_is_no_voter(spark, monkeypatch):
+    """The voters' names, and posteriors that contradict some labels."""
+    seen = {}
+
+    class Spy(toxicity.LabelModel):
+        def __init__(self, votes, start, prior):
+            super().__init__(votes, start, prior)
+            seen.update(votes=votes, posterior=self.posterior)
+
+    monkeypatch.setattr(toxicity, "LabelModel", Spy)
+    docs, labels = (spark.read.parquet(f"{SF}/../sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    assert model.rates and set(model.rates) <= {*(f"words {g}" for g in range(toxicity.GROUPS)), *(f"lexicon {x}" for x in toxicity.LEXICON), *toxicity.PATTERNS}
+    assert seen["votes"].shape[1] == len(model.rates)
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    found = toxicity.training_ids(labels, "toxic", toxicity.PER_CLASS).collect()
+    assert (seen["posterior"] > 0.5).sum() != sum(r.doc_id in toxic for r in found)
+
+
 def test_quality_on_held_out_labels(spark):
     accuracy, rows = _accuracy(queries.op9_quality(spark, f"{SF}/../sf0.1"), spark, "quality")
     assert accuracy > 0.98 and all(0 <= r.score <= 1 for r in rows)
