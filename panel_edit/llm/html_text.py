@@ -7,8 +7,8 @@ density sum is the sum over its children. The element with the largest sum
 leads; the smallest density on its way up to ``body`` is the threshold, and
 each element at or above it gives its descendant (or itself) with the largest
 sum to the content. The leading element widens to the article or main around it
-or, without one, over headings and neighbours of like density, and is kept
-whole. Elements that markup names as something else than the
+or, without one, to the widest run of headings and unlinked neighbours, and is
+kept whole. Elements that markup names as something else than the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are taken out before densities are computed.
 
@@ -58,6 +58,10 @@ DROPPED_WORDS = frozenset(
     "comment comments disqus reply replies respond cookie cookies consent gdpr notice notices notification alert popup "
     "modal overlay newsletter subscribe subscription signup login share sharing social related recommended "
     "recommendations widget widgets toolbar pagination pager skip tracking".split())
+#: Words that name reader comments wherever they stand in a token, unless the element holds the article.
+COMMENT_WORDS = frozenset("comment comments disqus".split())
+#: What :class:`Page` remembers of an element that is dropped for being a form, or for a comment word among others.
+_FORM, _COMMENTS = "(form)", "(comments)"
 #: On ``article`` and ``main`` only these count.
 DROPPED_ARTICLES = frozenset("comment comments reply replies ad ads advert sponsored promo related".split())
 #: These are something else however much text they hold.
@@ -71,8 +75,8 @@ NEUTRAL_WORDS = frozenset(
 MODIFIERS = frozenset("has no not non with without is".split())
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
-#: Share of the leading element's density from which a neighbour is of its kind.
-LIKE = 0.2
+#: Share of the leading element's density from which a neighbour is of its kind, and the characters of one without any link.
+LIKE, PLAIN = 0.2, 40
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"  # a comment
@@ -170,10 +174,14 @@ class Page:
             open_[self.tag[stack.pop()]] -= 1
 
     def _is_dropped(self, node: int, name: str, attributes: str) -> bool:
-        if name in DROPPED:
+        if name == "header" and self._in_article(node):
+            pass  # the article's own, with its title
+        elif name == "form":  # a form round a whole page is spared
+            self._by_words[node] = {_FORM}
+        elif name in DROPPED:
             return True
         if not attributes or name in ("html", "body"):
-            return False
+            return name == "form"
         a = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)}
         if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(a.get("style", "")):
             return True
@@ -183,16 +191,26 @@ class Page:
         if name in ("article", "main"):
             return bool(named(tokens, DROPPED_ARTICLES))
         words = named(tokens, DROPPED_WORDS)
+        if not words and any(parts & COMMENT_WORDS and not parts & MODIFIERS for parts in ({w.lower() for w in _NAME.findall(t)} for t in tokens.split())):
+            words = {_COMMENTS}
         if words:
-            self._by_words[node] = words
-        return bool(words)
+            self._by_words[node] = self._by_words.get(node, set()) | words
+        return node in self._by_words
+
+    def _in_article(self, node: int) -> bool:
+        while node > 0:
+            node = self.parent[node]
+            if self.tag[node] == "article":
+                return True
+        return False
 
     def _spare(self) -> None:
         """An element dropped by its class alone stays if it holds an article, or most of the unlinked text.
 
         That is most of the text of the article or main around it, or of a page
         that has neither. Where nothing would be left, all such elements stay.
-        Comments, adverts and consent notices never do.
+        Comments, adverts and consent notices never do; a form does, and what has a
+        comment word among others in its class unless it lies in an article.
         """
         if not self._by_words:
             return
@@ -221,6 +239,8 @@ class Page:
         for i in range(n - 1, 0, -1):
             chars[self.parent[i]] += chars[i]
         for i in sparable:
+            if _COMMENTS in self._by_words[i] and scope[i]:
+                continue  # however many there are
             if (scope[i] or not articles) and 2 * chars[i] > chars[scope[i]]:
                 self.dropped[i] = False
         out = [False] * n
@@ -274,9 +294,10 @@ def densities(page: Page) -> tuple[list[float], list[float], list[int], list[int
 def widened(page: Page, top: int, density: list[float], chars: list[int], link_chars: list[int]) -> list[int]:
     """The elements around ``top`` that are kept whole with it.
 
-    The nearest article or main; without one, neighbours on both sides that
-    are headings or little linked text of like density, and the parent once
-    all its elements are.
+    The nearest article or main; without one, the widest run of neighbours that
+    begins and ends with a heading or with little linked text of like density (or
+    text without any link), short blocks between them included and linked ones
+    not; and the parent once all its elements are kept.
     """
     up = top
     while up > 0:
@@ -288,20 +309,19 @@ def widened(page: Page, top: int, density: list[float], chars: list[int], link_c
         if not page.dropped[i] and chars[i]:
             children.setdefault(page.parent[i], []).append(i)
 
+    def unlinked(i: int) -> bool:
+        return 2 * link_chars[i] <= chars[i]
+
     def alike(i: int) -> bool:
-        return 2 * link_chars[i] <= chars[i] and (page.tag[i] in HEADINGS or density[i] >= LIKE * density[top])
+        return unlinked(i) and (page.tag[i] in HEADINGS or density[i] >= LIKE * density[top] or not link_chars[i] and chars[i] >= PLAIN)
 
     found = [top]
     while top > 0 and page.tag[top] != "body":
         row = children.get(page.parent[top], [])
-        at = row.index(top) if top in row else 0
-        lo, hi = at, at + 1
-        while lo > 0 and alike(row[lo - 1]):
-            lo -= 1
-        while hi < len(row) and alike(row[hi]):
-            hi += 1
-        found += row[lo:hi]
-        if hi - lo < len(row):
+        same = [k for k, i in enumerate(row) if i == top or alike(i)]
+        kept = [i for i in row[same[0]:same[-1] + 1] if i == top or unlinked(i)] if same else []
+        found += kept
+        if len(kept) < len(row):
             break
         top = page.parent[top]
         found.append(top)

@@ -80,6 +80,35 @@ def test_formulas_belong_to_the_text():
     assert html_text.main_text(source) == "So x=2 holds."
 
 
+def paragraphs(n, size, word):
+    return "".join(f"<p>{word}{i} " + "lorem ipsum dolor " * (size // 18) + "</p>" for i in range(n))
+
+
+def lines(n, size, word):
+    return [f"{word}{i} " + " ".join(["lorem ipsum dolor"] * (size // 18)) for i in range(n)]
+
+
+LONG, MORE, SHORT = (paragraphs(8, 200, "a"), lines(8, 200, "a")), (paragraphs(8, 200, "b"), lines(8, 200, "b")), (paragraphs(6, 36, "c"), lines(6, 36, "c"))
+MENU = '<div><a href="/1">one</a> <a href="/2">two</a> <a href="/3">three</a></div>'
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><div>{LONG[0]}</div><p>Yes.</p><div>{MORE[0]}</div></body>", [*LONG[1], "Yes.", *MORE[1]]),
+    (f"<body>{MENU}<div>{LONG[0]}</div><div>{SHORT[0]}</div>{MENU}</body>", [*LONG[1], *SHORT[1]]),
+    (f"<body><div>{LONG[0]}</div>{MENU}<div>{MORE[0]}</div></body>", [*LONG[1], *MORE[1]]),
+    (f"<body><form id=aspnetForm><input name=x>{MENU}<div>{LONG[0]}</div></form></body>", LONG[1]),
+    (f"<body><div>{LONG[0]}</div><form><p>Your name and your address, please, in full.</p></form></body>", LONG[1]),
+    (f'<body><article><h1>T</h1>{SHORT[0]}<section id="user-comments">{LONG[0]}</section></article></body>', ["T", *SHORT[1]]),
+    (f'<body><div id="reader-comments-list">{SHORT[0]}</div><div>{LONG[0]}</div></body>', LONG[1]),
+    (f'<body class="page has-comments"><div class="post-with-comments">{LONG[0]}</div></body>', LONG[1]),
+    (f'<body><div class="comments-enabled-page"><article>{LONG[0]}</article></div></body>', LONG[1]),
+    (f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1><nav>share</nav></header>{LONG[0]}<footer>end</footer></article></body>", ["Title", *LONG[1]]),
+], ids=["short block between", "short paragraphs", "links between", "form round the page", "form beside", "comments in the article", "comments beside", "modifiers",
+        "class round the article", "own header"])
+def test_nothing_but_surroundings_is_lost(page, want):
+    assert html_text.main_text(page).split("\n") == want
+
+
 def test_hostile_markup_ends_quickly(spark):
     sources = ["<b>" * 30000 + "x" + "</i>" * 500, "<div>" * 20000 + "x" + "</div>" * 20000, "<p" * 30000, "<!--" * 30000, '<a href="' * 20000]
     df = spark.createDataFrame([(i, "u", s, 0) for i, s in enumerate([*sources, None, "<p>q"])], "page_id bigint, url string, html string, n_chars int")
@@ -113,6 +142,16 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.text_messages(df.where("conv_id < 0"))).count() == 0
 
 
+def test_control_strings_in_roles_and_types_read_back(spark):
+    roles = ["us>\ner", ">", ">\n", "a</turn>\n<turn b", "\\2", "\\", "\\\\2>", "<>\\0", "assistant", "é> \n>"]
+    rows = [(k, t, role, f"text {t} >\n \\2 </turn>\n {role}") for k in range(2) for t, role in enumerate(roles)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    back = chat.read_back(chat.format_conversations(chat.text_messages(df))).collect()
+    assert {r.conv_id: [(t.role, t.text) for t in r.turns] for r in back} == {k: [(x[2], x[3]) for x in rows if x[0] == k] for k in range(2)}
+    part = spark.createDataFrame([(1, 0, "u", [("a>b<\\", None, "x", 3)])], f"conv_id bigint, turn int, role string, parts array<{chat.PART_TYPE}>")
+    assert chat.format_conversations(part).first().formatted == "<turn u>\n<a\\2b\\1\\0 0></turn>\n"
+
+
 def test_typed_parts_leave_numbered_placeholders(spark):
     part = f"array<{chat.PART_TYPE}>"
     rows = [(1, 0, "user", [("text", "see <this>", None, 0), ("image", None, "a.png", 64), ("audio", None, "b.wav", 200)]),
@@ -144,6 +183,34 @@ def test_rule_list_equals_plain_python(spark):
         assert (r.rule, r.verdict) == (max(fits)[1:] if fits else (None, "allow"))
 
 
+def test_mined_rules_equal_enumeration(spark):
+    """Every combination of tokens, counted by hand; the token that all urls share is mined like any other."""
+    import itertools
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(400):
+        words = [w for w in ("win", "cash", "blog", "news") if rnd.random() < 0.4]
+        bad = rnd.random() < (0.9 if {"win", "cash"} <= set(words) else 0.75 if "cash" in words else 0.1)
+        rows.append((i, "https://h.test/" + "/".join(words), int(bad)))
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id bigint, url string")
+    labels = spark.createDataFrame([(r[0], 1 - r[2], 0) for r in rows], "doc_id bigint, quality int, toxic int")
+    host, path = url_rules.parts(F.col("url"))
+    own = {r.page_id: set(r.t) for r in pages.select("page_id", url_rules.tokens(host, path, F.col("url")).alias("t")).collect()}
+    share = [len(own), max(sum(t in x for x in own.values()) for t in set.union(*own.values()))]
+    assert share[0] == share[1]  # some token is in all urls
+    found = {}
+    for size in range(1, max(map(len, own.values())) + 1):
+        for items in itertools.combinations(sorted(set.union(*own.values())), size):
+            have = [i for i, t in own.items() if set(items) <= t]
+            hits = sum(rows[i][2] for i in have)
+            if hits >= 20 and hits >= 0.6 * len(have):
+                found[items] = hits / len(have)
+    best = {k for k, c in found.items() if not any(found.get(p, -1) >= c for n in range(1, len(k)) for p in itertools.combinations(k, n))}
+    got = {tuple(r["items"]) for r in url_rules.mined_rules(pages, labels).collect()}
+    assert got == best and len(found) > len(best) > 1
+
+
 def test_mined_combination_blocks(spark):
     """Spam is a word of the path on one host; either alone is fine."""
     rnd = random.Random(1)
