@@ -6,8 +6,9 @@ placeholder with its number in the conversation, its reference goes to the
 attachment list, and its token count says how long it will be once expanded.
 
 Template: ``<turn role>\n`` content ``</turn>\n`` per message. Inside roles,
-texts and references ``\`` becomes ``\0`` and ``<`` becomes ``\1``, so that no
-text can hold a control string, and the reverse is exact.
+texts and types ``\`` becomes ``\0`` and ``<`` becomes ``\1``, so that no text
+can hold a control string; in roles and types ``>`` becomes ``\2``, too, so that
+a head ends at its first ``>``. The reverse is exact.
 
 All of it is DataFrame expressions. A conversation's messages meet in one row,
 since its format is one string; positions and numbers are running sums over
@@ -34,8 +35,13 @@ def escape(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("\\"), F.lit("\\0")), F.lit("<"), F.lit("\\1"))
 
 
+def escape_head(c: Column) -> Column:
+    """:func:`escape`, for what stands between ``<`` and ``>``."""
+    return F.replace(escape(c), F.lit(">"), F.lit("\\2"))
+
+
 def unescape(c: Column) -> Column:
-    return F.replace(F.replace(c, F.lit("\\1"), F.lit("<")), F.lit("\\0"), F.lit("\\"))
+    return F.replace(F.replace(F.replace(c, F.lit("\\2"), F.lit(">")), F.lit("\\1"), F.lit("<")), F.lit("\\0"), F.lit("\\"))
 
 
 def text_messages(rows: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ def text_messages(rows: DataFrame) -> DataFrame:
 
 def _visit(part: Column, number: Column) -> Column:
     """What a part leaves in the format."""
-    mark = F.concat(F.lit("<"), escape(F.coalesce(part["type"], F.lit("unknown"))), F.lit(" "), number.cast("string"), F.lit(">"))
+    mark = F.concat(F.lit("<"), escape_head(F.coalesce(part["type"], F.lit("unknown"))), F.lit(" "), number.cast("string"), F.lit(">"))
     return F.when(part["type"] == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(mark)
 
 
@@ -76,7 +82,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
         return F.col("base") + F.size(F.filter(F.slice("parts", F.lit(1), k), lambda p: ~_is_text(p)))
 
     rows = rows.select(
-        "conv_id", "pos", F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(">\n")).alias("head"),
+        "conv_id", "pos", F.concat(F.lit(OPEN), escape_head(F.col("role")), F.lit(">\n")).alias("head"),
         F.array_join(F.transform("parts", lambda p, k: _visit(p, number(k))), "").alias("content"),
         F.col("role").isin(list(loss_roles)).alias("loss"),
         F.transform("attached", lambda p, k: F.struct((F.col("base") + k).alias("number"), p["type"].alias("type"), p["uri"].alias("uri"), p["tokens"].alias("tokens"))).alias("attached"))

@@ -78,6 +78,14 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_buffer(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -136,11 +144,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of each character of Chinese, Japanese, Thai, Lao, Khmer and Burmese script (three bytes each)."""
+    lead, second = data[:-2], data[1:-1]
+    at = np.flatnonzero((lead >= 0xE3) & (lead <= 0xE9) | (lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+                        | (lead == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second >= 0x9E) & (second <= 0x9F)))
+    return at, at + 3
+
+
 def words(data: np.ndarray, offsets: np.ndarray, stems: tuple[int, ...] = ()):
     """Words of consecutive texts: (hash, first byte, end byte, row) per word.
 
-    A word is a maximal run of word bytes within one text; its hash depends
-    on its bytes alone. With ``stems``, (hash, row) of each word and of the
+    A word is a maximal run of word bytes within one text, or one character of a
+    script that is written without spaces; its hash depends on its bytes alone. With ``stems``, (hash, row) of each word and of the
     first k bytes of each longer word, for each k of ``stems``, by text.
     """
     n = len(data)
@@ -150,10 +166,17 @@ def words(data: np.ndarray, offsets: np.ndarray, stems: tuple[int, ...] = ()):
     is_word = np.empty(n + 2, bool)
     is_word[0] = is_word[-1] = False
     np.take(WORD_BYTE, data, out=is_word[1:-1])
+    if data.max() >= 0xE3:  # ideographic space and punctuation, U+3000 to U+303F
+        at = np.flatnonzero((data[:-2] == 0xE3) & (data[1:-1] == 0x80))
+        for k in (1, 2, 3):
+            is_word[at + k] = False
     edge = np.flatnonzero(is_word[1:] != is_word[:-1])
     start, end = edge[0::2], edge[1::2]
-    # A run that crosses from one text into the next is two words.
+    # A run that crosses from one text into the next is two words, and each
+    # character of a script without spaces is a word of its own.
     inner = offsets[1:-1]
+    if data.max() >= 0xE0:
+        inner = np.concatenate([inner, *unspaced(data)])
     inner = np.unique(inner[(inner > 0) & (inner < n)])
     cross = inner[is_word[inner] & is_word[inner + 1]]
     if len(cross):

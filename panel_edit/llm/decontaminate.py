@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panel_edit.llm.common import blocks, mix, ship, text_buffer, words
+from panel_edit.llm.common import blocks, fresh, keep, mix, ship, text_buffer, words
 
 #: Share of an item's characters that may be edited.
 MAX_EDIT = 0.2
@@ -324,6 +324,8 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str, max_edit: floa
             if part:
                 part = sorted({(r.item_id if r.item_id is not None else -1, r.text) for r in part})
                 out = out.mapInArrow(_search_rows(ItemIndex(part, stride), max_edit, column), out.schema)
+        if block + 1 < n:  # blocks take turns: a worker holds the index of one
+            out = keep(out)
     return out
 
 
@@ -338,7 +340,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_E
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    column = "_hits"
-    while column in docs.columns:
-        column += "_"
-    return with_hits(docs, benchmark, column, max_edit).where(F.size(column) == 0).select(*docs.columns)
+    column = fresh(docs, "_hits")
+    return with_hits(docs, benchmark, column, max_edit).where(F.size(column) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panel_edit.llm.common import blocks, keep, ship, text_buffer
+from panel_edit.llm.common import blocks, fresh, keep, ship, text_buffer
 
 #: Chunk sizes in bytes: a cut falls where the top bits of the rolling hash are zero.
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 512, 11, 16384
@@ -119,7 +119,7 @@ def _chunk_rows(digest: Callable[[bytes], bytes]):
             keys, contents, size = [], [], 0
             for _, _, text, ends in documents_in(batch):
                 for piece in _pieces(text, ends):
-                    seen = blake(piece)
+                    seen = hashlib.sha256(piece).digest()  # not the digest under test: contents that share one are both sent
                     if seen in sent:
                         continue
                     if len(sent) >= REMEMBERED:
@@ -216,9 +216,11 @@ def exact_groups(docs: DataFrame, digest: Callable[[bytes], bytes] = blake) -> D
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without exact copies; of repeated rows that stay, one is kept."""
-    key = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    stay = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.lower(F.hex("raw_hash")).alias("_raw")).distinct()
-    columns = docs.columns
-    tagged = docs.withColumn("_raw_here", key)
-    kept = tagged.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_raw_here") == F.col("_raw")))
-    return kept.dropDuplicates(["_id", "_raw"]).select(*columns)
+    def key(doc_id, text_hash):
+        return F.concat(F.coalesce(doc_id.cast("bigint").cast("string"), F.lit("")), F.lit(":"), text_hash)
+
+    name = fresh(docs, "_row_key")
+    stay = exact_groups(docs).where("kept").select(key(F.col("doc_id"), F.lower(F.hex("raw_hash"))).alias(name)).distinct()
+    tagged = docs.withColumn(name, key(F.col("doc_id"), F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)))
+    # The rows are dealt by the key once: the join and the removal of repeats share that.
+    return tagged.join(stay, name, "left_semi").dropDuplicates([name]).select(*[F.col(f"`{c}`") for c in docs.columns])

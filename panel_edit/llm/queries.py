@@ -118,7 +118,7 @@ ORACLE: dict[str, str] = {
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
             UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
         e AS (
-            SELECT *, replace(replace(role, '\', '\0'), '<', '\1') AS erole, replace(replace(text, '\', '\0'), '<', '\1') AS etext
+            SELECT *, replace(replace(replace(role, '\', '\0'), '<', '\1'), '>', '\2') AS erole, replace(replace(text, '\', '\0'), '<', '\1') AS etext
             FROM r)
         SELECT conv_id, count(*) AS n_turns,
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panel_edit.llm.common import keep, ship
+from panel_edit.llm.common import fresh, keep, ship
 
 BITS = 64
 #: Fingerprints below one cut node of the trie: at least CAPACITY, or enough
@@ -316,5 +316,6 @@ def near_groups(docs: DataFrame, shingle: int = 3, budget: int = 2, capacity: in
 def drop_near_copies(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
     """``docs`` with the smallest doc_id of each component only."""
     groups = near_groups(docs, shingle, budget)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    name = fresh(docs, "_stays")
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panel_edit.llm.common import blocks, keep, ship, text_buffer, word_hash, words
+from panel_edit.llm.common import blocks, fresh, keep, ship, text_buffer, word_hash, words
 
 #: Bound of the training sample: labelled documents of each class.
 PER_CLASS = 8000
@@ -283,7 +283,5 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that are predicted toxic."""
-    column = "_score"
-    while column in docs.columns:
-        column += "_"
-    return with_score(docs, fit(docs, labels), column).where(F.col(column) < threshold).select(*docs.columns)
+    column = fresh(docs, "_score")
+    return with_score(docs, fit(docs, labels), column).where(F.col(column) < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -65,11 +65,7 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
 
 def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
                 min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(items, confidence, support): token combinations that call for a block.
-
-    Tokens that nearly all urls share tell nothing and would be part of every
-    combination; a token of over 90 in 100 urls isn't mined.
-    """
+    """(items, confidence, support): token combinations that call for a block, of all tokens."""
     marks = (labels.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("quality"), F.col("toxic"))
              .where("quality is not null or toxic is not null").groupBy("_id")
              .agg(F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")))
@@ -80,18 +76,25 @@ def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SU
     n = rows.count()
     if n < min_count:
         return pages.sparkSession.createDataFrame([], empty)
-    common = rows.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0.9 * n)
-    shared = sorted(r.t for r in common.collect())  # at most the tokens of one url, and a ninth more
-    baskets = rows.select(F.concat(F.array_except("tokens", F.array(*map(F.lit, shared)).cast("array<string>")),
-                                   F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
+    baskets = rows.select(F.concat("tokens", F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(baskets)
     rules = keep(model.associationRules.where(F.array_contains("consequent", BAD)).select(F.array_sort("antecedent").alias("items"), "confidence", "support"))
-    # A rule is kept if none of its parts is as confident.
-    part = rules.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"), F.explode("items").alias("t"))
-    pairs = rules.withColumn("t", F.explode("items")).join(part, "t").where(
-        (F.size("part") < F.size("items")) & (F.col("part_confidence") >= F.col("confidence"))
-        & (F.size(F.array_intersect("items", "part")) == F.size("part"))).select("items").distinct()
-    return rules.join(pairs, "items", "left_anti")
+    return without_better_parts(rules)
+
+
+def without_better_parts(rules: DataFrame) -> DataFrame:
+    """Rules (items sorted, confidence, ...) of which no part is a rule that is as confident.
+
+    Each rule looks up its own parts by their items, of which a rule of k tokens
+    has fewer than 2**k; no two rules meet for sharing a token.
+    """
+    none = F.array().cast("array<array<string>>")
+    every = F.aggregate("items", F.concat(none, F.array(F.array().cast("array<string>"))),
+                        lambda found, x: F.concat(found, F.transform(found, lambda own: F.concat(own, F.array(x)))))
+    parts_of = rules.select("items", "confidence", F.explode(F.filter(every, lambda own: (F.size(own) > 0) & (F.size(own) < F.size("items")))).alias("part"))
+    known = rules.select(F.col("items").alias("part"), F.col("confidence").alias("part_confidence"))
+    worse = parts_of.join(known, "part").where("part_confidence >= confidence").select("items").distinct()
+    return rules.join(worse, "items", "left_anti")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES, **mining) -> DataFrame:

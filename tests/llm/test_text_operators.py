@@ -71,6 +71,54 @@ def test_dropping_copies_keeps_one_row_and_all_columns(spark):
     assert Counter(norm(r.text) for r in left.collect()) == Counter({norm(t) for _, t in rows})
 
 
+def test_contents_that_share_a_digest_all_reach_the_dictionary(spark, monkeypatch):
+    """A digest that is the same for all chunks, in place of the module's own, too."""
+    constant = lambda data: b"same"
+    monkeypatch.setattr(exact_dedup, "blake", constant)
+    docs = spark.createDataFrame([(1, "aaa"), (2, "bbb"), (3, "a a a"), (4, "ccc")], "doc_id bigint, text string").coalesce(1)
+    assert sorted(r.content for r in exact_dedup.chunk_dictionary(docs, constant).collect()) == [b"aaa", b"bbb", b"ccc"]
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_groups(docs, constant).collect()}
+    assert got == {1: (3, 2), 2: (2, 1), 3: (3, 2), 4: (4, 1)}
+
+
+HELPERS = ["_id", "_ID", "_raw", "_raw_here", "_row_key", "_Row_Key_", "_score", "_SCORE_", "_hits", "_HITS_", "_stays", "_STAYS_", "fp", "recipe", "k", "copies"]
+
+
+@pytest.mark.parametrize("name", ["drop_copies", "drop_near_copies", "drop_toxic", "drop_contaminated"])
+def test_stages_leave_columns_of_any_name_alone(spark, name):
+    """Every helper name as an extra column, in any case; nulls, empties, repeats and empty tables."""
+    from panel_edit.llm import toxicity
+
+    rows = [(1, "plain words about rivers and towns in the north " * 3), (2, None), (3, ""), (4, "short"), (1, "plain words about rivers and towns in the north " * 3), (None, "no id here")]
+    names = [n for i, n in enumerate(HELPERS) if n.lower() not in {x.lower() for x in HELPERS[:i]}]
+    for extra in ([*names], [n.upper() for n in names]):
+        df = spark.createDataFrame([(i, t, *(f"{n}{k}" for n in extra)) for k, (i, t) in enumerate(rows)], ", ".join(["doc_id bigint", "text string", *(f"`{n}` string" for n in extra)]))
+        labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+        items = spark.createDataFrame([(7, "an item that nothing holds at all in here today")], "item_id bigint, text string")
+        stage = {"drop_copies": exact_dedup.drop_copies, "drop_near_copies": simhash.drop_near_copies,
+                 "drop_toxic": lambda d: toxicity.drop_toxic(d, labels), "drop_contaminated": lambda d: decontaminate.drop_contaminated(d, items)}[name]
+        got = stage(df)
+        assert got.columns == df.columns
+        out = [tuple(r) for r in got.collect()]
+        assert set(out) <= {tuple(r) for r in df.collect()}
+        ids = sorted((r[0] is None, r[0] or 0) for r in out)
+        if name == "drop_copies":
+            assert ids == [(False, 1), (False, 2), (False, 4), (True, 0)]  # null and empty are one text
+        elif name != "drop_near_copies":
+            assert len(out) == len(rows)
+        assert stage(df.limit(0)).count() == 0
+
+
+def test_passages_of_unspaced_scripts_are_found_inside_longer_runs():
+    zh = "江河流過北方的城鎮每年春天人們在岸邊種下新的樹木並記錄水位的變化以便日後比較"
+    th = "แม่น้ำไหลผ่านเมืองทางเหนือทุกฤดูใบไม้ผลิผู้คนปลูกต้นไม้ใหม่"
+    for item in (zh, th):
+        index = decontaminate.ItemIndex([(5, item)], decontaminate.STRIDE)
+        for text, want in (("前" * 40 + "說" + item + "完了" * 30, True), (f"see {item}", True), ("完了前說" * 60, False), (item[: len(item) // 2] + "完" * 40, False)):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            assert bool(decontaminate.search(index, raw, np.array([0, len(raw)]), decontaminate.MAX_EDIT)) == want
+
+
 def test_chunks_are_cut_alike_wherever_a_passage_stands():
     rnd = np.random.default_rng(0)
     passage, head = rnd.integers(97, 122, 60000, dtype=np.uint8), rnd.integers(97, 122, 777, dtype=np.uint8)
