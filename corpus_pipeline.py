@@ -9,16 +9,22 @@ last return the columns of ``documents``.
 3. ``simhash_dedup`` keeps the smallest doc_id of each SimHash component.
 4. ``decontaminate`` drops documents that hold a passage of ``benchmark``.
 5. ``tokenize`` encodes what is left and returns the token digests.
+
+Defined cases, in every stage: a null text counts as empty, and an empty text is
+a document like any other (all empty texts are copies of each other); a null
+doc_id is kept as it is; of repeated rows, and of equal texts, ``exact_dedup``
+leaves one; ties go to the smallest doc_id; an empty table gives an empty
+result; extra columns, whatever their names, go through all stages but the last;
+without labels of both classes the fixed lexicon decides on toxicity, and
+without benchmark items nothing is dropped for them.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from panel_edit.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
-from panel_edit.llm.common import read, shared_folder
+from panel_edit.llm.common import read, remove, scratch
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,12 +57,19 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns is written to the shared folder."""
-    docs = read(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/corpus_pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``.
+
+    What a stage returns is written to the shared folder, and removed once the
+    next one has been written; the last one's files hold the result.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        path = scratch(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
 
 
