@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     want = con.sql(queries.ORACLE[name]).df()
     got = queries.QUERIES[name](spark, SF_SMALL)
@@ -42,3 +42,32 @@ def test_pipeline_stages_keep_what_the_operators_keep(spark, tmp_path):
         docs, before = after, ids[name]
     assert ids["tokenize"] == ids["decontaminate"]
     assert corpus_pipeline.run(spark, SF_SMALL).count() == len(ids["tokenize"])
+
+
+def test_pipeline_on_empty_null_and_extra_columns(spark, tmp_path):
+    """Empty tables; null, empty and repeated rows; extra columns under names that stages use inside."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, _row_key string, `_SCORE` string, _hits int"
+    rows = [(1, "one plain text about rivers", "en", "s", 1, "a", "b", 7), (2, None, None, None, None, None, None, None), (3, "", "en", "s", 0, "c", "d", 8),
+            (1, "one plain text about rivers", "en", "s", 1, "a", "b", 7), (4, "another text, of hills and woods", "en", "s", 1, "a", "b", 7), (None, "without an id", "en", "s", 1, "a", "b", 7)]
+    for k, own in enumerate((rows, [])):
+        folder = str(tmp_path / str(k))
+        spark.createDataFrame(own, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, folder)
+            assert docs.columns == spark.read.parquet(f"{folder}/documents.parquet").columns, name
+        got = sorted((r.doc_id is None, r.doc_id or 0) for r in corpus_pipeline.run(spark, folder).collect())
+        assert got == ([(False, 1), (False, 2), (False, 4), (True, 0)] if own else [])
+
+
+def test_pipeline_leaves_only_its_result_behind(spark):
+    import os
+
+    from panel_edit.llm.common import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file:") + "/training_data_scratch"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    corpus_pipeline.run(spark, SF_SMALL).count()
+    assert [n.split("-")[1] for n in set(os.listdir(folder)) - before] == ["tokenize"]
