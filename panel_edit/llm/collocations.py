@@ -177,10 +177,12 @@ class Words:
 
 def passing(bitmap: np.ndarray, fp: np.ndarray) -> np.ndarray:
     """Whether all bits of each fingerprint are set."""
-    ok = np.ones(len(fp), bool)
+    left = np.arange(len(fp))  # most fall out at the first place
     for shift in FILTER_SHIFTS:
-        at = (fp >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
-        ok &= (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+        at = (fp[left] >> np.uint64(shift)) & np.uint64((1 << FILTER_BITS) - 1)
+        left = left[(bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+    ok = np.zeros(len(fp), bool)
+    ok[left] = True
     return ok
 
 
@@ -268,13 +270,13 @@ def spelled(lengths: tuple[int, ...], filt, bits: int):
 
     The empty phrase counts the words of a language.
     """
-    limit, most = BATCH_BYTES, MERGE_ROWS // 4
+    limit, most = BATCH_BYTES, MERGE_ROWS // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def added():
-            table = pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("cnt", "sum")])
+            table = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("cnt", "sum")])
             return table.select(["lang", "phrase", "cnt_sum"]).rename_columns(["lang", "phrase", "cnt"])
 
         for words in text_batches(batches, limit, bits):
@@ -285,7 +287,7 @@ def spelled(lengths: tuple[int, ...], filt, bits: int):
             if size > most:
                 held = [added()]
                 size = held[0].num_rows
-                if size > most // 2:
+                if size > most * 3 // 4:
                     yield from held[0].combine_chunks().to_batches()
                     held, size = [], 0
         if held:
