@@ -137,6 +137,6 @@ def check_joins(joins, adjust: str = "adjust") -> None:
     got = {(row["_join"], row["measure"]): row["value"] for row in union.collect()}  # 4 rows per join
     for i, (_, _, _, name) in enumerate(joins):
         if got[(i, "adjust_before")] != got[(i, "adjust_after")]:
-            raise checks.CheckFailed(f"Number of rows to adjust between analyst and {name} data do not match.")
+            raise checks.CheckFailed(f"the {name} join changed how many rows are marked for adjustment: {got[(i, 'adjust_before')]} before, {got[(i, 'adjust_after')]} after; counts do not match")
         if got[(i, "rows_before")] != got[(i, "rows_after")]:
-            raise checks.CheckFailed(f"Number of rows of {name} data after join has increased.")
+            raise checks.CheckFailed(f"the {name} join added rows: {got[(i, 'rows_before')]} before, {got[(i, 'rows_after')]} after")

@@ -490,8 +490,7 @@ def q_io4_coercions(spark, sf_dir):
     """Cells of a written file that its schema's types can't hold: column, text and how often."""
     path = scratch_path(spark, "io4")
     csv.write_with_schema(spoilt_cells(spark, sf_dir), path)
-    _, ledger = csv.read_with_ledger(spark, path, SPOILT)
-    ledger = cut_lineage(ledger)
+    ledger = cut_lineage(csv.read_with_ledger(spark, path, SPOILT).ledger)
     remove_path(spark, path)
     return ledger
 

@@ -1,9 +1,9 @@
 """The three jobs: preprocess (find and constrain outliers), adjust, map.
 
 Each job is a function from DataFrames to DataFrames; writing is a separate
-step (:mod:`panel_edit.sources.csv`). A job materialises its working panel
-once (checkpoint to the session's shared checkpoint folder when set) where
-several outputs or checks read it.
+step (:mod:`panel_edit.sources.csv`). A job writes its working panel once, as
+Parquet under the session's shared checkpoint folder, where several outputs,
+statistics or checks read it: each reads the columns that it needs.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panel_edit.operators import change, checks, constrain, outliers, reshape
 from panel_edit.operators.groups import id_violations
-from panel_edit.session import cut_lineage
+from panel_edit.session import columnar
 from panel_edit.sources.qa import parameters_frame
 
 IDS = reshape.DEFAULT_IDS
@@ -83,14 +83,14 @@ def preprocess(
 
     df = change.rate_of_change(long, area=area)
     # The statistics below read the ratios, not the windows that made them.
-    df = cut_lineage(change.flag_rollback_years(df, rollback_start, rollback_end))
+    df = columnar(change.flag_rollback_years(df, rollback_start, rollback_end), "preprocess-panel")
     if zscore:
         df = outliers.zscores_of(df, SCORED, parent, z_upper, z_lower)
     if iqr:
         df = outliers.iqr_fences(
             df, "raw", [parent, "period"], "uncon", iqr_lower_quantile, iqr_upper_quantile, iqr_multiplier)
     df = outliers.master_flag(df, zscore, iqr, area=area)
-    interim = cut_lineage(df)
+    interim = columnar(df, "preprocess-interim")
 
     keep = [*ids, "period", "uncon", *[c for c in interim.columns if c.startswith("master_")]]
     flagged = constrain.parent_mean(interim.select(*keep), parent=parent)
@@ -162,7 +162,7 @@ def adjust(
 
     long = change.rate_of_change(long, area=area)
     long = change.flag_rollback_years(long, rollback_start, rollback_end)
-    long = cut_lineage(long)
+    long = columnar(long, "adjust-panel")
     # Rollback flags are final here: the scalar reads the materialised panel.
     latest = apportion.latest_rollback_period(long)
     panel, imputed = impute.safe_years(long, start, end, area=area)
@@ -172,13 +172,13 @@ def adjust(
 
     # Checks of the four steps run once, below, on the materialised result.
     df = apportion.share_out(panel, imputed, area=area, parent=parent)
-    df = cut_lineage(df)  # the next steps' statistics read what was shared out
+    df = columnar(df, "adjust-shared")  # the next steps' statistics read what was shared out
     value = "adjusted_con"
     if not accept_negatives:
         df = apportion.remove_negatives(df, parent=parent, check=False)
         value = "readjusted_con"
     df = apportion.rollback_years(df, area=area, parent=parent, value=value, check=False, latest=latest)
-    interim = cut_lineage(df)
+    interim = columnar(df, "adjust-interim")
     if check:
         apportion.check_apportioned(interim, parent=parent)
 

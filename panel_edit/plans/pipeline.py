@@ -42,7 +42,6 @@ import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from panel_edit.operators import constrain
 from panel_edit.plans import jobs
@@ -83,14 +82,13 @@ def run_pipeline(spark: SparkSession, config: Mapping | str) -> dict:
     def read(name: str, period_type: str | None = "double"):
         """One input file. Cells that its schema's types can't hold become NULL; they are written, counted and warned of."""
         schema = _schema(paths, f"{name}_schema") or {}
-        df, ledger = csv.read_with_ledger(spark, paths[name], schema, period_type)
-        csv.write_with_schema(ledger.orderBy("column", "value"), target(f"{name}_coercions"), single_file=single)
-        found = ledger.groupBy("column").agg(F.sum("n").alias("n")).orderBy("column").collect()  # a row per column
-        results[f"{name}_coercions"] = {r["column"]: r["n"] for r in found}
-        if found:
-            warnings.warn(f"{name}: cells set to NULL since they do not parse, by column: {results[f'{name}_coercions']}", stacklevel=3)
-        csv.schema_violations(df, schema)
-        return df
+        found = csv.read_with_ledger(spark, paths[name], schema, period_type)
+        csv.write_with_schema(found.ledger.orderBy("column", "value"), target(f"{name}_coercions"), single_file=single)
+        results[f"{name}_coercions"] = found.lost
+        if found.lost:
+            warnings.warn(f"{name}: cells set to NULL since they do not parse, by column: {found.lost}", stacklevel=3)
+        csv.schema_violations(found.frame, schema, found.missing)
+        return found.frame
 
     if us.get("preprocessing"):
         panel = read("panel")

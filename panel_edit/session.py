@@ -1,12 +1,15 @@
-"""Session helpers: builder defaults, checkpoint directory, lineage cuts."""
+"""Session helpers: builder defaults, checkpoint directory, lineage cuts, columnar interim tables."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(
@@ -98,3 +101,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder: later stages don't recompute it, and a lost executor loses none of it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_lineage_counting(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """:func:`cut_lineage`, and how many rows meet each condition: counted while the rows are written, in the same job."""
+    if not counts:
+        return cut_lineage(df), {}
+    seen, names = Observation(), list(counts)
+    out = cut_lineage(df.observe(seen, *[F.count_if(counts[n]).alias(f"_{i}") for i, n in enumerate(names)]))
+    found = seen.get
+    return out, {n: found.get(f"_{i}") or 0 for i, n in enumerate(names)}
+
+
+_LEFT: list[tuple[SparkSession, str]] = []
+
+
+def _remove_left() -> None:
+    for spark, path in _LEFT:
+        try:
+            remove_path(spark, path)
+        except Exception:  # noqa: BLE001 - the session may be gone already, and its files with it
+            pass
+
+
+def columnar(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: later steps read only the columns they use.
+
+    The files go when the application ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    if not _LEFT:
+        atexit.register(_remove_left)
+    _LEFT.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)

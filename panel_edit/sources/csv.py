@@ -12,11 +12,12 @@ from __future__ import annotations
 
 import tomllib
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panel_edit.session import cut_lineage
+from panel_edit.session import cut_lineage_counting
 
 
 SPARK_TYPES = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
@@ -38,7 +39,7 @@ def rename_columns(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> Da
     """Rename ``old_name -> new name``; a source column that does not exist is an error."""
     missing = [p["old_name"] for p in schema.values() if p["old_name"] not in df.columns]
     if missing:
-        raise ValueError(f"Columns {missing} specified in schema do not exist in DataFrame")
+        raise ValueError(f"the schema names columns that the data lacks: {missing}")
     return df.withColumnsRenamed({p["old_name"]: new for new, p in schema.items() if p["old_name"] != new})
 
 
@@ -68,58 +69,87 @@ def convert_types(df: DataFrame, schema: Mapping[str, Mapping[str, str]], period
     return df.withColumns(casts) if casts else df
 
 
-def convert_with_ledger(df: DataFrame, schema: Mapping[str, Mapping[str, str]], period_type: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """:func:`convert_types`, and the cells that it set to NULL: (column, value, n), one row per column and text.
+@dataclass
+class Conversion:
+    """A converted table, the ledger of the cells that did not parse (column, value, n), and counts by column."""
 
-    Both come from one pass: each row is converted and written once, together
-    with the cells it lost.
+    frame: DataFrame
+    ledger: DataFrame
+    lost: dict[str, int]  # cells that did not parse
+    missing: dict[str, int]  # NULLs in each ``int`` column
+
+
+def convert_with_ledger(df: DataFrame, schema: Mapping[str, Mapping[str, str]], period_type: str | None = None) -> Conversion:
+    """:func:`convert_types`, with a record of the cells that it set to NULL.
+
+    All of it comes from one pass: each row is converted and written once,
+    together with the cells it lost, and the counts are taken as it is written.
     """
     casts = _casts(df, schema, period_type)
     lost = "_lost"
     while lost in df.columns:
         lost += "_"
-    entries = [F.when(F.col(f"`{c}`").isNotNull() & cast.isNull(), F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")))
-               for c, cast in casts.items()]
+    failed = {c: F.col(f"`{c}`").isNotNull() & cast.isNull() for c, cast in casts.items()}
+    entries = [F.when(f, F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))) for c, f in failed.items()]
     empty = F.array().cast("array<struct<column:string,value:string>>")
-    both = cut_lineage(df.withColumns({**casts, lost: F.array_compact(F.array(*entries)) if entries else empty}))
+    record = df.withColumns({**casts, lost: F.array_compact(F.array(*entries)) if entries else empty})
+    counts = {f"lost {c}": F.array_contains(F.col(lost)["column"], c) for c in casts}
+    counts |= {f"missing {c}": F.col(f"`{c}`").isNull() for c in _int_columns(record, schema)}
+    both, found = cut_lineage_counting(record, counts)
     ledger = both.select(F.inline(lost)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    return both.drop(lost), ledger
+    by = {kind: {c.removeprefix(f"{kind} "): n for c, n in found.items() if c.startswith(f"{kind} ")} for kind in ("lost", "missing")}
+    return Conversion(both.drop(lost), ledger, {c: n for c, n in by["lost"].items() if n}, by["missing"])
 
 
-def schema_report(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """Violations as rows (column, declared, problem, n): missing column, other type, missing values in ``int`` columns.
+def _int_columns(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> list[str]:
+    """Columns declared ``int`` that hold whole numbers: they may have no missing values."""
+    types = dict(df.dtypes)
+    return [c for c, props in schema.items() if props.get("type") == "int" and types.get(c) in ACCEPTED["int"]]
 
-    One aggregate job over the data, when it is run.
-    """
-    types, found, ints = dict(df.dtypes), [], []
+
+def _declared_wrong(df: DataFrame, schema: Mapping[str, Mapping[str, str]], missing: Mapping[str, int]) -> list[tuple[str, str, str, int]]:
+    """(column, declared, problem, n), from the schema and the counts of missing values."""
+    types, found = dict(df.dtypes), []
     for name, props in schema.items():
         declared = props.get("type")
         if name not in types:
             found.append((name, declared, "no such column", 0))
-        elif declared in ACCEPTED:
-            if types[name] not in ACCEPTED[declared]:
-                found.append((name, declared, f"type {types[name]}", 0))
-            elif declared == "int":
-                ints.append(name)
-    fixed = df.sparkSession.createDataFrame(found, "column string, declared string, problem string, n bigint")
+        elif declared in ACCEPTED and types[name] not in ACCEPTED[declared]:
+            found.append((name, declared, f"type {types[name]}", 0))
+        elif missing.get(name):
+            found.append((name, declared, "missing values", missing[name]))
+    return found
+
+
+def schema_report(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """Violations as rows (column, declared, problem, n): missing column, other type, missing values in ``int`` columns.
+
+    One aggregate job over the data, when it is run.
+    """
+    ints = _int_columns(df, schema)
+    fixed = df.sparkSession.createDataFrame(_declared_wrong(df, schema, {}), "column string, declared string, problem string, n bigint")
     if not ints:
         return fixed
-    counts = df.agg(*[F.coalesce(F.sum(F.col(f"`{n}`").isNull().cast("long")), F.lit(0)).alias(f"_{i}") for i, n in enumerate(ints)])
+    counts = df.agg(*[F.count_if(F.col(f"`{n}`").isNull()).alias(f"_{i}") for i, n in enumerate(ints)])
     rows = counts.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("column"), F.lit("int").alias("declared"), F.lit("missing values").alias("problem"), F.col(f"_{i}").alias("n"))
         for i, n in enumerate(ints)])).alias("r")).select("r.*")
     return fixed.unionByName(rows.where("n > 0"))
 
 
-def schema_violations(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> None:
-    """Raise on the first of :func:`schema_report`: every column listed, of its type, ``int`` without missing values."""
+def schema_violations(df: DataFrame, schema: Mapping[str, Mapping[str, str]], missing: Mapping[str, int] | None = None) -> None:
+    """Raise on the first of :func:`schema_report`: every column listed, of its type, ``int`` without missing values.
+
+    Runs no job where ``missing`` has the counts already (of :class:`Conversion`).
+    """
     absent = [name for name in schema if name not in df.columns]
     if absent:
-        raise ValueError(f"Missing expected column: {absent[0]}")
-    wrong = [f"{r['column']}: {r['problem']}" + (f" ({r['n']})" if r["n"] else "") + f", declared {r['declared']}"
-             for r in schema_report(df, schema).collect()]  # at most one row per listed column
-    if wrong:
-        raise TypeError("columns do not match their declared types: " + "; ".join(wrong))
+        raise ValueError(f"the file has no column for {absent[0]}")
+    found = (_declared_wrong(df, schema, missing) if missing is not None
+             else [tuple(r) for r in schema_report(df, schema).collect()])  # at most one row per listed column
+    if found:
+        raise TypeError("columns do not match their declared types: " + "; ".join(
+            f"{column}: {problem}" + (f" ({n})" if n else "") + f", declared {declared}" for column, declared, problem, n in found))
 
 
 def spans_lines(spark: SparkSession, path: str) -> bool:
@@ -174,14 +204,17 @@ def read_with_ledger(
     period_type: str | None = "double",
     validate: bool = False,
     multi_line: bool | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """:func:`read_with_schema`, and the ledger of the cells that became NULL because they did not parse (column, value, n)."""
+) -> Conversion:
+    """:func:`read_with_schema` with the ledger of the cells that became NULL because they did not parse.
+
+    Validation reads the counts that were taken as the rows were written: no job of its own.
+    """
     if isinstance(schema, str):
         schema = load_schema(schema)
-    df, ledger = convert_with_ledger(_text_cells(spark, path, schema, multi_line), schema, period_type)
+    out = convert_with_ledger(_text_cells(spark, path, schema, multi_line), schema, period_type)
     if validate:
-        schema_violations(df, schema)
-    return df, ledger
+        schema_violations(out.frame, schema, out.missing)
+    return out
 
 
 def write_with_schema(

@@ -65,7 +65,7 @@ def test_csv_round_trip_with_schema(spark, tmp_path):
     assert back.columns == ["area", "count", "Additional col", "2020"]
     r = back.first()
     assert (r.area, r["count"], r["Additional col"], r["2020"]) == ("E1", 5, "keep", 1.5)
-    with pytest.raises(ValueError, match="do not exist"):
+    with pytest.raises(ValueError, match="the data lacks"):
         csv.read_with_schema(spark, path, {"x": {"old_name": "missing", "type": "str"}})
     bad = spark.createDataFrame([("E1", "unknown")], "a string, b string")
     csv.write_with_schema(bad, path)

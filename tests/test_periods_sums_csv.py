@@ -106,14 +106,47 @@ def test_a_large_plain_file_is_read_in_many_tasks(spark, tmp_path):
 def test_ledger_of_cells_that_do_not_parse(spark, tmp_path):
     path = _write(tmp_path / "in.csv", "k,i,f,b,t,2001\n1,12.0,1.5,true,x,7\n2,12.5,\"1,5\",maybe,y,seven\n3,abc,n/a,false,,\n4,12.5,2,TRUE,z,8\n")
     schema = {n: {"old_name": n, "type": t} for n, t in (("k", "int"), ("i", "int"), ("f", "float"), ("b", "bool"), ("t", "str"))}
-    df, ledger = csv.read_with_ledger(spark, path, schema)
+    got = csv.read_with_ledger(spark, path, schema)
+    df, ledger = got.frame, got.ledger
+    assert got.lost == {"2001": 1, "b": 1, "f": 1, "i": 3} and got.missing == {"k": 0, "i": 3}
     assert sorted(map(tuple, ledger.collect())) == [("2001", "seven", 1), ("b", "maybe", 1), ("f", "1,5", 1), ("i", "12.5", 2), ("i", "abc", 1)]
     assert df.columns == ["k", "i", "f", "b", "t", "2001"]
     assert rows(df, "k", "i", "f", "b", "2001") == [(1, 12, 1.5, True, 7.0), (2, None, None, None, None), (3, None, None, False, None), (4, None, 2.0, True, 8.0)]
     same = csv.read_with_schema(spark, path, schema, validate=False)
     assert sorted(map(str, same.collect())) == sorted(map(str, df.collect()))
-    none, empty = csv.read_with_ledger(spark, path, {}, period_type=None)
-    assert empty.count() == 0 and none.count() == 4
+    none = csv.read_with_ledger(spark, path, {}, period_type=None)
+    assert none.ledger.count() == 0 and none.frame.count() == 4 and none.lost == {}
+
+
+def test_validation_rides_along_with_the_conversion(spark, tmp_path):
+    """As many jobs with validation as without; the message names what the written rows lack."""
+    path = _write(tmp_path / "in.csv", "k,i\n1,2\n3,x\n")
+    schema = {"k": {"old_name": "k", "type": "int"}, "t": {"old_name": "i", "type": "str"}}
+    sc, jobs_run = spark.sparkContext, []
+    for validate in (False, True):
+        sc.setJobGroup(f"read {validate}", "count jobs")
+        csv.read_with_ledger(spark, path, schema, validate=validate)
+        jobs_run.append(len(sc.statusTracker().getJobIdsForGroup(f"read {validate}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs_run[0] == jobs_run[1] > 0
+    with pytest.raises(TypeError, match=r"i: missing values \(1\), declared int"):
+        csv.read_with_ledger(spark, path, {"i": {"old_name": "i", "type": "int"}}, validate=True)
+
+
+def test_later_steps_of_a_job_read_only_their_columns(spark):
+    """The interim table is columnar: the parent means read five columns of it, a count of flags one."""
+    import re
+
+    with fx.one_build():
+        interim = catalog.preprocess_job(spark, SF_SMALL).interim
+    assert len(interim.columns) > 20
+
+    def read(df):
+        return set(re.findall(r"(\w+):", re.search(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().executedPlan().toString())[1]))
+
+    means = interim.groupBy("parent", "period").agg(F.avg("uncon"))
+    assert read(means) == {"parent", "period", "uncon"}
+    assert read(interim.where("master_flag").select("area")) == {"area", "master_flag"}
 
 
 def test_the_pipeline_warns_of_lost_cells_and_writes_them(spark, tmp_path):
