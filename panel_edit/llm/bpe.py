@@ -45,7 +45,7 @@ PART_CHARS = 32768
 #: Code points of a run without white space, and bytes of a word, that are encoded at once.
 LEAF_RUN, LEAF_WORD = 512, 64
 #: Code points of the texts that are encoded together (a longer text is encoded alone).
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 3 << 19
 
 #: White space of the library's normaliser, as a character class (``\\s`` of its pattern language).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
