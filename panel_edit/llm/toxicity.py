@@ -26,6 +26,7 @@ through; empty tables give empty results.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass, field
 
@@ -117,7 +118,7 @@ def held_out(doc_id):
 
 
 def _sample_rows(batches):
-    """Distinct hashes of the words and word beginnings, of the words alone, and fired patterns of the sampled texts."""
+    """Distinct hashes of the words and word beginnings, of the words alone, fired patterns, and a digest of the words, of the sampled texts."""
     for batch in batches:
         data, offsets = text_buffer(batch.column("text"), lower=True)
         lists, own, fired = [], [], []
@@ -133,8 +134,8 @@ def _sample_rows(batches):
             fired.append([int(bool(p.search(t or "" if name == "shouting" else low))) for name, p in PATTERNS.items()])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("y"), pa.array(lists, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int64())),
-             pa.array(fired, pa.list_(pa.int32()))],
-            ["doc_id", "y", "words", "own", "fired"])
+             pa.array(fired, pa.list_(pa.int32())), pa.array([hashlib.sha256(h.tobytes()).digest() for h in own], pa.binary())],
+            ["doc_id", "y", "words", "own", "fired", "copy"])
 
 
 def log_ratio(a, b, toxic: float, clean: float):
@@ -210,8 +211,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     ids = training_ids(labels, "toxic", per_class)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The sample is bounded by 2 * per_class rows of two numbers.
-    sample = keep(texts.join(F.broadcast(ids), "doc_id").mapInArrow(_sample_rows, "doc_id bigint, y int, words array<bigint>, own array<bigint>, fired array<int>"))
-    sample = sample.groupBy("y", "words", "own").agg(F.min("doc_id").alias("doc_id"), F.max("fired").alias("fired"))  # copies count once
+    sample = keep(texts.join(F.broadcast(ids), "doc_id").mapInArrow(_sample_rows, "doc_id bigint, y int, words array<bigint>, own array<bigint>, fired array<int>, copy binary"))
+    # Texts of the same words count once; as few ids as the sample has are broadcast.
+    once = sample.groupBy("y", "copy").agg(F.min("doc_id").alias("doc_id"))
+    sample = sample.join(F.broadcast(once), ["y", "copy", "doc_id"], "left_semi")
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
