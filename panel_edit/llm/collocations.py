@@ -4,6 +4,8 @@ Texts are lower-cased (A to Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and
 into words ``[^\\x20\\x09]+``; everything is counted per language. Phrases are
 mined length by length:
 
+Equal texts of a language are one row with their number. Then:
+
 1. A task takes a batch of texts, numbers its words exactly, hashes each
    distinct word and then every n-gram with prefix polynomials (two prefix sums
    give the hash of any run of words), and puts out (fingerprint, count). A
@@ -45,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panel_edit.llm.common import keep, mix, ship, text_buffer
+from panel_edit.llm.common import keep, mix, remove, scratch, ship, text_buffer
 
 #: A candidate occurs so often at least and has so many words at most; so many phrases of a language are returned.
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
@@ -108,7 +110,8 @@ def value_hashes(column: pa.Array) -> np.ndarray:
 class Words:
     """The words of a batch of texts: exact number, row and piece of each, and hashes of runs of them."""
 
-    def __init__(self, texts: pa.Array, langs: pa.Array, bits: int = 64):
+    def __init__(self, texts: pa.Array, langs: pa.Array, copies: np.ndarray, bits: int = 64):
+        self.copies = copies  # rows that each text stands for
         closed = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
         data, offsets = text_buffer(closed)
         kind = _KIND[data]
@@ -153,25 +156,30 @@ class Words:
 
     def totals(self):
         """(words, empty phrase, language) of each language."""
-        langs, count = np.unique(self.lang_of_row[self.row], return_counts=True)
-        return count, pa.array([""] * len(langs), pa.string()), self.langs.take(pa.array(langs)).cast(pa.string())
+        count = np.zeros(len(self.langs), np.int64)
+        np.add.at(count, self.lang_of_row[self.row], self.copies[self.row])
+        return count, pa.array([""] * len(count), pa.string()), self.langs.cast(pa.string())
 
     def entries(self, at: np.ndarray, fp: np.ndarray, n: int):
         """(fingerprint, count, first word of an occurrence) of each different run; equal fingerprints are compared word by word."""
         order = np.argsort(fp, kind="stable")
         at, fp = at[order], fp[order]
+        weight = self.copies[self.row[at]]
         group = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
-        count = np.diff(np.append(group, len(fp)))
-        of = np.repeat(at[group], count)
+        if not len(fp):
+            return fp, weight, at
+        of = np.repeat(at[group], np.diff(np.append(group, len(fp))))
         same = self.lang_of_row[self.row[at]] == self.lang_of_row[self.row[of]]
         for t in range(n):
             same &= self.number[at + t] == self.number[of + t]
+        kept = np.add.reduceat(np.where(same, weight, 0), group)
         if same.all():
-            return fp[group], count, at[group]
-        kept = np.add.reduceat(same.astype(np.int64), group)
+            return fp[group], kept, at[group]
         odd = np.flatnonzero(~same)
         keys = np.column_stack([fp[odd].view(np.int64), self.lang_of_row[self.row[at[odd]]], *(self.number[at[odd] + t] for t in range(n))])
-        _, one, more = np.unique(keys, axis=0, return_index=True, return_counts=True)
+        _, one, which = np.unique(keys, axis=0, return_index=True, return_inverse=True)
+        more = np.zeros(len(one), np.int64)
+        np.add.at(more, which.ravel(), weight[odd])
         return np.concatenate([fp[group], fp[odd[one]]]), np.concatenate([kept, more]), np.concatenate([at[group], at[odd[one]]])
 
 
@@ -219,7 +227,8 @@ def text_batches(batches: Iterator[pa.RecordBatch], limit: int, bits: int) -> It
 
     def flush():
         table = pa.Table.from_batches(held).combine_chunks()
-        return Words(*(table[c].chunk(0) if table[c].num_chunks == 1 else table[c].combine_chunks() for c in ("text", "lang")), bits)
+        text, lang = (table[c].chunk(0) if table[c].num_chunks == 1 else table[c].combine_chunks() for c in ("text", "lang"))
+        return Words(text, lang, table["copies"].to_numpy(), bits)
 
     for batch in batches:
         sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -239,7 +248,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], limit: int, bits: int) -> It
 
 
 def counted(lengths: tuple[int, ...], parts: int | None, filt, bits: int):
-    """For ``mapInArrow`` over (lang, text): (fp, cnt), added up within the task as far as ``MERGE_ROWS`` allow."""
+    """For ``mapInArrow`` over (lang, text, copies): (fp, cnt), added up within the task as far as ``MERGE_ROWS`` allow."""
     limit, most = BATCH_BYTES, MERGE_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,8 +260,11 @@ def counted(lengths: tuple[int, ...], parts: int | None, filt, bits: int):
 
         for words in text_batches(batches, limit, bits):
             for n in lengths:
-                held.append(np.unique(chosen_runs(words, n, parts, bitmap)[1], return_counts=True))
-                size += len(held[-1][0])
+                at, fp = chosen_runs(words, n, parts, bitmap)
+                weight = words.copies[words.row[at]]
+                once = weight == 1  # nearly all
+                held += [np.unique(fp[once], return_counts=True), summed([(fp[~once], weight[~once])])]
+                size += len(held[-1][0]) + len(held[-2][0])
             if size > most:
                 held = [summed(held)]
                 size = len(held[0][0])
@@ -266,7 +278,7 @@ def counted(lengths: tuple[int, ...], parts: int | None, filt, bits: int):
 
 
 def spelled(lengths: tuple[int, ...], filt, bits: int):
-    """For ``mapInArrow`` over (lang, text): (lang, phrase, cnt) of the runs that pass the filter, read at their pointers.
+    """For ``mapInArrow`` over (lang, text, copies): (lang, phrase, cnt) of the runs that pass the filter, read at their pointers.
 
     The empty phrase counts the words of a language.
     """
@@ -320,7 +332,11 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select("lang", "text")
+    # Equal texts are read once, with their number: their phrases then come from one task.
+    folder = scratch(spark, "collocations")
+    texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
     bitmap, filt = np.zeros(1 << (FILTER_BITS - 6), np.uint64), None
     for parts, lengths in ((None, (1,)), (1, (2,)), (2, tuple(range(3, max_words + 1)))):
         if lengths and lengths[0] <= max_words:
@@ -329,7 +345,9 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     found = rows.mapInArrow(spelled(tuple(range(1, max_words + 1)), filt, bits), "lang string, phrase string, cnt bigint")
     counts = found.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f"))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    return keep(counts.withColumn("words", words).filter((F.col("f") >= min_count) | (F.col("words") == 0)))
+    counts = keep(counts.withColumn("words", words).filter((F.col("f") >= min_count) | (F.col("words") == 0)))
+    remove(spark, folder)
+    return counts
 
 
 def _exact(column) -> F.Column:
