@@ -47,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panel_edit.llm.common import keep, mix, remove, scratch, ship, text_buffer
+from panel_edit.llm.common import keep, mix, release, remove, scratch, ship, text_buffer
 
 #: A candidate occurs so often at least and has so many words at most; so many phrases of a language are returned.
 MIN_COUNT, MAX_WORDS, TOP = 30, 4, 2000
@@ -337,11 +337,13 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     texts = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies")).write.parquet(folder)
     rows = spark.read.parquet(folder)
+    release(spark)
     bitmap, filt = np.zeros(1 << (FILTER_BITS - 6), np.uint64), None
     for parts, lengths in ((None, (1,)), (1, (2,)), (2, tuple(range(3, max_words + 1)))):
         if lengths and lengths[0] <= max_words:
             bitmap = set_bits(bitmap, frequent(rows, lengths, parts, filt, min_count, bits))
             filt = spark.sparkContext.broadcast(bitmap)
+            release(spark)  # the disk holds one level's shuffle at a time
     found = rows.mapInArrow(spelled(tuple(range(1, max_words + 1)), filt, bits), "lang string, phrase string, cnt bigint")
     counts = found.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f"))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))

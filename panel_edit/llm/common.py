@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -78,6 +79,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of frames that nothing refers to any more: Spark deletes them once the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores behind it as no column of ``df`` has in any case."""
     taken = {c.lower() for c in df.columns}
