@@ -12,15 +12,17 @@ and every text is decided by its own content alone.
 The raw counts cover every text. Labels are read by crc32(doc_id) modulo 4: rows
 of remainder 0 and 1 give the target, rows of 3 the threshold (a text whose own
 n-grams are in the target scores too high to set it), rows of 2 are held out.
-The target counts cover at most ``TARGET_DOCS`` trusted documents, taken in the
-order of a hash of their doc_id. The threshold is fitted on the same number of
-labelled documents of each class: of the cuts halfway between two neighbouring
-scores, the one at which the share of good documents above plus that of bad
-documents below is largest.
+The target counts cover every trusted document, and the threshold is fitted on
+every labelled document of its remainder that passes the base rules: of the cuts
+halfway between two neighbouring scores, the one at which the share of good
+documents above plus that of bad documents below is largest (of equals, the lowest).
 
 All of it is DataFrame expressions: n-grams are hashed by higher-order functions
-inside a row, so that a text never leaves its task; the counts of the buckets, of
+inside a row; only texts that can be in the target are joined with the labels,
+the others never leave their task. The counts of the buckets, of
 fixed number, meet at the driver, and their ratios go out as one literal array. Nothing is grouped by document.
+The cuts are compared score by score, in groups of ``CELL`` neighbouring scores;
+of each group, one row comes to a single task.
 
 Defined cases: a null text has no words; a text without words scores 0 and
 fails the base rules; null ids or labels of documents take no part in the
@@ -33,20 +35,20 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panel_edit.llm.common import keep
 
 BUCKET_BITS = 16
-#: Labelled documents of each class that the target and the threshold are fitted on, at most.
-TARGET_DOCS = 20_000
 #: Base rules: fewer words fail, and so do texts with over this share (in hundredths) of repeated words.
 MIN_WORDS, MAX_REPEATED = 50, 50
 #: Bits of a window's key that hold its place in the text (no string of Spark has so many words).
 PLACE_BITS = 30
 #: Ratios are counted in these parts.
 UNIT = 1_000_000
+#: Scores (whole ``UNIT``s) that the threshold's running sums go through in one group.
+CELL = 1_000
 
 _SPACES, _NO_SYMBOLS = r"[\x20\x09-\x0D]+", "[^#*$%&|<>]+"
 
@@ -96,11 +98,11 @@ def buckets(hashes: Column) -> Column:
     return F.concat(F.transform(hashes, place), F.when(F.size(hashes) > 1, pairs).otherwise(F.array().cast("array<int>")))
 
 
-def hashed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, its words w and their hashes h. Columns that a lambda reads are columns of their own, computed once."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", words(F.col("text")).alias("w"))
-    return rows.select("doc_id", "text", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+def hashed(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, text, its words w and their hashes h, behind the columns ``more``. Columns that a lambda reads are columns of their own, computed once."""
+    rows = docs.select(*more, "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.select(*more, "doc_id", "text", words(F.col("text")).alias("w"))
+    return rows.select(*more, "doc_id", "text", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
@@ -115,18 +117,25 @@ def base_rules(docs: DataFrame) -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def sample(labels: DataFrame, quality: int, remainders: tuple[int, ...], limit: int = TARGET_DOCS) -> DataFrame:
-    """(doc_id, trusted) of at most ``limit`` documents of one label, of these remainders of crc32(doc_id) modulo 4."""
-    part = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
-    rows = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & part.isin(*remainders))
-    rows = rows.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter(F.col("quality") == quality)
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select("doc_id", F.lit(quality == 1).alias("trusted"))
+def remainder(doc_id: Column) -> Column:
+    """crc32 of the doc_id as text, modulo 4."""
+    return F.pmod(F.crc32(doc_id.cast("string")), F.lit(4))
 
 
-def ratios(docs: DataFrame, chosen: DataFrame) -> Column:
-    """Log-likelihood ratio of each bucket, target against raw (both smoothed by one), in ``UNIT``s: a literal array (the optimizer folds it), of one size at any input."""
-    rows = hashed(docs).select("doc_id", buckets(F.col("h")).alias("buckets"))
-    marked = rows.join(F.broadcast(chosen), "doc_id", "left")
+def labelled(labels: DataFrame, remainders: tuple[int, ...]) -> DataFrame:
+    """(doc_id, trusted) of all labelled documents of these remainders."""
+    rows = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & remainder(F.col("doc_id")).isin(*remainders))
+    return rows.groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted"))
+
+
+def ratios(docs: DataFrame, labels: DataFrame, remainders: tuple[int, ...]) -> Column:
+    """Log-likelihood ratio of each bucket, target (of these remainders) against raw (both smoothed by one), in ``UNIT``s: a literal array (the optimizer folds it), of one size at any input."""
+    rows = docs.select("doc_id", "text")
+    chosen = labelled(labels, remainders).filter("trusted")
+    able = F.coalesce(remainder(F.col("doc_id")).isin(*remainders), F.lit(False))
+    # A shuffled join at any size: the target's documents grow with the corpus, and their texts need no sort.
+    marked = rows.filter(able).join(chosen.hint("shuffle_hash"), "doc_id", "left").unionByName(rows.filter(~able).withColumn("trusted", F.lit(None).cast("boolean")))
+    marked = hashed(marked, "trusted").select("trusted", buckets(F.col("h")).alias("buckets"))
     counts = (marked.select("trusted", F.explode_outer("buckets").alias("bucket"))
               .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target")))
     found = {r["bucket"]: (r["raw"], r["target"]) for r in counts.collect() if r["bucket"] is not None}
@@ -138,18 +147,27 @@ def ratios(docs: DataFrame, chosen: DataFrame) -> Column:
 
 
 def threshold(scored: DataFrame, chosen: DataFrame) -> int | None:
-    """The cut between good and bad documents of the sample (None without both)."""
-    rows = scored.filter(~F.col("base_failed")).select("doc_id", "score").join(F.broadcast(chosen), "doc_id")
-    seen = sorted((r["score"], r["trusted"]) for r in rows.select("score", "trusted").collect())
-    good, bad = sum(t for _, t in seen), sum(not t for _, t in seen)
-    if not good or not bad:
+    """The cut between the good and the bad documents of ``chosen`` (None without both)."""
+    rows = scored.filter(~F.col("base_failed")).select("doc_id", "score").join(chosen, "doc_id")
+    count = lambda own: F.count(F.when(own, 1))
+    seen = keep(rows.groupBy("score").agg(count(F.col("trusted")).alias("good"), count(~F.col("trusted")).alias("bad"))
+                .withColumn("cell", F.floor(F.col("score") / CELL)))
+    # What lies below each score: below its cell, and below it in its cell.
+    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    below = lambda name, window: F.coalesce(F.sum(name).over(window), F.lit(0))
+    cells = seen.groupBy("cell").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("score").alias("top"))
+    cells = cells.select("cell", below("good", before).alias("good_before"), below("bad", before).alias("bad_before"), F.max("top").over(before).alias("top_before"))
+    within = Window.partitionBy("cell").orderBy("score")
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    steps = seen.join(cells, "cell").select(
+        "score", (F.col("good_before") + below("good", earlier)).alias("lost"), (F.col("bad_before") + below("bad", earlier)).alias("stopped"),
+        F.coalesce(F.lag("score").over(within), F.col("top_before")).alias("last"))
+    total = seen.agg(F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad")).filter("all_good > 0 AND all_bad > 0")
+    gain = (F.col("all_good") - F.col("lost")) / F.col("all_good") + F.col("stopped") / F.col("all_bad")
+    best = steps.crossJoin(F.broadcast(total)).agg(F.max(F.struct(gain.alias("gain"), (-F.col("score")).alias("low"), "last")).alias("best")).first()["best"]
+    if best is None:
         return None
-    best, cut, above, below = -1.0, None, good, 0
-    for i, (score, trusted) in enumerate(seen):
-        if (i == 0 or score != seen[i - 1][0]) and above / good + below / bad > best:
-            best, cut = above / good + below / bad, score if i == 0 else (score + seen[i - 1][0]) // 2 + 1
-        above, below = above - trusted, below + (not trusted)
-    return cut
+    return -best["low"] if best["last"] is None else (best["last"] - best["low"]) // 2 + 1
 
 
 def with_score(rows: DataFrame, weights: Column) -> DataFrame:
@@ -162,7 +180,7 @@ def with_score(rows: DataFrame, weights: Column) -> DataFrame:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_words, the base counts, base_failed, kept and score of every document."""
     # Kept, since a filter on a computed column would compute that column once more.
-    scored = keep(with_score(base_rules(docs), ratios(docs, sample(labels, 1, (0, 1)))).drop("buckets"))
-    cut = threshold(scored, sample(labels, 1, (3,)).unionByName(sample(labels, 0, (3,))))
+    scored = keep(with_score(base_rules(docs), ratios(docs, labels, (0, 1))).drop("buckets"))
+    cut = threshold(scored, labelled(labels, (3,)))
     kept = ~F.col("base_failed") & (F.lit(True) if cut is None else F.col("score") >= cut)
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "score")

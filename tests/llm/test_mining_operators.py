@@ -149,6 +149,42 @@ def test_quality_rules_equal_brute_force(spark):
     assert len(held) > 15 and all(kept == (i % 2 == 1) for i, kept in held)
 
 
+def test_quality_rules_count_every_labelled_document(spark):
+    """Far more trusted documents than any sample of fixed size would hold."""
+    import zlib
+
+    rows = [(i, f"w{i * i % 11} v") for i in range(44000)]
+    got = {r[0]: r[8] for r in judged(spark, rows, [(i, 1, 0, 0) for i, _ in rows])}
+    raw, target, all_grams = Counter(), Counter(), {t: grams(t) for t in {t for _, t in rows}}
+    for i, t in rows:
+        raw.update(all_grams[t])
+        if zlib.crc32(str(i).encode()) % 4 < 2:
+            target.update(all_grams[t])
+    size = 1 << quality_rules.BUCKET_BITS
+    a, b = sum(target.values()) + size, sum(raw.values()) + size
+    ratio = {g: round(1_000_000 * (math.log((target[g] + 1) / a) - math.log((raw[g] + 1) / b))) for g in raw}
+    assert a - size > 3 * 20_000 and got == {i: sum(map(ratio.get, all_grams[t])) // len(all_grams[t]) for i, t in rows}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90000)], "doc_id bigint, quality int")
+    found = {tuple(r) for r in quality_rules.labelled(labels, (3,)).collect()}
+    assert found == {(i, i % 2 == 1) for i in range(90000) if zlib.crc32(str(i).encode()) % 4 == 3}
+
+
+@pytest.mark.parametrize("spread", [3, 900, 2_000_000], ids=["ties", "one cell", "many cells"])
+def test_threshold_equals_trying_every_cut(spark, spread):
+    rnd = random.Random(spread)
+    rows = [(i, rnd.randint(-spread, spread) + (i % 3 == 0) * spread // 2, i % 3 == 0) for i in range(700)]
+    scored = spark.createDataFrame([(i, s, i % 50 == 7) for i, s, _ in rows], "doc_id bigint, score bigint, base_failed boolean").repartition(3)
+    chosen = spark.createDataFrame([(i, t) for i, _, t in rows if i % 7], "doc_id bigint, trusted boolean")
+    seen = [(s, t) for i, s, t in rows if i % 7 and i % 50 != 7]
+    good = sum(t for _, t in seen)
+    share = lambda c: sum(t for s, t in seen if s >= c) / good + sum(not t for s, t in seen if s < c) / (len(seen) - good)
+    scores = sorted({s for s, _ in seen})
+    best = max(scores, key=lambda c: (share(c), -c))
+    at = scores.index(best)
+    assert quality_rules.threshold(scored, chosen) == ((best + scores[at - 1]) // 2 + 1 if at else best)
+    assert quality_rules.threshold(scored, chosen.filter("trusted")) is None
+
+
 def test_quality_rules_without_labels_or_rows(spark):
     got = judged(spark, [(1, "a b"), (2, " ".join(f"w{i}" for i in range(60)))], [])
     assert sorted(r[7] for r in got) == [False, True]
