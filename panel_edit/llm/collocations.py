@@ -59,10 +59,14 @@ FILTER_BITS, FILTER_SHIFTS = 27, (0, 18, 37)
 BATCH_BYTES = 6 << 20
 #: Fingerprints that a task adds up before it puts them out.
 MERGE_ROWS = 2 << 20
+#: Phrases that a task hands over at a time.
+OUT_ROWS = 1 << 16
 #: Words hashed by one numpy step.
 STEP = 1 << 20
 #: Groups among which a language's phrases are ranked first.
 RANK_GROUPS = 16
+#: Partitions of texts that one task of the last pass reads, at most, and tasks a core below which none are joined.
+JOINED_PARTS, CORE_TASKS = 16, 2
 UNKNOWN = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -282,13 +286,15 @@ def spelled(lengths: tuple[int, ...], filt, bits: int):
 
     The empty phrase counts the words of a language.
     """
-    limit, most = BATCH_BYTES, MERGE_ROWS // 2
+    limit, most = BATCH_BYTES // 2, MERGE_ROWS // 3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def added():
             table = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("cnt", "sum")])
+            held.clear()
+            pa.default_memory_pool().release_unused()
             return table.select(["lang", "phrase", "cnt_sum"]).rename_columns(["lang", "phrase", "cnt"])
 
         for words in text_batches(batches, limit, bits):
@@ -300,10 +306,10 @@ def spelled(lengths: tuple[int, ...], filt, bits: int):
                 held = [added()]
                 size = held[0].num_rows
                 if size > most * 3 // 4:
-                    yield from held[0].combine_chunks().to_batches()
+                    yield from held[0].combine_chunks().to_batches(OUT_ROWS)
                     held, size = [], 0
         if held:
-            yield from added().combine_chunks().to_batches()
+            yield from added().combine_chunks().to_batches(OUT_ROWS)
 
     return run
 
@@ -324,6 +330,11 @@ def set_bits(bitmap: np.ndarray, fps: DataFrame) -> np.ndarray:
     return out
 
 
+def last_tasks(rows: DataFrame) -> int:
+    """Tasks of the last pass: each puts out a frequent phrase once, so few long ones put out far fewer rows than many short ones (what a task holds is bounded)."""
+    return max(CORE_TASKS * rows.sparkSession.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() // JOINED_PARTS))
+
+
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, bits: int = 64) -> DataFrame:
     """(lang, phrase, words, f): all words and phrases of up to ``max_words`` words that occur ``min_count`` times, kept.
 
@@ -344,7 +355,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
             bitmap = set_bits(bitmap, frequent(rows, lengths, parts, filt, min_count, bits))
             filt = spark.sparkContext.broadcast(bitmap)
             release(spark)  # the disk holds one level's shuffle at a time
-    found = rows.mapInArrow(spelled(tuple(range(1, max_words + 1)), filt, bits), "lang string, phrase string, cnt bigint")
+    found = rows.coalesce(last_tasks(rows)).mapInArrow(spelled(tuple(range(1, max_words + 1)), filt, bits), "lang string, phrase string, cnt bigint")
     counts = found.groupBy("lang", "phrase").agg(F.sum("cnt").alias("f"))
     words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
     counts = keep(counts.withColumn("words", words).filter((F.col("f") >= min_count) | (F.col("words") == 0)))

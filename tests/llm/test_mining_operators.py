@@ -68,6 +68,35 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(blank).count() == 0
 
 
+def test_a_phrase_is_put_out_by_few_tasks(spark, monkeypatch):
+    """Over 64 partitions of texts that all hold the same phrases."""
+    made, original = spark.sparkContext.accumulator(0), collocations.spelled
+
+    def counting(*args):
+        run = original(*args)
+
+        def counted(batches):
+            for batch in run(batches):
+                made.add(batch.num_rows)
+                yield batch
+
+        return counted
+
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "100000"}
+    before = {k: spark.conf.get(k) for k in settings}
+    monkeypatch.setattr(collocations, "spelled", counting)
+    docs = spark.createDataFrame([(i, f"alpha beta gamma, n{i}", "en") for i in range(1500)], "doc_id bigint, text string, lang string")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = {(r.phrase, r.f) for r in collocations.phrase_counts(docs).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {("", 6000), *((x, 1500) for x in ("alpha", "beta", "gamma", "alpha beta", "beta gamma", "alpha beta gamma"))}
+    assert made.value <= 7 * 2 * spark.sparkContext.defaultParallelism < 7 * 64
+
+
 def test_entries_within_a_batch_tell_clashing_runs_apart():
     import numpy as np
     import pyarrow as pa
