@@ -167,7 +167,7 @@ class LabelModel:
             r1, r0 = x - self.toxic, x - self.clean
             within = ((r1 * p[:, None]).T @ r1 + (r0 * (1 - p)[:, None]).T @ r0) / len(x)
             spread = np.sqrt(np.maximum(np.diag(within), 1e-9))
-            self.correlation = within / spread[:, None] / spread
+            self.correlation = np.round(within / spread[:, None] / spread, 12)  # equal voters weigh the same, however the sums were added
             self.weights = 1 / np.maximum((self.correlation ** 2).sum(axis=1), 1)
             new = self.posterior_of(x, prior)
             done = np.abs(new - p).max() < 1e-6

@@ -276,6 +276,16 @@ def test_a_repeated_voter_counts_once():
     assert np.abs(once.posterior - twice.posterior).max() < 0.1
 
 
+def test_repeated_voters_weigh_exactly_the_same():
+    import numpy as np
+
+    for seed in range(40):
+        _, votes, *_ = simulated_votes(n=1500, seed=seed)
+        share = votes[:, :6].mean(axis=1)
+        weights = toxicity.LabelModel(votes, share >= np.sort(share)[-450], 0.3).weights
+        assert weights[0] == weights[6]
+
+
 def test_the_given_label_is_no_voter(spark, monkeypatch):
     """The voters' names, and posteriors that contradict some labels."""
     seen = {}
